@@ -50,6 +50,11 @@ def deprojection_error(contacts: DataFrame, depth: DataFrame) -> DataFrame:
     return joined.withColumn("deprojection_err_mm", F.coalesce(error, F.lit(-1.0))).drop("depth_m")
 
 
+def pixel_gap() -> tuple[Column, Column]:
+    """Offset from the contact pixel, as doubles: a point near the image plane has a pixel far outside."""
+    return (F.col("x") - F.col("pu")).cast("double"), (F.col("y") - F.col("pv")).cast("double")
+
+
 def nearest_first(group: list[str], order: list[Column], keep: int, rows: DataFrame, out: str) -> DataFrame:
     """The first `keep` rows of every group. The limit on the rank is applied before the shuffle too,
     so a large group sends at most `keep` rows per input partition."""
@@ -62,8 +67,8 @@ def contact_patch(contacts: DataFrame, depth: DataFrame, mask: DataFrame | None
     if mask is not None:
         depth = depth.join(mask.select(*FRAME, "x", "y"), [*FRAME, "x", "y"], "left_semi")
     near = depth.join(contacts.select(*FRAME, "pu", "pv", "K", "T").where("pu is not null"), FRAME)
-    gap = (F.col("x") - F.col("pu")) * (F.col("x") - F.col("pu")) + (F.col("y") - F.col("pv")) * (F.col("y") - F.col("pv"))
-    chosen = nearest_first(FRAME, [F.col("_gap"), F.col("y"), F.col("x"), F.col("depth_m")], points, near.withColumn("_gap", gap), "rank")
+    dx, dy = pixel_gap()
+    chosen = nearest_first(FRAME, [F.col("_gap"), F.col("y"), F.col("x"), F.col("depth_m")], points, near.withColumn("_gap", dx * dx + dy * dy), "rank")
     px, py, pz = lift_pixel(F.col("x").cast("double"), F.col("y").cast("double"), F.col("depth_m"), F.col("K"), F.col("T"))
     return chosen.select(*FRAME, "rank", "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), "T")
 

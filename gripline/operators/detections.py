@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gripline.operators.blocks import KEY
-from gripline.operators.depth import FRAME, nearest_first
+from gripline.operators.depth import FRAME, nearest_first, pixel_gap
 
 # --- fixed values: score thresholds of the detectors --------------------------------------
 TRACKER_SCORE = 0.5
@@ -77,7 +77,7 @@ def frame_zero_override(mask_boxes: DataFrame, detector_boxes: DataFrame) -> Dat
 def mask_contact_crop(pixels: DataFrame, contacts: DataFrame, radius: int = CROP_RADIUS) -> DataFrame:
     """Tight box of the mask pixels within `radius` of the contact pixel, per frame."""
     near = pixels.join(contacts.select(*FRAME, "pu", "pv"), FRAME)
-    dx, dy = F.col("x") - F.col("pu"), F.col("y") - F.col("pv")
+    dx, dy = pixel_gap()
     return near.where(dx * dx + dy * dy <= radius * radius).groupBy(*FRAME).agg(*box_of_pixels(), F.count(F.lit(1)).alias("pixels"))
 
 

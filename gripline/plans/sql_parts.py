@@ -102,7 +102,7 @@ pixels as (
 
 QUALITY = """scored as (
   select *, cast(trunc(u) as bigint) as pu, cast(trunc(v) as bigint) as pv,
-    case when u is null then 0.275 else 0.875 end as annotation_confidence from pixels)"""
+    cast(case when u is null then 0.275 else 0.875 end as double) as annotation_confidence from pixels)"""
 
 INSTRUCTIONS = """users as (select user_id as episode_id, count(*) as n_steps from events group by 1),
 texts as (
@@ -112,16 +112,16 @@ texts as (
       || ' the ' || coalesce(p_name, 'object') || '.' end as instruction
   from users u left join part on p_partkey = u.episode_id),
 tokens as (
-  select *, list_filter(string_split_regex(lower(instruction), '\\s+'), t -> t <> '') as tok from texts),
+  select *, list_filter(string_split_regex(lower(instruction), '\\s+'), lambda t: t <> '') as tok from texts),
 verbs as (
-  select *, coalesce(list_filter(tok, t -> t in ('pick','grab','place','put','open','close','pour','wipe','push','slide','insert','stack'))[1], 'unknown') as task_verb,
+  select *, coalesce(list_filter(tok, lambda t: t in ('pick','grab','place','put','open','close','pour','wipe','push','slide','insert','stack'))[1], 'unknown') as task_verb,
     coalesce(rtrim(tok[len(tok)], '.,'), 'unknown') as task_object from tokens),
 tags as (
   select *,
     case when task_verb in ('pick','grab','place','put','insert','stack') then 'pick-and-place' when task_verb in ('open','close') then 'articulated'
       when task_verb in ('pour','wipe') then 'tool-use' when task_verb in ('push','slide') then 'non-prehensile' else 'unknown' end as task_category,
     task_verb in ('insert','stack','pour','place') as requires_precision,
-    case when task_verb = 'unknown' then 0.3 else 0.9 end as language_quality
+    cast(case when task_verb = 'unknown' then 0.3 else 0.9 end as double) as language_quality
   from verbs)"""
 
 # annotated traces: point i of frame e is (31 e + 17 i mod 320, 29 e + 13 i mod 180), e mod 13 points on every third frame
