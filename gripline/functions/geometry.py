@@ -83,32 +83,3 @@ def lift_pixel(u: Column, v: Column, depth: Column, k: Column, t: Column) -> tup
     camera = [xc * depth, yc * depth, depth]
     moved = [camera[r] - cell(t, r, 3) for r in range(3)]
     return tuple(sum((cell(t, r, c) * moved[r] for r in range(3)), F.lit(0.0)) for c in range(3))
-
-
-def smallest_eigenvector(xx, xy, xz, yy, yz, zz) -> tuple[Column, Column, Column, Column]:
-    """Unit eigenvector of the smallest eigenvalue of a symmetric 3x3 matrix, and a flag that it exists.
-
-    The eigenvalue comes from the trigonometric form of the cubic; the vector is the longest cross
-    product of two rows of (A - eigenvalue * I).
-    """
-    q = (xx + yy + zz) / 3
-    off = xy * xy + xz * xz + yz * yz
-    p2 = (xx - q) * (xx - q) + (yy - q) * (yy - q) + (zz - q) * (zz - q) + 2 * off
-    p = F.sqrt(p2 / 6)
-    a, d, f = (xx - q) / p, (yy - q) / p, (zz - q) / p
-    b, c, e = xy / p, xz / p, yz / p
-    det = a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d)
-    r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), det / 2))
-    low = q + 2 * p * F.cos(F.acos(r) / 3 + F.lit(2.0943951023931953))
-    rows = [(xx - low, xy, xz), (xy, yy - low, yz), (xz, yz, zz - low)]
-
-    def cross(m, n):
-        return (m[1] * n[2] - m[2] * n[1], m[2] * n[0] - m[0] * n[2], m[0] * n[1] - m[1] * n[0])
-
-    options = [cross(rows[0], rows[1]), cross(rows[0], rows[2]), cross(rows[1], rows[2])]
-    packed = F.array_max(
-        F.array(*[F.struct((o[0] * o[0] + o[1] * o[1] + o[2] * o[2]).alias("n"), o[0].alias("x"), o[1].alias("y"), o[2].alias("z")) for o in options])
-    )
-    found = (p > 0) & (packed["n"] > 1e-24)
-    length = F.sqrt(packed["n"])
-    return tuple(F.when(found, packed[axis] / length) for axis in "xyz") + (found,)

@@ -11,7 +11,10 @@ all shuffles use (episode_id, blk):
 * ``replay_states`` runs a finite-state machine: each block is folded to one state change, the changes
                     are carried, then every block is replayed from its own entry state.
 
-Short episodes have a single block; the plan is the same.
+``index_frames`` counts rows first and notes the longest episode on the ``step`` column. When that
+count proves that every episode fits into one block, as recordings of a few thousand frames do,
+nothing needs to be carried and one shuffle by episode serves all later steps. Without the note
+(it does not survive every operation) the general form is used, which is always right.
 """
 
 from __future__ import annotations
@@ -22,8 +25,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 2048  # steps of one episode handled together
+from gripline.sources.session import settle
+
+BLOCK = 4096  # steps of one episode handled together
 FAN = 4096  # blocks handled together when values are carried between blocks
+PLAIN_ROWS = 1 << 20  # an episode of at most this many rows is numbered by a plain window
 
 KEY = "episode_id"
 
@@ -128,45 +134,61 @@ def scan_blocks(
 
 
 # --------------------------------------------------------------------------------------
+def note_longest(rows: DataFrame, longest: int | None) -> DataFrame:
+    """Note the length of the longest episode on the step column."""
+    return rows if longest is None else rows.withMetadata("step", {"longest": longest})
+
+
+def longest_of(rows: DataFrame) -> int | None:
+    return rows.schema["step"].metadata.get("longest")
+
+
+def one_block(rows: DataFrame, size: int | None = None) -> bool:
+    """True when a count has proved that every episode fits into one block."""
+    longest = longest_of(rows)
+    return longest is not None and longest <= (size or BLOCK)
+
+
 def index_frames(
     frames: DataFrame,
     order: str = "frame_index",
     ties: tuple[str, ...] = (),
     episode_values: dict[str, tuple[Column, Callable[[Column], Column]]] | None = None,
-    span: int = BLOCK,
+    span: int | None = None,
 ) -> DataFrame:
     """Number the rows of every episode from 0 (`step`) and add its length (`n_steps`).
 
-    `order` is a whole number; rows are worked on in blocks of `span` consecutive numbers, `ties`
+    `order` is a whole number; rows are counted in blocks of `span` consecutive numbers, `ties`
     settle equal numbers. `episode_values` maps a name to (aggregate over rows, aggregate over
-    partial results): values of the whole episode that ride along with the numbering, such as the
-    lowest and highest gripper reading, without another pass or a join on the episode alone.
+    partial results): values of the whole episode that ride along with the count, such as the
+    lowest and highest gripper reading.
     """
     values = episode_values or {}
-    cut = frames.withColumn("_blk", block_number(F.col(order), span))
-    in_block = Window.partitionBy(KEY, "_blk").orderBy(order, *ties)
-    local = cut.withColumn("_pos", F.row_number().over(in_block) - 1)
-    blocks = cut.groupBy(KEY, "_blk").agg(
-        F.count(F.lit(1)).alias("_n"), *[rows.alias(name) for name, (rows, _) in values.items()]
+    cut = frames.withColumn("_blk", block_number(F.col(order), span or BLOCK))
+    blocks = settle(
+        cut.groupBy(KEY, "_blk").agg(F.count(F.lit(1)).alias("_n"), *[rows.alias(name) for name, (rows, _) in values.items()])
     )
     whole = blocks.groupBy(KEY).agg(
         F.sum("_n").alias("n_steps"), *[parts(F.col(name)).alias(name) for name, (_, parts) in values.items()]
     )
-    placed = (
-        scan_blocks(blocks.select(KEY, "_blk", "_n"), {"_before": Carried("sum", "_n")}, blk="_blk")
-        .join(whole, KEY)
-        .drop("_n")
-    )
-    return local.join(placed, [KEY, "_blk"]).select(
-        *[F.col(c) for c in frames.columns],
-        (F.col("_before") + F.col("_pos")).cast("bigint").alias("step"),
-        F.col("n_steps").cast("bigint").alias("n_steps"),
-        *[F.col(name) for name in values],
+    longest = whole.agg(F.max("n_steps")).first()[0] or 0
+    if longest <= PLAIN_ROWS:
+        place = Window.partitionBy(KEY).orderBy(order, *ties)
+        numbered = frames.join(whole, KEY).withColumn("step", F.row_number().over(place) - 1)
+    else:
+        place = Window.partitionBy(KEY, "_blk").orderBy(order, *ties)
+        before = scan_blocks(blocks.select(KEY, "_blk", "_n"), {"_before": Carried("sum", "_n")}, blk="_blk").drop("_n")
+        local = cut.withColumn("_pos", F.row_number().over(place) - 1)
+        numbered = local.join(before.join(whole, KEY), [KEY, "_blk"]).withColumn("step", F.col("_before") + F.col("_pos"))
+    out = numbered.select(
+        *[F.col(f"`{c}`") for c in frames.columns], F.col("step").cast("bigint").alias("step"), F.col("n_steps").cast("bigint").alias("n_steps"), *values
     )
+    return note_longest(out, longest)
 
 
 def with_blocks(indexed: DataFrame, size: int | None = None) -> DataFrame:
-    return indexed.withColumn("blk", block_number(F.col("step"), size or BLOCK))
+    own = F.lit(0).cast("bigint") if one_block(indexed, size) else block_number(F.col("step"), size or BLOCK)
+    return indexed.withColumn("blk", own)
 
 
 def with_halo(indexed: DataFrame, before: int = 0, after: int = 0, size: int | None = None) -> DataFrame:
@@ -178,6 +200,8 @@ def with_halo(indexed: DataFrame, before: int = 0, after: int = 0, size: int | N
     size = size or BLOCK
     if max(before, after) > size:
         raise ValueError("a window cannot reach further than one block")
+    if one_block(indexed, size) or not (before or after):
+        return with_blocks(indexed, size).withColumn("home", F.lit(True))
     own = block_number(F.col("step"), size)
     targets = [own]
     if before:
@@ -186,8 +210,6 @@ def with_halo(indexed: DataFrame, before: int = 0, after: int = 0, size: int | N
     if after:
         behind = block_number(F.col("step") - after, size)
         targets.append(F.when((behind != own) & (behind >= 0), behind))
-    if len(targets) == 1:
-        return indexed.withColumn("blk", own).withColumn("home", F.lit(True))
     copies = F.filter(F.array(*targets), lambda b: b.isNotNull())
     return indexed.withColumn("blk", F.explode(copies)).withColumn("home", F.col("blk") == own)
 
@@ -204,6 +226,8 @@ def attach_episode(indexed: DataFrame, episodes: DataFrame, size: int | None = N
     small partners instead of one task holding all of its rows.
     """
     size = size or BLOCK
+    if one_block(indexed, size):
+        return with_blocks(indexed, size).join(episodes.drop("n_steps"), KEY, how)
     last = block_number(F.col("n_steps") - 1, size)
     spread = episodes.withColumn("blk", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("n_steps")
     return with_blocks(indexed, size).join(spread, [KEY, "blk"], how)
@@ -219,30 +243,29 @@ def replay_states(coded: DataFrame, codes: dict[str, str], start: int = 0, paylo
     packed = coded.groupBy(KEY, "blk").agg(
         F.sort_array(F.collect_list(F.struct("step", *codes.values(), *payload))).alias("_rows")
     )
-    changes = packed.select(
-        KEY,
-        "blk",
-        *[fold_changes(F.col("_rows").getField(c)).alias(f"_c_{name}") for name, c in codes.items()],
-    )
-    entry = scan_blocks(changes, {f"_e_{name}": Carried("fold", f"_c_{name}") for name in codes}).select(
-        KEY, "blk", *[apply_change(F.col(f"_e_{name}"), F.lit(start)).alias(f"_e_{name}") for name in codes]
+    if one_block(coded):
+        entered = packed.select("*", *[F.lit(start).alias(f"_e_{name}") for name in codes])
+    else:
+        changes = packed.select(
+            KEY, "blk", *[fold_changes(F.col("_rows").getField(c)).alias(f"_c_{name}") for name, c in codes.items()]
+        )
+        entry = scan_blocks(changes, {f"_e_{name}": Carried("fold", f"_c_{name}") for name in codes})
+        entered = packed.join(
+            entry.select(KEY, "blk", *[apply_change(F.col(f"_e_{n}"), F.lit(start)).alias(f"_e_{n}") for n in codes]), [KEY, "blk"]
+        )
+    replayed = entered.select(KEY, "blk", "_rows", *[_states(c, n).alias(f"_s_{n}") for n, c in codes.items()])
+    names = [f"_s_{n}" for n in codes]
+    zipped = replayed.select(KEY, "blk", F.explode(F.arrays_zip("_rows", *names)).alias("_z"))
+    out = [F.col("_z")["_rows"][c].alias(c) for c in ("step", *payload)]
+    for n in codes:
+        pair = F.col("_z")[f"_s_{n}"]
+        out += [F.shiftright(pair, 3).alias(f"{n}_before"), pair.bitwiseAND(F.lit(7)).alias(n)]
+    return note_longest(zipped.select(KEY, "blk", *out), longest_of(coded))
+
+
+def _states(code: str, machine: str) -> Column:
+    """States of a block in order, each packed with the state before it (before * 8 + now)."""
+    return F.expr(
+        f"aggregate(_rows.{code}, struct(cast(_e_{machine} as int) as s, cast(array() as array<int>) as seen),"
+        " (acc, c) -> struct(shiftright(c, acc.s * 3) & 7 as s, concat(acc.seen, array(acc.s * 8 + (shiftright(c, acc.s * 3) & 7))) as seen)).seen"
     )
-    joined = packed.join(entry, [KEY, "blk"])
-    for name, c in codes.items():
-        seed = F.struct(F.col(f"_e_{name}").cast("int").alias("s"), F.array().cast("array<int>").alias("all"))
-
-        def move(acc, code):
-            state = apply_change(code, acc["s"]).cast("int")
-            return F.struct(state.alias("s"), F.concat(acc["all"], F.array(state)).alias("all"))
-
-        joined = joined.withColumn(f"_s_{name}", F.aggregate(F.col("_rows").getField(c), seed, move)["all"])
-
-    def row_out(row, i):
-        fields = [row["step"].alias("step"), *[row[p].alias(p) for p in payload]]
-        for name in codes:
-            states = F.col(f"_s_{name}")
-            earlier = F.when(i > 0, F.get(states, i - 1)).otherwise(F.col(f"_e_{name}").cast("int"))
-            fields += [earlier.alias(f"{name}_before"), F.get(states, i).alias(name)]
-        return F.struct(*fields)
-
-    return joined.select(KEY, "blk", F.inline(F.transform(F.col("_rows"), row_out)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gripline.functions.geometry import lift_pixel, project_pinhole, smallest_eigenvector, whole_pixel
+from gripline.functions.geometry import lift_pixel, project_pinhole, whole_pixel
 from gripline.operators.blocks import KEY
 
 PATCH_POINTS = 32  # fixed values
@@ -73,6 +73,41 @@ def contact_patch(contacts: DataFrame, depth: DataFrame, mask: DataFrame | None
     return chosen.select(*FRAME, "rank", "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), "T")
 
 
+def smallest_eigenvector(rows: DataFrame, cov: tuple[str, ...]) -> DataFrame:
+    """Unit eigenvector (ex, ey, ez) of the smallest eigenvalue of symmetric 3x3 matrices; null when not unique.
+
+    `cov` names the columns xx, xy, xz, yy, yz, zz. The eigenvalue comes from the trigonometric form
+    of the cubic, the vector is the longest cross product of two rows of (A - eigenvalue * I). Each
+    stage is a column of its own, so that no expression is written out twice.
+    """
+    xx, xy, xz, yy, yz, zz = cov
+    stages = [
+        {"_q": f"({xx} + {yy} + {zz}) / 3"},
+        {"_p": f"sqrt((pow({xx} - _q, 2) + pow({yy} - _q, 2) + pow({zz} - _q, 2) + 2 * ({xy} * {xy} + {xz} * {xz} + {yz} * {yz})) / 6)"},
+        {
+            "_det": f"({xx} - _q) * (({yy} - _q) * ({zz} - _q) - {yz} * {yz}) - {xy} * ({xy} * ({zz} - _q) - {xz} * {yz})"
+            f" + {xz} * ({xy} * {yz} - {xz} * ({yy} - _q))"
+        },
+        {"_r": "least(1D, greatest(-1D, try_divide(_det, 2 * _p * _p * _p)))"},
+        {"_low": "_q + 2 * _p * cos(acos(_r) / 3 + 2 * pi() / 3)"},
+        {"_a": f"{xx} - _low", "_d": f"{yy} - _low", "_f": f"{zz} - _low"},
+        {
+            "_v": f"array_max(array({_cross(('_a', xy, xz), (xy, '_d', yz))}, {_cross(('_a', xy, xz), (xz, yz, '_f'))}, {_cross((xy, '_d', yz), (xz, yz, '_f'))}))"
+        },
+        {"_len": "case when _p > 0 and _v.n > 1e-24 then sqrt(_v.n) end"},
+        {"ex": "_v.x / _len", "ey": "_v.y / _len", "ez": "_v.z / _len"},
+    ]
+    out = rows
+    for stage in stages:
+        out = out.selectExpr("*", *[f"{text} as {name}" for name, text in stage.items()])
+    return out.select(*rows.columns, "ex", "ey", "ez")
+
+
+def _cross(m: tuple[str, ...], n: tuple[str, ...]) -> str:
+    x, y, z = (f"({m[i]} * {n[j]} - {m[j]} * {n[i]})" for i, j in ((1, 2), (2, 0), (0, 1)))
+    return f"named_struct('n', {x} * {x} + {y} * {y} + {z} * {z}, 'x', {x}, 'y', {y}, 'z', {z})"
+
+
 def surface_normal(patch: DataFrame) -> DataFrame:
     """Direction of least spread of each patch, turned toward the camera; null when it is not defined."""
     pairs = ("px", "py", "pz")
@@ -80,13 +115,14 @@ def surface_normal(patch: DataFrame) -> DataFrame:
     sums = patch.groupBy(*FRAME).agg(
         F.count(F.lit(1)).alias("points"), F.first("T").alias("T"), *[F.avg(p).alias(f"m{p}") for p in pairs], *[c.alias(n) for n, c in cov.items()]
     )
-    x, y, z, found = smallest_eigenvector(*[F.col(c) for c in ("c00", "c01", "c02", "c11", "c12", "c22")])
+    found = smallest_eigenvector(sums, tuple(cov))
     # camera position in robot axes: -R^T t
     t = lambda r, c: F.get(F.get(F.col("T"), r), c)
     camera = [-(t(0, c) * t(0, 3) + t(1, c) * t(1, 3) + t(2, c) * t(2, 3)) for c in range(3)]
-    toward = sum((n * (c - F.col(m)) for n, c, m in zip((x, y, z), camera, ("mpx", "mpy", "mpz"))), F.lit(0.0))
+    toward = sum((F.col(e) * (c - F.col(m)) for e, c, m in zip(("ex", "ey", "ez"), camera, ("mpx", "mpy", "mpz"))), F.lit(0.0))
     sign = F.when(toward < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    return sums.select(*FRAME, "points", (x * sign).alias("nx"), (y * sign).alias("ny"), (z * sign).alias("nz"))
+    turned = found.withColumn("_sign", sign)
+    return turned.select(*FRAME, "points", *[(F.col(f"e{a}") * F.col("_sign")).alias(f"n{a}") for a in "xyz"])
 
 
 def depth_patch(contacts: DataFrame, depth: DataFrame, size: int = PATCH_SIZE) -> DataFrame:

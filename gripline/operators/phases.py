@@ -13,6 +13,7 @@ from gripline.operators.blocks import (
     apply_change,
     attach_episode,
     by_step,
+    one_block,
     pack_change,
     replay_states,
     scan_blocks,
@@ -134,6 +135,8 @@ def five_phases(
 def hold_last(blocked: DataFrame, value: str, out: str) -> DataFrame:
     """Last non-null value up to each frame of the episode; rows are blocked by (episode_id, blk)."""
     upto = by_step().rowsBetween(Window.unboundedPreceding, 0)
+    if one_block(blocked):
+        return blocked.withColumn(out, F.last(value, ignorenulls=True).over(upto))
     last = blocked.groupBy(KEY, "blk").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("step"))).alias("_last"))
     outside = scan_blocks(last, {"_outside": Carried("last", "_last")}).select(KEY, "blk", "_outside")
     return (
@@ -172,6 +175,9 @@ def phase_ranges(phased: DataFrame, phase: str = "phase", names: tuple[str, ...]
     in_block = Window.partitionBy(KEY, "blk").orderBy("step")
     of_phase = Window.partitionBy(KEY, "blk", "phase").orderBy("step")
     local = starts.withColumn("_next_in", F.lead("step").over(in_block)).withColumn("_nth", F.row_number().over(of_phase) - 1)
+    last_step = F.coalesce("_next_in", "n_steps") - 1
+    if one_block(phased):
+        return local.select(KEY, "phase", F.col("_nth").cast("bigint").alias("range_index"), F.col("step").alias("start_step"), last_step.alias("end_step"))
     counts = {f"_n_{n}": F.count(F.when(F.col("phase") == n, 1)) for n in names}
     blocks = starts.groupBy(KEY, "blk").agg(F.min("step").alias("_first"), *[c.alias(n) for n, c in counts.items()])
     carried = {"_next_out": Carried("next", "_first"), **{f"_b{n}": Carried("sum", n) for n in counts}}

@@ -3,7 +3,7 @@
 RAW = """raw as (
   select user_id as episode_id, event_id, cast(cast(floor(value) as bigint) % 10 as double) as gripper,
     (event_id * 37 % 401) / 200.0 - 1.0 as x, (event_id * 53 % 307) / 150.0 - 1.0 as y,
-    (event_id * 71 % 211) / 100.0 - 0.6 as z, (event_id * 13 % 101) / 50.0 as rx,
+    (event_id * 71 % 211) / 100.0 - 0.605 as z, (event_id * 13 % 101) / 50.0 as rx,
     (event_id * 17 % 103) / 50.0 as ry, (event_id * 19 % 107) / 50.0 as rz,
     cast(json_extract_string(props, '$.k') as bigint) as k
   from events)"""

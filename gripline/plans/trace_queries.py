@@ -55,7 +55,7 @@ def _flat_uv(rows, trace):
 BASE = (FRAMES, TRACES, PROJECTED)
 
 
-@query("nearest_camera", with_(FRAMES, TRACES, PROJECTED) + "select episode_id, frame_index, c.cam_pos as cam_pos, round(c.tz, 6) + 0.0 as tz from cam_of")
+@query("nearest_camera", with_(FRAMES, TRACES, PROJECTED) + "select episode_id, frame_index, c.cam_pos as cam_pos, round(cast(c.tz as double), 6) + 0.0 as tz from cam_of")
 def nearest_camera(spark, folder):
     return _seen(spark, folder).select(KEY, "frame_index", "cam_pos", G.cell(F.col("E"), 2, 3).alias("tz"))
 

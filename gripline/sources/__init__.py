@@ -1,0 +1 @@
+"""Reading, writing and session settings."""

@@ -34,36 +34,24 @@ def matrix(rows) -> Column:
 
 
 def raw_frames(spark: SparkSession, folder: str) -> DataFrame:
-    """Frames with the event number as (sparse) frame number."""
-    e = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    digits = lambda mult, mod: F.lpad(((e * mult) % mod).cast("string"), 3, "0")
-    contact = (
-        F.when(e % 5 == 0, "").when(e % 5 == 1, "-1").when(e % 5 == 2, F.concat(k.cast("string"), F.lit(".0"))).when(e % 5 == 3, "abc").otherwise(k.cast("string"))
-    )
-    affordance = F.when(
-        e % 4 == 1,
-        F.concat(F.lit("["), F.concat_ws(", ", *[F.concat(F.lit("0."), digits(m, 997)) for m in (3, 7, 11, 13, 17, 19)]), F.lit("]")),
-    ).when(e % 4 == 2, "[]").when(e % 4 == 3, "")
-    point = lambda i: F.concat(
-        F.lit("["), ((e * 31 + i * 17) % 320).cast("string"), F.lit(", "), ((e * 29 + i * 13) % 180).cast("string"), F.lit("]")
-    )
-    count = (e % 13).cast("int")
-    points = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: point(i))).otherwise(F.array().cast("array<string>"))
-    trace = F.when(e % 3 == 0, F.concat(F.lit("["), F.array_join(points, ", "), F.lit("]")))
-    return table(spark, folder, "events").select(
-        F.col("user_id").alias(KEY),
-        e.alias("event_id"),
-        (F.floor("value") % 10).cast("double").alias("gripper"),
-        ((e * 37 % 401) / 200.0 - 1.0).alias("x"),
-        ((e * 53 % 307) / 150.0 - 1.0).alias("y"),
-        ((e * 71 % 211) / 100.0 - 0.6).alias("z"),
-        ((e * 13 % 101) / 50.0).alias("rx"),
-        ((e * 17 % 103) / 50.0).alias("ry"),
-        ((e * 19 % 107) / 50.0).alias("rz"),
-        contact.alias("contact_text"),
-        affordance.alias("affordance_text"),
-        trace.alias("trace_text"),
+    """Frames with the event number as (sparse) frame number; labels are texts in several states of repair."""
+    k = "get_json_object(props, '$.k')"
+    digits = ", ".join(f"concat('0.', lpad(cast((event_id * {m}) % 997 as string), 3, '0'))" for m in (3, 7, 11, 13, 17, 19))
+    point = "concat('[', (event_id * 31 + i * 17) % 320, ', ', (event_id * 29 + i * 13) % 180, ']')"
+    points = f"array_join(transform(filter(sequence(0, 12), i -> i < event_id % 13), i -> {point}), ', ')"
+    return table(spark, folder, "events").selectExpr(
+        f"user_id as {KEY}",
+        "event_id",
+        "cast(floor(value) % 10 as double) as gripper",
+        "(event_id * 37 % 401) / 200.0D - 1.0D as x",
+        "(event_id * 53 % 307) / 150.0D - 1.0D as y",
+        "(event_id * 71 % 211) / 100.0D - 0.605D as z",
+        "(event_id * 13 % 101) / 50.0D as rx",
+        "(event_id * 17 % 103) / 50.0D as ry",
+        "(event_id * 19 % 107) / 50.0D as rz",
+        f"case event_id % 5 when 0 then '' when 1 then '-1' when 2 then concat({k}, '.0') when 3 then 'abc' else {k} end as contact_text",
+        f"case event_id % 4 when 1 then concat('[', concat_ws(', ', {digits}), ']') when 2 then '[]' when 3 then '' end as affordance_text",
+        f"case when event_id % 3 = 0 then concat('[', {points}, ']') end as trace_text",
     )
 
 
