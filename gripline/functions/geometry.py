@@ -39,21 +39,32 @@ def project_pinhole(x: Column, y: Column, z: Column, k: Column, t: Column) -> Co
     return F.when(k.isNotNull() & t.isNotNull(), seen).otherwise(plain)
 
 
-def project_camera(x: Column, y: Column, z: Column, k: Column, e: Column, robot_to_world: Column | None = None) -> Column:
-    """Pixel {u, v} through a world-to-camera 3x4 matrix; null at or behind the image plane."""
-    if robot_to_world is not None:
-        x, y, z = transform_point(robot_to_world, x, y, z)
-    cx, cy, cz = transform_point(e, x, y, z)
-    nx, ny = cx / cz, cy / cz
-    return F.when(
-        cz > Z_EPS,
-        uv(cell(k, 0, 0) * nx + cell(k, 0, 1) * ny + cell(k, 0, 2), cell(k, 1, 0) * nx + cell(k, 1, 1) * ny + cell(k, 1, 2)),
-    )
-
-
-def project_trace(trace: Column, k: Column, e: Column, robot_to_world: Column | None = None) -> Column:
+def camera_rows(k: Column, e: Column, robot_to_world: Column | None = None) -> Column:
+    """K and the world-to-camera matrix as one flat array of 12: rows for u * z, v * z and z.
+
+    Made once per camera. `robot_to_world` is applied to the points first.
+    """
+    columns = range(4)
+    if robot_to_world is None:
+        world = [[cell(e, r, c) for c in columns] for r in range(3)]
+    else:
+        world = [
+            [sum((cell(e, r, i) * cell(robot_to_world, i, c) for i in range(3)), cell(e, r, 3) if c == 3 else F.lit(0.0)) for c in columns]
+            for r in range(3)
+        ]
+    pixel = [[sum((cell(k, r, i) * world[i][c] for i in (1, 2)), cell(k, r, 0) * world[0][c]) for c in columns] for r in range(2)]
+    return F.array(*pixel[0], *pixel[1], *world[2])
+
+
+def project_camera(x: Column, y: Column, z: Column, rows: Column) -> Column:
+    """Pixel {u, v} through `camera_rows`; null at or behind the image plane."""
+    line = lambda r: F.get(rows, 4 * r) * x + F.get(rows, 4 * r + 1) * y + F.get(rows, 4 * r + 2) * z + F.get(rows, 4 * r + 3)
+    return F.when(line(2) > Z_EPS, uv(line(0) / line(2), line(1) / line(2)))
+
+
+def project_trace(trace: Column, rows: Column) -> Column:
     """Project every point of a trace; points without a pixel stay in place as null."""
-    return F.transform(trace, lambda p: project_camera(p["x"], p["y"], p["z"], k, e, robot_to_world))
+    return F.transform(trace, lambda p: project_camera(p["x"], p["y"], p["z"], rows))
 
 
 def affordance_box(u: Column, v: Column, half: int = 20) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,15 +23,19 @@ QUOTED = {"allowSingleQuotes": "true", "allowUnquotedControlChars": "true"}
 SEGMENT_LIST = "array<struct<start_frame:string,end_frame:string,subtask_instruction:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _only_value(text: Column, options: dict) -> Column:
     """The text as one JSON value and nothing after it: wrapped in brackets it must hold one element."""
     items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", options)
-    return F.when(F.size(items) == 1, F.get(items, 0))
+    return let(items, lambda found: F.when(F.size(found) == 1, F.get(found, 0)))
 
 
 def _braces(text: Column) -> Column:
-    found = F.regexp_extract(text, r"(?s)(\{.*\})", 1)
-    return F.when(found != "", found)
+    return F.nullif(F.regexp_extract(text, r"(?s)(\{.*\})", 1), F.lit(""))
 
 
 def strip_thinking(text: Column) -> Column:
@@ -59,34 +65,37 @@ def parse_grounding(text: Column) -> Column:
     Tried in turn: JSON, a literal with single quotes and None/True/False, JSON between the outer
     braces. Of a list the first element counts. Null when no object is found.
     """
-    bare = strip_markers(text)
-    words = bare
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        words = F.regexp_replace(words, rf"\b{word}\b", json_word)
-    root = F.coalesce(_only_value(bare, LOOSE), _only_value(words, QUOTED), _only_value(_braces(bare), LOOSE))
-    first = F.when(root.startswith("["), F.get(F.from_json(root, "array<string>"), 0)).otherwise(root)
-    return F.when(first.startswith("{"), first)
 
+    def read(bare: Column) -> Column:
+        words = bare
+        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+            words = F.regexp_replace(words, rf"\b{word}\b", json_word)
+        return F.coalesce(_only_value(bare, LOOSE), _only_value(words, QUOTED), _only_value(_braces(bare), LOOSE))
+
+    def first(root: Column) -> Column:
+        return F.when(root.startswith("["), F.get(F.from_json(root, "array<string>"), 0)).otherwise(root)
 
-def _truthy(body: Column, key: str) -> tuple[Column, Column]:
-    """(value as text, its kind) of a key, null when the value counts as empty."""
+    root = let(strip_markers(text), read)
+    return let(let(root, first), lambda body: F.when(body.startswith("{"), body))
+
+
+def _filled(body: Column, key: str) -> Column:
+    """{text, kind} of a key; null when its value counts as empty."""
     value = F.try_variant_get(body, f"$.{key}", "variant")
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(body, f"$.{key}", "string")
-    zero = (kind != "STRING") & (text.try_cast("double") == 0)
-    empty = text.isNull() | (text == "") | F.coalesce(zero, F.lit(False)) | ((kind == "BOOLEAN") & (text == "false"))
-    hollow = (kind != "STRING") & text.isin("[]", "{}")
-    keep = ~(empty | hollow)
-    return F.when(keep, text), F.when(keep, kind)
+
+    def check(found: Column) -> Column:
+        text, kind = found["text"], found["kind"]
+        number = F.coalesce(text.try_cast("double") == 0, F.lit(False))
+        hollow = (kind != "STRING") & (number | text.isin("[]", "{}", "false"))
+        return F.when(text.isNotNull() & (text != "") & ~hollow, found)
+
+    both = let(value, lambda x: F.struct(F.try_variant_get(x, "$", "string").alias("text"), F.schema_of_variant(x).alias("kind")))
+    return let(both, check)
 
 
 def first_value(body: Column, keys: tuple[str, ...]) -> Column:
     """{text, kind} of the first key with a value; kind tells a list from a text that looks like one."""
-    options = []
-    for key in keys:
-        text, kind = _truthy(body, key)
-        options.append(F.when(text.isNotNull(), F.struct(text.alias("text"), kind.alias("kind"))))
-    return F.coalesce(*options)
+    return F.coalesce(*[_filled(body, key) for key in keys])
 
 
 def numbers_of(value: Column, count: int) -> Column:
@@ -96,8 +105,8 @@ def numbers_of(value: Column, count: int) -> Column:
         value["kind"] == "STRING",
         F.slice(F.regexp_extract_all(value["text"], F.lit(NUMBER_IN_TEXT), 1), 1, count).cast("array<double>"),
     )
-    found = F.coalesce(listed, written)
-    return F.when((F.size(found) == count) & F.forall(found, lambda x: x.isNotNull()), found)
+    whole = lambda x: F.when((F.size(x) == count) & F.forall(x, lambda v: v.isNotNull()), x)
+    return let(F.coalesce(listed, written), whole)
 
 
 def numbers_in_text(text: Column, count: int) -> Column:

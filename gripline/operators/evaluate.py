@@ -88,47 +88,50 @@ def episode_errors(
     )
 
 
-def exact_median(rows: DataFrame, by: list[str], value: str, out: str, rounds: int = 2, buckets: int = 4096) -> DataFrame:
+RANKED = 1 << 20  # values of one group that may be ranked in one task
+
+
+def exact_median(rows: DataFrame, by: list[str], value: str, out: str, ranked: int = RANKED, buckets: int = 4096) -> DataFrame:
     """Median that interpolates between the middle values, without gathering a group's values in one task.
 
-    Equal values are counted first. Each round spreads the values still in question over `buckets`
-    ranges, counts them, and keeps the ranges that hold the two middle ranks; the few values left
-    are then ranked. `by` names the configured threshold pairs, so the tables with one row per
-    group are a handful of rows and are broadcast.
+    Equal values are counted first. While more than `ranked` different values of a group are in
+    question, they are spread over `buckets` ranges, the ranges are counted, and only those that hold
+    the two middle ranks stay; what is left is ranked. `by` names the configured threshold pairs:
+    the driver sees one row of bounds for each.
     """
     if not by:
-        return exact_median(rows.withColumn("_all", F.lit(0)), ["_all"], value, out, rounds, buckets).drop("_all")
+        return exact_median(rows.withColumn("_all", F.lit(0)), ["_all"], value, out, ranked, buckets).drop("_all")
     v, n = F.col(value), F.col("_n")
-    left = rows.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    size = left.groupBy(*by).agg(F.sum("_n").alias("_size"), F.min(value).alias("_low"), F.max(value).alias("_high"))
-    size = size.withColumn("_base", F.lit(0).cast("bigint"))
-    ranks = (F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2))
-    join = lambda values, groups: values.join(F.broadcast(groups), by)
+    counted = settle(rows.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
+    first = counted.groupBy(*by).agg(
+        F.sum("_n").alias("_size"), F.min(value).alias("_low"), F.max(value).alias("_high"), F.lit(0).cast("bigint").alias("_base"), F.count(F.lit(1)).alias("_left")
+    )
+    schema, bounds = first.schema, first.collect()
+    lower, upper = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
+
+    def in_question() -> DataFrame:
+        groups = rows.sparkSession.createDataFrame(bounds, schema)
+        return counted.join(F.broadcast(groups), by).where(v.between(F.col("_low"), F.col("_high")))
+
     running = Window.partitionBy(*by)
-    for _ in range(rounds):
-        place = F.least(
-            F.floor(F.coalesce(F.try_divide(v - F.col("_low"), F.col("_high") - F.col("_low")), F.lit(0.0)) * buckets), F.lit(buckets - 1)
-        )
-        spread = join(left, size).withColumn("_bucket", place)
-        counts = spread.groupBy(*by, "_bucket").agg(
-            F.sum("_n").alias("_in"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.max("_size").alias("_size"), F.max("_base").alias("_base")
-        )
-        start = F.col("_base") + F.coalesce(
-            F.sum("_in").over(running.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    while bounds and max(b["_left"] for b in bounds) > ranked:
+        share = F.coalesce(F.try_divide(v - F.col("_low"), F.col("_high") - F.col("_low")), F.lit(0.0))
+        spread = in_question().withColumn("_bucket", F.least(F.floor(share * buckets), F.lit(buckets - 1)))
+        counts = spread.groupBy(*by, "_bucket", "_size", "_base").agg(
+            F.sum("_n").alias("_in"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_values")
         )
+        before = F.sum("_in").over(running.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
         kept = (
-            counts.withColumn("_start", start)
-            .where((F.col("_start") <= ranks[1]) & (F.col("_start") + F.col("_in") > ranks[0]))
-            .groupBy(*by)
-            .agg(F.max("_size").alias("_size"), F.min("_lo").alias("_low"), F.max("_hi").alias("_high"), F.min("_start").alias("_base"))
+            counts.withColumn("_start", F.col("_base") + F.coalesce(before, F.lit(0)))
+            .where((F.col("_start") <= upper) & (F.col("_start") + F.col("_in") > lower))
+            .groupBy(*by, "_size")
+            .agg(F.min("_lo").alias("_low"), F.max("_hi").alias("_high"), F.min("_start").alias("_base"), F.sum("_values").alias("_left"))
         )
-        left = join(left, kept).where(v.between(F.col("_low"), F.col("_high"))).select(*by, value, "_n")
-        size = kept
-    upto = F.col("_base") + F.sum("_n").over(running.orderBy(value))
-    ranked = join(left, size).withColumn("_upto", upto)
+        bounds = kept.select(*schema.names).collect()
+    placed = in_question().withColumn("_upto", F.col("_base") + F.sum("_n").over(running.orderBy(value)))
     holds = lambda r: (F.col("_upto") > r) & (F.col("_upto") - n <= r)
-    middle = (F.max(F.when(holds(ranks[0]), v)) + F.max(F.when(holds(ranks[1]), v))) / 2.0
-    return ranked.groupBy(*by).agg(middle.alias(out))
+    middle = (F.max(F.when(holds(lower), v)) + F.max(F.when(holds(upper), v))) / 2.0
+    return placed.groupBy(*by).agg(middle.alias(out))
 
 
 def summarize(errors: DataFrame, by: list[str], tolerances: tuple[int, ...] = TOLERANCES) -> DataFrame:

@@ -28,18 +28,20 @@ def grounding_record(replies: DataFrame, width: Column, height: Column, text: st
     v = F.col("_v")
     picked = (
         parsed.withColumn("_name", R.first_value(v, R.OBJECT_KEYS)["text"])
-        .withColumn("_box", R.first_value(v, R.BOX_KEYS))
-        .withColumn("_center", R.first_value(v, R.CENTER_KEYS))
+        .withColumn("_box_value", R.first_value(v, R.BOX_KEYS))
+        .withColumn("_center_value", R.first_value(v, R.CENTER_KEYS))
+        .withColumn("_box", R.numbers_of(F.col("_box_value"), 4))
+        .withColumn("_center", R.numbers_of(F.col("_center_value"), 2))
     )
-    box = R.normalize_bbox(R.numbers_of(F.col("_box"), 4), width, height)
-    center = R.normalize_center(R.numbers_of(F.col("_center"), 2), width, height)
+    box = R.normalize_bbox(F.col("_box"), width, height)
+    center = R.normalize_center(F.col("_center"), width, height)
     return (
         picked.withColumn("target_object", F.coalesce(strip(F.col("_name")), F.lit("")))
         .withColumn("bbox_xyxy", box)
         .withColumn("center_xy", F.coalesce(R.box_center(F.col("bbox_xyxy")), center))
         .withColumn("frame_size", F.array(width, height))
         .withColumn("confidence", F.try_variant_get(v, "$.confidence", "double"))
-        .drop("_v", "_name", "_box", "_center")
+        .drop("_v", "_name", "_box_value", "_center_value", "_box", "_center")
     )
 
 

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gripline.functions.geometry import project_trace
-from gripline.operators.blocks import KEY, attach_episode
+from gripline.functions.geometry import camera_rows, project_trace
+from gripline.operators.blocks import KEY, attach_episode, longest_of, note_longest
 from gripline.operators.signals import nearest_in_order
 
 VISIBLE_THRESHOLD = 0.2  # fixed value
 
 
-def nearest_camera(frames: DataFrame, cameras: DataFrame) -> DataFrame:
-    """Camera with the closest frame number (`cam_pos`, `K`, `E`); a tie goes to the earlier position."""
-    whole = F.struct("cam_pos", F.col("frame_index").alias("cam_frame"), "K", "E")
+def nearest_camera(frames: DataFrame, cameras: DataFrame, robot_to_world: Column | None = None) -> DataFrame:
+    """Camera with the closest frame number: `cam_pos` and its `camera` rows; a tie goes to the earlier position.
+
+    Best done while the frames are narrow, before traces are built.
+    """
+    whole = F.struct("cam_pos", F.col("frame_index").alias("cam_frame"), camera_rows(F.col("K"), F.col("E"), robot_to_world).alias("rows"))
     single = cameras.groupBy(KEY, "frame_index").agg(F.min_by(whole, "cam_pos").alias("cam"))
     near = nearest_in_order(frames, single, "cam")
 
@@ -25,14 +28,13 @@ def nearest_camera(frames: DataFrame, cameras: DataFrame) -> DataFrame:
     first, second = rank("before_mark"), rank("after_mark")
     after_wins = F.col("before_mark").isNull() | (second < first)
     chosen = F.when(after_wins & F.col("after_mark").isNotNull(), F.col("after_mark")).otherwise(F.col("before_mark"))
-    return near.withColumn("_cam", chosen).select(
-        *frames.columns, F.col("_cam")["cam_pos"].alias("cam_pos"), F.col("_cam")["K"].alias("K"), F.col("_cam")["E"].alias("E")
-    )
+    out = near.withColumn("_cam", chosen).select(*frames.columns, F.col("_cam")["cam_pos"].alias("cam_pos"), F.col("_cam")["rows"].alias("camera"))
+    return note_longest(out, longest_of(frames)) if "step" in frames.columns else out
 
 
-def with_projection(frames: DataFrame, trace: str = "future_trace", out: str = "trace_2d", robot_to_world: Column | None = None) -> DataFrame:
+def with_projection(frames: DataFrame, trace: str = "future_trace", out: str = "trace_2d") -> DataFrame:
     """Trace through the frame's camera; no camera gives points without a pixel."""
-    return frames.withColumn(out, project_trace(F.col(trace), F.col("K"), F.col("E"), robot_to_world))
+    return frames.withColumn(out, project_trace(F.col(trace), F.col("camera")))
 
 
 def visible_counts(trace: str, width: Column, height: Column) -> tuple[Column, Column]:
@@ -130,33 +132,32 @@ def projection_label(use_fit: Column, ratio: Column) -> Column:
     return F.when(use_fit, F.format_string("fit_from_gt(da3_visible=%.2f)", ratio)).otherwise(F.lit("da3"))
 
 
-def trace_error(pred: str = "pred_trace", gt: str = "gt_trace") -> dict[str, Column]:
+def with_trace_error(predicted: DataFrame, pred: str = "pred_trace", gt: str = "gt_trace") -> DataFrame:
     """Usable pairs, mean distance over them, and distance at the last common position."""
-    pairs = zip_traces(pred, gt)
 
     def gap(pair: Column) -> Column:
         du, dv = pair["pred"]["u"] - F.get(pair["gt"], 0), pair["pred"]["v"] - F.get(pair["gt"], 1)
         return F.sqrt(du * du + dv * dv)
 
-    gaps = F.transform(pairs, gap)
-    usable = F.filter(gaps, lambda d: d.isNotNull())
-    total = F.aggregate(usable, F.lit(0.0), lambda acc, d: acc + d)
-    count = F.coalesce(F.size(usable), F.lit(0))
-    return {
-        "point_count": F.greatest(count, F.lit(0)).cast("bigint"),
-        "mean_l2_px": F.try_divide(total, F.when(count > 0, count)),
-        "endpoint_l2_px": F.get(gaps, F.size(gaps) - 1),
-    }
+    total = F.aggregate("_usable", F.lit(0.0), lambda acc, d: acc + d)
+    return (
+        predicted.withColumn("_gaps", F.transform(zip_traces(pred, gt), gap))
+        .withColumn("_usable", F.filter("_gaps", lambda d: d.isNotNull()))
+        .withColumn("point_count", F.when(F.col("_usable").isNull(), 0).otherwise(F.size("_usable")).cast("bigint"))
+        .withColumn("mean_l2_px", F.when(F.col("point_count") > 0, total / F.col("point_count")))
+        .withColumn("endpoint_l2_px", F.element_at("_gaps", -1))
+        .drop("_gaps", "_usable")
+    )
 
 
 def project_episodes(
-    frames: DataFrame, video_info: DataFrame, mode: str = "auto", threshold: float = VISIBLE_THRESHOLD, robot_to_world: Column | None = None
+    frames: DataFrame, video_info: DataFrame, mode: str = "auto", threshold: float = VISIBLE_THRESHOLD
 ) -> DataFrame:
     """Predicted trace of every frame (`pred_trace`) after the choice made for its episode.
 
-    `frames` has future_trace, gt_trace, K and E; per-episode values come back by block, not by episode.
+    `frames` has future_trace, gt_trace and camera; per-episode values come back by block, not by episode.
     """
-    projected = with_projection(frames, out="camera_trace", robot_to_world=robot_to_world)
+    projected = with_projection(frames, out="camera_trace")
     seen = attach_episode(projected.drop("blk"), with_length(frames, video_info)).drop("blk")
     ratio = visible_ratio(seen, "camera_trace").select(KEY, "visible_ratio", "n_steps")
     values = ratio
@@ -180,8 +181,7 @@ def with_length(frames: DataFrame, episodes: DataFrame) -> DataFrame:
 
 def trace_summary(predicted: DataFrame) -> DataFrame:
     """Errors of each episode: mean over frames, and the number of frames with an annotated trace."""
-    errors = trace_error()
-    rows = predicted.select(KEY, "projection_label", "visible_ratio", F.size("gt_trace").alias("_gt"), *[c.alias(n) for n, c in errors.items()])
+    rows = with_trace_error(predicted).withColumn("_gt", F.size("gt_trace"))
     return rows.groupBy(KEY).agg(
         F.max("projection_label").alias("projection_label"),
         F.max("visible_ratio").alias("visible_ratio"),

@@ -44,8 +44,8 @@ def _video_info(frames):
 def _seen(spark, folder):
     """Frames with future trace, annotated trace and nearest camera."""
     indexed = D.with_gt_trace(D.frames(spark, folder)).select(KEY, "frame_index", "step", "n_steps", "x", "y", "z", "gt_trace")
-    traced = S.future_trace(indexed).drop("blk")
-    return TR.nearest_camera(traced, D.cameras(indexed.select(KEY).distinct()))
+    seen = TR.nearest_camera(indexed, D.cameras(indexed.select(KEY).distinct()))
+    return S.future_trace(seen).drop("blk")
 
 
 def _flat_uv(rows, trace):
@@ -57,7 +57,7 @@ BASE = (FRAMES, TRACES, PROJECTED)
 
 @query("nearest_camera", with_(FRAMES, TRACES, PROJECTED) + "select episode_id, frame_index, c.cam_pos as cam_pos, round(cast(c.tz as double), 6) + 0.0 as tz from cam_of")
 def nearest_camera(spark, folder):
-    return _seen(spark, folder).select(KEY, "frame_index", "cam_pos", G.cell(F.col("E"), 2, 3).alias("tz"))
+    return _seen(spark, folder).select(KEY, "frame_index", "cam_pos", F.get("camera", 11).alias("tz"))
 
 
 @query("project_camera", with_(*BASE) + "select episode_id, frame_index, idx, " + six("u", "v") + " from projected")
@@ -117,7 +117,7 @@ def choose_projection(spark, folder):
 )
 def trace_error(spark, folder):
     rows = _predicted(spark, folder)
-    return rows.select(KEY, "frame_index", *[c.alias(n) for n, c in TR.trace_error().items()])
+    return TR.with_trace_error(rows).select(KEY, "frame_index", "point_count", "mean_l2_px", "endpoint_l2_px")
 
 
 TRACE_SUMMARY = f"""summary as (
@@ -203,7 +203,7 @@ def contact_point(spark, folder):
 def trace_2d(spark, folder):
     """Smoothed traces through one fixed camera."""
     e = D.matrix(((1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0.5)))
-    rows = S.smoothed_trace(D.frames(spark, folder)).withColumn("t2", G.project_trace(F.col("trace"), D.matrix(D.K_MATRIX), e))
+    rows = S.smoothed_trace(D.frames(spark, folder)).withColumn("t2", G.project_trace(F.col("trace"), G.camera_rows(D.matrix(D.K_MATRIX), e)))
     return _flat_uv(rows, "t2")
 
 
