@@ -119,16 +119,17 @@ def scan_blocks(
         earlier = Window.partitionBy(*key).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
         later = Window.partitionBy(*key).orderBy(F.col(blk).desc()).rowsBetween(Window.unboundedPreceding, -1)
         return blocks.select("*", *[c.over(earlier, later).alias(name) for name, c in carried.items()])
-    runs = blocks.withColumn("_run", block_number(F.col(blk), fan))
-    inner = Window.partitionBy(*key, "_run")
+    run = f"{blk}_run"
+    runs = blocks.withColumn(run, block_number(F.col(blk), fan))
+    inner = Window.partitionBy(*key, run)
     earlier = inner.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     later = inner.orderBy(F.col(blk).desc()).rowsBetween(Window.unboundedPreceding, -1)
     local = runs.select("*", *[c.over(earlier, later).alias(f"_in_{name}") for name, c in carried.items()])
-    totals = runs.groupBy(*key, "_run").agg(*[c.total(blk).alias(f"_t_{name}") for name, c in carried.items()])
+    totals = runs.groupBy(*key, run).agg(*[c.total(blk).alias(f"_t_{name}") for name, c in carried.items()])
     outer = scan_blocks(
-        totals, {f"_out_{n}": Carried(c.kind, f"_t_{n}") for n, c in carried.items()}, key, "_run", fan, levels - 1
-    ).select(*key, "_run", *[f"_out_{n}" for n in carried])
-    joined = local.join(outer, [*key, "_run"])
+        totals, {f"_out_{n}": Carried(c.kind, f"_t_{n}") for n, c in carried.items()}, key, run, fan, levels - 1
+    ).select(*key, run, *[f"_out_{n}" for n in carried])
+    joined = local.join(outer, [*key, run])
     kept = [F.col(c) for c in blocks.columns]
     return joined.select(*kept, *[c.merge(F.col(f"_out_{n}"), F.col(f"_in_{n}")).alias(n) for n, c in carried.items()])
 

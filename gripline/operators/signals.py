@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gripline.operators.blocks import (
+    BLOCK,
     KEY,
     Carried,
     attach_episode,
     block_number,
     by_step,
+    one_block,
     scan_blocks,
-    with_blocks,
     with_halo,
 )
 
@@ -167,23 +168,29 @@ def stride_frames(indexed: DataFrame, stride: int = 1, max_frames: int = 0) -> D
     return chosen.where((total <= max_frames) | keep)
 
 
+def most_rows(rows: DataFrame) -> int:
+    """Number of rows of the episode that has most of them."""
+    return rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def nearest_in_order(frames: DataFrame, marks: DataFrame, mark: str, number: str = "frame_index", size: int | None = None) -> DataFrame:
     """For every frame the marks at or before and at or after it: `before_mark`, `after_mark`.
 
     `marks` has one row per (episode_id, number) and a struct column `mark`. Both are laid in one
     order per episode and block; what a block needs from outside is carried to it, so no pairs are formed.
     """
-    from gripline.operators.blocks import BLOCK
-
     size = size or BLOCK
+    whole = "step" in frames.columns and one_block(frames, size) and most_rows(marks) <= size
     both = (
         frames.withColumn("_own", F.lit(1))
         .unionByName(marks.select(KEY, number, mark).withColumn("_own", F.lit(0)), allowMissingColumns=True)
-        .withColumn("blk", block_number(F.col(number), size))
+        .withColumn("blk", F.lit(0).cast("bigint") if whole else block_number(F.col(number), size))
     )
     up = Window.partitionBy(KEY, "blk").orderBy(number, "_own").rowsBetween(Window.unboundedPreceding, 0)
     down = Window.partitionBy(KEY, "blk").orderBy(F.col(number).desc(), F.col("_own")).rowsBetween(Window.unboundedPreceding, 0)
     near = both.withColumn("_b", F.last(mark, ignorenulls=True).over(up)).withColumn("_a", F.last(mark, ignorenulls=True).over(down))
+    if whole:
+        return near.where("_own = 1").select(*frames.columns, F.col("_b").alias("before_mark"), F.col("_a").alias("after_mark"))
     has = F.when(F.col(mark).isNotNull(), F.col(number))
     edges = both.groupBy(KEY, "blk").agg(F.max_by(mark, has).alias("_hi"), F.min_by(mark, has).alias("_lo"))
     outside = scan_blocks(edges, {"_before": Carried("last", "_hi"), "_after": Carried("next", "_lo")})

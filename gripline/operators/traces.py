@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gripline.functions.geometry import camera_rows, project_trace
 from gripline.operators.blocks import KEY, attach_episode, longest_of, note_longest
 from gripline.operators.signals import nearest_in_order
+from gripline.sources.session import settle
 
 VISIBLE_THRESHOLD = 0.2  # fixed value
 
@@ -50,7 +51,7 @@ def visible_ratio(frames: DataFrame, trace: str = "trace_2d", width: Column | No
     return (
         frames.groupBy(KEY)
         .agg(F.sum(seen).alias("points"), F.sum(inside).alias("inside"), F.max("n_steps").alias("n_steps"))
-        .withColumn("visible_ratio", F.coalesce(F.try_divide(F.col("inside").cast("double"), F.col("points")), F.lit(0.0)))
+        .withColumn("visible_ratio", ratio_of("inside", "points"))
     )
 
 
@@ -70,40 +71,48 @@ def trace_pairs(frames: DataFrame, trace: str = "future_trace", gt: str = "gt_tr
     )
 
 
+AXES = ("x", "y", "z")
+
+
+def moments() -> dict[str, Column]:
+    """Centred second moments and means of paired points; Spark merges them from partial results."""
+    out = {"pair_count": F.count("u")}
+    out |= {f"c_{a}{b}": F.covar_pop(a, b) for i, a in enumerate(AXES) for b in AXES[i:]}
+    out |= {f"c_{a}{t}": F.covar_pop(a, t) for a in AXES for t in "uv"}
+    return out | {f"m_{c}": F.avg(c) for c in (*AXES, "u", "v")}
+
+
 def fit_affine(pairs: DataFrame) -> DataFrame:
-    """Least-squares map from (x, y, z, 1) to (u, v) per episode; null with fewer than four points.
+    """Least-squares map from (x, y, z, 1) to (u, v) per episode; null with fewer than four points."""
+    sums = pairs.groupBy(KEY).agg(*[c.alias(n) for n, c in moments().items()])
+    return solve_affine(sums).select(KEY, "pair_count", *AFFINE)
+
+
+def solve_affine(sums: DataFrame) -> DataFrame:
+    """Closed 3x3 solve over `moments`.
 
-    Uses centred second moments, which Spark merges from partial results, and a closed 3x3 solve.
     A set of points that does not span all three axes has no unique map and gives null.
     """
-    axes = ("x", "y", "z")
-    moments = {f"c_{a}{b}": F.covar_pop(a, b) for i, a in enumerate(axes) for b in axes[i:]}
-    moments |= {f"c_{a}{t}": F.covar_pop(a, t) for a in axes for t in "uv"}
-    means = {f"m_{c}": F.avg(c) for c in (*axes, "u", "v")}
-    sums = pairs.groupBy(KEY).agg(F.count(F.lit(1)).alias("pair_count"), *[c.alias(n) for n, c in (moments | means).items()])
-    c = lambda a, b: F.col(f"c_{a}{b}") if f"c_{a}{b}" in moments else F.col(f"c_{b}{a}")
-    m = [[c(a, b) for b in axes] for a in axes]
-
-    def det3(r):
-        return (
-            r[0][0] * (r[1][1] * r[2][2] - r[1][2] * r[2][1])
-            - r[0][1] * (r[1][0] * r[2][2] - r[1][2] * r[2][0])
-            + r[0][2] * (r[1][0] * r[2][1] - r[1][1] * r[2][0])
-        )
-
-    whole = det3(m)
-    scale = m[0][0] * m[1][1] * m[2][2]
-    good = (F.col("pair_count") >= 4) & (F.abs(whole) > F.lit(1e-12) * scale)
-    columns = {}
+
+    def c(a: str, b: str) -> str:
+        return f"c_{a}{b}" if (a, b) in {("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")} or b in "uv" else f"c_{b}{a}"
+
+    def det3(r: list[list[str]]) -> str:
+        minor = lambda i, j: f"({r[1][i]} * {r[2][j]} - {r[1][j]} * {r[2][i]})"
+        return f"({r[0][0]} * {minor(1, 2)} - {r[0][1]} * {minor(0, 2)} + {r[0][2]} * {minor(0, 1)})"
+
+    m = [[c(a, b) for b in AXES] for a in AXES]
+    whole = sums.selectExpr("*", f"{det3(m)} as _det")
+    usable = f"pair_count >= 4 and abs(_det) > 1e-12D * {m[0][0]} * {m[1][1]} * {m[2][2]}"
+    weights = []
     for t in "uv":
-        right = [c(a, t) for a in axes]
-        weights = []
-        for i in range(3):
-            replaced = [[right[r] if j == i else m[r][j] for j in range(3)] for r in range(3)]
-            weights.append(F.when(good, F.try_divide(det3(replaced), whole)))
-        shift = F.col(f"m_{t}") - sum((w * F.col(f"m_{a}") for w, a in zip(weights[1:], axes[1:])), weights[0] * F.col("m_x"))
-        columns |= {f"a_{a}{t}": w for a, w in zip(axes, weights)} | {f"a_1{t}": shift}
-    return sums.select(KEY, "pair_count", *[v.alias(n) for n, v in columns.items()])
+        for i, a in enumerate(AXES):
+            replaced = [[c(AXES[r], t) if j == i else m[r][j] for j in range(3)] for r in range(3)]
+            weights.append(f"case when {usable} then {det3(replaced)} / _det end as a_{a}{t}")
+    solved = whole.selectExpr("*", *weights)
+    shifts = [f"m_{t} - a_x{t} * m_x - a_y{t} * m_y - a_z{t} * m_z as a_1{t}" for t in "uv"]
+    drop = [n for n in moments() if n != "pair_count"]
+    return solved.selectExpr("*", *shifts).drop("_det", *drop)
 
 
 AFFINE = tuple(f"a_{a}{t}" for t in "uv" for a in ("x", "y", "z", "1"))
@@ -158,15 +167,9 @@ def project_episodes(
     `frames` has future_trace, gt_trace and camera; per-episode values come back by block, not by episode.
     """
     projected = with_projection(frames, out="camera_trace")
-    seen = attach_episode(projected.drop("blk"), with_length(frames, video_info)).drop("blk")
-    ratio = visible_ratio(seen, "camera_trace").select(KEY, "visible_ratio", "n_steps")
-    values = ratio
-    if mode in ("fit", "auto"):
-        values = ratio.join(fit_affine(trace_pairs(frames)), KEY, "left")
-    else:
-        values = ratio.select("*", F.lit(None).cast("bigint").alias("pair_count"), *[F.lit(None).cast("double").alias(a) for a in AFFINE])
+    stats = episode_stats(projected, video_info, fitted=mode in ("fit", "auto"))
     use_fit = choose_projection(F.col("visible_ratio"), F.col("a_1u").isNotNull(), mode, threshold)
-    values = values.withColumn("use_fit", use_fit).withColumn("projection_label", projection_label(use_fit, F.col("visible_ratio")))
+    values = stats.withColumn("use_fit", use_fit).withColumn("projection_label", projection_label(use_fit, F.col("visible_ratio")))
     return (
         attach_episode(projected.drop("blk"), values)
         .drop("blk")
@@ -174,6 +177,39 @@ def project_episodes(
     )
 
 
+def episode_stats(projected: DataFrame, video_info: DataFrame, fitted: bool = True) -> DataFrame:
+    """Visible share and fitted map of each episode, from one pass over the frames.
+
+    Every paired point is a row; the counts of visible points ride on the first row of their frame.
+    """
+    sized = attach_episode(projected.drop("blk"), with_length(projected, video_info)).drop("blk")
+    seen, inside = visible_counts("camera_trace", F.col("width"), F.col("height"))
+    counted = sized.select(
+        KEY, "n_steps", seen.alias("_seen"), inside.alias("_inside"), zip_traces("future_trace", "gt_trace" if fitted else "future_trace").alias("_pairs")
+    )
+    rows = counted.select(KEY, "n_steps", "_seen", "_inside", F.posexplode_outer(F.col("_pairs") if fitted else F.lit(None).cast(counted.schema["_pairs"].dataType)).alias("_i", "_p"))
+    p, g = F.col("_p")["pred"], F.col("_p")["gt"]
+    first = F.coalesce("_i", F.lit(0)) == 0
+    target = [F.get(g, i) for i in range(2)] if fitted else [F.lit(None).cast("double")] * 2
+    points = rows.select(
+        KEY,
+        "n_steps",
+        F.when(first, F.col("_seen")).alias("_seen"),
+        F.when(first, F.col("_inside")).alias("_inside"),
+        *[p[a].alias(a) for a in AXES],
+        target[0].alias("u"),
+        target[1].alias("v"),
+    )
+    sums = points.groupBy(KEY).agg(
+        F.max("n_steps").alias("n_steps"), F.sum("_seen").alias("points"), F.sum("_inside").alias("inside"), *[c.alias(n) for n, c in moments().items()]
+    )
+    return solve_affine(sums.withColumn("visible_ratio", ratio_of("inside", "points"))).drop("points", "inside")
+
+
+def ratio_of(part: str, whole: str) -> Column:
+    return F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(whole)), F.lit(0.0))
+
+
 def with_length(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     """Add the number of steps to one-row-per-episode values."""
     return frames.groupBy(KEY).agg(F.max("n_steps").alias("n_steps")).join(episodes, KEY, "left")
@@ -194,6 +230,6 @@ def trace_summary(predicted: DataFrame) -> DataFrame:
 def with_mean_row(summary: DataFrame) -> DataFrame:
     """Per-episode rows and one MEAN row over the values present."""
     numeric = ("visible_ratio", "frames_with_gt_trace", "mean_trace_l2_px", "mean_endpoint_l2_px")
-    rows = summary.withColumn(KEY, F.col(KEY).cast("string")).withColumn("frames_with_gt_trace", F.col("frames_with_gt_trace").cast("double"))
+    rows = settle(summary).withColumn(KEY, F.col(KEY).cast("string")).withColumn("frames_with_gt_trace", F.col("frames_with_gt_trace").cast("double"))
     mean = rows.agg(*[F.avg(c).alias(c) for c in numeric]).withColumn(KEY, F.lit("MEAN")).withColumn("projection_label", F.lit(None).cast("string"))
     return rows.unionByName(mean)

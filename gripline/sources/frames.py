@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MATRIX = "array<array<double>>"
 
@@ -26,13 +27,16 @@ COLUMNS = {
 }
 
 
-def scan_frames(spark: SparkSession, root: str, pattern: str = "episode_*.parquet", columns: dict[str, str] | None = None) -> DataFrame:
+def scan_frames(
+    spark: SparkSession, root: str, pattern: str = "episode_*.parquet", columns: dict[str, str] | None = None, schema: StructType | str | None = None
+) -> DataFrame:
     """Rows of all matching files below `root`, with episode_id (file stem), the folder, and the row's place in the file.
 
     Columns keep Spark's pruning; names with dots are renamed once here. `columns` maps recorded
-    names to short ones; recorded names that are absent are left out.
+    names to short ones; recorded names that are absent are left out. Give the `schema` where files differ or many have to be opened.
     """
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).parquet(root)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    raw = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).parquet(root)
     names = COLUMNS if columns is None else columns
     kept = [F.col(f"`{c}`").alias(names.get(c, c.replace(".", "_"))) for c in raw.columns]
     path = F.col("_metadata.file_path")
