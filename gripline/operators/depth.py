@@ -55,9 +55,21 @@ def pixel_gap() -> tuple[Column, Column]:
     return (F.col("x") - F.col("pu")).cast("double"), (F.col("y") - F.col("pv")).cast("double")
 
 
+GROUP_LIMIT = 1000  # Spark applies a limit on a rank before the shuffle up to this number
+SALTS = 4096
+
+
 def nearest_first(group: list[str], order: list[Column], keep: int, rows: DataFrame, out: str) -> DataFrame:
-    """The first `keep` rows of every group. The limit on the rank is applied before the shuffle too,
-    so a large group sends at most `keep` rows per input partition."""
+    """The first `keep` rows of every group, ranked in `out`.
+
+    A small limit is applied by Spark before the shuffle as well, so a large group sends at most `keep`
+    rows per input partition. For a larger one the group is first cut to `keep` rows in each of many
+    salted parts; the first rows of the group are among those.
+    """
+    if keep > GROUP_LIMIT:
+        salt = F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]), F.lit(SALTS))
+        part = F.row_number().over(Window.partitionBy(*group, "_salt").orderBy(*order))
+        rows = rows.withColumn("_salt", salt).withColumn("_part", part).where(F.col("_part") <= keep).drop("_salt", "_part")
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return rows.withColumn(out, rank).where(F.col(out) <= keep)
 
@@ -66,9 +78,12 @@ def contact_patch(contacts: DataFrame, depth: DataFrame, mask: DataFrame | None
     """The `points` depth pixels closest to the contact pixel (inside the mask if given), lifted to 3D."""
     if mask is not None:
         depth = depth.join(mask.select(*FRAME, "x", "y"), [*FRAME, "x", "y"], "left_semi")
-    near = depth.join(contacts.select(*FRAME, "pu", "pv", "K", "T").where("pu is not null"), FRAME)
+    wanted = contacts.where("pu is not null")
+    near = depth.join(wanted.select(*FRAME, "pu", "pv"), FRAME)
     dx, dy = pixel_gap()
     chosen = nearest_first(FRAME, [F.col("_gap"), F.col("y"), F.col("x"), F.col("depth_m")], points, near.withColumn("_gap", dx * dx + dy * dy), "rank")
+    # cameras meet only the pixels that were kept
+    chosen = chosen.join(wanted.select(*FRAME, "K", "T"), FRAME)
     px, py, pz = lift_pixel(F.col("x").cast("double"), F.col("y").cast("double"), F.col("depth_m"), F.col("K"), F.col("T"))
     return chosen.select(*FRAME, "rank", "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), "T")
 

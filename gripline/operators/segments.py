@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gripline.functions.replies import extract_json, segment_list
 from gripline.functions.text import parse_int_like, parse_text
 from gripline.operators.blocks import BLOCK, KEY, Carried, block_number, scan_blocks
+from gripline.operators.depth import nearest_first
 from gripline.operators.evaluate import frame_lookup
 
 DEFAULT_TEXT = "complete this part of the task"  # fixed values
@@ -33,8 +34,12 @@ def normalize_segments(segments: DataFrame, episodes: DataFrame, size: int | Non
     max(first + k, max over earlier j of (end_j - j) + k). Rank and running maximum are found in blocks
     of start numbers and carried between them. Segments pushed past the last frame drop out; as
     starts never decrease these are the last ones, so the counts of the others stay.
+
+    As segment k starts at first + k or later, only the first last - first + 1 of an episode can stay.
+    An episode with very many planned segments is cut to the longest such number beforehand.
     """
     size = size or BLOCK
+    longest = episodes.agg(F.max(F.col("last_frame") - F.col("first_frame"))).first()[0] or 0
     lo, hi = F.col("first_frame"), F.col("last_frame")
     clamp = lambda c: F.greatest(lo, F.least(hi, F.col(c).cast("bigint")))
     rows = (
@@ -45,9 +50,11 @@ def normalize_segments(segments: DataFrame, episodes: DataFrame, size: int | Non
         .withColumn("start", F.least("_a", "_b"))
         .withColumn("end", F.greatest("_a", "_b"))
         .withColumn("text", F.when(parse_text(F.col("text")) == "", DEFAULT_TEXT).otherwise(parse_text(F.col("text"))))
-        .withColumn("blk", block_number(F.col("start"), size))
         .drop("_a", "_b")
     )
+    if longest < BLOCK:
+        rows = nearest_first([KEY], [F.col(c) for c in ("start", "end", "pos")], longest + 1, rows, "_k").drop("_k")
+    rows = rows.withColumn("blk", block_number(F.col("start"), size))
     order = Window.partitionBy(KEY, "blk").orderBy("start", "end", "pos")
     local = (
         rows.withColumn("_i", F.row_number().over(order) - 1)

@@ -159,3 +159,10 @@ def test_detections(spark):
     assert detections.best_gripper(tie).first().det_idx == 1
     names = spark.sql("select map(10, 'c', 2, 'b', 0, 'a') as m").select(detections.labels_to_list(F.col("m"))).first()[0]
     assert names == ["a", "b", "c"]
+
+
+def test_large_limits_use_salted_parts(spark, monkeypatch):
+    rows = spark.createDataFrame([("hot", i % 5000) for i in range(20000)] + [("cold", i) for i in range(10)], "g string, v int")
+    want = depth.nearest_first(["g"], [F.col("v")], 700, rows, "r").groupBy("g").agg(F.count("v"), F.sum("v")).collect()
+    monkeypatch.setattr(depth, "GROUP_LIMIT", 10)
+    assert sorted(depth.nearest_first(["g"], [F.col("v")], 700, rows, "r").groupBy("g").agg(F.count("v"), F.sum("v")).collect()) == sorted(want)
