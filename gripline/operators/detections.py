@@ -86,32 +86,29 @@ def top_k_candidates(candidates: DataFrame, k: int = 5, group: tuple[str, ...] =
     return nearest_first(list(group), [F.col("score").desc(), F.col(tie)], k, candidates, "rank")
 
 
-def detections_of_json(payload: Column) -> tuple[Column, Column]:
-    """(objects, gripper) of a detections document; either naming of score and box is read."""
-    item = "struct<label:string,box_score:double,score:double,box_xyxy:array<double>,xyxy:array<double>>"
-    doc = F.from_json(payload, f"object_detections array<{item}>, gripper_detection {item}")
-
-    def plain(d: Column) -> Column:
-        box = F.coalesce(d["box_xyxy"], d["xyxy"])
-        return F.struct(
-            d["label"].alias("label"),
-            F.coalesce(d["box_score"], d["score"]).alias("score"),
-            *[F.get(box, i).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))],
-        )
-
-    gripper = doc["gripper_detection"]
-    return F.transform(F.coalesce(doc["object_detections"], F.array().cast(f"array<{item}>")), plain), F.when(gripper.isNotNull(), plain(gripper))
+DETECTION = "struct<label:string,box_score:double,score:double,box_xyxy:array<double>,xyxy:array<double>>"
 
 
 def explode_detections(documents: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per detection of each document, the gripper last with is_gripper true."""
-    objects, gripper = detections_of_json(F.col(payload))
-    mark = lambda d, g: F.struct(F.lit(g).alias("is_gripper"), *[d[c].alias(c) for c in ("label", "score", "x1", "y1", "x2", "y2")])
-    all_rows = F.concat(
-        F.transform(objects, lambda d: mark(d, False)),
-        F.when(gripper.isNotNull(), F.array(mark(gripper, True))).otherwise(F.filter(F.transform(objects, lambda d: mark(d, True)), lambda _: F.lit(False))),
-    )
-    keep = [c for c in documents.columns if c != payload]
-    return documents.select(*keep, F.posexplode(all_rows).alias("det_idx", "d")).select(*keep, "det_idx", "d.*")
-
+    """One row per detection of each document, the gripper last with is_gripper true.
 
+    Either naming of score and box is read.
+    """
+    keep = [c for c in documents.columns if c != payload]
+    doc = F.from_json(F.col(payload), f"object_detections array<{DETECTION}>, gripper_detection {DETECTION}")
+    parsed = documents.select(*keep, doc.alias("_doc")).select(*keep, "_doc.*")
+    marked = lambda d, gripper: F.struct(d.alias("d"), F.lit(gripper).alias("is_gripper"))
+    empty = F.array().cast(f"array<struct<d:{DETECTION},is_gripper:boolean>>")
+    objects = F.coalesce(F.transform("object_detections", lambda d: marked(d, False)), empty)
+    gripper = F.col("gripper_detection")
+    last = F.when(gripper.isNotNull(), F.array(marked(gripper, True))).otherwise(empty)
+    rows = parsed.select(*keep, F.posexplode(F.concat(objects, last)).alias("det_idx", "_r"))
+    d, box = F.col("_r")["d"], F.coalesce(F.col("_r")["d"]["box_xyxy"], F.col("_r")["d"]["xyxy"])
+    return rows.select(
+        *keep,
+        "det_idx",
+        F.col("_r")["is_gripper"].alias("is_gripper"),
+        d["label"].alias("label"),
+        F.coalesce(d["box_score"], d["score"]).alias("score"),
+        *[F.get(box, i).alias(n) for i, n in enumerate(("x1", "y1", "x2", "y2"))],
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gripline.functions.replies import extract_json, segment_list
 from gripline.functions.text import parse_int_like, parse_text
-from gripline.operators.blocks import BLOCK, KEY, Carried, block_number, scan_blocks
+from gripline.operators.blocks import BLOCK, KEY, PLAIN_ROWS, Carried, block_number, scan_blocks
 from gripline.operators.depth import nearest_first
 from gripline.operators.evaluate import frame_lookup
 
@@ -36,7 +36,8 @@ def normalize_segments(segments: DataFrame, episodes: DataFrame, size: int | Non
     starts never decrease these are the last ones, so the counts of the others stay.
 
     As segment k starts at first + k or later, only the first last - first + 1 of an episode can stay.
-    An episode with very many planned segments is cut to the longest such number beforehand.
+    Ranks up to the longest such number are all that is kept beforehand; where episodes are short each
+    then has few segments and needs no blocks.
     """
     size = size or BLOCK
     longest = episodes.agg(F.max(F.col("last_frame") - F.col("first_frame"))).first()[0] or 0
@@ -52,21 +53,26 @@ def normalize_segments(segments: DataFrame, episodes: DataFrame, size: int | Non
         .withColumn("text", F.when(parse_text(F.col("text")) == "", DEFAULT_TEXT).otherwise(parse_text(F.col("text"))))
         .drop("_a", "_b")
     )
-    if longest < BLOCK:
+    few = longest < size
+    if longest < PLAIN_ROWS:
         rows = nearest_first([KEY], [F.col(c) for c in ("start", "end", "pos")], longest + 1, rows, "_k").drop("_k")
-    rows = rows.withColumn("blk", block_number(F.col("start"), size))
+    rows = rows.withColumn("blk", F.lit(0) if few else block_number(F.col("start"), size))
     order = Window.partitionBy(KEY, "blk").orderBy("start", "end", "pos")
     local = (
         rows.withColumn("_i", F.row_number().over(order) - 1)
         .withColumn("_lead", F.lead("start").over(order))
         .withColumn("_reach", F.max(F.col("end") - F.col("_i")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
     )
-    blocks = local.groupBy(KEY, "blk").agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.col("end") - F.col("_i")).alias("_m"), F.min("start").alias("_s")
-    )
-    placed = scan_blocks(blocks, {"_off": Carried("sum", "_n"), "_next": Carried("next", "_s")})
-    placed = scan_blocks(placed.withColumn("_gm", F.col("_m") - F.col("_off")), {"_far": Carried("max", "_gm")})
-    joined = local.join(placed.select(KEY, "blk", "_off", "_next", "_far"), [KEY, "blk"])
+    none = F.lit(None).cast("bigint")
+    if few:
+        joined = local.select("*", F.lit(0).alias("_off"), none.alias("_next"), none.alias("_far"))
+    else:
+        blocks = local.groupBy(KEY, "blk").agg(
+            F.count(F.lit(1)).alias("_n"), F.max(F.col("end") - F.col("_i")).alias("_m"), F.min("start").alias("_s")
+        )
+        placed = scan_blocks(blocks, {"_off": Carried("sum", "_n"), "_next": Carried("next", "_s")})
+        placed = scan_blocks(placed.withColumn("_gm", F.col("_m") - F.col("_off")), {"_far": Carried("max", "_gm")})
+        joined = local.join(placed.select(KEY, "blk", "_off", "_next", "_far"), [KEY, "blk"])
     k = F.col("_off") + F.col("_i")
     earlier = F.greatest(F.col("_far"), F.col("_reach") - F.col("_off"))
     with_own = F.greatest(earlier, F.col("end") - k)
