@@ -157,8 +157,22 @@ def index_frames(
     episode_values: dict[str, tuple[Column, Callable[[Column], Column]]] | None = None,
     span: int | None = None,
 ) -> DataFrame:
+    """Frames numbered by `number_frames`."""
+    return number_frames(frames, order, ties, episode_values, span)[0]
+
+
+def number_frames(
+    frames: DataFrame,
+    order: str = "frame_index",
+    ties: tuple[str, ...] = (),
+    episode_values: dict[str, tuple[Column, Callable[[Column], Column]]] | None = None,
+    span: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Number the rows of every episode from 0 (`step`) and add its length (`n_steps`).
 
+    Returns the numbered frames, and the episodes with their values, which are read from the counts
+    and cost no pass over the frames.
+
     `order` is a whole number; rows are counted in blocks of `span` consecutive numbers, `ties`
     settle equal numbers. `episode_values` maps a name to (aggregate over rows, aggregate over
     partial results): values of the whole episode that ride along with the count, such as the
@@ -184,7 +198,7 @@ def index_frames(
     out = numbered.select(
         *[F.col(f"`{c}`") for c in frames.columns], F.col("step").cast("bigint").alias("step"), F.col("n_steps").cast("bigint").alias("n_steps"), *values
     )
-    return note_longest(out, longest)
+    return note_longest(out, longest), whole
 
 
 def with_blocks(indexed: DataFrame, size: int | None = None) -> DataFrame:

@@ -57,8 +57,11 @@ def episode_errors(
     `labels`: episode_id, num_frames, gt_contact_frame, gt_state_affordance, gripper_min, gripper_max.
     """
     gripper_pose, tcp_pose = poses
-    base = contact_frames(indexed, thresholds).join(labels, KEY)
-    rows = last_row_per_frame(indexed, [gripper_pose, tcp_pose])
+    # one row per episode and pair, read three times below
+    base = settle(contact_frames(indexed, thresholds).join(labels, KEY))
+    wanted = base.select(KEY, F.explode(F.array("pred_contact_frame", "gt_contact_frame")).alias("frame_index")).distinct()
+    hits = indexed.select(KEY, "frame_index", "step", gripper_pose, tcp_pose).join(wanted, [KEY, "frame_index"], "left_semi")
+    rows = settle(last_row_per_frame(hits, [gripper_pose, tcp_pose]))
     pred = rows.select(
         KEY,
         F.col("frame_index").alias("pred_contact_frame"),
@@ -135,11 +138,7 @@ def exact_median(rows: DataFrame, by: list[str], value: str, out: str, ranked: i
 
 
 def summarize(errors: DataFrame, by: list[str], tolerances: tuple[int, ...] = TOLERANCES) -> DataFrame:
-    """Contact-frame and pose metrics over all episodes, per threshold pair.
-
-    The two medians read the error rows again, so those are settled first.
-    """
-    errors = settle(errors)
+    """Contact-frame and pose metrics over all episodes, per threshold pair."""
     e, s = F.col("abs_frame_error").cast("double"), F.col("frame_error").cast("double")
     main = errors.groupBy(*by).agg(
         F.count(F.lit(1)).alias("num_episodes"),
@@ -199,7 +198,7 @@ def summary_lines(summary: DataFrame, by: list[str], tolerances: tuple[int, ...]
 
 def report_rows(errors: DataFrame, by: list[str]) -> DataFrame:
     """Report table: a row per episode, a MEAN row and SUMMARY rows, per threshold pair, with the pair's tag."""
-    errors = settle(errors).withColumnsRenamed({"gripper_min": "gripper_raw_min", "gripper_max": "gripper_raw_max"})
+    errors = errors.withColumnsRenamed({"gripper_min": "gripper_raw_min", "gripper_max": "gripper_raw_max"})
     rows = errors.select(*by, F.col(KEY).cast("string").alias(KEY), *[F.col(c).cast("double").alias(c) for c in EPISODE_COLUMNS])
     mean = mean_row(rows, by=tuple(by)).withColumn(KEY, F.lit("MEAN"))
     lines = summary_lines(summarize(errors, by), by).withColumn(KEY, F.lit("SUMMARY"))

@@ -266,8 +266,8 @@ def stride_frames(spark, folder):
 
 # --- evaluation --------------------------------------------------------------------------------------
 def _errors(spark, folder, pairs):
-    indexed = D.with_poses(D.frames(spark, folder, labels=True))
-    return EV.episode_errors(indexed, D.episode_labels(indexed), pairs)
+    indexed, labels = D.labelled_frames(spark, folder)
+    return EV.episode_errors(indexed, labels, pairs)
 
 
 def errors_sql(pairs) -> str:
@@ -405,8 +405,8 @@ def first_gt(spark, folder):
 )
 def frame_lookup(spark, folder):
     """Row of the annotated contact frame; some lie past the end of the episode."""
-    indexed = D.with_poses(D.frames(spark, folder, labels=True))
-    wanted = D.episode_labels(indexed).where("gt_contact_frame is not null").select(KEY, F.col("gt_contact_frame").alias("frame_index"))
+    indexed, labels = D.labelled_frames(spark, folder)
+    wanted = labels.where("gt_contact_frame is not null").select(KEY, F.col("gt_contact_frame").alias("frame_index"))
     found = EV.frame_lookup(wanted, indexed, ["tcp_pose", "gripper"])
     return found.select(KEY, "frame_index", F.get("tcp_pose", 0).alias("x"), F.get("tcp_pose", 2).alias("tcp_z"), "gripper")
 

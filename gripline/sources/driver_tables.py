@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripline.functions.text import parse_int_like, parse_trace, parse_vector
-from gripline.operators.blocks import KEY, index_frames
+from gripline.operators.blocks import KEY, index_frames, number_frames
 from gripline.operators.evaluate import earliest
 from gripline.operators.signals import gripper_values
 
@@ -55,35 +55,36 @@ def raw_frames(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def frames(spark: SparkSession, folder: str, labels: bool = False) -> DataFrame:
-    """Numbered frames with poses; `labels` adds the episode's annotated contact frame and pose."""
-    raw = raw_frames(spark, folder)
-    values = dict(gripper_values())
-    if labels:
-        values["gt_contact"] = earliest(parse_int_like(F.col("contact_text")), "event_id")
-        values["gt_affordance"] = earliest(parse_vector(F.col("affordance_text")), "event_id")
-    indexed = index_frames(raw, order="event_id", episode_values=values, span=EVENT_SPAN)
+def frames(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbered frames with poses."""
+    indexed = index_frames(raw_frames(spark, folder), order="event_id", episode_values=gripper_values(), span=EVENT_SPAN)
     return indexed.withColumn("frame_index", F.col("step"))
 
 
+def labelled_frames(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Numbered frames with pose arrays, and the annotated contact frame and pose of each episode."""
+    values = gripper_values() | {
+        "gt_contact": earliest(parse_int_like(F.col("contact_text")), "event_id"),
+        "gt_affordance": earliest(parse_vector(F.col("affordance_text")), "event_id"),
+    }
+    indexed, episodes = number_frames(raw_frames(spark, folder), order="event_id", episode_values=values, span=EVENT_SPAN)
+    labels = episodes.select(
+        KEY,
+        F.col("n_steps").alias("num_frames"),
+        F.col("gt_contact")["value"].alias("gt_contact_frame"),
+        F.col("gt_affordance")["value"].alias("gt_state_affordance"),
+        "gripper_min",
+        "gripper_max",
+    )
+    return with_poses(indexed.withColumn("frame_index", F.col("step"))), labels
+
+
 def with_poses(indexed: DataFrame) -> DataFrame:
     """Gripper pose and tool pose (the same, 0.1 lower) as arrays."""
     pose = lambda dz: F.array("x", "y", F.col("z") - dz, "rx", "ry", "rz")
     return indexed.withColumn("gripper_pose", pose(0.0)).withColumn("tcp_pose", pose(0.1))
 
 
-def episode_labels(indexed: DataFrame) -> DataFrame:
-    """Labels of each episode, from its values on any frame."""
-    one = lambda c: F.max(c)
-    return indexed.groupBy(KEY).agg(
-        one("n_steps").alias("num_frames"),
-        one(F.col("gt_contact")["value"]).alias("gt_contact_frame"),
-        one(F.col("gt_affordance")["value"]).alias("gt_state_affordance"),
-        one("gripper_min").alias("gripper_min"),
-        one("gripper_max").alias("gripper_max"),
-    )
-
-
 def with_gt_trace(indexed: DataFrame) -> DataFrame:
     return indexed.withColumn("gt_trace", parse_trace(F.col("trace_text")))
 
