@@ -213,6 +213,27 @@ def grounding_summary(spark, folder):
     return sinks.grounding_summary(_grounded(spark, folder))
 
 
+@query(
+    "stage_summaries",
+    "select 'subtask' as stage, episode_id, task_instruction as text, num_segments, segment_source as source, cast(null as double) as confidence from ("
+    + WHOLE
+    + " select e.episode_id, task_instruction, count(*) as num_segments, min(instruction_source) as segment_source from whole join episodes_of e using (episode_id) group by 1, 2) union all select 'grounding', episode_id, target_object, null, episode_id || '/target_object_grounding.json', confidence from ("
+    + GROUND
+    + "select * from grounded)",
+)
+def stage_summaries(spark, folder):
+    """Both stage summaries under one roof, one row per stage and episode."""
+    episodes = D.planned_episodes(spark, folder)
+    subtask = SG.subtask_summary(SG.fallback_segments(_segments(spark, folder), episodes), episodes)
+    left = subtask.select(
+        F.lit("subtask").alias("stage"), KEY, F.col("task_instruction").alias("text"), "num_segments", F.col("segment_source").alias("source"), F.lit(None).cast("double").alias("confidence")
+    )
+    right = sinks.grounding_summary(_grounded(spark, folder)).select(
+        F.lit("grounding").alias("stage"), KEY, F.col("target_object").alias("text"), F.lit(None).cast("bigint").alias("num_segments"), F.col("output_path").alias("source"), "confidence"
+    )
+    return left.unionByName(right)
+
+
 def _boxes(spark, folder):
     """Corner numbers from line items, as lists and as texts, some reversed, some outside."""
     q = F.col("l_quantity")
