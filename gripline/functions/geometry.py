@@ -40,31 +40,43 @@ def project_pinhole(x: Column, y: Column, z: Column, k: Column, t: Column) -> Co
 
 
 def camera_rows(k: Column, e: Column, robot_to_world: Column | None = None) -> Column:
-    """K and the world-to-camera matrix as one flat array of 12: rows for u * z, v * z and z.
+    """A camera as one flat array of 18: the world-to-camera matrix by rows, then the two pixel rows of K.
 
     Made once per camera. `robot_to_world` is applied to the points first.
     """
     columns = range(4)
     if robot_to_world is None:
-        world = [[cell(e, r, c) for c in columns] for r in range(3)]
+        world = [cell(e, r, c) for r in range(3) for c in columns]
     else:
         world = [
-            [sum((cell(e, r, i) * cell(robot_to_world, i, c) for i in range(3)), cell(e, r, 3) if c == 3 else F.lit(0.0)) for c in columns]
+            sum((cell(e, r, i) * cell(robot_to_world, i, c) for i in range(3)), cell(e, r, 3) if c == 3 else F.lit(0.0))
             for r in range(3)
+            for c in columns
         ]
-    pixel = [[sum((cell(k, r, i) * world[i][c] for i in (1, 2)), cell(k, r, 0) * world[0][c]) for c in columns] for r in range(2)]
-    return F.array(*pixel[0], *pixel[1], *world[2])
+    return F.array(*world, *[cell(k, r, c) for r in range(2) for c in range(3)])
+
+
+def camera_point(x: Column, y: Column, z: Column, rows: Column) -> Column:
+    """Position {x, y, z} in the camera's axes."""
+    at = lambda r: F.get(rows, 4 * r) * x + F.get(rows, 4 * r + 1) * y + F.get(rows, 4 * r + 2) * z + F.get(rows, 4 * r + 3)
+    return F.struct(at(0).alias("x"), at(1).alias("y"), at(2).alias("z"))
+
+
+def camera_pixel(point: Column, rows: Column) -> Column:
+    """Pixel {u, v} of a position in the camera's axes; null at or behind the image plane."""
+    nx, ny = point["x"] / point["z"], point["y"] / point["z"]
+    at = lambda i: F.get(rows, i) * nx + F.get(rows, i + 1) * ny + F.get(rows, i + 2)
+    return F.when(point["z"] > Z_EPS, uv(at(12), at(15)))
 
 
 def project_camera(x: Column, y: Column, z: Column, rows: Column) -> Column:
-    """Pixel {u, v} through `camera_rows`; null at or behind the image plane."""
-    line = lambda r: F.get(rows, 4 * r) * x + F.get(rows, 4 * r + 1) * y + F.get(rows, 4 * r + 2) * z + F.get(rows, 4 * r + 3)
-    return F.when(line(2) > Z_EPS, uv(line(0) / line(2), line(1) / line(2)))
+    return camera_pixel(camera_point(x, y, z, rows), rows)
 
 
 def project_trace(trace: Column, rows: Column) -> Column:
     """Project every point of a trace; points without a pixel stay in place as null."""
-    return F.transform(trace, lambda p: project_camera(p["x"], p["y"], p["z"], rows))
+    seen = F.transform(trace, lambda p: camera_point(p["x"], p["y"], p["z"], rows))
+    return F.transform(seen, lambda c: camera_pixel(c, rows))
 
 
 def affordance_box(u: Column, v: Column, half: int = 20) -> Column:
