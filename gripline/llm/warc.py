@@ -66,8 +66,14 @@ def _write(folder: str, roll: int):
         """Rows come sorted by (shard, page); each shard makes files of its own."""
 
         def rows() -> Iterator[tuple]:
+            mark, owner = None, None
             for batch in batches:
-                yield from zip(*(batch.column(c).to_pylist() for c in ("shard", "page_id", "url", "payload", "owner", "revisit")), strict=True)
+                for shard, key, digest, page, url, payload, to in zip(*(batch.column(c).to_pylist() for c in ("shard", "key", "digest", "page", "url", "payload", "owner")), strict=True):
+                    if payload is None:  # says that the pages of this key and digest revisit another
+                        mark, owner = (key, digest), to
+                    else:
+                        revisit = (key, digest) == mark
+                        yield shard, page, url, payload, owner if revisit else None, revisit
 
         done, pending, number, last = [], next(it := rows(), None), 0, None
         while pending is not None:
@@ -110,14 +116,15 @@ def write(pages: DataFrame, folder: str, shards: int | None = None, roll: int =
     payload = F.coalesce(pages["html"].cast("string"), F.lit("")).cast("binary")
     base = pages.select(pages["page_id"].cast("long").alias("page"), pages["url"].cast("string").alias("url"), payload.alias("payload"))
     base = base.withColumn("digest", F.sha1("payload"))
-    own = F.when(F.octet_length("payload") >= least, F.col("owner"))
-    joined = base.join(owners(base, least), "digest", "left").withColumn("owner", own)
-    revisit = F.coalesce(~F.col("page").eqNullSafe(F.col("owner")) & F.col("owner").isNotNull(), F.lit(False))
-    shards = shards or width(spark)
-    key = id_of(joined, "page")
-    bounds = cuts(pages, id_of(pages, "page_id"), shards)
-    dealt = joined.select(range_of(key, bounds).alias("shard"), key.alias("key"), F.col("page").alias("page_id"), "url", "payload", "digest", "owner", revisit.alias("revisit"))
-    dealt = dealt.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "key", "digest", "url")
+    key = id_of(base, "page")
+    bounds = cuts(pages, id_of(pages, "page_id"), shards or width(spark))
+    # Who revisits whom is found on ids and digests alone. It meets the payloads in their range, as a row that comes just before them.
+    narrow = base.where(F.octet_length("payload") >= least).select("page", key.alias("key"), "digest").join(owners(base, least), "digest")
+    marks = narrow.where(~F.col("page").eqNullSafe(F.col("owner")) & F.col("owner").isNotNull()).select("key", "digest", "owner").distinct()
+    whole = base.select(key.alias("key"), "digest", "page", "url", "payload", F.lit(None).cast("long").alias("owner"))
+    both = whole.unionByName(marks, allowMissingColumns=True)
+    dealt = both.withColumn("shard", range_of(F.col("key"), bounds)).repartitionById(len(bounds) + 1, "shard")
+    dealt = dealt.sortWithinPartitions("shard", "key", "digest", F.col("payload").isNotNull(), "url")
     manifest = dealt.mapInArrow(_write(folder, roll), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
