@@ -98,7 +98,7 @@ def _find(filter_, size: int, reach: int):
             out, held = [], 0
             cut = np.flatnonzero((np.diff(row[yes], prepend=-1) != 0) | (np.diff(at[yes], prepend=0) > 2 * reach + size))
             docs = batch.column("doc")
-            for a, b in zip(cut, [*cut[1:], len(yes)], strict=True):
+            for a, b in zip(cut, np.append(cut, len(yes))[1:], strict=True):
                 k = yes[a:b]
                 r = row[k[0]]
                 low, high = max(0, at[k[0]] - reach), min(offsets[r + 1] - offsets[r], at[k[-1]] + size + reach)

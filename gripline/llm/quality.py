@@ -90,7 +90,8 @@ def gradients(p: dict[str, np.ndarray], flat: np.ndarray, index: np.ndarray, sta
     score = 1 / (1 + np.exp(-(z @ p["u"] + p["d"])))
     ds = (score - y) / len(y)
     dz = ds[:, None] * p["u"][None, :]
-    dh = (h == top[doc]) * dz[doc, :HIDDEN] + (dz[:, HIDDEN:] / n[:, None])[doc]
+    best = h == top[doc]  # chunks that tie share the gradient
+    dh = best / np.add.reduceat(best, starts, dtype=np.float32)[doc] * dz[doc, :HIDDEN] + (dz[:, HIDDEN:] / n[:, None])[doc]
     dh = dh * (h > 0)
     dchunk = dh @ p["v"].T
     held = o["high"][index]
