@@ -80,7 +80,8 @@ def spread(c: Column, parts: int) -> Column:
 
 
 def least_hashed(rows: DataFrame, key: Column, most: int, *columns: Column) -> DataFrame:
-    """At most so many rows, those whose key has the smallest hashes: the same rows on each run."""
+    """At most so many rows, those whose key has the smallest hashes: the same rows on each run. For narrow rows: every task sends
+    as many."""
     return rows.select(*columns, F.xxhash64(F.lit("sample"), key).alias("_h"), key.alias("_k")).orderBy("_h", "_k").limit(most).drop("_h", "_k")
 
 

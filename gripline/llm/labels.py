@@ -14,13 +14,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-    """Rows (doc_id, text, y) of documents outside the held-out third that have a label 0 or 1."""
+    """Rows (id, y) of documents outside the held-out third that have a label 0 or 1."""
     marks = labels.select(labels["doc_id"].cast("long").alias("id"), labels[name].cast("int").alias("y")).where("y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
-    rows = docs.where(~held_out(docs["doc_id"])).select(docs["doc_id"].cast("long").alias("id"), text_of(docs).alias("text"))
-    return rows.join(marks, "id")
+    return docs.where(~held_out(docs["doc_id"])).select(docs["doc_id"].cast("long").alias("id")).distinct().join(marks, "id")
 
 
-def sample(rows: DataFrame, most: int) -> tuple[list[str], list[int]]:
-    """At most so many labelled rows, those with the smallest id hashes, to the driver."""
-    got = least_hashed(rows, F.col("id"), most, F.col("text"), F.col("y")).collect()
-    return [r[0] for r in got], [r[1] for r in got]
+def sample(docs: DataFrame, known: DataFrame, most: int) -> tuple[list[str], list[int]]:
+    """Texts and labels of at most so many of the rows `known`, those with the smallest id hashes, to the driver."""
+    picked = F.broadcast(least_hashed(known, F.col("id"), most, F.col("id"), F.col("y")))  # `most` rows at most
+    texts = docs.select(docs["doc_id"].cast("long").alias("id"), text_of(docs).alias("text")).join(picked, "id").select("id", "text", "y").limit(most)
+    got = sorted(texts.collect())
+    return [r["text"] for r in got], [r["y"] for r in got]

@@ -14,7 +14,7 @@ from gripline.llm.labels import held_out, labelled, sample
 
 #: Learned from at most so many labelled rows.
 SAMPLE = 4000
-EPOCHS = 10
+EPOCHS = 8
 #: Bytes are vectors of DIM numbers; a filter sees two steps of STEP bytes.
 DIM = 8
 STEP = 4
@@ -182,7 +182,7 @@ def _score(p: dict[str, np.ndarray]):
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
     """The network, learned from at most `rows` labelled documents outside the held-out third."""
-    return fit(*sample(labelled(docs, labels, "quality"), rows), epochs=epochs)
+    return fit(*sample(docs, labelled(docs, labels, "quality"), rows), epochs=epochs)
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:

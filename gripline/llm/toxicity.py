@@ -226,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> dict:
     over all of them."""
     known = labelled(docs, labels, "toxic")
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    parts = [sample(known.where(F.col("y") == k), rows) for k in (0, 1)]
+    parts = [sample(docs, known.where(F.col("y") == k), rows) for k in (0, 1)]
     weights = tuple(n.get(k, 0) / max(1, len(parts[k][1])) for k in (0, 1))
     every = [(t, m) for texts, marks in parts for t, m in zip(texts, marks, strict=True)]
     order = np.random.default_rng(5).permutation(len(every))
