@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ SAMPLE_ROWS = 2000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
 #: Characters encoded at a time.
 SLICE_CHARS = 4 << 20
 #: File: magic, 32 bytes hash of the dictionary, id width; frames; index of (doc_id, n_tokens, offset, length); place of the index.
@@ -53,17 +54,27 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = sorted({s[:1] if s[1:2].isalnum() else s[:2] for s in specials if s})
 
-    def _look_up(self, words: list[str]) -> list[tuple[int, ...]]:
-        if missing := list({w for w in words if w not in self.known}):
-            if len(self.known) + len(missing) > KEPT_WORDS:
-                self.known = {}
-            if missing := list({w for w in words if w not in self.known}):
-                self.known.update(zip(missing, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)), strict=True))
-        return [self.known[w] for w in words]
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as bytes. Words not met while as many others as the half of what is kept came in are forgotten."""
+        recent, older = self.recent, self.older
+        missing = []
+        for w in set(words):
+            if w not in recent:
+                if (ids := older.get(w)) is None:
+                    missing.append(w)
+                else:
+                    recent[w] = ids
+        if missing:
+            recent.update(zip(missing, (np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)), strict=True))
+        found = [recent[w] for w in words]
+        if len(recent) > KEPT_WORDS // 2:
+            self.recent, self.older = {}, recent
+        return found
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. Texts that may hold a special token, which can span words, go to the tokenizer whole."""
@@ -75,26 +86,37 @@ class Encoder:
         if rest:
             split = pc.ascii_split_whitespace(pa.array([texts[i] for i in rest], pa.large_string()))
             words = split.values.dictionary_encode()
-            heads, tails = [], []
-            for w in words.dictionary.to_pylist():
-                head = w.rstrip(PUNCTUATION)
-                heads.append(head.lower() if head.isascii() else head)
-                tails.append(w[len(head) :])
-            ids = [a + b for a, b in zip(self._look_up(heads), self._look_up(tails), strict=True)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            starts = np.concatenate([[0], np.cumsum(sizes)])
-            flat = np.fromiter((x for t in ids for x in t), np.uint32, int(starts[-1]))
-            which = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            bare = pc.utf8_rtrim(words.dictionary, PUNCTUATION)
+            heads = pc.if_else(pc.string_is_ascii(bare), pc.ascii_lower(bare), bare).dictionary_encode()
+            tails = pc.replace_substring_regex(words.dictionary, f"^(?:.*[^{PUNCTUATION}])?([{PUNCTUATION}]*)$", r"\1").dictionary_encode()
+            ids = self._look_up(heads.dictionary.to_pylist() + tails.dictionary.to_pylist())
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            starts = np.cumsum(sizes) - sizes
+            flat = np.frombuffer(b"".join(ids), np.uint32)
+            # Each word is two units, head and tail.
+            units = np.stack([np.asarray(heads.indices), np.asarray(tails.indices) + len(heads.dictionary)], axis=1)
+            which = units[np.asarray(words.indices)].ravel().astype(np.int64)
             n = sizes[which]
             ends = np.cumsum(n)
             total = int(ends[-1]) if len(ends) else 0
-            every = flat[np.arange(total) + np.repeat(starts[:-1][which] - (ends - n), n)] if total else np.zeros(0, np.uint32)
+            every = flat[np.arange(total) + np.repeat(starts[which] - (ends - n), n)] if total else np.zeros(0, np.uint32)
+            ends = ends[1::2]
             at = np.concatenate([[0], ends])[np.asarray(split.offsets)]
             for k, i in enumerate(rest):
                 out[i] = every[at[k] : at[k + 1]]
         return out
 
 
+def encoder_for(path: str) -> Encoder:
+    """The worker's encoder for this file: the tasks that a worker runs one after the other share its words."""
+    kept = vars(sys.modules["tokenizers"]).setdefault("_gripline_encoders", {}) if "tokenizers" in sys.modules else {}
+    if path not in kept:
+        encoder = Encoder(path)
+        kept = vars(sys.modules["tokenizers"]).setdefault("_gripline_encoders", {})
+        kept[path] = encoder
+    return kept[path]
+
+
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about so many characters together."""
     start = size = 0
@@ -115,7 +137,9 @@ def train(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, size: int = DICTI
     """A zstandard dictionary for id arrays, from at most `rows` documents; a corpus too small or uniform to train on gets
     an empty one."""
     encoder = Encoder(path)
-    texts = [r[0] for r in least_hashed(docs, id_of(docs, "doc_id"), rows, text_of(docs).alias("text")).collect()]
+    key = id_of(docs, "doc_id")
+    picked = F.broadcast(least_hashed(docs, key, rows, key.alias("id")).distinct())  # `rows` rows at most
+    texts = [r[0] for r in docs.select(key.alias("id"), text_of(docs).alias("text")).join(picked, "id").select("text").limit(rows).collect()]
     samples = [serialized(x, encoder.wide, END_ID) for a, b in slices(texts) for x in encoder.texts(texts[a:b])]
     try:
         return zstandard.train_dictionary(min(size, max(256, sum(map(len, samples)) // 10)), samples).as_bytes()
@@ -131,7 +155,7 @@ def _write(folder: str, path: str, dictionary: bytes, end: int):
     mark = hashlib.sha256(dictionary).digest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_for(path)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_checksum=False)
 
         def documents() -> Iterator[tuple[int, int, np.ndarray]]:
