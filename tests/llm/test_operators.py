@@ -134,7 +134,7 @@ def test_alignment_brute():
 
 # --- 4 and 7 classifiers
 def test_quality_gradient():
-    p = {k: v.astype(np.float64) for k, v in quality.start(1).items()}
+    p = {k: v.astype(np.float64) + (0.05 if k in "bc" else 0) for k, v in quality.start(1).items()}  # away from the kinks at 0
     docs = [b"some words here " * 40, b"### $$$ " * 9, b""]
     flat, index, starts = quality.lay_out([x for d in docs for x in quality.pieces(d)])
     y = np.array([1.0, 0.0, 1.0])
