@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     components of links. Documents with equal word sequences are one document here.
 
     Signatures propose pairs: documents that agree in all registers of a band share a bucket. First each document is verified
-    against the smallest of each of its buckets, which joins large groups without pairs among them. Then documents of a bucket that
+    against the hub of each of its buckets, the one with most companions, which joins large groups without pairs among them. Then documents of a bucket that
     are still in different components are compared: those outside the bucket's largest component with all of the others. So every
     proposed pair is either verified or already within one class. Verification is exact, on whole texts.
 
@@ -193,8 +193,12 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     same = ["h1", "h2"]
     texts = written(signed.where(F.size("bands") > 0).groupBy(*same).agg(F.min("doc").alias("id"), F.first("bands").alias("bands")))
     keys = texts.select("id", F.explode("bands").alias("key"))
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = written(keys.join(hubs, "key"))
+    shared = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    # The hub of a bucket is the document that agrees with most others, as a text does with its many edited copies.
+    weights = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    weighted = shared.join(weights, "id")
+    hubs = weighted.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("best")).select("key", (-F.col("best.minus")).alias("hub"))
+    buckets = written(shared.select("key", "id").join(hubs, "key"))
     wanted = buckets.select("id").distinct()
     # Documents that share a bucket are read again; only their texts are shuffled with the ids wanted.
     again = base.withColumnRenamed("doc", "id").join(wanted, "id", "left_semi").select("id", word_hashes(F.col("text")).alias("words"))
@@ -207,7 +211,7 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
         sides = [stored.select(F.col("id").alias(s), F.col("shingles").alias(f"{s}_shingles"), F.col("counts").alias(f"{s}_counts")) for s in "ab"]
         return written(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "a_shingles", "a_counts", "b_shingles", "b_counts").mapInArrow(_verify(least), "a long, b long"))
 
-    tried = written(buckets.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
+    tried = written(buckets.where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct())
     links = verified(tried)
     classes = written(components(links).withColumnRenamed("component", "class"))
     of = buckets.join(classes, "id", "left").select("key", "id", F.coalesce("class", "id").alias("class"))
