@@ -13,8 +13,8 @@ from gripline.llm.common import text_of
 from gripline.llm.labels import held_out, labelled, sample
 
 #: Learned from at most so many labelled rows.
-SAMPLE = 4000
-EPOCHS = 8
+SAMPLE = 2500
+EPOCHS = 6
 #: Bytes are vectors of DIM numbers; a filter sees two steps of STEP bytes.
 DIM = 8
 STEP = 4
