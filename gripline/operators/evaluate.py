@@ -99,13 +99,16 @@ def exact_median(rows: DataFrame, by: list[str], value: str, out: str, ranked: i
 
     Equal values are counted first. While more than `ranked` different values of a group are in
     question, they are spread over `buckets` ranges, the ranges are counted, and only those that hold
-    the two middle ranks stay; what is left is ranked. `by` names the configured threshold pairs:
-    the driver sees one row of bounds for each.
+    the two middle ranks stay; what is left is ranked. Narrowing ends where it no longer helps, as among
+    infinite values. A group with a NaN has the median NaN. `by` names the configured threshold pairs: the driver
+    sees one row of bounds for each.
     """
     if not by:
         return exact_median(rows.withColumn("_all", F.lit(0)), ["_all"], value, out, ranked, buckets).drop("_all")
     v, n = F.col(value), F.col("_n")
-    counted = settle(rows.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
+    every = settle(rows.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
+    odd = F.isnan(v.cast("double"))
+    counted = every.where(~odd)
     first = counted.groupBy(*by).agg(
         F.sum("_n").alias("_size"), F.min(value).alias("_low"), F.max(value).alias("_high"), F.lit(0).cast("bigint").alias("_base"), F.count(F.lit(1)).alias("_left")
     )
@@ -117,8 +120,11 @@ def exact_median(rows: DataFrame, by: list[str], value: str, out: str, ranked: i
         return counted.join(F.broadcast(groups), by).where(v.between(F.col("_low"), F.col("_high")))
 
     running = Window.partitionBy(*by)
-    while bounds and max(b["_left"] for b in bounds) > ranked:
-        share = F.coalesce(F.try_divide(v - F.col("_low"), F.col("_high") - F.col("_low")), F.lit(0.0))
+    most = None
+    while bounds and ranked < max(b["_left"] for b in bounds) != most:
+        most = max(b["_left"] for b in bounds)
+        half = lambda c: F.col(c) / 2.0  # the whole span may overflow
+        share = F.coalesce(F.nanvl(F.try_divide(half(value) - half("_low"), half("_high") - half("_low")), F.lit(0.0)), F.lit(0.0))
         spread = in_question().withColumn("_bucket", F.least(F.floor(share * buckets), F.lit(buckets - 1)))
         counts = spread.groupBy(*by, "_bucket", "_size", "_base").agg(
             F.sum("_n").alias("_in"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_values")
@@ -134,7 +140,8 @@ def exact_median(rows: DataFrame, by: list[str], value: str, out: str, ranked: i
     placed = in_question().withColumn("_upto", F.col("_base") + F.sum("_n").over(running.orderBy(value)))
     holds = lambda r: (F.col("_upto") > r) & (F.col("_upto") - n <= r)
     middle = (F.max(F.when(holds(lower), v)) + F.max(F.when(holds(upper), v))) / 2.0
-    return placed.groupBy(*by).agg(middle.alias(out))
+    medians = placed.groupBy(*by).agg(middle.alias(out))
+    return medians.unionByName(every.where(odd).select(*by, F.lit(float("nan")).alias(out))).groupBy(*by).agg(F.max(out).alias(out))  # NaN is above all numbers
 
 
 def summarize(errors: DataFrame, by: list[str], tolerances: tuple[int, ...] = TOLERANCES) -> DataFrame:

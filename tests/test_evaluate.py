@@ -1,3 +1,6 @@
+import math
+
+import numpy as np
 import random
 import statistics
 
@@ -133,3 +136,18 @@ def test_contact_pass_shares_frames(spark):
     got = EV.contact_frames(indexed, [(0.4, 0.9), (0.4, 0.5), (0.99, 0.9)])
     assert {(r.grasp_threshold, r.contact_threshold): r.pred_contact_frame for r in got.collect()} == {(0.4, 0.9): 2, (0.4, 0.5): 2, (0.99, 0.9): 3}
     assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+
+
+def test_median_of_odd_values(spark):
+    """NaN, infinite, huge and equal values, with and without narrowing, give what numpy gives."""
+    groups = {
+        "nan": [*map(float, range(9)), float("nan")],
+        "inf": [float("-inf"), 1.0, 2.0, 3.0, float("inf"), float("inf"), float("inf")],
+        "huge": [-1e308, 1e308, 1.0, 2.0, 5.0, -3.0, 9e307],
+        "ties": [7.0] * 50 + [1.0, 2.0, 3.0, 4.0, 9.0],
+    }
+    rows = spark.createDataFrame([(k, v) for k, values in groups.items() for v in values], "g string, v double")
+    for ranked in (3, 1 << 20):
+        got = {r["g"]: r["m"] for r in EV.exact_median(rows, ["g"], "v", "m", ranked=ranked, buckets=4).collect()}
+        assert math.isnan(got.pop("nan"))
+        assert got == {k: float(np.median(v)) for k, v in groups.items() if k != "nan"}
