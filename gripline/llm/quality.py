@@ -14,7 +14,8 @@ from gripline.llm.labels import held_out, labelled, sample
 
 #: Learned from at most so many labelled rows.
 SAMPLE = 2500
-EPOCHS = 6
+#: Batches learned from, whatever the number of rows: a small sample is gone through more often.
+STEPS = 480
 #: Bytes are vectors of DIM numbers; a filter sees two steps of STEP bytes.
 DIM = 8
 STEP = 4
@@ -113,7 +114,7 @@ def gradients(p: dict[str, np.ndarray], flat: np.ndarray, index: np.ndarray, sta
     return {"bytes": dbytes, "w": np.stack([o["x"].T @ df, o["next"].T @ df]), "b": df.sum(axis=0), "v": o["chunk"].T @ dh, "c": dh.sum(axis=0), "u": z.T @ ds, "d": ds.sum(keepdims=True)}
 
 
-def fit(texts: list[str], y: list[int], epochs: int = EPOCHS, batch: int = 32, seed: int = 7) -> dict[str, np.ndarray]:
+def fit(texts: list[str], y: list[int], steps: int = STEPS, batch: int = 32, seed: int = 7) -> dict[str, np.ndarray]:
     """Adam over whole documents in small batches; without rows of both classes the network answers their share."""
     p = start(seed)
     marks = np.array(y, np.float32)
@@ -127,10 +128,12 @@ def fit(texts: list[str], y: list[int], epochs: int = EPOCHS, batch: int = 32, s
     rows = [(piece, m) for t, m in zip(texts, marks, strict=True) for piece in pieces(t.encode())]
     m1 = {k: np.zeros_like(v) for k, v in p.items()}
     m2 = {k: np.zeros_like(v) for k, v in p.items()}
-    step, total = 0, epochs * -(-len(rows) // batch)
-    for _ in range(epochs):
+    step, total = 0, steps
+    while step < total:
         order = r.permutation(len(rows))
         for a in range(0, len(rows), batch):
+            if step == total:
+                break
             part = [rows[i] for i in order[a : a + batch]]
             flat, index, starts = lay_out([x[0] for x in part])
             g = gradients(p, flat, index, starts, np.array([x[1] for x in part], np.float32))
@@ -180,9 +183,9 @@ def _score(p: dict[str, np.ndarray]):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, epochs: int = EPOCHS) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, steps: int = STEPS) -> dict[str, np.ndarray]:
     """The network, learned from at most `rows` labelled documents outside the held-out third."""
-    return fit(*sample(docs, labelled(docs, labels, "quality"), rows), epochs=epochs)
+    return fit(*sample(docs, labelled(docs, labels, "quality"), rows), steps=steps)
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
