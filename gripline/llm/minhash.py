@@ -20,6 +20,10 @@ BANDS = 40
 ROWS = 6
 #: Shingles worked on at a time.
 SLICE = 1 << 18
+#: Documents and shingles of a side of a tile, about, and shingles multiplied at a time.
+TILE_DOCS = 256
+TILE_SHINGLES = 1 << 18
+COLUMNS = 1 << 12
 #: Constants of a well-known 64-bit mixing function.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -170,6 +174,110 @@ def _verify(least: float):
     return run
 
 
+def _tiled(apart: DataFrame, stored: DataFrame, tasks: int) -> DataFrame:
+    """Rows of the tiles in which documents of a hub that are still apart meet: its rest on the left, all of them on the right.
+
+    Both sides are dealt to blocks of about TILE_DOCS documents and TILE_SHINGLES shingles, so a tile is small however large the group.
+    """
+    rows = apart.join(stored, "id").withColumn("n", F.size("shingles"))
+    blocks = lambda docs, n: F.greatest(F.ceil(docs / F.lit(TILE_DOCS)), F.ceil(n / F.lit(TILE_SHINGLES)), F.lit(1)).cast("long")
+    counts = rows.groupBy("hub").agg(
+        blocks(F.count_if("rest"), F.sum(F.when(F.col("rest"), F.col("n")))).alias("lefts"), blocks(F.count("*"), F.sum("n")).alias("rights")
+    )
+    block = lambda many: F.pmod(F.xxhash64("id"), F.col(many))
+    every = lambda many: F.sequence(F.lit(0).cast("long"), F.col(many) - 1)
+    left = F.when(F.col("rest"), F.transform(every("rights"), lambda c: F.struct(F.lit(0).alias("side"), block("lefts").alias("row"), c.alias("col"))))
+    right = F.transform(every("lefts"), lambda r: F.struct(F.lit(1).alias("side"), r.alias("row"), block("rights").alias("col")))
+    places = F.concat(F.coalesce(left, F.array().cast("array<struct<side:int,row:bigint,col:bigint>>")), right)
+    dealt = rows.join(counts, "hub").select("hub", "id", "class", "shingles", "counts", F.explode(places).alias("at"))
+    tile = ["hub", "row", "col"]
+    return dealt.select("hub", "at.row", "at.col", "at.side", "id", "class", "shingles", "counts").repartition(tasks, *tile).sortWithinPartitions(*tile, "side", "id")
+
+
+def tile_links(side: np.ndarray, ids: np.ndarray, classes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> list[tuple[int, int]]:
+    """Pairs of a left (side 0) and a right document whose similarity is `least` or more, as many as join their classes."""
+    lengths = np.array([len(h) for h, _ in sets])
+    owner = np.repeat(np.arange(len(sets)), lengths)
+    _, place, often = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    weight = np.concatenate([n for _, n in sets]).astype(np.float32)
+    totals = np.array([n.sum() for _, n in sets], np.float64)
+    repeats = np.array([n.max() > 1 for _, n in sets])
+    # Shingles of one document alone are in no intersection.
+    common = often > 1
+    number = np.cumsum(common) - 1
+    held = common[place]
+    owner, place, weight = owner[held], number[place[held]], weight[held]
+    order = np.argsort(place, kind="stable")
+    owner, place, weight = owner[order], place[order], weight[order]
+    cut = int((side == 0).sum())
+    both = np.zeros((cut, len(sets) - cut))
+    of_left, of_right = np.zeros_like(both), np.zeros_like(both)
+    for first in range(0, int(common.sum()), COLUMNS):
+        a, b = np.searchsorted(place, [first, first + COLUMNS])
+        one = np.zeros((len(sets), min(COLUMNS, int(common.sum()) - first)), np.float32)
+        one[owner[a:b], place[a:b] - first] = 1
+        both += one[:cut] @ one[cut:].T
+        if repeats.any():
+            many = np.zeros_like(one)
+            many[owner[a:b], place[a:b] - first] = weight[a:b]
+            of_left += many[:cut] @ one[cut:].T
+            of_right += one[:cut] @ many[cut:].T
+    weighted = repeats[:cut, None] | repeats[None, cut:]
+    plain = both / (lengths[:cut, None] + lengths[None, cut:] - both)
+    # The similarity of weighted sets is never above the share of common shingles in either one's weight.
+    bound = np.minimum(of_left / totals[:cut, None], of_right / totals[None, cut:])
+    may = np.where(weighted, bound >= least - 1e-6, plain >= least - 1e-12) & (classes[:cut, None] != classes[None, cut:])
+    root = {int(c): int(c) for c in classes}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    links = []
+    for i, k in np.argwhere(may):
+        j = k + cut
+        x, y = find(int(classes[i])), find(int(classes[j]))
+        if x != y and (not weighted[i, k] or similarity(*sets[i], *sets[j]) >= least - 1e-12):
+            root[x] = y
+            links.append((int(ids[i]), int(ids[j])))
+    return links
+
+
+def _compare(least: float):
+    columns = ("hub", "row", "col", "side", "id", "class")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            side, ids, classes = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in ("side", "id", "class"))
+            sets = []
+            for p in parts:
+                h, n = p.column("shingles"), p.column("counts")
+                ends, hashes, counts = np.asarray(h.offsets), h.values.to_numpy(zero_copy_only=False), n.values.to_numpy(zero_copy_only=False)
+                starts = np.asarray(n.offsets)
+                sets += [(hashes[ends[k] : ends[k + 1]], counts[starts[k] : starts[k + 1]]) for k in range(len(p))]
+            links = np.array(tile_links(side, ids, classes, sets, least), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+
+        open_tile, parts = None, []
+        for batch in batches:
+            hub, row, col = (batch.column(c).to_numpy(zero_copy_only=False) for c in columns[:3])
+            new = np.flatnonzero((np.diff(hub) != 0) | (np.diff(row) != 0) | (np.diff(col) != 0)) + 1
+            for a, b in zip([0, *new], [*new, len(batch)], strict=True):
+                if a == b:
+                    continue
+                tile = (hub[a], row[a], col[a])
+                if parts and tile != open_tile:
+                    yield done(parts)
+                    parts = []
+                open_tile = tile
+                parts.append(batch.slice(a, b - a))
+        if parts:
+            yield done(parts)
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Rows (doc_id, class_id, kept, row_id): for every row of doc_id and text the smallest doc_id of its class of near duplicates.
 
@@ -178,9 +286,10 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     components of links. Documents with equal word sequences are one document here.
 
     Signatures propose pairs: documents that agree in all registers of a band share a bucket. First each document is verified
-    against the hub of each of its buckets, the one with most companions, which joins large groups without pairs among them. Then documents of a bucket that
-    are still in different components are compared: those outside the bucket's largest component with all of the others. So every
-    proposed pair is either verified or already within one class. Verification is exact, on whole texts.
+    against the hub of each of its buckets, the one with most companions, which joins large groups without pairs among them. Then documents
+    whose buckets have one hub and which are still in different components are compared: those outside the hub's largest component with all
+    of the others, in tiles of bounded size that return only the links which join components. So every proposed pair is either compared or
+    already within one class. Verification is exact, on whole texts.
 
     Null and empty texts, and those of blanks, have no shingles: each is a class of its own. A row without doc_id gets a large
     row_id made of its text and comes after all others; its ids are returned as null. Rows that repeat a doc_id share its class. An empty table gives an empty one. Other columns are not used.
@@ -214,15 +323,11 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     tried = written(buckets.where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct())
     links = verified(tried)
     classes = written(components(links).withColumnRenamed("component", "class"))
-    of = buckets.join(classes, "id", "left").select("key", "id", F.coalesce("class", "id").alias("class"))
-    shares = of.groupBy("key", "class").agg(F.count("*").alias("n"))
-    largest = shares.groupBy("key").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
-    mixed_keys = written(of.join(largest, "key"))
-    rest = mixed_keys.where("class <> main").select("key", F.col("id").alias("a"), F.col("class").alias("a_class"))
-    others = mixed_keys.select("key", F.col("id").alias("b"), F.col("class").alias("b_class"), F.col("main").alias("b_main"))
-    # A pair of two documents outside the largest class is met once, in order of ids.
-    pairs = rest.join(others, "key").where("a_class <> b_class and (b_class = b_main or a < b)").select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).distinct()
-    more = verified(pairs.join(tried, ["a", "b"], "left_anti"))
+    of = buckets.select("hub", "id").distinct().join(classes, "id", "left").select("hub", "id", F.coalesce("class", "id").alias("class"))
+    shares = of.groupBy("hub", "class").agg(F.count("*").alias("n"))
+    main = shares.groupBy("hub").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
+    apart = written(of.join(main, "hub").select("hub", "id", "class", (F.col("class") != F.col("main")).alias("rest")))
+    more = written(_tiled(apart, stored, width(spark)).mapInArrow(_compare(least), "a long, b long"))
     spark.sql(f"drop table {name}")
     # Copies are tied to the text that stands for them; so a doc_id that several rows share has one class.
     members = signed.select("doc", *same, (F.size("bands") > 0).alias("some")).join(texts.select(*same, "id", F.lit(True).alias("some")), [*same, "some"], "left")

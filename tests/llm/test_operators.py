@@ -238,6 +238,49 @@ def test_large_group_of_near_copies(spark):
     assert {r.class_id for r in got} == {0}
 
 
+def test_tiles(spark, monkeypatch):
+    """Copies that mostly lie below the threshold to the hub, in tiles of few documents, against all pairs."""
+    monkeypatch.setattr(minhash, "TILE_DOCS", 8)
+    r = np.random.default_rng(5)
+    base = text(78, 90).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 160):
+        w = list(base)
+        for k in r.choice([5, 20, 35, 50, 65, 80], int(r.integers(1, 5)), replace=False):
+            w[k] = f"new{r.integers(0, 2)}"
+        if i % 9 == 0:
+            w += w[:12]  # repeats shingles
+        rows.append((i, " ".join(w)))
+    sets = {i: Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) for i, w in ((i, t.split()) for i, t in rows)}
+    cls = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8]
+    for _ in range(30):
+        for a, b in links:
+            cls[a] = cls[b] = min(cls[a], cls[b])
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.class_id for x in got} == cls
+
+
+@pytest.mark.parametrize("columns", [7, 4096])
+def test_tile_links(monkeypatch, columns):
+    monkeypatch.setattr(minhash, "COLUMNS", columns)
+    r = np.random.default_rng(6)
+    sets = []
+    for _ in range(60):
+        h = np.unique(np.concatenate([np.arange(20), r.integers(20, 24, 3)]).astype(np.int64))
+        h = np.sort(r.choice(h, int(r.integers(15, len(h))), replace=False))
+        sets.append((h, r.choice([1, 1, 1, 2], len(h)) if r.random() < 0.3 else np.ones(len(h), np.int64)))
+    side, ids = np.repeat([0, 1], 30), np.arange(60)
+    want, got = {i: i for i in range(60)}, {i: i for i in range(60)}
+    pairs = [(i, j) for i in range(30) for j in range(30, 60) if minhash.similarity(*sets[i], *sets[j]) >= 0.8 - 1e-12]
+    for found, links in ((want, pairs), (got, minhash.tile_links(side, ids, ids, sets, 0.8))):
+        assert set(links) <= set(pairs)
+        for _ in range(60):
+            for a, b in links:
+                found[a] = found[b] = min(found[a], found[b])
+    assert pairs and got == want
+
+
 # --- 6 sharding
 def test_curve(spark):
     rows = sorted((r.h, (r.x0, r.x1, r.x2)) for r in hilbert.curve(spark, 3).collect())
