@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gripline.functions.text import strip
+from gripline.functions.text import number_of, strip
 
 # --- fixed values -----------------------------------------------------------------
 MARKERS = ("```json", "```", "JSON:", "Response:")
@@ -20,7 +20,7 @@ STRICT = {"allowSingleQuotes": "false"}
 LOOSE = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "true"}
 QUOTED = {"allowSingleQuotes": "true", "allowUnquotedControlChars": "true"}
 
-SEGMENT_LIST = "array<struct<start_frame:string,end_frame:string,subtask_instruction:string>>"
+QUOTED_PARTS = r"""(?s)"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|[^"']++|["']"""
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,8 +48,37 @@ def extract_json(text: Column) -> Column:
 
 
 def segment_list(body: Column) -> Column:
-    """Planned segments in the JSON of a reply."""
-    return F.from_json(body, f"struct<subtask_segments:{SEGMENT_LIST}>")["subtask_segments"]
+    """Planned segments in the JSON of a reply; an entry that is not an object is left out.
+
+    A frame written as text counts only when it is a whole number."""
+
+    def frame(entry: Column, key: str) -> Column:
+        value = F.try_variant_get(entry, f"$.{key}", "variant")
+        text = F.try_variant_get(entry, f"$.{key}", "string")
+        return F.when((F.schema_of_variant(value) != "STRING") | text.rlike(r"^\s*[+-]?\d+\s*$"), text)
+
+    def segment(item: Column) -> Column:
+        fields = lambda v: F.struct(
+            frame(v, "start_frame").alias("start_frame"), frame(v, "end_frame").alias("end_frame"), F.try_variant_get(v, "$.subtask_instruction", "string").alias("subtask_instruction")
+        )
+        return let(F.try_parse_json(item), fields)
+
+    items = F.from_json(body, "struct<subtask_segments:array<string>>")["subtask_segments"]
+    return F.transform(F.filter(items, lambda x: x.startswith("{")), segment)
+
+
+def outside_quotes(text: Column, change: Callable[[Column], Column]) -> Column:
+    """The text with `change` made to all parts but the quoted ones."""
+    parts = F.regexp_extract_all(text, F.lit(QUOTED_PARTS), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith('"') | p.startswith("'"), p).otherwise(change(p))), "")
+
+
+def _literal_as_json(part: Column) -> Column:
+    """An unquoted part of a Python literal in JSON: words, tuples as lists, no trailing commas."""
+    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+        part = F.regexp_replace(part, rf"\b{word}\b", json_word)
+    part = F.translate(F.regexp_replace(part, r"\(\s*([^(),\s]+)\s*\)", "$1"), "()", "[]")
+    return F.regexp_replace(part, r",\s*([\]}])", "$1")
 
 
 def strip_markers(text: Column) -> Column:
@@ -62,15 +91,13 @@ def strip_markers(text: Column) -> Column:
 def parse_grounding(text: Column) -> Column:
     """Reply -> JSON text of its object.
 
-    Tried in turn: JSON, a literal with single quotes and None/True/False, JSON between the outer
-    braces. Of a list the first element counts. Null when no object is found.
+    Tried in turn: JSON, a literal with single quotes, tuples, trailing commas and None/True/False, JSON
+    between the outer braces. Of a list the first element counts. Null when no object is found.
     """
 
     def read(bare: Column) -> Column:
-        words = bare
-        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-            words = F.regexp_replace(words, rf"\b{word}\b", json_word)
-        return F.coalesce(_only_value(bare, LOOSE), _only_value(words, QUOTED), _only_value(_braces(bare), LOOSE))
+        literal = outside_quotes(bare, _literal_as_json)
+        return F.coalesce(_only_value(bare, LOOSE), _only_value(literal, QUOTED), _only_value(_braces(bare), LOOSE))
 
     def first(root: Column) -> Column:
         return F.when(root.startswith("["), F.get(F.from_json(root, "array<string>"), 0)).otherwise(root)
@@ -100,7 +127,7 @@ def first_value(body: Column, keys: tuple[str, ...]) -> Column:
 
 def numbers_of(value: Column, count: int) -> Column:
     """Exactly `count` numbers out of a list, or the first ones found in a text; else null."""
-    listed = F.when(value["kind"].startswith("ARRAY"), F.from_json(value["text"], "array<double>"))
+    listed = F.when(value["kind"].startswith("ARRAY"), F.transform(F.from_json(value["text"], "array<string>"), number_of))
     written = F.when(
         value["kind"] == "STRING",
         F.slice(F.regexp_extract_all(value["text"], F.lit(NUMBER_IN_TEXT), 1), 1, count).cast("array<double>"),

@@ -72,12 +72,19 @@ def parse_int_like(value: Column, keep_negative: bool = False) -> Column:
     return whole if keep_negative else F.when(whole >= 0, whole)
 
 
-def _bracketed(text: Column) -> Column:
-    """A list written with parentheses or a trailing comma, as JSON text; null for anything else."""
+def number_of(item: Column) -> Column:
+    """A number written as text, null for anything else."""
+    bare = strip(item)
+    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
+
+
+def _items(text: Column) -> Column:
+    """Numbers of a list, of a tuple or of two or more items between commas; null for anything else. Items may be quoted."""
     bare = strip(text)
-    square = F.translate(bare, "()", "[]")
-    closed = F.regexp_replace(square, r",\s*\]", "]")
-    return F.when(bare.rlike(r"^[\[(]"), closed)
+    inner = F.regexp_replace(F.regexp_replace(bare, r"^[\[(]|[\])]$", ""), r",\s*$", "")
+    item = lambda x: number_of(F.regexp_replace(strip(x), r"""^(['"])(.*)\1$""", "$2"))
+    listed = bare.rlike(r"^(?:\[[^\[\]()]*\]|\([^\[\]()]*,[^\[\]()]*\)|[^\[\]()]*,[^\[\]()]*)$")
+    return F.when(listed, F.transform(F.split(inner, ","), item))
 
 
 def vector_or_null(values: Column) -> Column:
@@ -88,12 +95,15 @@ def vector_or_null(values: Column) -> Column:
 
 def parse_vector(value: Column) -> Column:
     """List of numbers written as text -> array<double>; null when blank, empty or bad."""
-    return vector_or_null(F.from_json(_bracketed(value), "array<double>"))
+    return vector_or_null(_items(value))
 
 
 def parse_trace(value: Column) -> Column:
     """Points written as text -> array of [u, v]; one short point voids the whole trace."""
-    return trace_or_null(F.from_json(_bracketed(value), "array<array<double>>"))
+    bare = strip(value)
+    point = r"[\[(][^\[\]()]*+[\])]"
+    listed = bare.rlike(rf"^[\[(]\s*+(?:{point}\s*+(?:,\s*+|(?=[\])]$)))*+[\])]$")
+    return trace_or_null(F.when(listed, F.transform(F.regexp_extract_all(bare, F.lit(rf"{point}(?=\s*[,\])])"), F.lit(0)), _items)))
 
 
 def trace_or_null(points: Column) -> Column:

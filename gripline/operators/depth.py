@@ -42,7 +42,9 @@ def deprojection_error(contacts: DataFrame, depth: DataFrame) -> DataFrame:
 
     -1 where there is no pixel, no depth or no calibration.
     """
-    at_pixel = depth.groupBy(*FRAME, F.col("x").alias("pu"), F.col("y").alias("pv")).agg(F.min("depth_m").alias("depth_m"))
+    pixels = depth.select(*FRAME, F.col("x").alias("pu"), F.col("y").alias("pv"), "depth_m")
+    asked = pixels.join(contacts.select(*FRAME, "pu", "pv").distinct(), [*FRAME, "pu", "pv"], "left_semi")
+    at_pixel = asked.groupBy(*FRAME, "pu", "pv").agg(F.min("depth_m").alias("depth_m"))
     joined = contacts.join(at_pixel, [*FRAME, "pu", "pv"], "left")
     lifted = lift_pixel(F.col("pu").cast("double"), F.col("pv").cast("double"), F.col("depth_m"), F.col("K"), F.col("T"))
     gaps = [F.col(f"contact_{a}") - p for a, p in zip("xyz", lifted)]

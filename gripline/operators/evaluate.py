@@ -26,7 +26,8 @@ def last_row_per_frame(frames: DataFrame, columns: list[str], position: str = "s
 
 def frame_lookup(wanted: DataFrame, frames: DataFrame, columns: list[str], position: str = "step") -> DataFrame:
     """Values of the wanted (episode_id, frame_index) rows; null where the frame does not exist."""
-    return wanted.join(last_row_per_frame(frames, columns, position), [KEY, "frame_index"], "left")
+    asked = frames.join(wanted.select(KEY, "frame_index").distinct(), [KEY, "frame_index"], "left_semi")
+    return wanted.join(last_row_per_frame(asked, columns, position), [KEY, "frame_index"], "left")
 
 
 def earliest(value: Column, position: str = "step") -> tuple[Column, object]:

@@ -96,24 +96,30 @@ def score_batches(
 ) -> DataFrame:
     """Ask `generate` for replies, one Arrow batch of prompts at a time; refused ones are asked again.
 
-    Adds raw_text (null when no try was accepted) and attempt.
+    A call that raises is a failed try of its whole batch. Adds raw_text (null when no try was accepted), attempt and
+    the last error of an open row.
     """
-    schema = T.StructType([*requests.schema.fields, T.StructField("raw_text", T.StringType()), T.StructField("attempt", T.IntegerType())])
+    schema = T.StructType([*requests.schema.fields, T.StructField("raw_text", T.StringType()), T.StructField("attempt", T.IntegerType()), T.StructField("error", T.StringType())])
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             tried = pd.Series([None] * len(batch), index=batch.index, dtype="Int32")
+            errors = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             open_rows = list(batch.index)
             for attempt in range(tries):
                 if not open_rows:
                     break
-                answers = generate(batch.loc[open_rows, prompt].tolist())
+                try:
+                    answers = generate(batch.loc[open_rows, prompt].tolist())
+                except Exception as error:  # noqa: BLE001 - whatever the model raises is a failed try
+                    errors[open_rows] = f"{type(error).__name__}: {error}"
+                    continue
                 good = [(i, a) for i, a in zip(open_rows, answers) if a is not None and accept(a)]
                 for i, a in good:
                     found[i], tried[i] = a, attempt
                 done = {i for i, _ in good}
                 open_rows = [i for i in open_rows if i not in done]
-            yield batch.assign(raw_text=found, attempt=tried)
+            yield batch.assign(raw_text=found, attempt=tried, error=errors)
 
     return requests.mapInPandas(ask, schema)

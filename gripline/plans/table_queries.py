@@ -285,7 +285,7 @@ def render_prompt(spark, folder):
     )
 
 
-@query("score_batches")
+@query("score_batches", "select doc_id as episode_id, case when length(text) > 99 then length(text) || ' characters' end as raw_text, cast(case when length(text) > 99 then 0 end as int) as attempt from documents")
 def score_batches(spark, folder):
     """Ask a stand-in model for every document; short answers are refused and asked for again."""
     requests = D.table(spark, folder, "documents").select(F.col("doc_id").alias(KEY), F.col("text").alias("prompt"))

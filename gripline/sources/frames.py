@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MATRIX = "array<array<double>>"
+EPISODE_LINE = "episode_index bigint, tasks array<string>, length bigint"
 
 # --- fixed values: column names of a recording and their short names -----------------------
 COLUMNS = {
@@ -82,9 +86,22 @@ def flatten_pose(pose: Column, nested: bool = False) -> Column:
     return F.flatten(pose.cast(MATRIX)) if nested else pose.cast("array<double>")
 
 
-def scan_episode_meta(spark: SparkSession, root: str) -> DataFrame:
-    """Episode list of a dataset: one JSON line per episode, keyed by episode_index."""
-    return spark.read.json(f"{root}/meta/episodes.jsonl")
+def _or_empty(spark: SparkSession, read: Callable[[], DataFrame], schema: str) -> DataFrame:
+    """What `read` reads, an empty table where its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def scan_episode_meta(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
+    """Episode list of a dataset: one JSON line per episode, keyed by episode_index; empty where there is no list.
+
+    Without a schema the lines are read once more to find it."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return _or_empty(spark, lambda: reader.json(f"{root}/meta/episodes.jsonl"), schema or EPISODE_LINE)
 
 
 def meta_of(lines: DataFrame, text: str, schema: str) -> DataFrame:
@@ -94,13 +111,11 @@ def meta_of(lines: DataFrame, text: str, schema: str) -> DataFrame:
 
 
 def scan_calibration(spark: SparkSession, root: str) -> DataFrame:
-    """One JSON file per episode -> episode_id, K, T."""
-    raw = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*_calib.json")
-        .text(f"{root}/meta/calibration", wholetext=True)
-    )
-    named = raw.select(F.regexp_extract("_metadata.file_name", r"^(.*)_calib\.json$", 1).alias("episode_id"), "value")
+    """One JSON file per episode -> episode_id, K, T; empty where there is no folder."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*_calib.json")
+    name = F.regexp_extract("_metadata.file_name", r"^(.*)_calib\.json$", 1).alias("episode_id")
+    read = lambda: reader.text(f"{root}/meta/calibration", wholetext=True).select(name, "value")
+    named = _or_empty(spark, read, "episode_id string, value string")
     return named.select("episode_id", *calibration_of(F.col("value")))
 
 

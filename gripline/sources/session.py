@@ -15,10 +15,12 @@ SETTINGS = {
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a fresh local one only where none is set, as in tests."""
+    """Shared folder named by the cluster; a local session without one gets a fresh one, a cluster raises."""
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="gripline-checkpoint-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

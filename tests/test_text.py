@@ -26,6 +26,48 @@ def test_lists(spark):
     assert apply(spark, traces, X.parse_trace) == [[[1.0, 2.0], [3.0, 4.0]], None, None, None, [[1.0, 2.0]], None, None]
 
 
+def test_lists_as_literals(spark):
+    texts = ["0.1, 0.2, 0.3", "(0.1)", "[1., .5]", "[+1, 2]", "['0.1', \"0.2\"]", "(1, 2]", "[1,, 2]", "[[1, 2]]", "(3,)", "[1, 2] 3"]
+    assert apply(spark, texts, X.parse_vector) == [[0.1, 0.2, 0.3], None, [1.0, 0.5], [1.0, 2.0], [0.1, 0.2], None, None, None, [3.0], None]
+    traces = ["[[1., .5], (+3, 4),]", "([1, 2],)", "[[1, 2] [3, 4]]", "[[1, 2], 3]", "[" + "[1, 2], " * 5000 + "[1, 2]]"]
+    assert apply(spark, traces, X.parse_trace) == [[[1.0, 0.5], [3.0, 4.0]], [[1.0, 2.0]], None, None, [[1.0, 2.0]] * 5001]
+
+
+def test_literal_replies(spark):
+    texts = ["{'target_object': 'None of these'}", "{'a': 'True North mug', 'b': None}", "{'bbox': (1, 2, 30, 40)}", "{'target_object': 'cup',}", '{"confidence": 0.9,}', "{'a': 'x, ] (y)'}", "{'a': '" + "w" * 20000 + "', 'b': (1)}"]
+    want = ['{"target_object":"None of these"}', '{"a":"True North mug","b":null}', '{"bbox":[1,2,30,40]}', '{"target_object":"cup"}', '{"confidence":0.9}', '{"a":"x, ] (y)"}', '{"a":"' + "w" * 20000 + '","b":1}']
+    assert apply(spark, texts, R.parse_grounding) == want
+    boxes = ['{"bbox": ["1", "2", "30", "40.5"]}', '{"bbox": ["1", "2", "30", "x"]}', '{"bbox": [1, 2, 30, 40]}']
+    read = lambda c: R.numbers_of(R.first_value(F.try_parse_json(c), R.BOX_KEYS), 4)
+    assert apply(spark, boxes, read) == [[1.0, 2.0, 30.0, 40.5], None, [1.0, 2.0, 30.0, 40.0]]
+
+
+def test_segment_entries(spark):
+    body = '{"subtask_segments": ["oops", {"start_frame": 3.7, "end_frame": "9", "subtask_instruction": "a"}, 5, {"start_frame": "3.7", "end_frame": 9}, null]}'
+    got = apply(spark, [body, "{}", None], R.segment_list)
+    assert [(s.start_frame, s.end_frame, s.subtask_instruction) for s in got[0]] == [("3.7", "9", "a"), (None, "9", None)]
+    assert got[1:] == [None, None]
+
+
+def test_raising_model(spark):
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(4)], "i int, prompt string").coalesce(1)
+
+    def fails(prompts):
+        raise RuntimeError("busy")
+
+    got = GR.score_batches(rows, fails, lambda a: True).collect()
+    assert len(got) == 4 and all(r.raw_text is None and r.attempt is None and r.error == "RuntimeError: busy" for r in got)
+
+
+def test_absent_side_tables(spark, tmp_path):
+    from gripline.sources import frames
+
+    assert frames.scan_episode_meta(spark, str(tmp_path)).count() == 0
+    calibration = frames.scan_calibration(spark, str(tmp_path))
+    assert calibration.count() == 0 and calibration.columns == ["episode_id", "K", "T"]
+    assert frames.scan_episode_meta(spark, str(tmp_path), "episode_index long, split string").columns == ["episode_index", "split"]
+
+
 def test_texts(spark):
     assert apply(spark, [" a ", "[]", "-1", "None", None, "\t"], X.parse_text) == ["a", "", "", "None", "", ""]
     assert apply(spark, ["None", "nan", "x"], lambda c: X.parse_text(c, X.MISSING_GROUNDING)) == ["", "", "x"]
