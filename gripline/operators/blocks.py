@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from gripline.sources.session import settle
 
 BLOCK = 4096  # steps of one episode handled together
+RUN = 64  # steps of a block replayed together
 FAN = 4096  # blocks handled together when values are carried between blocks
 PLAIN_ROWS = 1 << 20  # an episode of at most this many rows is numbered by a plain window
 
@@ -253,21 +254,27 @@ def replay_states(coded: DataFrame, codes: dict[str, str], start: int = 0, paylo
 
     `coded` has episode_id, blk, step and one packed change per machine (`codes`: machine name ->
     column). Returns the payload rows with `<machine>_before` and `<machine>` state numbers.
+    A block is cut into runs of RUN steps: each run is folded to one change, changes are composed over
+    the runs before it, and the run is replayed from there, so that work stays linear in the block.
     """
     payload = payload or []
-    packed = coded.groupBy(KEY, "blk").agg(
+    size = F.lit(RUN)
+    packed = coded.groupBy(KEY, "blk", F.floor(F.col("step") / size).alias("_run")).agg(
         F.sort_array(F.collect_list(F.struct("step", *codes.values(), *payload))).alias("_rows")
     )
+    folded = {n: fold_changes(F.col("_rows").getField(c)) for n, c in codes.items()}
+    runs = packed.withColumns({f"_c_{n}": c for n, c in folded.items()})
+    earlier = Window.partitionBy(KEY, "blk").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    entered = runs.withColumns({f"_b_{n}": fold_changes(F.collect_list(f"_c_{n}").over(earlier)) for n in codes})
     if one_block(coded):
-        entered = packed.select("*", *[F.lit(start).alias(f"_e_{name}") for name in codes])
+        entry = {n: F.lit(start) for n in codes}
     else:
-        changes = packed.select(
-            KEY, "blk", *[fold_changes(F.col("_rows").getField(c)).alias(f"_c_{name}") for name, c in codes.items()]
-        )
-        entry = scan_blocks(changes, {f"_e_{name}": Carried("fold", f"_c_{name}") for name in codes})
-        entered = packed.join(
-            entry.select(KEY, "blk", *[apply_change(F.col(f"_e_{n}"), F.lit(start)).alias(f"_e_{n}") for n in codes]), [KEY, "blk"]
-        )
+        changes = runs.groupBy(KEY, "blk").agg(F.sort_array(F.collect_list(F.struct("_run", *[f"_c_{n}" for n in codes]))).alias("_runs"))
+        changes = changes.select(KEY, "blk", *[fold_changes(F.col("_runs").getField(f"_c_{n}")).alias(f"_k_{n}") for n in codes])
+        carried = scan_blocks(changes, {f"_a_{n}": Carried("fold", f"_k_{n}") for n in codes})
+        entered = entered.join(carried.select(KEY, "blk", *[f"_a_{n}" for n in codes]), [KEY, "blk"])
+        entry = {n: apply_change(F.col(f"_a_{n}"), F.lit(start)) for n in codes}
+    entered = entered.select(KEY, "blk", "_rows", *[apply_change(F.col(f"_b_{n}"), e).alias(f"_e_{n}") for n, e in entry.items()])
     replayed = entered.select(KEY, "blk", "_rows", *[_states(c, n).alias(f"_s_{n}") for n, c in codes.items()])
     names = [f"_s_{n}" for n in codes]
     zipped = replayed.select(KEY, "blk", F.explode(F.arrays_zip("_rows", *names)).alias("_z"))
@@ -279,7 +286,7 @@ def replay_states(coded: DataFrame, codes: dict[str, str], start: int = 0, paylo
 
 
 def _states(code: str, machine: str) -> Column:
-    """States of a block in order, each packed with the state before it (before * 8 + now)."""
+    """States of a run in order, each packed with the state before it (before * 8 + now)."""
     return F.expr(
         f"aggregate(_rows.{code}, struct(cast(_e_{machine} as int) as s, cast(array() as array<int>) as seen),"
         " (acc, c) -> struct(shiftright(c, acc.s * 3) & 7 as s, concat(acc.seen, array(acc.s * 8 + (shiftright(c, acc.s * 3) & 7))) as seen)).seen"
