@@ -67,11 +67,15 @@ def box_of_pixels() -> list[Column]:
 
 
 def frame_zero_override(mask_boxes: DataFrame, detector_boxes: DataFrame) -> DataFrame:
-    """Detector boxes on frame 0, boxes from masks on every other frame; only for episodes with masks."""
+    """Detector boxes on frame 0, boxes from masks on every other frame; only for episodes with masks.
+
+    Corners of detector boxes are cut to whole pixels; one that is no finite number becomes null.
+    """
     tracked = mask_boxes.select(KEY).distinct()
     first = detector_boxes.where("frame_index = 0").join(tracked, KEY, "left_semi").withColumn("source", F.lit("detector"))
     rest = mask_boxes.where("frame_index <> 0").withColumn("source", F.lit("mask"))
-    return rest.unionByName(first.select(*rest.columns))
+    whole = {c: F.col(c).try_cast("bigint").cast(rest.schema[c].dataType) for c in ("x1", "y1", "x2", "y2")}
+    return rest.unionByName(first.withColumns(whole).select(*rest.columns))
 
 
 def mask_contact_crop(pixels: DataFrame, contacts: DataFrame, radius: int = CROP_RADIUS) -> DataFrame:

@@ -63,7 +63,7 @@ def mask_bbox(spark, folder):
     "frame_zero_override",
     with_(DETECTIONS)
     + """, boxes as (select episode_id, line_frame as frame_index, l_linestatus as obj_id, cast(min(l_partkey % 320) as double) as x1, cast(min(l_suppkey % 180) as double) as y1, cast(max(l_partkey % 320) as double) as x2, cast(max(l_suppkey % 180) as double) as y2 from line_frames group by 1, 2, 3),
-    first as (select episode_id, frame_index, cast(det_idx as varchar) as obj_id, x1, y1, x2, y2 from detections where frame_index = 0 and episode_id in (select episode_id from boxes))
+    first as (select episode_id, frame_index, cast(det_idx as varchar) as obj_id, cast(cast(trunc(x1) as bigint) as double) as x1, cast(cast(trunc(y1) as bigint) as double) as y1, cast(cast(trunc(x2) as bigint) as double) as x2, cast(cast(trunc(y2) as bigint) as double) as y2 from detections where frame_index = 0 and episode_id in (select episode_id from boxes))
     select *, 'mask' as source from boxes where frame_index <> 0 union all select *, 'detector' as source from first""",
 )
 def frame_zero_override(spark, folder):

@@ -168,3 +168,13 @@ def test_test_tables_are_whole(spark):
     if not os.path.isdir(folder):
         pytest.skip("no test tables here")
     assert D.frames(spark, folder).count() == D.table(spark, folder, "events").count()
+
+
+def test_detector_boxes_are_cut_to_whole_pixels(spark):
+    from gripline.operators.detections import frame_zero_override
+
+    kind = "episode_id string, frame_index bigint, obj_id string, x1 double, y1 double, x2 double, y2 double"
+    masks = spark.createDataFrame([("a", 0, "m", 1.0, 1.0, 2.0, 2.0), ("a", 1, "m", 3.0, 3.0, 4.0, 4.0)], kind)
+    boxes = spark.createDataFrame([("a", 0, "d", 1.9, -0.5, 7.0, float("nan")), ("b", 0, "d", 1.0, 1.0, 2.0, 2.0)], kind)
+    got = sorted((r.frame_index, r.source, r.x1, r.y1, r.x2, r.y2) for r in frame_zero_override(masks, boxes).collect())
+    assert got == [(0, "detector", 1.0, 0.0, 7.0, None), (1, "mask", 3.0, 3.0, 4.0, 4.0)]
