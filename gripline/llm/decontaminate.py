@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of the passages they point to."""
+"""Benchmark decontamination: an exact filter by the rarest words of each item, then Smith-Waterman alignment of the passages left."""
 
 from __future__ import annotations
 
@@ -6,40 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gripline.llm.common import below_stand_in, id_or_content, text_of, written
-from gripline.llm.minhash import mixed, word_hashes
+from gripline.llm.minhash import word_hashes
 
-GRAM = 3
-#: Share of an item's n-grams that seed it, the rarest in the corpus first, and the least number of them.
-RARE = 0.5
-LEAST_SEEDS = 8
 #: Scores of the alignment by words.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: An alignment counts from this share of the item's best possible score on.
 LEAST = 0.6
-#: The filter has 2^FILTER_BITS bits, whatever the benchmark: 4 MB.
-FILTER_BITS = 25
-#: Words aligned on each side of a seed, beyond the item itself, as a share of the item's length.
-SLACK = 0.5
-
-
-def grams(flat: np.ndarray, offsets: np.ndarray, size: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, word position and hash of every n-gram of `size` words; rows with fewer words have one of all their words."""
-    n = np.diff(offsets)
-    many = np.where(n >= size, n - size + 1, np.minimum(n, 1))
-    row = np.repeat(np.arange(len(n)), many)
-    at = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-    words = flat.view(np.uint64)
-    h = np.zeros(len(row), np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            there = n[row] > k
-            nxt = mixed(h * np.uint64(31) + words[np.minimum(at + offsets[row] + k, max(0, len(words) - 1))] + np.uint64(k + 1)) if len(words) else h
-            h = np.where(there, nxt, h)
-    return row, at, h.view(np.int64)
+#: Items are worked on in batches of about so many words, each in one pass over the documents, so that what is broadcast is bounded.
+BATCH_WORDS = 1 << 20
+#: The first look at a word of a document is at a table of 2^TABLE_BITS places.
+TABLE_BITS = 20
+#: Cells and look-ups held at a time.
+CELLS = 1 << 24
+LOOK_UPS = 1 << 21
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -47,70 +30,87 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _item_grams(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, at, h = grams(*_lists(batch.column("words")), size)
-            yield pa.RecordBatch.from_arrays([batch.column("item").take(pa.array(row)), pa.array(at), pa.array(h)], ["item", "at", "gram"])
-
-    return run
-
-
-def bit_filter(rows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit for each hash in column gram, in 64-bit words; its size does not depend on the rows."""
-    place = F.col("gram").bitwiseAND(F.lit((1 << bits) - 1))
-    words = rows.select(F.shiftrightunsigned(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"))
-    out = np.zeros(1 << (bits - 6), np.int64)
-    got = found.toPandas()
-    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
-    return out
-
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
-def _passes(h: np.ndarray, filter_: np.ndarray) -> np.ndarray:
-    place = h & ((len(filter_) << 6) - 1)
-    return ((filter_[place >> 6] >> (place & 63)) & 1).astype(bool)
 
+class Items:
+    """A batch of items and what an alignment that counts must have.
 
-def _count(filter_, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many documents of a batch hold each n-gram that passes the filter."""
-        bits = filter_.value
-        for batch in batches:
-            row, _, h = grams(*_lists(batch.column("words")), size)
-            yes = _passes(h, bits)
-            pair = np.unique(np.stack([h[yes], row[yes]]), axis=1)[0]
-            gram, n = np.unique(pair, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-    return run
-
-
-def _find(filter_, size: int, reach: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Passages around seeds: overlapping ones are one. Each has its words and its seeds with their places."""
-        bits = filter_.value
-        schema = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int64())), ("seeds", pa.list_(pa.struct([("at", pa.int64()), ("gram", pa.int64())])))])
-        for batch in batches:
-            flat, offsets = _lists(batch.column("words"))
-            row, at, h = grams(flat, offsets, size)
-            yes = np.flatnonzero(_passes(h, bits))
-            out, held = [], 0
-            cut = np.flatnonzero((np.diff(row[yes], prepend=-1) != 0) | (np.diff(at[yes], prepend=0) > 2 * reach + size))
-            docs = batch.column("doc")
-            for a, b in zip(cut, np.append(cut, len(yes))[1:], strict=True):
-                k = yes[a:b]
-                r = row[k[0]]
-                low, high = max(0, at[k[0]] - reach), min(offsets[r + 1] - offsets[r], at[k[-1]] + size + reach)
-                out.append((docs[int(r)].as_py(), int(low), flat[offsets[r] + low : offsets[r] + high], [{"at": int(at[x]), "gram": int(h[x])} for x in k]))
-                held += high - low
-                if held > 1 << 18:
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in out], schema=schema)
-                    out, held = [], 0
-            if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x, strict=True)) for x in out], schema=schema)
+    An item of n words has 2n as best score, and an alignment of score s or more has at least s / 2 of the item's words in
+    place, since a match gives 2 and nothing else gives anything. So it holds at least one of any n - ceil(s / 2) + 1 places of the item:
+    those whose words the fewest items share are its seeds. Each word of the passage without a match costs 1 at least, so
+    the passage has 3n - s words at most.
+    """
 
-    return run
+    def __init__(self, ids: np.ndarray, flat: np.ndarray, offsets: np.ndarray, least: float):
+        self.ids, self.flat, self.offsets = ids, flat, offsets
+        self.n = np.diff(offsets)
+        best = MATCH * self.n
+        s = np.ceil(least * best).astype(np.int64)
+        s -= (s - 1) / best >= least
+        s += s / best < least
+        s = np.maximum(s, 1)
+        self.matched = -(-s // MATCH)
+        self.span = self.n + best - s
+        self.vocabulary, self.codes = np.unique(flat, return_inverse=True)
+        self.table = np.zeros(1 << TABLE_BITS, bool)
+        self.table[self.vocabulary & ((1 << TABLE_BITS) - 1)] = True
+        owner = np.repeat(np.arange(len(ids)), self.n)
+        shared = np.bincount(np.unique(owner * max(1, len(self.vocabulary)) + self.codes) % max(1, len(self.vocabulary)), minlength=len(self.vocabulary))
+        order = np.lexsort((flat, shared[self.codes], owner))
+        rank = np.arange(len(flat)) - np.repeat(offsets[:-1], self.n)
+        seeds = order[rank < np.repeat(self.n - self.matched + 1, self.n)]
+        pair = np.unique(self.codes[seeds] * max(1, len(ids)) + owner[seeds])
+        self.seed_codes, first, self.many = np.unique(pair // max(1, len(ids)), return_index=True, return_counts=True)
+        self.first, self.seeded = first, pair % max(1, len(ids))
+
+    def found(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words that items have, and their numbers in the vocabulary."""
+        at = np.flatnonzero(self.table[flat & (len(self.table) - 1)])
+        code = np.minimum(np.searchsorted(self.vocabulary, flat[at]), len(self.vocabulary) - 1)
+        same = self.vocabulary[code] == flat[at]
+        return at[same], code[same]
+
+    def candidates(self, row: np.ndarray, code: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
+        """Pairs (row, item) where the row has a seed and enough of the item's words anywhere."""
+        there = np.zeros((rows, len(self.vocabulary)), bool)
+        there[row, code] = True
+        r, k = np.nonzero(there[:, self.seed_codes])
+        pairs = np.unique(np.repeat(r, self.many[k]) * len(self.ids) + self.seeded[_ranges(self.first[k], self.many[k])])
+        r, item = pairs // len(self.ids), pairs % len(self.ids)
+        run = np.cumsum(self.n[item]) // LOOK_UPS
+        for part in np.split(np.arange(len(r)), np.flatnonzero(np.diff(run)) + 1):
+            if len(part):
+                n = self.n[item[part]]
+                yes = there[np.repeat(r[part], n), self.codes[_ranges(self.offsets[item[part]], n)]]
+                enough = np.add.reduceat(yes, np.cumsum(n) - n, dtype=np.int64) >= self.matched[item[part]]
+                yield from zip(r[part][enough].tolist(), item[part][enough].tolist(), strict=True)
+
+    def passages(self, item: int, at: np.ndarray, code: np.ndarray, scratch: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of a row that hold all alignments of the item that count; `at` and `code` are of the row's words in the vocabulary."""
+        words, times = np.unique(self.codes[self.offsets[item] : self.offsets[item + 1]], return_counts=True)
+        scratch[words] = np.arange(len(words))
+        local = scratch[code]
+        scratch[words] = -1
+        mine = local >= 0
+        at, local = at[mine], local[mine]
+        need, span = self.matched[item], self.span[item]
+        if len(at) < need:
+            return []
+        k = np.flatnonzero(at[need - 1 :] - at[: len(at) - need + 1] < span)  # so many words near one another
+        if not len(k):
+            return []
+        low, high = at[k + need - 1] - span + 1, at[k] + span
+        cut = np.append(True, low[1:] >= high[:-1])
+        out = []
+        for a, b in zip(low[cut], high[np.append(cut[1:], True)], strict=True):
+            inside = local[np.searchsorted(at, a) : np.searchsorted(at, b)]
+            if np.minimum(np.bincount(inside, minlength=len(words)), times).sum() >= need:
+                out.append((max(0, int(a)), int(b)))
+        return out
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -141,76 +141,83 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _align(slack: float, least: float):
+def _align(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Best alignment of each row's item with its passage, near the diagonals of the seeds."""
+        """The best alignment of each row and item, where it counts."""
+        items = object.__new__(Items)
+        vars(items).update(shared.value)
+        if not len(items.flat):
+            return
+        scratch = np.full(len(items.vocabulary), -1, np.int64)
+        step = max(1, CELLS // len(items.vocabulary))
         for batch in batches:
+            flat, offsets = _lists(batch.column("words"))
+            at, code = items.found(flat)
+            row = np.repeat(np.arange(len(batch)), np.diff(offsets))[at]
+            bounds = np.searchsorted(row, np.arange(len(batch) + 1))
             rows = []
-            columns = [batch.column(c) for c in ("doc", "item", "start", "words", "item_words", "shifts")]
-            for k in range(len(batch)):
-                doc, item, start = (c[k].as_py() for c in columns[:3])
-                words, own, shifts = (np.asarray(c[k].values) for c in columns[3:])
-                extra = int(len(own) * slack) + 2
-                done = -1
-                for shift in np.unique(shifts):  # place in the document of the item's first word, as a seed has it
-                    low = max(0, int(shift) - start - extra)
-                    high = min(len(words), int(shift) - start + len(own) + extra)
-                    if high <= done:
-                        continue
-                    # Neighbouring diagonals within the slack are seen by one alignment.
-                    score, a, b = align(own, words[low:high])
-                    done = high if score else done
-                    share = score / (MATCH * len(own))
-                    if share >= least:
-                        rows.append((doc, item, share, start + low + a, start + low + b))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * 5, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)], ["doc", "item", "score", "first_word", "end_word"])
+            for r0 in range(0, len(batch), step):
+                r1 = min(len(batch), r0 + step)
+                a, b = bounds[r0], bounds[r1]
+                for r, item in items.candidates(row[a:b] - r0, code[a:b], r1 - r0):
+                    r += r0
+                    own = items.flat[items.offsets[item] : items.offsets[item + 1]]
+                    words = flat[offsets[r] : offsets[r + 1]]
+                    mine = slice(bounds[r], bounds[r + 1])
+                    got = []
+                    for low, high in items.passages(item, at[mine] - offsets[r], code[mine], scratch):
+                        score, x, y = align(own, words[low:high])
+                        if score / (MATCH * len(own)) >= least:
+                            got.append((score / (MATCH * len(own)), -(low + x), low + y))
+                    if got:
+                        share, first, end = max(got)
+                        rows.append((r, items.ids[item], share, -first, end))
+            r, *found = zip(*rows, strict=True) if rows else [[]] * 5
+            r = pa.array(r, pa.int64())
+            columns = [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(r), batch.column("text").take(r), *columns], ["doc", "text", "item", "score", "first_word", "end_word"])
 
     return run
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, size: int = GRAM, rare: float = RARE, least_seeds: int = LEAST_SEEDS) -> DataFrame:
+def _leaks(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
+    """Rows (doc, text, item, score, first_word, end_word); doc and text, a hash, name a row of docs."""
+    spark = docs.sparkSession
+    items = benchmark.select(id_or_content(benchmark["item_id"], text_of(benchmark)).alias("item"), word_hashes(text_of(benchmark)).alias("words")).where(F.size("words") > 0)
+    items = written(items.distinct())
+    parts = -(-(items.agg(F.sum(F.size("words"))).first()[0] or 1) // BATCH_WORDS)
+    base = docs.select(id_or_content(docs["doc_id"], text_of(docs)).alias("doc"), F.xxhash64(text_of(docs)).alias("text"), word_hashes(text_of(docs)).alias("words"))
+    found = []
+    for k in range(parts):
+        batch = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k).toArrow()
+        flat, offsets = _lists(batch.column("words").combine_chunks()) if len(batch) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
+        shared = spark.sparkContext.broadcast(vars(Items(batch.column("item").to_numpy(), flat, offsets, least)))
+        found.append(base.mapInArrow(_align(shared, least), "doc long, text long, item long, score double, first_word long, end_word long"))
+    aligned = found[0]
+    for more in found[1:]:
+        aligned = aligned.unionByName(more)
+    best = aligned.groupBy("doc", "text", "item").agg(F.max(F.struct("score", (-F.col("first_word")).alias("minus"), "end_word")).alias("best"))
+    return best.select("doc", "text", "item", "best.score", (-F.col("best.minus")).alias("first_word"), "best.end_word")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """Rows (doc_id, item_id, score, first_word, end_word): each pair of a row of docs (doc_id, text) and a benchmark item
     (item_id, text) whose words align with `least` or more of the item's best possible score, and the words of the
     document, from 0, that align best.
 
-    Words are lower-cased and split at blanks. The documents that hold each n-gram of an item are counted over the whole corpus;
-    the rarest share `rare` of each item's n-grams (at least `least_seeds`, ties by hash) are its seeds, so even an item that
-    every document quotes has seeds. Documents are read once for the counts and once for the seeds, through a filter of fixed
-    size that passes few other n-grams; what passes is joined with the items exactly. Passages around seeds go on, not texts.
+    Words are lower-cased and split at blanks. The seeds of an item are its rarest words, by the items that share them, and as many
+    as no alignment of `least` can do without; a document with a seed is a candidate. It is aligned where enough of the item's
+    words are near one another. Neither step drops an alignment that counts, so the pairs are those of aligning
+    all items with all whole documents. Documents are read once for each batch of items; only what aligned is shuffled.
 
-    Null and empty texts hold nothing, and null or empty items match nothing. An item with fewer words than an n-gram is one
-    seed of all its words, found only in texts that are these words. Items with equal texts match alike. A missing doc_id or item_id is
-    returned as null. Repeated rows give repeated pairs once. Empty tables give an empty table. Other columns are not used.
+    Null and empty texts hold nothing, and null or empty items match nothing. Items with equal texts match alike. A missing doc_id or item_id is
+    returned as null. Repeated rows give repeated pairs once; rows that share a doc_id and hold different texts are rows of their own. Empty tables give an empty table. Other columns are not used.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(id_or_content(benchmark["item_id"], text_of(benchmark)).alias("item"), word_hashes(text_of(benchmark)).alias("words")).where(F.size("words") > 0)
-    items = written(items.distinct())
-    all_grams = written(items.mapInArrow(_item_grams(size), "item long, at long, gram long"))
-    longest = items.agg(F.max(F.size("words"))).first()[0] or 0
-    base = docs.select(id_or_content(docs["doc_id"], text_of(docs)).alias("doc"), word_hashes(text_of(docs)).alias("words"))
-    bits = spark.sparkContext.broadcast(bit_filter(all_grams.select("gram").distinct()))
-    counts = base.select("words").mapInArrow(_count(bits, size), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    known = all_grams.select("gram").distinct().join(counts, "gram", "left").select("gram", F.coalesce("n", F.lit(0)).alias("n"))
-    per_item = all_grams.join(known, "gram").withColumn("order", F.row_number().over(Window.partitionBy("item").orderBy("n", "gram", "at"))).withColumn("of", F.count("*").over(Window.partitionBy("item")))
-    seeds = written(per_item.where(F.col("order") <= F.greatest(F.lit(least_seeds), F.ceil(F.col("of") * rare))).select("item", "at", "gram"))
-    bits = spark.sparkContext.broadcast(bit_filter(seeds.select("gram").distinct()))
-    reach = int(longest * (1 + SLACK)) + 2
-    passages = base.mapInArrow(_find(bits, size, reach), "doc long, start long, words array<long>, seeds array<struct<at:long,gram:long>>")
-    passages = written(passages.withColumn("passage", F.xxhash64("doc", "start", "words")))
-    hits = passages.select("doc", "passage", F.explode("seeds").alias("seed")).select("doc", "passage", F.col("seed.at").alias("at"), F.col("seed.gram").alias("gram"))
-    found = hits.join(seeds.withColumnRenamed("at", "item_at"), "gram").groupBy("doc", "passage", "item").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts"))
-    texts = passages.select("doc", "passage", "start", "words").dropDuplicates(["doc", "passage"])
-    pairs = found.join(texts, ["doc", "passage"]).join(items.select("item", F.col("words").alias("item_words")), "item")
-    aligned = pairs.select("doc", "item", "start", "words", "item_words", "shifts").mapInArrow(_align(SLACK, least), "doc long, item long, score double, first_word long, end_word long")
-    best = aligned.groupBy("doc", "item").agg(F.max(F.struct("score", -F.col("first_word"), F.col("end_word"))).alias("best"))
-    return best.select(
-        below_stand_in(F.col("doc")).alias("doc_id"), below_stand_in(F.col("item")).alias("item_id"), F.col("best.score").alias("score"),
-        (-F.col("best.col2")).alias("first_word"), F.col("best.end_word").alias("end_word"), F.col("doc").alias("row_id"),
-    )
-
-
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    return _leaks(docs, benchmark, least).select(below_stand_in(F.col("doc")).alias("doc_id"), below_stand_in(F.col("item")).alias("item_id"), "score", "first_word", "end_word", F.col("doc").alias("row_id"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of docs that hold no benchmark item."""
-    bad = matches(docs, benchmark, **options).select("row_id").distinct()
+    bad = matches(docs, benchmark, least).select("row_id").distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), id_or_content(docs["doc_id"], text_of(docs)).alias("row_id"))
     return rows.join(bad, "row_id", "left_anti").select("doc.*")

@@ -121,6 +121,24 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.matches(none, bench).count() == 0 and decontaminate.matches(odd, bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_edited_copies(spark, exact):
+    """Copies with every 4th, 5th and 6th word changed, and one with a word put in after every 2, beside exact copies or not."""
+    items = [text(7100 + i, 24 + i) for i in range(6)]
+    docs = [(1000 + i, text(7200 + i, 50) + " " + t + " " + text(7300 + i, 50)) for i, t in enumerate(items) if exact]
+    for i, t in enumerate(items):
+        words = t.split()
+        for every in (4, 5, 6):
+            docs.append((10 * i + every, text(7400 + i, 30) + " " + " ".join(f"new{k}" if k % every == every - 1 else w for k, w in enumerate(words)) + " " + text(7500 + i, 30)))
+        docs.append((10 * i, " ".join(w + f" more{k}" * (k % 2) for k, w in enumerate(words))))
+    docs += [(2000 + i, text(7600 + i, 200)) for i in range(30)]
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    number = lambda t: np.array([int(hashlib.md5(w.encode()).hexdigest()[:12], 16) for w in t.split()])
+    want = {(d, i): decontaminate.align(number(x), number(t))[0] / (2 * len(x.split())) for d, t in docs for i, x in enumerate(items)}
+    want = {k: v for k, v in want.items() if v >= decontaminate.LEAST}
+    assert len(want) >= (30 if exact else 24) and {(r.doc_id, r.item_id): r.score for r in got.collect()} == want
+
+
 def test_alignment_brute():
     r = np.random.default_rng(3)
     for _ in range(30):
