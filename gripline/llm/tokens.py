@@ -42,8 +42,9 @@ class Encoder:
     """Ids of whole texts from the ids of their words.
 
     The vocabulary's pre-tokenizer never joins characters across a blank, and its normal form changes none, so a text's
-    ids are its words' ids in order. A word is encoded once and kept; the tail of plain punctuation is a unit of its own for the
-    pre-tokenizer, and ASCII words are lower-cased as its normal form does, so both are taken off before the look-up.
+    ids are its words' ids in order. A word is encoded once and kept; a tail of plain punctuation after a letter or number is a
+    unit of its own for the pre-tokenizer, and ASCII words are lower-cased as its normal form does, so both are taken off before
+    the look-up. After another sign the tail is part of that sign's unit, and the word is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,6 +57,7 @@ class Encoder:
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.parted: dict[str, bool] = {"": True}
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = sorted({s[:1] if s[1:2].isalnum() else s[:2] for s in specials if s})
 
@@ -76,6 +78,15 @@ class Encoder:
             self.recent, self.older = {}, recent
         return found
 
+    def _parts(self, c: str) -> bool:
+        """Whether the pre-tokenizer cuts between a character and the punctuation after it."""
+        if c not in self.parted:
+            normal = self.tokenizer.normalizer
+            both = c + PUNCTUATION
+            pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal.normalize_str(both) if normal else both)
+            self.parted[c] = pieces[-1][0] == PUNCTUATION
+        return self.parted[c]
+
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. Texts that may hold a special token, which can span words, go to the tokenizer whole."""
         out: list[np.ndarray | None] = [None] * len(texts)
@@ -87,8 +98,12 @@ class Encoder:
             split = pc.ascii_split_whitespace(pa.array([texts[i] for i in rest], pa.large_string()))
             words = split.values.dictionary_encode()
             bare = pc.utf8_rtrim(words.dictionary, PUNCTUATION)
+            before = pc.utf8_slice_codeunits(bare, -1).dictionary_encode()
+            parted = pa.array([self._parts(c) for c in before.dictionary.to_pylist()], pa.bool_()).take(before.indices)
+            bare = pc.if_else(parted, bare, words.dictionary)
             heads = pc.if_else(pc.string_is_ascii(bare), pc.ascii_lower(bare), bare).dictionary_encode()
-            tails = pc.replace_substring_regex(words.dictionary, f"^(?:.*[^{PUNCTUATION}])?([{PUNCTUATION}]*)$", r"\1").dictionary_encode()
+            tails = pc.replace_substring_regex(words.dictionary, f"^(?:.*[^{PUNCTUATION}])?([{PUNCTUATION}]*)$", r"\1")
+            tails = pc.if_else(parted, tails, "").dictionary_encode()
             ids = self._look_up(heads.dictionary.to_pylist() + tails.dictionary.to_pylist())
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             starts = np.cumsum(sizes) - sizes

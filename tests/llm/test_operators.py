@@ -368,6 +368,19 @@ def test_tokens_equal_the_tokenizer(spark, odd, none, tmp_path):
     assert tokens.round_trip(none).count() == 0
 
 
+def test_tokens_of_mixed_signs():
+    """Words whose punctuation follows another sign, which the pre-tokenizer takes together."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    whole = Tokenizer.from_file(path)
+    heads = ["hello)", 'said "yes"', "it's'", "5%", "x*", "-", "a]", "é", "É\u0301", "x\u0301", "日本", "日。", "²", "İ", "x\u00a0", "\u037e", "(", "", "😀", "a_", "Don't", "a.b)"]
+    mixed = [f"The {h}{t} End{t}" for h in heads for t in (".", ",", "!?", "...", ";:", "")]
+    mixed += ['The rule (see above). He said "yes", then left.', 'one "!!, two ").. three', '"', ")."]
+    assert [x.tolist() for x in tokens.Encoder(path).texts(mixed)] == [whole.encode(t, add_special_tokens=False).ids for t in mixed]
+
+
 # --- 9 lines
 def brute_lines(rows):
     key = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip(" \t\n\x0b\x0c\r"))
