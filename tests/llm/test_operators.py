@@ -139,6 +139,12 @@ def test_edited_copies(spark, exact):
     assert len(want) >= (30 if exact else 24) and {(r.doc_id, r.item_id): r.score for r in got.collect()} == want
 
 
+def test_short_items(spark):
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, text(1) + " Alpha BETA " + text(2)), (3, text(3) + " beta alpha " + text(4)), (4, "x gamma"), (5, text(5))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "alpha beta"), (2, "gamma")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id, r.first_word, r.end_word) for r in decontaminate.matches(docs, bench).collect()} == {(1, 1, 0, 2), (2, 1, 60, 62), (4, 2, 1, 2)}
+
+
 def test_alignment_brute():
     r = np.random.default_rng(3)
     for _ in range(30):
