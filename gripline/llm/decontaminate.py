@@ -218,6 +218,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> Data
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of docs that hold no benchmark item."""
-    bad = matches(docs, benchmark, least).select("row_id").distinct()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), id_or_content(docs["doc_id"], text_of(docs)).alias("row_id"))
-    return rows.join(bad, "row_id", "left_anti").select("doc.*")
+    bad = _leaks(docs, benchmark, least).select(F.col("doc").alias("row_id"), F.col("text").alias("row_text")).distinct()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), id_or_content(docs["doc_id"], text_of(docs)).alias("row_id"), F.xxhash64(text_of(docs)).alias("row_text"))
+    return rows.join(bad, ["row_id", "row_text"], "left_anti").select("doc.*")

@@ -339,9 +339,19 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that come first in their class, one for each class."""
-    kept = near_duplicates(docs, **options).where("kept").select("row_id").distinct()
+    """The rows of docs that come first in their class, one for each class.
+
+    Of texts that share a doc_id, the one with the least hash has it here and the others count as rows without doc_id, so that each is
+    compared for itself.
+    """
     every = [docs[c] for c in docs.columns]
-    rows = docs.select(F.struct(*every).alias("doc"), id_or_content(docs["doc_id"], text_of(docs)).alias("row_id"), F.xxhash64(*every).alias("tie"))
+    hashed = F.xxhash64(text_of(docs))
+    several = docs.where(docs["doc_id"].isNotNull()).groupBy(docs["doc_id"].cast("long").alias("id")).agg(F.min(hashed).alias("least"), F.max(hashed).alias("most"))
+    several = written(several.where("least <> most").select("id", "least"))
+    named = docs.join(several, docs["doc_id"].cast("long") == several["id"], "left")
+    own = F.when(several["id"].isNull() | (hashed == several["least"]), docs["doc_id"].cast("long"))
+    rows = named.select(F.struct(*every).alias("doc"), own.alias("own"), text_of(docs).alias("text"), F.xxhash64(*every).alias("tie"))
+    kept = near_duplicates(rows.select(F.col("own").alias("doc_id"), "text"), **options).where("kept").select("row_id").distinct()
+    rows = rows.select("doc", id_or_content(rows["own"], rows["text"]).alias("row_id"), "tie")
     rows = rows.join(kept, "row_id", "left_semi").groupBy("row_id").agg(F.min_by("doc", "tie").alias("doc"))
     return rows.select("doc.*")

@@ -255,6 +255,15 @@ def test_near_duplicates(spark, odd, none):
     assert one.columns == rows.columns and one.count() == len({r.row_id for r in got if r.kept})
 
 
+def test_repeated_ids(spark):
+    """Rows that share a doc_id and hold different texts: only those near another, or with a leak, go."""
+    rows = [(1, text(1)), (1, text(2)), (1, text(2)), (2, text(3)), (3, text(2)), (4, text(4) + " " + text(5, 20)), (4, text(6))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.text for r in minhash.one_of_each(docs).collect()) == sorted({t for _, t in rows})
+    clean = decontaminate.without_leaks(docs, spark.createDataFrame([(1, text(5, 20))], "item_id long, text string"))
+    assert sorted(map(tuple, clean.collect())) == sorted(r for r in rows if r != rows[5])
+
+
 def test_large_group_of_near_copies(spark):
     base = text(77, 100).split()
     rows = [(i, " ".join([*base[: i % 90], f"new{i}", *base[i % 90 + 1 :]])) for i in range(300)]
