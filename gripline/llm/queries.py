@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gripline.llm import decontaminate, hilbert, lines, minhash, mixing, quality, tokens, toxicity, vectors, warc
+from gripline.llm import decontaminate, hilbert, infill, lines, minhash, mixing, negatives, packing, quality, tokens, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,9 +72,29 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every positive of every anchor, against all vectors."""
+    rows = table(spark, folder, "embeddings")
+    return negatives.hard_negatives(rows, label=negatives.shifted_label(rows))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts cut and put together anew, and what their outputs give back."""
+    rows = infill.fill_in_middle(table(spark, folder, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    back = infill.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"), sha(back).alias("restored_sha256"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 tokens."""
+    cut = packing.pieces(table(spark, folder, "documents"))
+    return packing.digest(cut, packing.pack(cut))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_mixing, op2_embedding_dedup, op3_decontamination, op4_quality, op5_near_dedup, op6_sharding, op7_toxicity, op8_token_files, op9_line_dedup, op10_warc)
+    for f in (op1_mixing, op2_embedding_dedup, op3_decontamination, op4_quality, op5_near_dedup, op6_sharding, op7_toxicity, op8_token_files, op9_line_dedup, op10_warc, op11_hard_negatives, op12_fill_in_middle, op13_packing)
 }
 
 #: Hash parts and offsets of the sampling, as in common.spread and mixing.mix.
@@ -130,4 +150,25 @@ c as (select a as vec_id, count(*) as n_links from l group by a)
 select m.vec_id, coalesce(c.n_links, 0)::bigint as n_links, m.component_id, m.vec_id = m.component_id as kept from m left join c on m.vec_id = c.vec_id
 """
 
-SQL: dict[str, str] = {"op1_mixing": OP1, "op2_embedding_dedup": OP2, "op9_line_dedup": OP9, "op10_warc": OP10}
+OP11 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * x::double) for x in embedding] as q from embeddings
+           where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.q, b.q)::bigint as score from v a join v b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (select p.*, s.vec_id as negative_id, s.score as negative_score, row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+      from p join s using (anchor_id) where not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""
+
+OP12 = """
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as h from documents),
+u as (select *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as us, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2, ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4 from d),
+c as (select *, len(us) as n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) as a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) as b,
+      case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from u),
+x as (select *, array_to_string(us[1:a], '') as p, array_to_string(us[a + 1:b], '') as m, array_to_string(us[b + 1:], '') as s from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p) end::bigint as prefix_chars, case when form <> 'plain' then length(m) end::bigint as middle_chars,
+       sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else t end) as output_sha256, sha256(t) as restored_sha256
+from x
+"""
+
+SQL: dict[str, str] = {"op1_mixing": OP1, "op2_embedding_dedup": OP2, "op9_line_dedup": OP9, "op10_warc": OP10, "op11_hard_negatives": OP11, "op12_fill_in_middle": OP12}
