@@ -1,7 +1,7 @@
 """Geometry from depth pixels: error of a contact point, patch, normal, crop and point cloud.
 
-`depth` rows: episode_id, frame_index, x, y (whole pixels), depth_m. Only frames with a wanted contact
-pixel meet the depth table, on (episode_id, frame_index).
+`depth` rows: episode_id, frame_index, x, y (whole pixels), depth_m. Only tiles near a wanted contact
+pixel meet it, on (episode_id, frame_index, tile). Where frame numbers repeat, contacts carry `step`, and so do results.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gripline.functions.geometry import lift_pixel, project_pinhole, whole_pixel
-from gripline.operators.blocks import KEY
+from gripline.operators.blocks import BLOCK, KEY, block_number
+from gripline.operators.tiles import FRAME, PLACE, around, frame_key, squared_gap, tiled, tiles_in_reach
+from gripline.sources.session import settle
 
 PATCH_POINTS = 32  # fixed values
 PATCH_SIZE = 32
 MAX_POINTS = 8192
-
-FRAME = [KEY, "frame_index"]
+SPREAD_RANGE = 4096  # values of the spread order counted together: 245 ranges
 
 
 def contact_point(frames: DataFrame, x: str = "x", y: str = "y", z: str = "z") -> DataFrame:
@@ -52,11 +53,6 @@ def deprojection_error(contacts: DataFrame, depth: DataFrame) -> DataFrame:
     return joined.withColumn("deprojection_err_mm", F.coalesce(error, F.lit(-1.0))).drop("depth_m")
 
 
-def pixel_gap() -> tuple[Column, Column]:
-    """Offset from the contact pixel, as doubles: a point near the image plane has a pixel far outside."""
-    return (F.col("x") - F.col("pu")).cast("double"), (F.col("y") - F.col("pv")).cast("double")
-
-
 GROUP_LIMIT = 1000  # Spark applies a limit on a rank before the shuffle up to this number
 SALTS = 4096
 
@@ -77,17 +73,22 @@ def nearest_first(group: list[str], order: list[Column], keep: int, rows: DataFr
 
 
 def contact_patch(contacts: DataFrame, depth: DataFrame, mask: DataFrame | None = None, points: int = PATCH_POINTS) -> DataFrame:
-    """The `points` depth pixels closest to the contact pixel (inside the mask if given), lifted to 3D."""
-    if mask is not None:
-        depth = depth.join(mask.select(*FRAME, "x", "y"), [*FRAME, "x", "y"], "left_semi")
+    """The `points` depth pixels closest to the contact pixel (inside the mask if given), lifted to 3D.
+
+    Only the tiles in reach of a contact pixel are ranked. Without calibration the points have null coordinates.
+    """
     wanted = contacts.where("pu is not null")
-    near = depth.join(wanted.select(*FRAME, "pu", "pv"), FRAME)
-    dx, dy = pixel_gap()
-    chosen = nearest_first(FRAME, [F.col("_gap"), F.col("y"), F.col("x"), F.col("depth_m")], points, near.withColumn("_gap", dx * dx + dy * dy), "rank")
+    pixels = tiled(depth.join(wanted.select(*FRAME).distinct(), FRAME, "left_semi"))
+    if mask is not None:
+        # counted and then read: the pixels of a mask are few
+        pixels = settle(pixels.join(mask.select(*FRAME, "x", "y"), [*FRAME, "x", "y"], "left_semi"))
+    who = frame_key(contacts)
+    near = pixels.join(tiles_in_reach(wanted, pixels, points), [*FRAME, *PLACE])
+    chosen = nearest_first(who, [F.col("_gap"), F.col("y"), F.col("x"), F.col("depth_m")], points, near.withColumn("_gap", squared_gap()), "rank")
     # cameras meet only the pixels that were kept
-    chosen = chosen.join(wanted.select(*FRAME, "K", "T"), FRAME)
+    chosen = chosen.select(*who, "rank", "x", "y", "depth_m").join(wanted.select(*who, "K", "T"), who)
     px, py, pz = lift_pixel(F.col("x").cast("double"), F.col("y").cast("double"), F.col("depth_m"), F.col("K"), F.col("T"))
-    return chosen.select(*FRAME, "rank", "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), "T")
+    return chosen.select(*who, "rank", "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), "T")
 
 
 def smallest_eigenvector(rows: DataFrame, cov: tuple[str, ...]) -> DataFrame:
@@ -125,12 +126,17 @@ def _cross(m: tuple[str, ...], n: tuple[str, ...]) -> str:
     return f"named_struct('n', {x} * {x} + {y} * {y} + {z} * {z}, 'x', {x}, 'y', {y}, 'z', {z})"
 
 
-def surface_normal(patch: DataFrame) -> DataFrame:
-    """Direction of least spread of each patch, turned toward the camera; null when it is not defined."""
+def patch_summary(patch: DataFrame) -> DataFrame:
+    """Per frame: the number of points, the points in order of rank, and the direction of least spread (nx, ny, nz).
+
+    The direction is turned toward the camera and null when it is not defined.
+    """
     pairs = ("px", "py", "pz")
+    who = frame_key(patch)
     cov = {f"c{i}{j}": F.covar_pop(pairs[i], pairs[j]) for i in range(3) for j in range(i, 3)}
-    sums = patch.groupBy(*FRAME).agg(
-        F.count(F.lit(1)).alias("points"), F.first("T").alias("T"), *[F.avg(p).alias(f"m{p}") for p in pairs], *[c.alias(n) for n, c in cov.items()]
+    listed = F.sort_array(F.collect_list(F.struct("rank", F.array(*pairs).alias("p"))))
+    sums = patch.groupBy(*who).agg(
+        F.count(F.lit(1)).alias("points"), listed.alias("_listed"), F.first("T").alias("T"), *[F.avg(p).alias(f"m{p}") for p in pairs], *[c.alias(n) for n, c in cov.items()]
     )
     found = smallest_eigenvector(sums, tuple(cov))
     # camera position in robot axes: -R^T t
@@ -139,26 +145,59 @@ def surface_normal(patch: DataFrame) -> DataFrame:
     toward = sum((F.col(e) * (c - F.col(m)) for e, c, m in zip(("ex", "ey", "ez"), camera, ("mpx", "mpy", "mpz"))), F.lit(0.0))
     sign = F.when(toward < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     turned = found.withColumn("_sign", sign)
-    return turned.select(*FRAME, "points", *[(F.col(f"e{a}") * F.col("_sign")).alias(f"n{a}") for a in "xyz"])
+    return turned.select(*who, "points", F.col("_listed")["p"].alias("xyz"), *[(F.col(f"e{a}") * F.col("_sign")).alias(f"n{a}") for a in "xyz"])
+
+
+def surface_normal(patch: DataFrame) -> DataFrame:
+    """Direction of least spread of each patch, turned toward the camera; null when it is not defined."""
+    return patch_summary(patch).drop("xyz")
 
 
 def depth_patch(contacts: DataFrame, depth: DataFrame, size: int = PATCH_SIZE) -> DataFrame:
     """Depth rows of a size x size crop around the contact pixel, with their place in the crop."""
     half = size // 2
-    inside = lambda c, p: (F.col(c) >= F.col(p) - half) & (F.col(c) < F.col(p) + half)
-    near = depth.join(contacts.select(*FRAME, "pu", "pv").where("pu is not null"), FRAME).where(inside("x", "pu") & inside("y", "pv"))
+    near = around(contacts, depth, half, size - half)
     return near.select(
-        *FRAME, (F.col("y") - F.col("pv") + half).alias("row"), (F.col("x") - F.col("pu") + half).alias("col"), "depth_m"
+        *frame_key(contacts), (F.col("y") - F.col("pv") + half).alias("row"), (F.col("x") - F.col("pu") + half).alias("col"), "depth_m"
     )
 
 
+def crop_grid(crop: DataFrame, size: int = PATCH_SIZE) -> DataFrame:
+    """Crops as rows of cells (`grid`): null where a cell has no depth, the smallest where it has several.
+
+    Rows are built first, then stacked, so no group has more than `size` members.
+    """
+    who = frame_key(crop)
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(size - 1).cast("bigint"))
+    cells = crop.groupBy(*who, "row", "col").agg(F.min("depth_m").alias("depth_m"))
+    at = F.map_from_entries(F.collect_list(F.struct("col", "depth_m")))
+    rows = cells.groupBy(*who, "row").agg(at.alias("_at")).select(*who, "row", F.transform(numbers, lambda c: F.try_element_at("_at", c)).alias("_cells"))
+    stacked = rows.groupBy(*who).agg(F.map_from_entries(F.collect_list(F.struct("row", "_cells"))).alias("_rows"))
+    empty = F.transform(numbers, lambda _: F.lit(None).cast("double"))
+    return stacked.select(*who, F.transform(numbers, lambda r: F.coalesce(F.try_element_at("_rows", r), empty)).alias("grid"))
+
+
 def spread_order(x: Column, y: Column) -> Column:
     """A fixed shuffle of pixels that both Spark and SQL can compute: used to thin a cloud evenly."""
     return F.pmod(x * F.lit(7919) + y * F.lit(104729), F.lit(1000003))
 
 
 def point_cloud(depth: DataFrame, calibration: DataFrame, max_points: int = MAX_POINTS, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Depth pixels as 3D points, at most `max_points` per frame in a fixed spread order."""
-    thin = nearest_first(FRAME, [spread_order(F.col("x"), F.col("y")), F.col("y"), F.col("x"), F.col("depth_m")], max_points, depth, "_rank")
+    """Depth pixels as 3D points, at most `max_points` per frame, the first in a fixed spread order.
+
+    The order's values are counted in ranges. Ranges that begin beyond the limit are left out by an inner join, and pixels are
+    ranked inside their range only, so no frame is sorted as a whole. Cameras meet blocks of frames; frames of an
+    episode without a camera have no points.
+    """
+    order = spread_order(F.col("x"), F.col("y"))
+    ranged = depth.withColumn("_order", order).withColumn("_range", F.floor(order / F.lit(SPREAD_RANGE)))
+    group = [*FRAME, "_range"]
+    counts = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*FRAME).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    kept = counts.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < max_points)
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order", "y", "x", "depth_m"))
+    thin = ranged.join(kept.drop("_n"), group).withColumn("_rank", rank).where(F.col("_before") + F.col("_rank") <= max_points)
+    blocked = thin.withColumn("_blk", block_number(F.col("frame_index"), BLOCK))
+    blocks = counts.select(KEY, block_number(F.col("frame_index"), BLOCK).alias("_blk")).distinct().join(calibration, KEY)
     px, py, pz = lift_pixel(F.col("x").cast("double"), F.col("y").cast("double"), F.col("depth_m"), F.col("K"), F.col("T"))
-    return thin.join(calibration, KEY).select(*FRAME, "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), *extra)
+    return blocked.join(blocks, [KEY, "_blk"]).select(*FRAME, "x", "y", px.alias("px"), py.alias("py"), pz.alias("pz"), *extra)

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gripline.operators.blocks import KEY
-from gripline.operators.depth import FRAME, nearest_first, pixel_gap
+from gripline.operators.depth import FRAME, nearest_first
+from gripline.operators.tiles import around, frame_key, squared_gap
 
 # --- fixed values: score thresholds of the detectors --------------------------------------
 TRACKER_SCORE = 0.5
@@ -57,9 +58,10 @@ def object_box(detections: DataFrame, threshold: float = BOX_SCORE, gripper_prom
     return best_of(detections.where((F.col("score") > threshold) & (F.col("label") != gripper_prompt)), tuple(FRAME))
 
 
-def mask_bbox(pixels: DataFrame, group: tuple[str, ...] = (*FRAME, "obj_id")) -> DataFrame:
-    """Tight box around the pixels of a mask, corners included."""
-    return pixels.groupBy(*group).agg(*box_of_pixels())
+def mask_bbox(pixels: DataFrame, group: tuple[str, ...] = (*FRAME, "obj_id"), roster: DataFrame | None = None) -> DataFrame:
+    """Tight box around the pixels of a mask, corners included. With a roster of masks, an empty one has a row with null corners."""
+    boxes = pixels.groupBy(*group).agg(*box_of_pixels())
+    return boxes if roster is None else roster.select(*group).distinct().join(boxes, list(group), "left")
 
 
 def box_of_pixels() -> list[Column]:
@@ -79,10 +81,9 @@ def frame_zero_override(mask_boxes: DataFrame, detector_boxes: DataFrame) -> Dat
 
 
 def mask_contact_crop(pixels: DataFrame, contacts: DataFrame, radius: int = CROP_RADIUS) -> DataFrame:
-    """Tight box of the mask pixels within `radius` of the contact pixel, per frame."""
-    near = pixels.join(contacts.select(*FRAME, "pu", "pv"), FRAME)
-    dx, dy = pixel_gap()
-    return near.where(dx * dx + dy * dy <= radius * radius).groupBy(*FRAME).agg(*box_of_pixels(), F.count(F.lit(1)).alias("pixels"))
+    """Tight box of the mask pixels within `radius` of the contact pixel, per frame. Only tiles near that pixel are met."""
+    near = around(contacts, pixels, radius, radius + 1).where(squared_gap() <= radius * radius)
+    return near.groupBy(*frame_key(contacts)).agg(*box_of_pixels(), F.count(F.lit(1)).alias("pixels"))
 
 
 def top_k_candidates(candidates: DataFrame, k: int = 5, group: tuple[str, ...] = tuple(FRAME), tie: str = "cand_idx") -> DataFrame:

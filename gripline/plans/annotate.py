@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gripline.functions.geometry import affordance_box, project_pinhole, whole_pixel
-from gripline.operators.blocks import KEY, attach_episode
-from gripline.operators.depth import contact_patch, deprojection_error
+from gripline.operators.blocks import KEY, attach_episode, longest_of, note_longest
+from gripline.operators.depth import contact_patch, crop_grid, depth_patch, deprojection_error, patch_summary
 from gripline.operators.language import language_tags
 from gripline.operators.phases import five_phases
 from gripline.operators.quality import frame_confidence, is_valid, trajectory_quality
 from gripline.operators.signals import ee_velocity, past, point
 from gripline.sources import sinks
+from gripline.sources.session import settle
 
 
 def geometry(indexed: DataFrame, episodes: DataFrame, calibration: DataFrame, eps: float = 0.02) -> DataFrame:
@@ -38,28 +39,40 @@ def geometry(indexed: DataFrame, episodes: DataFrame, calibration: DataFrame, ep
     )
 
 
-def with_depth(rows: DataFrame, depth: DataFrame | None, mask: DataFrame | None = None) -> DataFrame:
-    """patch_points and deprojection_err_mm of contact frames; 0 and -1 elsewhere and without depth."""
+def with_depth(rows: DataFrame, depth: DataFrame | None, mask: DataFrame | None = None, fields: bool = True) -> DataFrame:
+    """Patch, normal, crop and depth error of contact frames; empty and -1 elsewhere and without depth.
+
+    Frames are told apart by step, so that a repeated frame number multiplies nothing. Without `fields` only what quality
+    needs is found: patch_points and deprojection_err_mm.
+    """
+    points, grid = "array<array<double>>", "array<array<double>>"
+    empty = {"contact_patch_xyz": points, "surface_normal": "array<double>", "depth_patch_32x32": grid}
     if depth is None:
-        return rows.withColumn("patch_points", F.lit(0)).withColumn("deprojection_err_mm", F.lit(-1.0))
-    touching = rows.where((F.col("phase") == "contact") & F.col("pixel").isNotNull() & F.col("K").isNotNull()).select(
-        KEY,
-        "frame_index",
-        F.col("x").alias("contact_x"),
-        F.col("y").alias("contact_y"),
-        F.col("z").alias("contact_z"),
-        F.col("pixel")["u"].alias("pu"),
-        F.col("pixel")["v"].alias("pv"),
-        "K",
-        "T",
+        none = {c: F.array().cast(kind) for c, kind in empty.items()}
+        return rows.withColumns({**none, "patch_points": F.lit(0), "deprojection_err_mm": F.lit(-1.0)})
+    u, v = F.col("pixel")["u"].alias("pu"), F.col("pixel")["v"].alias("pv")
+    place = [F.col(a).alias(f"contact_{a}") for a in "xyz"]
+    touching = rows.where((F.col("phase") == "contact") & F.col("pixel").isNotNull()).select(KEY, "frame_index", "step", *place, u, v, "K", "T")
+    known = touching.where(F.col("K").isNotNull() & F.col("T").isNotNull())
+    who = [KEY, "step"]
+    if not fields:
+        counted = contact_patch(known, depth, mask).groupBy(*who).agg(F.count(F.lit(1)).alias("patch_points"))
+        errors = deprojection_error(known, depth).select(*who, "deprojection_err_mm")
+        measured = rows.join(errors.join(counted, who, "left"), who, "left")
+        return measured.fillna({"patch_points": 0, "deprojection_err_mm": -1.0})
+    patch = patch_summary(contact_patch(known, depth, mask)).select(
+        *who, "points", F.col("xyz").alias("contact_patch_xyz"), F.when(F.col("nx").isNotNull(), F.array("nx", "ny", "nz")).alias("surface_normal")
     )
-    points = contact_patch(touching, depth, mask).groupBy(KEY, "frame_index").agg(F.count(F.lit(1)).alias("patch_points"))
-    errors = deprojection_error(touching, depth).select(KEY, "frame_index", "deprojection_err_mm")
-    found = errors.join(points, [KEY, "frame_index"], "left")
+    crop = crop_grid(depth_patch(touching, depth)).select(*who, F.col("grid").alias("depth_patch_32x32"))
+    errors = deprojection_error(touching, depth).select(*who, "deprojection_err_mm")
+    found = errors.join(patch, who, "left").join(crop, who, "left")
+    filled = {c: F.coalesce(F.col(c), F.array().cast(kind)) for c, kind in empty.items()}
     return (
-        rows.join(found, [KEY, "frame_index"], "left")
-        .withColumn("patch_points", F.coalesce("patch_points", F.lit(0)))
+        rows.join(found, who, "left")
+        .withColumns(filled)
+        .withColumn("patch_points", F.coalesce("points", F.lit(0)))
         .withColumn("deprojection_err_mm", F.coalesce("deprojection_err_mm", F.lit(-1.0)))
+        .drop("points")
     )
 
 
@@ -70,12 +83,41 @@ def with_quality(rows: DataFrame) -> DataFrame:
     return rows.withColumn("annotation_confidence", confidence).withColumn("annotation_valid", is_valid(F.col("annotation_confidence")))
 
 
+def annotated_rows(
+    indexed: DataFrame, episodes: DataFrame, calibration: DataFrame, depth: DataFrame | None = None, mask: DataFrame | None = None, eps: float = 0.02, fields: bool = True
+) -> DataFrame:
+    """Every frame with phase, 2D, 3D and quality values; without `fields`, no lists of 3D values."""
+    return with_quality(with_depth(geometry(indexed, episodes, calibration, eps), depth, mask, fields))
+
+
+def frame_records(rows: DataFrame, episodes: DataFrame) -> DataFrame:
+    tags = language_tags(episodes)
+    return sinks.export_frames(attach_episode(rows.drop("blk"), tags.select(KEY, "n_steps", "subtask_sequence")))
+
+
+def trajectory_records(rows: DataFrame, episodes: DataFrame) -> DataFrame:
+    tags = language_tags(episodes)
+    return sinks.export_trajectory(trajectory_quality(rows, tags.select(KEY, "language_quality")), tags)
+
+
 def annotate(
     indexed: DataFrame, episodes: DataFrame, calibration: DataFrame, depth: DataFrame | None = None, mask: DataFrame | None = None, eps: float = 0.02
 ) -> tuple[DataFrame, DataFrame]:
-    """(frame records, trajectory records). `episodes`: episode_id, n_steps, instruction."""
-    tags = language_tags(episodes)
-    rows = with_quality(with_depth(geometry(indexed, episodes, calibration, eps), depth, mask))
-    quality = trajectory_quality(rows, tags.select(KEY, "language_quality"))
-    named = attach_episode(rows.drop("blk"), tags.select(KEY, "n_steps", "subtask_sequence"))
-    return sinks.export_frames(named), sinks.export_trajectory(quality, tags)
+    """(frame records, trajectory records). `episodes`: episode_id, n_steps, instruction.
+
+    The annotated frames are written once and both records are read from them.
+    """
+    done = annotated_rows(indexed, episodes, calibration, depth, mask, eps)
+    rows = note_longest(settle(done), longest_of(done))
+    return frame_records(rows, episodes), trajectory_records(rows, episodes)
+
+
+def merge_annotations(*parts: DataFrame) -> DataFrame:
+    """Values of separate tables brought together by (episode, step), so that a frame number that repeats multiplies nothing.
+
+    The first table gives the rows; a row that another one lacks has nulls there.
+    """
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.join(part, [KEY, "step"], "left")
+    return merged

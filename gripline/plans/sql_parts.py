@@ -104,6 +104,29 @@ QUALITY = """scored as (
   select *, cast(trunc(u) as bigint) as pu, cast(trunc(v) as bigint) as pv,
     cast(case when u is null then 0.275 else 0.875 end as double) as annotation_confidence from pixels)"""
 
+# frames with depth: the patch, crop and depth error of contact frames that have a camera and depth
+QUALITY_3D = """pixel_rows as (select *, cast(trunc(u) as bigint) as pu, cast(trunc(v) as bigint) as pv from pixels),
+touching as (select * from pixel_rows where pu is not null and phase = 'contact'),
+lifted as (
+  select *, (x - 160.0) / 300.0 * depth_m - 0.05 as q0, (y - 90.0) / 290.0 * depth_m + 0.1 as q1, depth_m - 0.4 as q2 from depth_px where episode_id % 2 = 0),
+points as (select episode_id, frame_index, x, y, depth_m, 0.8 * q0 + 0.6 * q1 as px, -0.6 * q0 + 0.8 * q1 as py, q2 as pz from lifted),
+near as (
+  select p.*, row_number() over (partition by episode_id, frame_index order by (p.x - c.pu) ** 2 + (p.y - c.pv) ** 2, p.y, p.x) as rank
+  from points p join touching c using (episode_id, frame_index)),
+patches as (
+  select episode_id, frame_index, count(*) as patch_points, sum(px) as patch_x, sum(py) as patch_y, sum(pz) as patch_z from near where rank <= 32 group by 1, 2),
+crops as (
+  select d.episode_id, d.frame_index, count(*) as crop_cells, sum(d.depth_m) as crop_depth from depth_px d join touching c using (episode_id, frame_index)
+  where d.x >= c.pu - 16 and d.x < c.pu + 16 and d.y >= c.pv - 16 and d.y < c.pv + 16 group by 1, 2),
+depth_errors as (
+  select c.episode_id, c.frame_index, sqrt((c.x - px) ** 2 + (c.y - py) ** 2 + (c.z - pz) ** 2) * 1000 as mm
+  from touching c join points p on p.episode_id = c.episode_id and p.frame_index = c.frame_index and p.x = c.pu and p.y = c.pv),
+scored as (
+  select f.*, coalesce(patch_points, 0) as patch_points, patch_x, patch_y, patch_z, coalesce(crop_cells, 0) as crop_cells, crop_depth, coalesce(mm, -1.0) as deprojection_err_mm,
+    case when pu is null then 0.0 else 0.6 end + 0.25 * (case when coalesce(patch_points, 0) >= 10 then 1.0 else 0.5 end)
+      + 0.15 * (case when mm is null then 1.0 else greatest(0.0, 1 - mm / 50) end) as annotation_confidence
+  from pixel_rows f left join patches using (episode_id, frame_index) left join crops using (episode_id, frame_index) left join depth_errors using (episode_id, frame_index))"""
+
 INSTRUCTIONS = """users as (select user_id as episode_id, count(*) as n_steps from events group by 1),
 texts as (
   select u.episode_id, u.n_steps,

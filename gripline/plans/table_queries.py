@@ -10,6 +10,7 @@ from gripline.operators import depth as DP
 from gripline.operators import detections as DT
 from gripline.operators import grounding as GR
 from gripline.operators import ledger as L
+from gripline.operators import masks as MK
 from gripline.operators import segments as SG
 from gripline.operators.blocks import KEY
 from gripline.plans.registry import query, six
@@ -85,7 +86,59 @@ def mask_contact_crop(spark, folder):
     """Contact pixels from the plain image spread, without a camera."""
     none = F.lit(None).cast("array<array<double>>")
     frames = D.frames(spark, folder).withColumn("K", none).withColumn("T", none)
-    return DT.mask_contact_crop(D.mask_pixels(spark, folder), DP.contact_point(frames))
+    return DT.mask_contact_crop(D.mask_pixels(spark, folder), DP.contact_point(frames)).drop("step")
+
+
+# one episode per order, one frame per line: two objects of four rows and eight columns, the second empty on every third part
+ARRAYS = """numbered as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) - 1 as nth from lineitem),
+cells as (
+  select l_orderkey as episode_id, nth as frame_index, o as obj_id, y, x,
+    case when o = 0 then (l_partkey * (y + 1) + l_suppkey * (x + 1)) % 5 = 0 else l_partkey % 3 > 0 and (l_partkey + x * x + y) % 4 < 2 end as on_
+  from numbered, range(2) a(o), range(4) b(y), range(8) c(x))"""
+
+
+def _videos(spark, folder):
+    bit = "case when o = 0 then (l.p * (y + 1) + l.s * (x + 1)) % 5 = 0 else l.p % 3 > 0 and (l.p + x * x + y) % 4 < 2 end"
+    mask = f"transform(sequence(0, 1), o -> transform(sequence(0, 3), y -> transform(sequence(0, 7), x -> cast({bit} as int))))"
+    lines = D.table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias(KEY)).agg(F.sort_array(F.collect_list(F.expr("struct(l_linenumber as n, l_partkey as p, l_suppkey as s)"))).alias("lines"))
+    return lines.select(KEY, F.expr(f"transform(lines, l -> {mask})").alias("masks"))
+
+
+@query("mask_arrays", "with " + ARRAYS + " select episode_id, frame_index, obj_id, min(x) filter (where on_) as x1, min(y) filter (where on_) as y1, max(x) filter (where on_) as x2, max(y) filter (where on_) as y2, count(*) filter (where on_) as pixels from cells group by 1, 2, 3")
+def mask_arrays(spark, folder):
+    """Boxes of dense masks; an empty mask has a row with null corners."""
+    masks = MK.object_masks(_videos(spark, folder))
+    return MK.run_boxes(MK.mask_runs(masks), masks)
+
+
+@query("mask_runs", "with " + ARRAYS + """, edges as (select *, coalesce(lag(on_) over w, false) as was, coalesce(lead(on_) over w, false) as next_ from cells window w as (partition by episode_id, frame_index, obj_id, y order by x)),
+  firsts as (select *, row_number() over (partition by episode_id, frame_index, obj_id, y order by x) as k from edges where on_ and not was),
+  lasts as (select *, row_number() over (partition by episode_id, frame_index, obj_id, y order by x) as k from edges where on_ and not next_)
+  select f.episode_id, f.frame_index, f.obj_id, f.y, f.x as x1, l.x as x2 from firsts f join lasts l using (episode_id, frame_index, obj_id, y, k)""")
+def mask_runs(spark, folder):
+    """Dense masks as run-length rows."""
+    return MK.mask_runs(MK.object_masks(_videos(spark, folder)))
+
+
+@query("mask_records", "with " + ARRAYS + """, boxes as (select episode_id, frame_index, obj_id, min(x) filter (where on_) as x1, min(y) filter (where on_) as y1, max(x) filter (where on_) as x2, max(y) filter (where on_) as y2 from cells group by 1, 2, 3),
+  later as (select episode_id, frame_index, string_agg(coalesce(x1 || ',' || y1 || ',' || x2 || ',' || y2, 'none'), ';' order by obj_id) as boxes from boxes where frame_index > 0 group by 1, 2),
+  dets as (select o_orderkey as episode_id, k, o_custkey % 300 + k as x1, o_orderkey % 100 as y1 from orders, range(2) r(k) where o_orderkey % 3 > 0),
+  first as (select b.episode_id, 0 as frame_index, coalesce(string_agg(d.x1 || ',' || d.y1 || ',' || (d.x1 + 20) || ',' || (d.y1 + 10), ';' order by k), '') as boxes from (select distinct episode_id from cells) b left join dets d using (episode_id) group by 1),
+  heads as (select o_orderkey as episode_id, case when o_orderstatus = 'P' then 'empty' else 'work' end as state, case when o_orderstatus <> 'P' and o_orderkey % 3 > 0 then 'cup,towel' else '' end as classes from orders where o_orderstatus <> 'F')
+  select episode_id, state, classes, frame_index, boxes from heads join (select * from later union all select * from first) using (episode_id)""")
+def mask_records(spark, folder):
+    """Result records of tracked objects: heads with the detections of frame 0, and boxes of all frames."""
+    orders = D.table(spark, folder, "orders")
+    left, top = (F.col("o_custkey") % 300).cast("double"), (F.col("o_orderkey") % 100).cast("double") + 0.75
+    one = lambda i, label: F.struct(F.lit(i).alias("det_idx"), F.lit(i).alias("cls"), F.lit(label).alias("label"), F.lit(0.5).alias("score"), (left + i).alias("x1"), top.alias("y1"), (left + i + 20).alias("x2"), (top + 10).alias("y2"))
+    first = orders.where("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias(KEY), F.inline(F.array(one(0, "cup"), one(1, "towel"))))
+    state = L.skip_tagged(orders.select(F.col("o_orderkey").alias(KEY), "o_orderstatus"), F.col("o_orderstatus") == "F", F.col("o_orderstatus") != "P")
+    heads = MK.mask_records(state, first)
+    masks = MK.object_masks(_videos(spark, folder))
+    boxes = MK.frame_boxes(MK.run_boxes(MK.mask_runs(masks), masks), first)
+    shown = F.transform("target_object_bbox_list", lambda b: F.coalesce(F.array_join(b.cast("array<string>"), ","), F.lit("none")))
+    joined = heads.join(boxes, KEY)
+    return joined.select(KEY, "state", F.array_join("object_cls_list", ",").alias("classes"), "frame_index", F.array_join(shown, ";").alias("boxes"))
 
 
 @query("labels_to_list", "select p_partkey, list_reduce(['', 'cup ' || p_size, p_brand, 'gripper'], lambda a, b: case when a = '' then b else a || '|' || b end) as labels from part")

@@ -27,12 +27,14 @@ from gripline.plans.sql_parts import (
     PIXELS,
     PROJECTED,
     QUALITY,
+    QUALITY_3D,
     TRACES,
     VISIBLE,
     with_,
 )
 from gripline.sources import driver_tables as D
 from gripline.sources import sinks
+from gripline.sources.session import settle
 
 WIDTH, HEIGHT = 320, 180
 
@@ -208,43 +210,57 @@ def trace_2d(spark, folder):
 
 
 # --- depth -----------------------------------------------------------------------------------------
-# every frame that has pixels counts as a contact frame here, with the pinhole pixel of its pose
+# every frame that has pixels counts as a contact frame here, with the pinhole pixel of its pose; every episode has a camera
 DEPTH_BASE = with_(FRAMES, LINES, MASKS, DEPTH) + """, cam as (
-  select *, 0.8 * x - 0.6 * y + 0.05 as cx, 0.6 * x + 0.8 * y - 0.1 as cy, z + 0.4 as cz from frames where episode_id % 2 = 0),
+  select *, case when episode_id % 2 = 0 then 0.8 * x - 0.6 * y + 0.05 else x + 0.1 end as cx, case when episode_id % 2 = 0 then 0.6 * x + 0.8 * y - 0.1 else y - 0.2 end as cy,
+    case when episode_id % 2 = 0 then z + 0.4 else z + 0.7 end as cz from frames),
 contacts as (
   select episode_id, frame_index, x as contact_x, y as contact_y, z as contact_z, cast(trunc((300.0 * cx + 160.0 * cz) / cz) as bigint) as pu, cast(trunc((290.0 * cy + 90.0 * cz) / cz) as bigint) as pv
   from cam where cz > 0),
 lifted as (
-  select *, (x - 160.0) / 300.0 * depth_m - 0.05 as q0, (y - 90.0) / 290.0 * depth_m + 0.1 as q1, depth_m - 0.4 as q2 from depth_px),
-points as (select *, 0.8 * q0 + 0.6 * q1 as px, -0.6 * q0 + 0.8 * q1 as py, q2 as pz from lifted),
+  select *, (x - 160.0) / 300.0 * depth_m - case when episode_id % 2 = 0 then 0.05 else 0.1 end as q0, (y - 90.0) / 290.0 * depth_m + case when episode_id % 2 = 0 then 0.1 else 0.2 end as q1,
+    depth_m - case when episode_id % 2 = 0 then 0.4 else 0.7 end as q2 from depth_px),
+points as (select *, case when episode_id % 2 = 0 then 0.8 * q0 + 0.6 * q1 else q0 end as px, case when episode_id % 2 = 0 then -0.6 * q0 + 0.8 * q1 else q1 end as py, q2 as pz from lifted),
 near as (
   select p.*, row_number() over (partition by p.episode_id, p.frame_index order by (p.x - pu) ** 2 + (p.y - pv) ** 2, p.y, p.x) as rank
   from points p join contacts c using (episode_id, frame_index)),
 patch as (select * from near where rank <= 32)"""
 
 
-def _contacts(spark, folder):
+def _contacts(spark, folder, cameras=D.rigs):
+    """Every frame with its pixel, which is null behind the camera."""
     frames = D.frames(spark, folder).select(KEY, "frame_index", "step", "n_steps", "x", "y", "z")
     episodes = frames.groupBy(KEY).agg(F.max("n_steps").alias("n_steps"))
-    camera = episodes.join(D.calibration(episodes), KEY)
-    rows = attach_episode(frames, camera, how="inner").drop("blk")
-    return DP.contact_point(rows).where("pu is not null").drop("x", "y", "z")
+    camera = episodes.join(cameras(episodes), KEY, "left")
+    return DP.contact_point(attach_episode(frames, camera).drop("blk")).drop("x", "y", "z")
 
 
 @query("contact_patch", DEPTH_BASE + "select episode_id, frame_index, rank, x, y, " + six("px", "py", "pz") + " from patch")
 def contact_patch(spark, folder):
-    return DP.contact_patch(_contacts(spark, folder), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder)).drop("T")
+    return DP.contact_patch(_contacts(spark, folder), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder)).drop("T", "step")
+
+
+# all frames with the cameras of even episodes only: without a camera or a pixel the error is -1
+CALIBRATED = with_(FRAMES, FIVE, PIXELS, LINES, MASKS, DEPTH) + """, asked as (
+  select episode_id, frame_index, x as contact_x, y as contact_y, z as contact_z, cast(trunc(u) as bigint) as pu, cast(trunc(v) as bigint) as pv from pixels),
+lifted as (
+  select *, (x - 160.0) / 300.0 * depth_m - 0.05 as q0, (y - 90.0) / 290.0 * depth_m + 0.1 as q1, depth_m - 0.4 as q2 from depth_px where episode_id % 2 = 0),
+points as (select *, 0.8 * q0 + 0.6 * q1 as px, -0.6 * q0 + 0.8 * q1 as py, q2 as pz from lifted),
+errors as (
+  select a.*, coalesce(sqrt((contact_x - px) ** 2 + (contact_y - py) ** 2 + (contact_z - pz) ** 2) * 1000, -1.0) as mm
+  from asked a left join points p on p.episode_id = a.episode_id and p.frame_index = a.frame_index and p.x = pu and p.y = pv)"""
 
 
-@query("deprojection_error", DEPTH_BASE + "select c.episode_id, c.frame_index, round(coalesce(sqrt((contact_x - px) ** 2 + (contact_y - py) ** 2 + (contact_z - pz) ** 2) * 1000, -1.0), 6) + 0.0 as deprojection_err_mm from contacts c left join points p on p.episode_id = c.episode_id and p.frame_index = c.frame_index and p.x = pu and p.y = pv")
+@query("deprojection_error", CALIBRATED + "select episode_id, frame_index, round(mm, 6) + 0.0 as deprojection_err_mm from errors")
 def deprojection_error(spark, folder):
-    rows = DP.deprojection_error(_contacts(spark, folder), D.depth_pixels(spark, folder))
+    """Of every frame: -1 where there is no camera, no pixel or no depth."""
+    rows = DP.deprojection_error(_contacts(spark, folder, D.calibration), D.depth_pixels(spark, folder))
     return rows.select(KEY, "frame_index", "deprojection_err_mm")
 
 
 @query("depth_patch", DEPTH_BASE + 'select p.episode_id, p.frame_index, p.y - pv + 16 as "row", p.x - pu + 16 as col, round(depth_m, 6) + 0.0 as depth_m from points p join contacts using (episode_id, frame_index) where p.x >= pu - 16 and p.x < pu + 16 and p.y >= pv - 16 and p.y < pv + 16')
 def depth_patch(spark, folder):
-    return DP.depth_patch(_contacts(spark, folder), D.depth_pixels(spark, folder))
+    return DP.depth_patch(_contacts(spark, folder), D.depth_pixels(spark, folder)).drop("step")
 
 
 @query(
@@ -266,11 +282,12 @@ def depth_patch(spark, folder):
 def surface_normal(spark, folder):
     patch = DP.contact_patch(_contacts(spark, folder), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder))
     normal = DP.surface_normal(patch)
-    rows = patch.join(normal, [KEY, "frame_index"])
+    rows = patch.drop("step").join(normal.drop("step"), [KEY, "frame_index"])
     along = sum((F.col(f"n{a}") * F.col(f"p{a}") for a in "yz"), F.col("nx") * F.col("px"))
-    # the camera of these episodes, -R^T t
-    camera = (-(0.8 * 0.05 + 0.6 * -0.1), -(-0.6 * 0.05 + 0.8 * -0.1), -0.4)
-    to_camera = sum((F.col(f"n{a}") * F.lit(c) for a, c in zip("yz", camera[1:])), F.col("nx") * F.lit(camera[0]))
+    # the cameras of even and odd episodes, -R^T t
+    even, odd = (-(0.8 * 0.05 + 0.6 * -0.1), -(-0.6 * 0.05 + 0.8 * -0.1), -0.4), (-0.1, 0.2, -0.7)
+    at = [F.when(F.col(KEY) % 2 == 0, e).otherwise(o) for e, o in zip(even, odd)]
+    to_camera = sum((F.col(f"n{a}") * c for a, c in zip("yz", at[1:])), F.col("nx") * at[0])
     return rows.groupBy(KEY, "frame_index").agg(
         F.max("points").alias("points"),
         F.max(F.col("nx").isNotNull()).alias("defined"),
@@ -280,20 +297,30 @@ def surface_normal(spark, folder):
     )
 
 
-@query("point_cloud", DEPTH_BASE + ", spread as (select *, row_number() over (partition by episode_id, frame_index order by (x * 7919 + y * 104729) % 1000003, y, x) as r from points where episode_id % 2 = 0 and episode_id in (select episode_id from frames)) select episode_id, frame_index, x, y, " + six("px", "py", "pz") + " from spread where r <= 24")
+@query("point_cloud", DEPTH_BASE + ", spread as (select *, row_number() over (partition by episode_id, frame_index order by (x * 7919 + y * 104729) % 1000003, y, x) as r from points) select episode_id, frame_index, x, y, " + six("px", "py", "pz") + " from spread where r <= 8192")
 def point_cloud(spark, folder):
+    """Clouds of all frames with depth."""
+    depth = D.depth_pixels(spark, folder)
+    return DP.point_cloud(depth, D.rigs(depth.select(KEY).distinct()))
+
+
+@query("thinned_cloud", DEPTH_BASE + ", spread as (select *, row_number() over (partition by episode_id, frame_index order by (x * 7919 + y * 104729) % 1000003, y, x) as r from points) select episode_id, frame_index, x, y, " + six("px", "py", "pz") + " from spread where r <= 24")
+def thinned_cloud(spark, folder):
     """Clouds thinned to 24 points per frame."""
-    episodes = D.raw_frames(spark, folder).select(KEY).distinct()
-    return DP.point_cloud(D.depth_pixels(spark, folder), D.calibration(episodes), max_points=24)
+    depth = D.depth_pixels(spark, folder)
+    return DP.point_cloud(depth, D.rigs(depth.select(KEY).distinct()), max_points=24)
 
 
 # --- annotation records ------------------------------------------------------------------------------
-def _records(spark, folder):
+def _annotated(spark, folder, fields=False):
+    """(annotated frames, episodes), with depth and masks."""
     episodes = D.instructions(spark, folder)
-    return A.annotate(D.frames(spark, folder), episodes, D.calibration(episodes))
+    depth, mask = D.depth_pixels(spark, folder), D.mask_pixels(spark, folder)
+    return A.annotated_rows(D.frames(spark, folder), episodes, D.calibration(episodes), depth, mask, fields=fields), episodes
 
 
-RECORDS = with_(FRAMES, FIVE, PIXELS, QUALITY, INSTRUCTIONS)
+FLOW = (FRAMES, FIVE, PIXELS, LINES, MASKS, DEPTH, QUALITY_3D)
+RECORDS = with_(*FLOW, INSTRUCTIONS)
 SUBTASK = "case when phase in ('approach', 'stabilize') then 'reach toward the ' || task_object when phase = 'contact' then task_verb || ' the ' || task_object else 'return to home position' end"
 
 
@@ -306,20 +333,23 @@ def language(spark, folder):
 
 @query("subtask_of_phase", RECORDS + f"select episode_id, frame_index, phase, {SUBTASK} as subtask from scored join tags using (episode_id)")
 def subtask_of_phase(spark, folder):
-    return _records(spark, folder)[0].select(KEY, "frame_index", "phase", "subtask")
+    return A.frame_records(*_annotated(spark, folder, fields=True)).select(KEY, "frame_index", "phase", "subtask")
 
 
-@query("frame_confidence", DEPTH_BASE + """, size as (select episode_id, frame_index, count(*) as patch_points from patch group by 1, 2),
-  err as (select c.*, coalesce(sqrt((contact_x - px) ** 2 + (contact_y - py) ** 2 + (contact_z - pz) ** 2) * 1000, -1.0) as mm from contacts c left join points p on p.episode_id = c.episode_id and p.frame_index = c.frame_index and p.x = pu and p.y = pv),
-  conf as (select episode_id, frame_index, 0.35 + 0.25 + 0.25 * (case when coalesce(patch_points, 0) >= 10 then 1.0 else 0.5 end) + 0.15 * (case when mm < 0 then 1.0 else greatest(0.0, 1 - mm / 50) end) as annotation_confidence from err left join size using (episode_id, frame_index))
+@query("frame_confidence", CALIBRATED + """, near as (
+    select p.episode_id, p.frame_index, row_number() over (partition by p.episode_id, p.frame_index order by (p.x - pu) ** 2 + (p.y - pv) ** 2, p.y, p.x) as rank
+    from points p join asked a using (episode_id, frame_index) where pu is not null),
+  size as (select episode_id, frame_index, count(*) as patch_points from near where rank <= 32 group by 1, 2),
+  conf as (select e.episode_id, e.frame_index, case when pu is null then 0.0 else 0.35 + 0.25 end + 0.25 * (case when coalesce(patch_points, 0) >= 10 then 1.0 else 0.5 end)
+    + 0.15 * (case when mm < 0 then 1.0 else greatest(0.0, 1 - mm / 50) end) as annotation_confidence from errors e left join size using (episode_id, frame_index))
   select episode_id, frame_index, round(annotation_confidence, 6) + 0.0 as annotation_confidence, annotation_confidence >= 0.6 as annotation_valid from conf""")
 def frame_confidence(spark, folder):
-    """Confidence with patch size and depth error taken from depth pixels."""
-    contacts, depth, mask = _contacts(spark, folder), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder)
-    points = DP.contact_patch(contacts, depth, mask).groupBy(KEY, "frame_index").agg(F.count(F.lit(1)).alias("n"))
-    rows = DP.deprojection_error(contacts, depth).join(points, [KEY, "frame_index"], "left")
-    yes = F.lit(True)
-    confidence = Q.frame_confidence(yes, yes, F.coalesce("n", F.lit(0)), F.col("deprojection_err_mm"))
+    """Confidence of every frame, with patch size and depth error taken from depth pixels."""
+    contacts, depth, mask = _contacts(spark, folder, D.calibration), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder)
+    points = DP.contact_patch(contacts.where("K is not null"), depth, mask).groupBy(KEY, "step").agg(F.count(F.lit(1)).alias("n"))
+    rows = DP.deprojection_error(contacts, depth).join(points, [KEY, "step"], "left")
+    seen = F.col("pu").isNotNull()
+    confidence = Q.frame_confidence(seen, seen, F.coalesce("n", F.lit(0)), F.col("deprojection_err_mm"))
     scored = rows.withColumn("annotation_confidence", confidence)
     return scored.select(KEY, "frame_index", "annotation_confidence", Q.is_valid(F.col("annotation_confidence")).alias("annotation_valid"))
 
@@ -329,12 +359,19 @@ QUALITY_ROWS = """per as (
     count(*) as num_frames, count(case when annotation_confidence >= 0.6 then 1 end) as num_valid_frames from scored group by 1),
 mixed as (select p.*, t.* exclude (episode_id), 0.4 * depth_quality + 0.3 * language_quality + 0.3 * phase_det_confidence as annotation_quality from per p join tags t using (episode_id))"""
 
-TRAJECTORY = "select episode_id, task_verb, task_object, task_category, requires_precision, " + six("depth_quality", "language_quality", "phase_det_confidence", "annotation_quality") + ", num_frames, num_valid_frames from mixed"
+MEANS = ("depth_quality", "language_quality", "phase_det_confidence", "annotation_quality")
+#: Means to nine places before they are cut to six, so that the order of a sum does not decide a tie.
+STEADY = ", ".join(f"round(round(cast({c} as double), 9), 6) + 0.0 as {c}" for c in MEANS)
+TRAJECTORY = f"select episode_id, task_verb, task_object, task_category, requires_precision, {STEADY}, num_frames, num_valid_frames from mixed"
+
+
+def _steady(rows):
+    return rows.withColumns({c: F.round(c, 9) for c in MEANS})
 
 
-@query("trajectory_quality", with_(FRAMES, FIVE, PIXELS, QUALITY, INSTRUCTIONS, QUALITY_ROWS) + "select episode_id, " + six("depth_quality", "language_quality", "phase_det_confidence", "annotation_quality") + " from mixed")
+@query("trajectory_quality", with_(*FLOW, INSTRUCTIONS, QUALITY_ROWS) + "select episode_id, " + STEADY + " from mixed")
 def trajectory_quality(spark, folder):
-    return _records(spark, folder)[1].select(KEY, "depth_quality", "language_quality", "phase_det_confidence", "annotation_quality")
+    return _steady(A.trajectory_records(*_annotated(spark, folder))).select(KEY, *MEANS)
 
 
 @query("valid_frame_count", with_(FRAMES, FIVE, PIXELS, QUALITY) + "select episode_id, count(*) as num_frames, count(case when annotation_confidence >= 0.6 then 1 end) as num_valid_frames from scored group by 1")
@@ -350,13 +387,16 @@ def valid_frame_count(spark, folder):
 
 
 FRAME_SELECT = f"""select episode_id, frame_index, phase, round(phase_confidence, 6) + 0.0 as phase_confidence, {SUBTASK} as subtask, coalesce(pu - 20, -1) as box_x1_raw, pu as u, pv as v,
-  round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y, round(z, 6) + 0.0 as z, cast(-1.0 as double) as deprojection_err_mm, round(annotation_confidence, 6) + 0.0 as annotation_confidence, annotation_confidence >= 0.6 as annotation_valid,
+  round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y, round(z, 6) + 0.0 as z, round(deprojection_err_mm, 6) + 0.0 as deprojection_err_mm, round(annotation_confidence, 6) + 0.0 as annotation_confidence, annotation_confidence >= 0.6 as annotation_valid,
+  patch_points, round(patch_x, 6) + 0.0 as patch_x, round(patch_y, 6) + 0.0 as patch_y, round(patch_z, 6) + 0.0 as patch_z, case when patch_points > 3 then 3 else 0 end as normal_axes, crop_cells, round(crop_depth, 6) + 0.0 as crop_depth,
   least(frame_index + 1, 10) as trace_3d_points, cast((select count(*) from scored b where b.episode_id = scored.episode_id and b.frame_index between scored.frame_index - 4 and scored.frame_index and b.u is not null) as bigint) as trace_2d_points
   from scored join tags using (episode_id)"""
 
 
 def _flat_frames(rows):
     at = lambda c, i: F.get(c, i)
+    cells = F.filter(F.flatten("depth_patch_32x32"), lambda d: d.isNotNull())
+    total = lambda i: F.when(F.size("contact_patch_xyz") > 0, F.aggregate("contact_patch_xyz", F.lit(0.0), lambda s, p: s + F.get(p, i)))
     return rows.select(
         KEY,
         "frame_index",
@@ -370,6 +410,11 @@ def _flat_frames(rows):
         "deprojection_err_mm",
         "annotation_confidence",
         "annotation_valid",
+        F.size("contact_patch_xyz").alias("patch_points"),
+        *[total(i).alias(f"patch_{a}") for i, a in enumerate("xyz")],
+        F.size("surface_normal").alias("normal_axes"),
+        F.size(cells).alias("crop_cells"),
+        F.when(F.size(cells) > 0, F.aggregate(cells, F.lit(0.0), lambda s, d: s + d)).alias("crop_depth"),
         F.size("ee_trace_3d").alias("trace_3d_points"),
         F.size("ee_trace_2d").alias("trace_2d_points"),
     )
@@ -378,31 +423,32 @@ def _flat_frames(rows):
 @query("export_frames", RECORDS + FRAME_SELECT)
 def export_frames(spark, folder):
     """Frame records of every episode, nested fields flattened for comparison."""
-    return _flat_frames(_records(spark, folder)[0])
+    return _flat_frames(A.frame_records(*_annotated(spark, folder, fields=True)))
 
 
-@query("merge_annotations", RECORDS + "select episode_id, frame_index, phase, pu as u, pv as v, round(x, 6) + 0.0 as x, round(annotation_confidence, 6) + 0.0 as annotation_confidence, n_frames from (select s.*, count(*) over (partition by episode_id) as n_frames from scored s)")
+@query("merge_annotations", with_(FRAMES, FIVE, PIXELS, QUALITY) + "select episode_id, frame_index // 2 as frame_index, frame_index as step, phase, pu as u, pv as v, round(x, 6) + 0.0 as x, round(annotation_confidence, 6) + 0.0 as annotation_confidence, n_frames from (select s.*, count(*) over (partition by episode_id) as n_frames from scored s)")
 def merge_annotations(spark, folder):
-    """2D, 3D, quality and phase brought together from separate tables by (episode, frame)."""
+    """2D, 3D, quality and phase brought together from separate tables; every frame number occurs twice."""
     episodes = D.instructions(spark, folder)
-    rows = A.geometry(D.frames(spark, folder), episodes, D.calibration(episodes))
-    flat, on = _pixels(spark, folder), [KEY, "frame_index"]
-    phase = rows.select(*on, "phase", F.col("n_steps").alias("n_frames"))
-    two = flat.select(*on, F.col("pu").alias("u"), F.col("pv").alias("v"))
-    three = flat.select(*on, "x")
-    quality = A.with_quality(A.with_depth(rows, None)).select(*on, "annotation_confidence")
-    return phase.join(two, on).join(three, on).join(quality, on)
+    frames = D.frames(spark, folder)
+    repeated = frames.withColumn("frame_index", F.floor(F.col("step") / 2))
+    done = settle(A.with_quality(A.with_depth(A.geometry(repeated, episodes, D.calibration(episodes)), None)))
+    part = lambda *columns: done.select(KEY, "step", *columns)
+    phase = part("frame_index", "phase", F.col("n_steps").alias("n_frames"))
+    two = part(F.col("pixel")["u"].alias("u"), F.col("pixel")["v"].alias("v"))
+    return A.merge_annotations(phase, two, part("x"), part("annotation_confidence"))
 
 
-@query("export_trajectory", with_(FRAMES, FIVE, PIXELS, QUALITY, INSTRUCTIONS, QUALITY_ROWS) + TRAJECTORY)
+@query("export_trajectory", with_(*FLOW, INSTRUCTIONS, QUALITY_ROWS) + TRAJECTORY)
 def export_trajectory(spark, folder):
-    return _records(spark, folder)[1]
+    return _steady(A.trajectory_records(*_annotated(spark, folder)))
 
 
-@query("export_nested", with_(FRAMES, FIVE, PIXELS, QUALITY, INSTRUCTIONS, QUALITY_ROWS) + "select m.episode_id, 0 as part, task_verb, num_frames, count(*) as listed, min(s.frame_index) as first_frame, max(s.frame_index) as last_frame, string_agg(s.phase, ',' order by s.frame_index) as phases from mixed m join scored s using (episode_id) group by all")
+@query("export_nested", with_(*FLOW, INSTRUCTIONS, QUALITY_ROWS) + "select m.episode_id, 0 as part, task_verb, num_frames, count(*) as listed, min(s.frame_index) as first_frame, max(s.frame_index) as last_frame, string_agg(s.phase, ',' order by s.frame_index) as phases from mixed m join scored s using (episode_id) group by all")
 def export_nested(spark, folder):
     """Documents of trajectory and ordered frames, summed up for comparison."""
-    frames, trajectories = _records(spark, folder)
+    episodes = D.instructions(spark, folder)
+    frames, trajectories = A.annotate(D.frames(spark, folder), episodes, D.calibration(episodes), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder))
     docs = sinks.export_nested(frames, trajectories)
     numbers = F.col("frames")["frame_index"]
     return docs.select(

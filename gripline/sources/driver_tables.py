@@ -103,6 +103,15 @@ def calibration(episodes: DataFrame) -> DataFrame:
     return episodes.where(F.col(KEY) % 2 == 0).select(KEY, matrix(K_MATRIX).alias("K"), matrix(T_MATRIX).alias("T"))
 
 
+ODD_MATRIX = ((1.0, 0.0, 0.0, 0.1), (0.0, 1.0, 0.0, -0.2), (0.0, 0.0, 1.0, 0.7), (0.0, 0.0, 0.0, 1.0))
+
+
+def rigs(episodes: DataFrame) -> DataFrame:
+    """A camera for every episode: the calibrated one for even numbers, one that is not turned for odd ones."""
+    pose = F.when(F.col(KEY) % 2 == 0, matrix(T_MATRIX)).otherwise(matrix(ODD_MATRIX))
+    return episodes.select(KEY, matrix(K_MATRIX).alias("K"), pose.alias("T"))
+
+
 def cameras(episodes: DataFrame) -> DataFrame:
     """Three cameras per episode; some points lie behind the second."""
     one = lambda i: F.struct(

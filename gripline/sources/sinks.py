@@ -17,6 +17,9 @@ FRAME_FIELDS = (
     "ee_trace_2d",
     "contact_point_3d",
     "ee_trace_3d",
+    "contact_patch_xyz",
+    "surface_normal",
+    "depth_patch_32x32",
     "deprojection_err_mm",
     "annotation_confidence",
     "annotation_valid",
