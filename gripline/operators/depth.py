@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from gripline.functions.geometry import lift_pixel, project_pinhole, whole_pixel
 from gripline.operators.blocks import BLOCK, KEY, block_number
 from gripline.operators.tiles import FRAME, PLACE, around, frame_key, squared_gap, tiled, tiles_in_reach
-from gripline.sources.session import settle
 
 PATCH_POINTS = 32  # fixed values
 PATCH_SIZE = 32
@@ -80,8 +79,7 @@ def contact_patch(contacts: DataFrame, depth: DataFrame, mask: DataFrame | None
     wanted = contacts.where("pu is not null")
     pixels = tiled(depth.join(wanted.select(*FRAME).distinct(), FRAME, "left_semi"))
     if mask is not None:
-        # counted and then read: the pixels of a mask are few
-        pixels = settle(pixels.join(mask.select(*FRAME, "x", "y"), [*FRAME, "x", "y"], "left_semi"))
+        pixels = pixels.join(mask.select(*FRAME, "x", "y"), [*FRAME, "x", "y"], "left_semi")
     who = frame_key(contacts)
     near = pixels.join(tiles_in_reach(wanted, pixels, points), [*FRAME, *PLACE])
     chosen = nearest_first(who, [F.col("_gap"), F.col("y"), F.col("x"), F.col("depth_m")], points, near.withColumn("_gap", squared_gap()), "rank")

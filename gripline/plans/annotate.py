@@ -52,7 +52,8 @@ def with_depth(rows: DataFrame, depth: DataFrame | None, mask: DataFrame | None
         return rows.withColumns({**none, "patch_points": F.lit(0), "deprojection_err_mm": F.lit(-1.0)})
     u, v = F.col("pixel")["u"].alias("pu"), F.col("pixel")["v"].alias("pv")
     place = [F.col(a).alias(f"contact_{a}") for a in "xyz"]
-    touching = rows.where((F.col("phase") == "contact") & F.col("pixel").isNotNull()).select(KEY, "frame_index", "step", *place, u, v, "K", "T")
+    # few narrow rows that patch, crop and error read
+    touching = settle(rows.where((F.col("phase") == "contact") & F.col("pixel").isNotNull()).select(KEY, "frame_index", "step", *place, u, v, "K", "T"))
     known = touching.where(F.col("K").isNotNull() & F.col("T").isNotNull())
     who = [KEY, "step"]
     if not fields:

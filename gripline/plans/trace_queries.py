@@ -232,7 +232,7 @@ def _contacts(spark, folder, cameras=D.rigs):
     frames = D.frames(spark, folder).select(KEY, "frame_index", "step", "n_steps", "x", "y", "z")
     episodes = frames.groupBy(KEY).agg(F.max("n_steps").alias("n_steps"))
     camera = episodes.join(cameras(episodes), KEY, "left")
-    return DP.contact_point(attach_episode(frames, camera).drop("blk")).drop("x", "y", "z")
+    return settle(DP.contact_point(attach_episode(frames, camera).drop("blk")).drop("x", "y", "z", "n_steps"))
 
 
 @query("contact_patch", DEPTH_BASE + "select episode_id, frame_index, rank, x, y, " + six("px", "py", "pz") + " from patch")
