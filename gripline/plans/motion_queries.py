@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gripline.functions import text as X
+from gripline.operators import documents as DC
 from gripline.operators import evaluate as EV
 from gripline.operators import phases as P
 from gripline.operators import signals as S
@@ -90,6 +91,52 @@ def phase_ranges_nested(spark, folder):
     return rows.select(KEY, "part", "phase", F.size("r").alias("ranges"), F.array_join(shown, " ").alias("listed"))
 
 
+@query(
+    "phase_documents",
+    with_(FRAMES, LABELS, grasp_run(DEFAULT), PHASED, RANGES)
+    + """, firsts as (select episode_id, min(frame_index) as contact_frame from phased where phase = 'contact' group by 1),
+    names(name, part) as (values ('pre_grasp', 0), ('immobilization', 1), ('contact', 2), ('detach', 3), ('post_grasp', 4), ('transition', 5)),
+    episodes as (select episode_id, count(*) as n, min(gripper) as low, max(gripper) as high from frames group by 1),
+    heads as (select e.*, contact_frame, gt_contact_frame, f.x, f.z - 0.1 as tcp_z, f.gripper, (f.gripper - low) / (high - low + 1e-6) as norm
+      from episodes e left join firsts using (episode_id) left join contact_labels using (episode_id) left join frames f on f.episode_id = e.episode_id and f.frame_index = contact_frame),
+    opened as (select episode_id, part, name from episodes, names)
+    select episode_id, 0 as section, 0 as part, cast(0 as bigint) as position, cast(null as varchar) as text, n as a, contact_frame as b, gt_contact_frame as c, round(x, 6) + 0.0 as d, round(tcp_z, 6) + 0.0 as e, gripper as f, round(norm, 6) + 0.0 as g from heads
+    union all select episode_id, 1, part, -1, case when part > 0 then ',' else '' end || '"' || name || '":[', null, null, null, null, null, null, null from opened
+    union all select episode_id, 1, part, 4611686018427387904, ']', null, null, null, null, null, null, null from opened
+    union all select episode_id, 1, part, range_index, case when range_index > 0 then ',' else '' end || '[' || start_step || ',' || end_step || ']', null, null, null, null, null, null, null from ranges join names on phase = name
+    union all select episode_id, 2, 0, -1, '},"phases":[', null, null, null, null, null, null, null from episodes
+    union all select episode_id, 2, 0, start_step, case when start_step > 0 then ',' else '' end || '{"start_step":' || start_step || ',"end_step":' || end_step || ',"phase":"' || phase || '"}', null, null, null, null, null, null, null from ranges
+    union all select episode_id, 3, 0, -1, '],"frames":[', null, null, null, null, null, null, null from episodes
+    union all select p.episode_id, 3, 0, p.frame_index, phase, p.frame_index, p.frame_index, null, null, null, gripper, round((gripper - gripper_min) / (gripper_max - gripper_min + 1e-6), 6) + 0.0 from phased p join frames using (episode_id, frame_index)
+    union all select episode_id, 4, 0, 0, ']}', null, null, null, null, null, null, null from episodes""",
+)
+def phase_documents(spark, folder):
+    """Phase documents as ordered lines; heads and frames are read again for comparison."""
+    indexed, labels = D.labelled_frames(spark, folder)
+    rows = DC.phase_document(indexed, labels)
+    section = F.col("section")
+    pose = "contact_pose struct<gripper_pose6d:array<double>,tcp_pose6d:array<double>,gripper_position_raw:double,gripper_position_normalized:double>"
+    head = F.from_json(F.when(section == 0, F.concat("line", F.lit("}}"))), f"parquet_frame_count bigint, first_contact_frame_index bigint, reference_annotation_contact_frame_index bigint, {pose}")
+    entry = (section == 3) & (F.col("position") >= 0)
+    frame = F.from_json(F.when(entry, F.ltrim(F.col("line"), F.lit(","))), "step_index bigint, frame_index bigint, robo2vlm_phase string, gripper_position_raw double, gripper_position_normalized double")
+    seen = rows.withColumn("h", head).withColumn("fr", frame).withColumn("p", F.col("h")["contact_pose"])
+    h, p, fr = F.col("h"), F.col("p"), F.col("fr")
+    return seen.select(
+        KEY,
+        "section",
+        "part",
+        "position",
+        F.when(section == 0, None).when(entry, fr["robo2vlm_phase"]).otherwise(F.col("line")).alias("text"),
+        F.coalesce(h["parquet_frame_count"], fr["step_index"]).alias("a"),
+        F.coalesce(h["first_contact_frame_index"], fr["frame_index"]).alias("b"),
+        h["reference_annotation_contact_frame_index"].alias("c"),
+        F.get(p["gripper_pose6d"], 0).alias("d"),
+        F.get(p["tcp_pose6d"], 2).alias("e"),
+        F.coalesce(p["gripper_position_raw"], fr["gripper_position_raw"]).alias("f"),
+        F.coalesce(p["gripper_position_normalized"], fr["gripper_position_normalized"]).alias("g"),
+    )
+
+
 @query("first_contact", ONE + "select episode_id, min(case when phase = 'contact' then frame_index end) as contact_frame from phased group by 1")
 def first_contact(spark, folder):
     return P.first_contact(P.grasp_phases(D.frames(spark, folder)))

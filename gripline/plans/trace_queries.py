@@ -444,23 +444,22 @@ def export_trajectory(spark, folder):
     return _steady(A.trajectory_records(*_annotated(spark, folder)))
 
 
-@query("export_nested", with_(*FLOW, INSTRUCTIONS, QUALITY_ROWS) + "select m.episode_id, 0 as part, task_verb, num_frames, count(*) as listed, min(s.frame_index) as first_frame, max(s.frame_index) as last_frame, string_agg(s.phase, ',' order by s.frame_index) as phases from mixed m join scored s using (episode_id) group by all")
+@query(
+    "export_nested",
+    with_(*FLOW, INSTRUCTIONS, QUALITY_ROWS)
+    + """select episode_id, 0 as section, cast(0 as bigint) as position, task_verb, num_frames, cast(null as bigint) as frame_index, cast(null as varchar) as phase, cast(null as bigint) as patch_points from mixed
+    union all select episode_id, 1, frame_index, null, null, frame_index, phase, patch_points from scored
+    union all select episode_id, 2, 0, null, null, null, null, null from mixed""",
+)
 def export_nested(spark, folder):
-    """Documents of trajectory and ordered frames, summed up for comparison."""
+    """Documents of trajectory and ordered frames as lines, read again for comparison."""
     episodes = D.instructions(spark, folder)
     frames, trajectories = A.annotate(D.frames(spark, folder), episodes, D.calibration(episodes), D.depth_pixels(spark, folder), D.mask_pixels(spark, folder))
-    docs = sinks.export_nested(frames, trajectories)
-    numbers = F.col("frames")["frame_index"]
-    return docs.select(
-        KEY,
-        "part",
-        F.col("trajectory")["task_verb"].alias("task_verb"),
-        F.col("trajectory")["num_frames"].alias("num_frames"),
-        F.size("frames").alias("listed"),
-        F.array_min(numbers).alias("first_frame"),
-        F.array_max(numbers).alias("last_frame"),
-        F.array_join(F.col("frames")["phase"], ",").alias("phases"),
-    )
+    rows = sinks.export_nested(frames, trajectories)
+    head = F.from_json(F.when(F.col("section") == 0, F.concat("line", F.lit("]}"))), "trajectory struct<task_verb:string,num_frames:bigint>")["trajectory"]
+    frame = F.from_json(F.when(F.col("section") == 1, F.ltrim(F.col("line"), F.lit(","))), "frame_index bigint, phase string, contact_patch_xyz array<array<double>>")
+    seen = rows.withColumn("h", head).withColumn("f", frame)
+    return seen.select(KEY, "section", "position", "h.*", "f.frame_index", "f.phase", F.when(F.col("section") == 1, F.size("f.contact_patch_xyz")).cast("bigint").alias("patch_points"))
 
 
 @query("parse_trace", with_(FRAMES, TRACES) + "select episode_id, event_id, idx, gu as u, gv as v from gt_points")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gripline.functions.text import subtask_of_phase
-from gripline.operators.blocks import BLOCK, KEY, block_number
+from gripline.operators.blocks import KEY
+from gripline.operators.documents import record_document
 
 FRAME_FIELDS = (
     "phase",
@@ -29,7 +30,7 @@ FRAME_FIELDS = (
 def export_frames(annotated: DataFrame) -> DataFrame:
     """Frame records: time, 2D, 3D and quality fields."""
     subtask = subtask_of_phase(F.col("subtask_sequence"), F.col("phase"))
-    return annotated.withColumn("subtask", subtask).select(KEY, "frame_index", *FRAME_FIELDS)
+    return annotated.withColumn("subtask", subtask).select(KEY, "frame_index", "step", *FRAME_FIELDS)
 
 
 TRAJECTORY_FIELDS = (
@@ -51,20 +52,9 @@ def export_trajectory(quality: DataFrame, language: DataFrame) -> DataFrame:
     return quality.join(language.drop("language_quality", "subtask_sequence"), KEY, "left").select(KEY, *TRAJECTORY_FIELDS)
 
 
-def export_nested(frames: DataFrame, trajectories: DataFrame, fields: tuple[str, ...] = FRAME_FIELDS, size: int = BLOCK) -> DataFrame:
-    """Documents with the trajectory and its ordered frames.
-
-    A document holds at most `size` frame numbers; a longer episode becomes several, told apart by
-    `part`, and each carries the trajectory. Nothing is cut off.
-    """
-    part = block_number(F.col("frame_index"), size).alias("part")
-    bodies = frames.groupBy(KEY, part).agg(F.sort_array(F.collect_list(F.struct("frame_index", *fields))).alias("frames"))
-    head = trajectories.select(KEY, F.struct(*[c for c in trajectories.columns if c != KEY]).alias("trajectory"))
-    return bodies.join(head, KEY).select(KEY, "part", "trajectory", "frames")
-
-
-def as_json(documents: DataFrame) -> DataFrame:
-    return documents.select(KEY, F.to_json(F.struct(*documents.columns)).alias("json"))
+def export_nested(frames: DataFrame, trajectories: DataFrame, fields: tuple[str, ...] = FRAME_FIELDS) -> DataFrame:
+    """Documents with the trajectory and its ordered frames, as ordered lines: one shape for episodes of any length."""
+    return record_document(trajectories, frames, "trajectory", fields)
 
 
 def write_json(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

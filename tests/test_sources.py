@@ -1,12 +1,18 @@
+import glob
+import itertools
 import json
 import os
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from gripline.operators.blocks import index_frames
+from gripline.functions.text import parse_int_like
+from gripline.operators import documents, evaluate
+from gripline.operators import phases as phases_module
+from gripline.operators.blocks import index_frames, number_frames
 from gripline.operators.signals import gripper_values
 from gripline.plans import annotate as A
 from gripline.sources import driver_tables as D
@@ -124,13 +130,59 @@ def test_records(spark, tmp_path, blocking):
     assert (only.task_verb, only.num_frames, only.num_valid_frames) == ("pick", 30, 30)
 
 
+def written_text(path):
+    """All lines of the files in their order."""
+    return "".join(line for name in sorted(glob.glob(f"{path}/part-*")) for line in open(name, encoding="utf-8").read().split("\n"))
+
+
+def test_phase_documents(spark, tmp_path, blocking):
+    """Documents read as JSON equal plain loops, also where ranges of lines cut an episode."""
+    r = np.random.default_rng(9)
+    series = {"a": r.integers(0, 10, 50), "b": r.integers(0, 3, 7), "c": np.array([4]), "d": np.repeat([0, 5, 9, 9, 6, 0], 4)}
+    rows = [(e, i // 2 * 3, i, float(g), [float(i)] * 6, [i + 0.5] * 6, "7.0" if i == 2 else "") for e, v in series.items() for i, g in enumerate(v)]
+    frames = spark.createDataFrame(rows, "episode_id string, frame_index bigint, row bigint, gripper double, gripper_pose array<double>, tcp_pose array<double>, contact_text string")
+    values = gripper_values() | {"gt": evaluate.earliest(parse_int_like(F.col("contact_text")), "row")}
+    indexed, episodes = number_frames(frames, ties=("row",), episode_values=values)
+    labels = episodes.select("episode_id", F.col("n_steps").alias("num_frames"), F.col("gt")["value"].alias("gt_contact_frame"), "gripper_min", "gripper_max", F.lit("x.mp4").alias("video"))
+    documents.write_documents(documents.phase_document(indexed.drop("gt"), labels, sources=("video",)), f"{tmp_path}/docs", files=7)
+    text, found = written_text(f"{tmp_path}/docs"), {}
+    while text:
+        one, end = json.JSONDecoder().raw_decode(text)
+        found[one["episode_id"]], text = one, text[end:]
+    assert set(found) == set(series)
+    phases = {}
+    for row in phases_module.grasp_phases(indexed).collect():
+        phases.setdefault(row.episode_id, {})[row.step] = row.phase
+    for e, v in series.items():
+        doc, names = found[e], [phases[e][i] for i in range(len(v))]
+        norm = (v - v.min()) / (v.max() - v.min() + 1e-6)
+        runs = [(len(list(g)), n) for n, g in itertools.groupby(names)]
+        starts = np.cumsum([0, *(n for n, _ in runs)]).tolist()
+        spans = [(a, b - 1, n) for a, b, (_, n) in zip(starts, starts[1:], runs)]
+        assert [(p["start_step"], p["end_step"], p["phase"]) for p in doc["phases"]] == spans
+        assert doc["phase_ranges"] == {n: [[a, b] for a, b, m in spans if m == n] for n in (*phases_module.GRASP, "transition")}
+        assert [(f["step_index"], f["frame_index"], f["robo2vlm_phase"], f["gripper_position_raw"]) for f in doc["frames"]] == [(i, i // 2 * 3, n, float(g)) for i, (n, g) in enumerate(zip(names, v))]
+        assert np.allclose([f["gripper_position_normalized"] for f in doc["frames"]], norm)
+        assert doc["video"] == "x.mp4" and doc["parquet_frame_count"] == len(v) and doc["reference_annotation_contact_frame_index"] == (7 if len(v) > 2 else None)
+        first = next((i for i, n in enumerate(names) if n == "contact"), None)
+        if first is None:
+            assert doc["first_contact_frame_index"] is None and doc["contact_pose"] is None
+        else:
+            number = first // 2 * 3
+            same = [i for i in range(len(v)) if i // 2 * 3 == number]
+            pose = doc["contact_pose"]
+            assert doc["first_contact_frame_index"] == pose["frame_index"] == number
+            assert pose["gripper_pose6d"] == [float(same[-1])] * 6 and pose["tcp_pose6d"] == [same[-1] + 0.5] * 6 and pose["gripper_position_raw"] == v[same[-1]]
+            assert np.isclose(pose["gripper_position_normalized"], norm[same[0]])
+    assert any(d["contact_pose"] for d in found.values())
+
+
 def test_documents_and_files(spark, tmp_path):
     frames, trajectory = _records(spark)
-    parts = sinks.export_nested(frames, trajectory, size=8).orderBy("part").collect()
-    assert [len(p.frames) for p in parts] == [8, 8, 8, 6] and [f.frame_index for p in parts for f in p.frames] == list(range(30))
-    sinks.write_json(sinks.export_nested(frames, trajectory), f"{tmp_path}/docs")
-    back = spark.read.json(f"{tmp_path}/docs").first()
-    assert back.trajectory.task_object == "cup" and len(back.frames) == 30
+    documents.write_documents(sinks.export_nested(frames, trajectory), f"{tmp_path}/docs", files=3)
+    only = json.loads(written_text(f"{tmp_path}/docs"))
+    assert only["trajectory"]["task_object"] == "cup" and [f["frame_index"] for f in only["frames"]] == list(range(30))
+    assert set(sinks.FRAME_FIELDS) < set(only["frames"][0])
     sinks.write_frames(frames, f"{tmp_path}/frames")
     assert spark.read.parquet(f"{tmp_path}/frames").count() == 30
     sinks.write_csv(trajectory, f"{tmp_path}/csv")
