@@ -291,3 +291,73 @@ def _states(code: str, machine: str) -> Column:
         f"aggregate(_rows.{code}, struct(cast(_e_{machine} as int) as s, cast(array() as array<int>) as seen),"
         " (acc, c) -> struct(shiftright(c, acc.s * 3) & 7 as s, concat(acc.seen, array(acc.s * 8 + (shiftright(c, acc.s * 3) & 7))) as seen)).seen"
     )
+
+
+# --------------------------------------------------------------------------------------
+PER_WORD = 4  # machines whose changes, of 15 bits each, share one 64-bit word
+
+
+def product_words(changes: list[Column]) -> list[Column]:
+    """The packed changes of many machines, four to a word."""
+    words = []
+    for first in range(0, len(changes), PER_WORD):
+        word = F.lit(0).cast("bigint")
+        for i, change in enumerate(changes[first : first + PER_WORD]):
+            word = word.bitwiseOR(F.shiftleft(change.cast("bigint"), 3 * STATES * i))
+        words.append(word)
+    return words
+
+
+def first_in_state(coded: DataFrame, words: list[str], machines: int, state: int, value: str) -> DataFrame:
+    """Smallest `value` of each episode at which each machine is in a state: columns f0, f1 and so on.
+
+    `coded` has episode_id, blk, step, `value` and the words of all machines. They run as one product machine: a fold over the ordered
+    rows of a block holds every machine's state and the smallest value so far, whatever their number, and keeps no list of
+    states. Blocks of longer episodes are entered in the states that the changes of the blocks before them lead to.
+    """
+    rows = coded.groupBy(KEY, "blk").agg(F.sort_array(F.collect_list(F.struct("step", F.col(value).cast("bigint").alias("_v"), *words))).alias("_rows"))
+    names = [f"s{j}" for j in range(len(words))]
+    of_word = [range(j * PER_WORD, min(machines, (j + 1) * PER_WORD)) for j in range(len(words))]
+    if one_block(coded):
+        entry = [F.lit(0).cast("bigint")] * len(words)
+    else:
+        changes = rows.select(KEY, "blk", *[_fold_machine(words[i // PER_WORD], i % PER_WORD).alias(f"_k{i}") for i in range(machines)])
+        carried = scan_blocks(changes, {f"_a{i}": Carried("fold", f"_k{i}") for i in range(machines)})
+        rows = rows.join(carried.select(KEY, "blk", *[f"_a{i}" for i in range(machines)]), [KEY, "blk"])
+        start = lambda i: apply_change(F.col(f"_a{i}"), F.lit(0)).cast("bigint")
+        entry = [sum((F.shiftleft(start(i), 3 * (i % PER_WORD)) for i in of), F.lit(0).cast("bigint")) for of in of_word]
+    none = F.lit(None).cast("bigint")
+    initial = F.struct(*[e.alias(n) for e, n in zip(entry, names)], *[none.alias(f"f{i}") for i in range(machines)])
+    folded = rows.select(KEY, F.aggregate("_rows", initial, lambda acc, row: _product_step(acc, row, words, of_word, state)).alias("_end"))
+    return folded.groupBy(KEY).agg(*[F.min(F.col("_end")[f"f{i}"]).alias(f"f{i}") for i in range(machines)])
+
+
+def _fold_machine(word: str, place: int) -> Column:
+    """The change that one machine of a word undergoes over the rows of a block."""
+    shift = 3 * STATES * place
+    codes = F.transform(F.col("_rows").getField(word), lambda w: F.shiftright(w, shift).bitwiseAND(F.lit((1 << 3 * STATES) - 1)).cast("int"))
+    return fold_changes(codes)
+
+
+def _product_step(acc: Column, row: Column, words: list[str], of_word: list[range], state: int) -> Column:
+    """States and smallest values after one row."""
+    fields, firsts = [], []
+    for j, (word, machines) in enumerate(zip(words, of_word)):
+        after = F.lit(0).cast("bigint")
+        for place, i in enumerate(machines):
+            now = F.shiftright(acc[f"s{j}"], 3 * place).bitwiseAND(F.lit(7))
+            shift = (now * 3 + 3 * STATES * place).cast("int")
+            moved = F.call_function("shiftright", row[word], shift).bitwiseAND(F.lit(7))
+            after = after.bitwiseOR(F.shiftleft(moved, 3 * place))
+        fields.append(after.alias(f"s{j}"))
+    together = F.struct(*fields)
+
+    def noted(new: Column) -> Column:
+        for j, machines in enumerate(of_word):
+            for place, i in enumerate(machines):
+                there = F.shiftright(new[f"s{j}"], 3 * place).bitwiseAND(F.lit(7)) == state
+                firsts.append(F.when(there, F.least(acc[f"f{i}"], row["_v"])).otherwise(acc[f"f{i}"]).alias(f"f{i}"))
+        return F.struct(*[new[f"s{j}"].alias(f"s{j}") for j in range(len(words))], *firsts)
+
+    # the new states are computed once and looked at by every machine
+    return F.get(F.transform(F.array(together), noted), 0)

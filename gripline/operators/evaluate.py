@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gripline.functions.geometry import l2_error
 from gripline.functions.text import threshold_tag
-from gripline.operators.blocks import KEY, replay_states
+from gripline.operators.blocks import KEY, first_in_state, longest_of, note_longest, product_words
 from gripline.operators.phases import CONTACT, coded_grasp
 from gripline.sources.session import settle
 
@@ -36,13 +36,12 @@ def earliest(value: Column, position: str = "step") -> tuple[Column, object]:
 
 
 def contact_frames(indexed: DataFrame, thresholds: list[tuple[float, float]] | None = None) -> DataFrame:
-    """Predicted contact frame per episode and threshold pair, in one pass over the frames."""
+    """Predicted contact frame per episode and threshold pair: all pairs run as one machine, one fold over the frames."""
     thresholds = list(thresholds or [(0.4, 0.9)])
     coded, codes = coded_grasp(indexed, thresholds, ["frame_index"])
-    states = replay_states(coded, codes, payload=["frame_index"])
-    firsts = states.groupBy(KEY).agg(
-        *[F.min(F.when(F.col(f"m{i}") == CONTACT, F.col("frame_index"))).alias(f"f{i}") for i in range(len(thresholds))]
-    )
+    words = {f"_w{j}": w for j, w in enumerate(product_words([F.col(c) for c in codes.values()]))}
+    packed = note_longest(coded.select(KEY, "blk", "step", "frame_index", *[w.alias(n) for n, w in words.items()]), longest_of(coded))
+    firsts = first_in_state(packed, list(words), len(thresholds), CONTACT, "frame_index")
     pairs = [
         F.struct(F.lit(float(g)).alias("grasp_threshold"), F.lit(float(c)).alias("contact_threshold"), F.col(f"f{i}").alias("pred_contact_frame"))
         for i, (g, c) in enumerate(thresholds)
@@ -145,8 +144,19 @@ def exact_median(rows: DataFrame, by: list[str], value: str, out: str, ranked: i
     return medians.unionByName(every.where(odd).select(*by, F.lit(float("nan")).alias(out))).groupBy(*by).agg(F.max(out).alias(out))  # NaN is above all numbers
 
 
-def summarize(errors: DataFrame, by: list[str], tolerances: tuple[int, ...] = TOLERANCES) -> DataFrame:
-    """Contact-frame and pose metrics over all episodes, per threshold pair."""
+def exact_medians(rows: DataFrame, by: list[str], values: dict[str, str], ranked: int = RANKED, buckets: int = 4096) -> DataFrame:
+    """Exact medians of several columns (`values`: column -> result), stacked as (metric, value) and narrowed in the same passes."""
+    pairs = [F.struct(F.lit(out).alias("_metric"), F.col(c).cast("double").alias("_value")) for c, out in values.items()]
+    stacked = rows.select(*by, F.inline(F.array(*pairs)))
+    found = exact_median(stacked, [*by, "_metric"], "_value", "_median", ranked, buckets)
+    return found.groupBy(*by).agg(*[F.max(F.when(F.col("_metric") == out, F.col("_median"))).alias(out) for out in values.values()])
+
+
+MEDIANS = {"abs_frame_error": "median_abs_error_frames", "tcp_position_l2_error": "median_tcp_position_l2_m"}
+
+
+def summarize(errors: DataFrame, by: list[str], tolerances: tuple[int, ...] = TOLERANCES, medians: tuple[str, ...] = tuple(MEDIANS.values())) -> DataFrame:
+    """Contact-frame and pose metrics over all episodes, per threshold pair; of the medians, those asked for."""
     e, s = F.col("abs_frame_error").cast("double"), F.col("frame_error").cast("double")
     main = errors.groupBy(*by).agg(
         F.count(F.lit(1)).alias("num_episodes"),
@@ -161,9 +171,8 @@ def summarize(errors: DataFrame, by: list[str], tolerances: tuple[int, ...] = TO
         F.avg("tcp_rotation_l2_error").alias("mean_tcp_rotation_l2_rad"),
         F.avg("tcp_pose6d_l2_error").alias("mean_tcp_pose6d_l2"),
     )
-    frames = exact_median(errors.withColumn("_e", e), by, "_e", "median_abs_error_frames")
-    position = exact_median(errors, by, "tcp_position_l2_error", "median_tcp_position_l2_m")
-    return main.join(frames, by, "left").join(position, by, "left")
+    wanted = {c: out for c, out in MEDIANS.items() if out in medians}
+    return main.join(exact_medians(errors, by, wanted), by, "left") if wanted else main
 
 
 EPISODE_COLUMNS = (

@@ -367,7 +367,7 @@ def l2_error(spark, folder):
 
 @query("contact_metrics", _summary_sql(DEFAULT, CONTACT_METRICS))
 def contact_metrics(spark, folder):
-    return EV.summarize(_errors(spark, folder, DEFAULT), BY).select(*BY, *CONTACT_METRICS)
+    return EV.summarize(_errors(spark, folder, DEFAULT), BY, medians=("median_abs_error_frames",)).select(*BY, *CONTACT_METRICS)
 
 
 @query("accuracy_at_tolerance", _summary_sql(DEFAULT, ACCURACY))
@@ -378,7 +378,7 @@ def accuracy_at_tolerance(spark, folder):
 
 @query("pose_metrics", _summary_sql(DEFAULT, POSE_METRICS))
 def pose_metrics(spark, folder):
-    return EV.summarize(_errors(spark, folder, DEFAULT), BY).select(*BY, *POSE_METRICS)
+    return EV.summarize(_errors(spark, folder, DEFAULT), BY, medians=("median_tcp_position_l2_m",)).select(*BY, *POSE_METRICS)
 
 
 @query("threshold_sweep", _summary_sql(SWEEP, CONTACT_METRICS + ACCURACY + POSE_METRICS))

@@ -8,6 +8,8 @@ import pytest
 
 from gripline.operators import evaluate as EV
 from gripline.operators import segments as SG
+from gripline.operators.blocks import index_frames
+from gripline.operators.signals import gripper_values
 
 # published per-episode results at thresholds 0.4 and 0.9
 PUBLISHED = [
@@ -151,3 +153,44 @@ def test_median_of_odd_values(spark):
         got = {r["g"]: r["m"] for r in EV.exact_median(rows, ["g"], "v", "m", ranked=ranked, buckets=4).collect()}
         assert math.isnan(got.pop("nan"))
         assert got == {k: float(np.median(v)) for k, v in groups.items() if k != "nan"}
+
+
+def test_product_machine(spark, blocking):
+    """Eleven pairs, so three words: the first contact of each equals the one found by a step-by-step run of that pair alone."""
+    pairs = [(0.1 * i, 0.5 + 0.05 * i) for i in range(11)]
+    rng = np.random.default_rng(12)
+    rows = [(e, 2 * i, float(g)) for e, n in (("a", 90), ("b", 1), ("c", 37), ("d", 13)) for i, g in enumerate(rng.integers(0, 10, n))]
+    frames = spark.createDataFrame(rows, "episode_id string, frame_index bigint, gripper double")
+    indexed = index_frames(frames, episode_values=gripper_values())
+    got = {(r.episode_id, round(r.grasp_threshold, 3)): r.pred_contact_frame for r in EV.contact_frames(indexed, pairs).collect()}
+    assert len(got) == 4 * 11
+    for e in "abcd":
+        g = np.array([v for k, _, v in rows if k == e])
+        norm = (g - g.min()) / (g.max() - g.min() + 1e-6)
+        for low, high in pairs:
+            state, first = 0, None
+            for i in range(len(norm)):
+                now, before = norm[i], norm[max(i - 1, 0)]
+                rise, fall = now > before, now < before
+                if state in (0, 4):
+                    state = 1 if now > low and rise else state
+                elif state == 1:
+                    state = 2 if now >= high else 0 if now <= low and fall else 1
+                elif state == 2:
+                    state = 3 if now < high and fall else 2
+                else:
+                    state = 4 if now <= low else 2 if now >= high and rise else 3
+                if state == 2 and first is None:
+                    first = 2 * i
+            assert got[e, round(low, 3)] == first
+
+
+def test_medians_together(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(k), float(a), float(b) if b > 0 else None) for k, a, b in zip(rng.integers(0, 3, 900), rng.normal(size=900), rng.normal(size=900))]
+    frame = spark.createDataFrame(rows + [(7, 1.0, None)], "k int, a double, b double")
+    for ranked in (1 << 20, 40):
+        got = {r.k: (r.ma, r.mb) for r in EV.exact_medians(frame, ["k"], {"a": "ma", "b": "mb"}, ranked=ranked, buckets=8).collect()}
+        for k in range(3):
+            assert np.isclose(got[k][0], np.median([a for j, a, _ in rows if j == k])) and np.isclose(got[k][1], np.median([b for j, _, b in rows if j == k and b is not None]))
+        assert got[7] == (1.0, None)
