@@ -55,18 +55,12 @@ def real_id(c: Column) -> Column:
     return F.when(c != F.lit(LAST), c)
 
 
-#: Stand-ins for missing ids where rows need ids of their own start here.
-STANDS_IN = 2**62
-
-
 def id_or_content(name: Column, *content: Column) -> Column:
-    """An integer id below STANDS_IN; a missing one is replaced by a larger number made of the row's content."""
-    return F.coalesce(name.cast("long"), F.shiftrightunsigned(F.xxhash64(*content), 2) + F.lit(STANDS_IN))
+    """A name for a row: its integer id, or a hash of its content where that is missing.
 
-
-def below_stand_in(c: Column) -> Column:
-    """The id again, null for a stand-in made of content."""
-    return F.when(c < F.lit(STANDS_IN), c)
+    Names only tell rows apart. Which rows have an id, and the least id of a group, is kept beside them, so every 64-bit id is one.
+    """
+    return F.coalesce(name.cast("long"), F.xxhash64(*content))
 
 
 def two_hashes(*columns: Column) -> list[Column]:
@@ -80,9 +74,40 @@ def spread(c: Column, parts: int) -> Column:
 
 
 def least_hashed(rows: DataFrame, key: Column, most: int, *columns: Column) -> DataFrame:
-    """At most so many rows, those whose key has the smallest hashes: the same rows on each run. For narrow rows: every task sends
-    as many."""
-    return rows.select(*columns, F.xxhash64(F.lit("sample"), key).alias("_h"), key.alias("_k")).orderBy("_h", "_k").limit(most).drop("_h", "_k")
+    """At most so many rows, those whose key has the smallest hashes: the same rows on each run.
+
+    Rows are counted first, and only those below a share of the hashes that holds about `most` of them are sorted, so all tasks
+    together send little more than `most` rows, however many tasks there are.
+    """
+    hashed = rows.select(*columns, F.xxhash64(F.lit("sample"), key).alias("_h"), key.alias("_k"))
+    n = rows.count()
+    share = min(1.0, 1.2 * (most + 50) / max(1, n))
+    while share < 1:
+        below = hashed.where(F.col("_h") < F.lit(int(-(2**63) + share * 2**64)))
+        if below.count() >= min(most, n):
+            hashed = below
+            break
+        share = min(1.0, 4 * share)  # few keys that repeat often leave gaps
+    return hashed.orderBy("_h", "_k").limit(most).drop("_h", "_k")
+
+
+def within_bytes(texts: DataFrame, most: int) -> DataFrame:
+    """Of rows with an integer id and a text, in order of the ids' hashes, those whose texts still fit into so many bytes.
+
+    The rows are few (a bounded sample) and written; the driver sees their ids and lengths. Where no text fits, the shortest stays.
+    """
+    sizes = sorted(texts.select(F.xxhash64("id").alias("h"), "id", F.octet_length("text").alias("n")).collect())
+    chosen, used = [], 0
+    for _, name, n in sizes:
+        if used + n <= most:
+            chosen.append(name)
+            used += n
+    if sizes and not chosen:
+        chosen = [min(sizes, key=lambda r: r["n"])["id"]]
+    if len(chosen) == len(sizes):
+        return texts
+    few = texts.sparkSession.createDataFrame([(i,) for i in chosen], "id long")
+    return texts.join(F.broadcast(few), "id", "left_semi")
 
 
 def cuts(rows: DataFrame, key: Column, parts: int, per_part: int = 200) -> list[int]:

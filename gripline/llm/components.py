@@ -29,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, "a")
         small = joined.select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").unionByName(low.select("a", F.col("low").alias("b")))
         pairs = written(small.distinct())
-        now = pairs.agg(F.count("*"), F.sum("b"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        now = pairs.agg(F.count("*"), F.sum(F.col("b").cast("decimal(20,0)")), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             break
         before = now

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gripline.llm.common import below_stand_in, id_or_content, text_of, written
+from gripline.llm.common import id_or_content, text_of, written
 from gripline.llm.minhash import word_hashes
 
 #: Scores of the alignment by words.
@@ -175,29 +175,32 @@ def _align(shared, least: float):
             r, *found = zip(*rows, strict=True) if rows else [[]] * 5
             r = pa.array(r, pa.int64())
             columns = [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.float64(), pa.int64(), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc").take(r), batch.column("text").take(r), *columns], ["doc", "text", "item", "score", "first_word", "end_word"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc").take(r), batch.column("own").take(r), batch.column("text").take(r), *columns], ["doc", "own", "text", "item", "score", "first_word", "end_word"])
 
     return run
 
 
 def _leaks(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
-    """Rows (doc, text, item, score, first_word, end_word); doc and text, a hash, name a row of docs."""
+    """Rows (doc, own, text, item_id, score, first_word, end_word); doc and text, a hash, name a row of docs, own is its id."""
     spark = docs.sparkSession
-    items = benchmark.select(id_or_content(benchmark["item_id"], text_of(benchmark)).alias("item"), word_hashes(text_of(benchmark)).alias("words")).where(F.size("words") > 0)
+    items = benchmark.select(id_or_content(benchmark["item_id"], text_of(benchmark)).alias("item"), benchmark["item_id"].isNotNull().alias("named"), word_hashes(text_of(benchmark)).alias("words")).where(F.size("words") > 0)
     items = written(items.distinct())
     parts = -(-(items.agg(F.sum(F.size("words"))).first()[0] or 1) // BATCH_WORDS)
-    base = docs.select(id_or_content(docs["doc_id"], text_of(docs)).alias("doc"), F.xxhash64(text_of(docs)).alias("text"), word_hashes(text_of(docs)).alias("words"))
+    base = docs.select(id_or_content(docs["doc_id"], text_of(docs)).alias("doc"), docs["doc_id"].cast("long").alias("own"), F.xxhash64(text_of(docs)).alias("text"), word_hashes(text_of(docs)).alias("words"))
     found = []
     for k in range(parts):
         batch = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k).toArrow()
         flat, offsets = _lists(batch.column("words").combine_chunks()) if len(batch) else (np.zeros(0, np.int64), np.zeros(1, np.int64))
         shared = spark.sparkContext.broadcast(vars(Items(batch.column("item").to_numpy(), flat, offsets, least)))
-        found.append(base.mapInArrow(_align(shared, least), "doc long, text long, item long, score double, first_word long, end_word long"))
+        found.append(base.mapInArrow(_align(shared, least), "doc long, own long, text long, item long, score double, first_word long, end_word long"))
     aligned = found[0]
     for more in found[1:]:
         aligned = aligned.unionByName(more)
-    best = aligned.groupBy("doc", "text", "item").agg(F.max(F.struct("score", (-F.col("first_word")).alias("minus"), "end_word")).alias("best"))
-    return best.select("doc", "text", "item", "best.score", (-F.col("best.minus")).alias("first_word"), "best.end_word")
+    best = aligned.groupBy("doc", "own", "text", "item").agg(F.max(F.struct("score", (-F.col("first_word")).alias("minus"), "end_word")).alias("best"))
+    # Items are few beside documents; a pair is told the item's id, if it has one.
+    named = items.select("item", F.when(F.col("named"), F.col("item")).alias("item_id")).groupBy("item").agg(F.max("item_id").alias("item_id"))
+    best = best.join(named, "item")
+    return best.select("doc", "own", "text", "item_id", "best.score", (-F.col("best.minus")).alias("first_word"), "best.end_word")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
@@ -213,7 +216,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> Data
     Null and empty texts hold nothing, and null or empty items match nothing. Items with equal texts match alike. A missing doc_id or item_id is
     returned as null. Repeated rows give repeated pairs once; rows that share a doc_id and hold different texts are rows of their own. Empty tables give an empty table. Other columns are not used.
     """
-    return _leaks(docs, benchmark, least).select(below_stand_in(F.col("doc")).alias("doc_id"), below_stand_in(F.col("item")).alias("item_id"), "score", "first_word", "end_word", F.col("doc").alias("row_id"))
+    return _leaks(docs, benchmark, least).select(F.col("own").alias("doc_id"), "item_id", "score", "first_word", "end_word", F.col("doc").alias("row_id"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gripline.llm.common import SPACE, below_stand_in, id_or_content, shared_folder, text_of, width, written
+from gripline.llm.common import SPACE, id_or_content, shared_folder, text_of, width, written
 from gripline.llm.components import components
 
 WORDS = 5
@@ -124,7 +124,7 @@ def _sign(bands: int, rows: int, size: int):
                 ends = np.concatenate([[0], np.cumsum(np.where(some, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(key[some].view(np.int64).ravel()))
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("h1"), part.column("h2"), lists], ["doc", "h1", "h2", "bands"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc", "own", "h1", "h2")), lists], ["doc", "own", "h1", "h2", "bands"])
 
     return run
 
@@ -291,14 +291,14 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     of the others, in tiles of bounded size that return only the links which join components. So every proposed pair is either compared or
     already within one class. Verification is exact, on whole texts.
 
-    Null and empty texts, and those of blanks, have no shingles: each is a class of its own. A row without doc_id gets a large
-    row_id made of its text and comes after all others; its ids are returned as null. Rows that repeat a doc_id share its class. An empty table gives an empty one. Other columns are not used.
+    Null and empty texts, and those of blanks, have no shingles: each is a class of its own. A row without doc_id has a
+    row_id made of its text and comes after all others; its ids are returned as null. Any 64-bit doc_id is an id. Rows that repeat a doc_id share its class. An empty table gives an empty one. Other columns are not used.
     """
     spark = docs.sparkSession
-    base = docs.select(id_or_content(docs["doc_id"], text_of(docs)).alias("doc"), text_of(docs).alias("text"))
-    hashed = base.select("doc", word_hashes(F.col("text")).alias("words"))
-    signed = hashed.select("doc", "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
-    signed = written(signed.mapInArrow(_sign(bands, rows, size), "doc long, h1 long, h2 long, bands array<long>"))
+    base = docs.select(id_or_content(docs["doc_id"], text_of(docs)).alias("doc"), docs["doc_id"].cast("long").alias("own"), text_of(docs).alias("text"))
+    hashed = base.select("doc", "own", word_hashes(F.col("text")).alias("words"))
+    signed = hashed.select("doc", "own", "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
+    signed = written(signed.mapInArrow(_sign(bands, rows, size), "doc long, own long, h1 long, h2 long, bands array<long>"))
     same = ["h1", "h2"]
     texts = written(signed.where(F.size("bands") > 0).groupBy(*same).agg(F.min("doc").alias("id"), F.first("bands").alias("bands")))
     keys = texts.select("id", F.explode("bands").alias("key"))
@@ -306,11 +306,11 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     # The hub of a bucket is the document that agrees with most others, as a text does with its many edited copies.
     weights = shared.groupBy("id").agg(F.sum("n").alias("weight"))
     weighted = shared.join(weights, "id")
-    hubs = weighted.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("best")).select("key", (-F.col("best.minus")).alias("hub"))
+    hubs = weighted.groupBy("key").agg(F.max(F.struct("weight", F.bitwise_not("id").alias("minus"))).alias("best")).select("key", F.bitwise_not("best.minus").alias("hub"))
     buckets = written(shared.select("key", "id").join(hubs, "key"))
     wanted = buckets.select("id").distinct()
     # Documents that share a bucket are read again; only their texts are shuffled with the ids wanted.
-    again = base.withColumnRenamed("doc", "id").join(wanted, "id", "left_semi").select("id", word_hashes(F.col("text")).alias("words"))
+    again = base.drop("own").withColumnRenamed("doc", "id").join(wanted, "id", "left_semi").select("id", word_hashes(F.col("text")).alias("words"))
     sets = again.mapInArrow(_sets(size), "id long, shingles array<long>, counts array<int>")
     name = f"shingle_sets_{uuid.uuid4().hex}"
     sets.write.bucketBy(width(spark), "id").sortBy("id").format("parquet").option("path", shared_folder(spark)).saveAsTable(name)
@@ -330,12 +330,17 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     more = written(_tiled(apart, stored, width(spark)).mapInArrow(_compare(least), "a long, b long"))
     spark.sql(f"drop table {name}")
     # Copies are tied to the text that stands for them; so a doc_id that several rows share has one class.
-    members = signed.select("doc", *same, (F.size("bands") > 0).alias("some")).join(texts.select(*same, "id", F.lit(True).alias("some")), [*same, "some"], "left")
-    members = written(members.select("doc", F.coalesce("id", "doc").alias("id")))
+    members = signed.select("doc", "own", *same, (F.size("bands") > 0).alias("some")).join(texts.select(*same, "id", F.lit(True).alias("some")), [*same, "some"], "left")
+    members = written(members.select("doc", "own", F.coalesce("id", "doc").alias("id")))
     copies = members.where("doc <> id").select(F.col("id").alias("a"), F.col("doc").alias("b")).distinct()
     classes = components(links.unionByName(more).unionByName(copies))
-    found = members.join(classes, "id", "left").withColumn("class", F.coalesce("component", "id"))
-    return found.select(below_stand_in(F.col("doc")).alias("doc_id"), below_stand_in(F.col("class")).alias("class_id"), (F.col("doc") == F.col("class")).alias("kept"), F.col("doc").alias("row_id"))
+    # Names of classes only tell them apart; the least doc_id of each is found among its members.
+    found = members.join(classes, "id", "left")
+    lows = found.where("component is not null").groupBy("component").agg(F.min("own").alias("low"))
+    found = found.join(lows, "component", "left").withColumn("class", F.coalesce("component", "id"))
+    low = F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("low"))
+    kept = F.coalesce(F.col("own") == low, low.isNull() & (F.col("doc") == F.col("class")))
+    return found.select(F.col("own").alias("doc_id"), low.alias("class_id"), kept.alias("kept"), F.col("doc").alias("row_id"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:

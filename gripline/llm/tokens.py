@@ -16,13 +16,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gripline.llm.common import LAST, cuts, id_of, least_hashed, range_of, real_id, shared_folder, text_of, width
+from gripline.llm.common import LAST, cuts, id_of, least_hashed, range_of, real_id, shared_folder, text_of, width, within_bytes, written
 from gripline.llm.files import committed, reader
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 #: The dictionary is trained on so many documents (those with the smallest id hashes) and has so many bytes.
 SAMPLE_ROWS = 2000
+SAMPLE_BYTES = 64 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Words whose ids a worker keeps.
@@ -149,12 +150,14 @@ def serialized(ids: np.ndarray, wide: bool, end: int | None = None) -> bytes:
 
 
 def train(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
-    """A zstandard dictionary for id arrays, from at most `rows` documents; a corpus too small or uniform to train on gets
-    an empty one."""
+    """A zstandard dictionary for id arrays, from at most `rows` documents and SAMPLE_BYTES of text; of rows that share an id, the text
+    with the smallest hash counts. A corpus too small or uniform to train on gets an empty one."""
     encoder = Encoder(path)
     key = id_of(docs, "doc_id")
     picked = F.broadcast(least_hashed(docs, key, rows, key.alias("id")).distinct())  # `rows` rows at most
-    texts = [r[0] for r in docs.select(key.alias("id"), text_of(docs).alias("text")).join(picked, "id").select("text").limit(rows).collect()]
+    found = docs.select(key.alias("id"), text_of(docs).alias("text")).join(picked, "id")
+    one = written(found.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    texts = [r[1] for r in sorted(within_bytes(one, SAMPLE_BYTES).select("id", "text").collect())]
     samples = [serialized(x, encoder.wide, END_ID) for a, b in slices(texts) for x in encoder.texts(texts[a:b])]
     try:
         return zstandard.train_dictionary(min(size, max(256, sum(map(len, samples)) // 10)), samples).as_bytes()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gripline.llm.common import below_stand_in, id_or_content, least_hashed, two_hashes, written
+from gripline.llm.common import id_or_content, least_hashed, two_hashes, written
 from gripline.llm.components import components
 
 LEAST = 0.98
@@ -141,18 +141,18 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, sample: int = SAMP
     links of a group are stars, whose components are found by joins.
 
     n_links counts the rows linked directly, copies included. Vectors that are null or zero or hold null or non-finite
-    components, and those without a label, link with nothing; so do vectors of different lengths. A row without vec_id gets a
-    large number made of its vector and comes after all others; its ids are returned as null. Rows that repeat a vec_id are rows of their own that share a component. An empty table gives an
+    components, and those without a label, link with nothing; so do vectors of different lengths. A row without vec_id is
+    named by its vector and comes after all others; its ids are returned as null. Any 64-bit vec_id is an id. Rows that repeat a vec_id are rows of their own that share a component. An empty table gives an
     empty one. Other columns are not used.
     """
     array = vectors["embedding"].cast("array<double>")
     odd = F.exists(array, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     usable = F.coalesce(vectors["label"].isNotNull() & ~odd & F.exists(array, lambda v: v != 0.0), F.lit(False))
     plain = F.transform(array, lambda v: v + 0.0)  # no negative zero
-    base = vectors.select(id_or_content(vectors["vec_id"], vectors["embedding"]).alias("vec"), F.when(usable, vectors["label"].cast("string")).alias("label"), F.when(usable, plain).alias("embedding"))
-    hashed = base.select("vec", "label", *two_hashes(F.col("label"), F.col("embedding")), "embedding")
+    base = vectors.select(id_or_content(vectors["vec_id"], vectors["embedding"]).alias("vec"), vectors["vec_id"].cast("long").alias("own"), F.when(usable, vectors["label"].cast("string")).alias("label"), F.when(usable, plain).alias("embedding"))
+    hashed = base.select("vec", "own", "label", *two_hashes(F.col("label"), F.col("embedding")), "embedding")
     same = ["label", "h1", "h2"]
-    groups = written(hashed.where("embedding is not null").groupBy(*same).agg(F.min("vec").alias("id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")).withColumn("dim", F.size("embedding")))
+    groups = written(hashed.where("embedding is not null").groupBy(*same).agg(F.min("vec").alias("id"), F.min("own").alias("least"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")).withColumn("dim", F.size("embedding")))
     sizes = {r["dim"]: r["n"] for r in groups.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     centres = {}
     for d, n in sizes.items():
@@ -176,8 +176,13 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, sample: int = SAMP
     found = written(found)
     stars = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     counts = found.groupBy("id", "h1").agg(F.sum("n").alias("n"))
-    known = groups.join(counts, ["id", "h1"], "left").join(stars, "id", "left").select(*same, F.col("copies"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "id").alias("component"))
+    # Names of components only tell them apart; the least vec_id of each is found among its members.
+    lows = groups.select("id", "least").join(stars, "id").groupBy("component").agg(F.min("least").alias("low"))
+    known = groups.drop("embedding").join(counts, ["id", "h1"], "left").join(stars, "id", "left").join(lows, "component", "left")
+    known = known.select(*same, "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "id").alias("component"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("low")).alias("low"))
     rows = hashed.drop("embedding").join(known, same, "left")
     links = F.coalesce(F.col("n") + F.col("copies") - 1, F.lit(0)).cast("long")
     component = F.coalesce("component", "vec")
-    return rows.select(below_stand_in(F.col("vec")).alias("vec_id"), links.alias("n_links"), below_stand_in(component).alias("component_id"), (F.col("vec") == component).alias("kept"))
+    low = F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("low"))
+    kept = F.coalesce(F.col("own") == low, low.isNull() & (F.col("vec") == component))
+    return rows.select(F.col("own").alias("vec_id"), links.alias("n_links"), low.alias("component_id"), kept.alias("kept"))
