@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gripline.functions.literals import literal_json
 from gripline.functions.text import number_of, strip
 
 # --- fixed values -----------------------------------------------------------------
@@ -18,9 +19,6 @@ NUMBER_IN_TEXT = r"(-?\d+(?:\.\d+)?)"
 
 STRICT = {"allowSingleQuotes": "false"}
 LOOSE = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "true"}
-QUOTED = {"allowSingleQuotes": "true", "allowUnquotedControlChars": "true"}
-
-QUOTED_PARTS = r"""(?s)"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|[^"']++|["']"""
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -67,20 +65,6 @@ def segment_list(body: Column) -> Column:
     return F.transform(F.filter(items, lambda x: x.startswith("{")), segment)
 
 
-def outside_quotes(text: Column, change: Callable[[Column], Column]) -> Column:
-    """The text with `change` made to all parts but the quoted ones."""
-    parts = F.regexp_extract_all(text, F.lit(QUOTED_PARTS), F.lit(0))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.startswith('"') | p.startswith("'"), p).otherwise(change(p))), "")
-
-
-def _literal_as_json(part: Column) -> Column:
-    """An unquoted part of a Python literal in JSON: words, tuples as lists, no trailing commas."""
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        part = F.regexp_replace(part, rf"\b{word}\b", json_word)
-    part = F.translate(F.regexp_replace(part, r"\(\s*([^(),\s]+)\s*\)", "$1"), "()", "[]")
-    return F.regexp_replace(part, r",\s*([\]}])", "$1")
-
-
 def strip_markers(text: Column) -> Column:
     out = strip(text)
     for marker in MARKERS:
@@ -91,13 +75,11 @@ def strip_markers(text: Column) -> Column:
 def parse_grounding(text: Column) -> Column:
     """Reply -> JSON text of its object.
 
-    Tried in turn: JSON, a literal with single quotes, tuples, trailing commas and None/True/False, JSON
-    between the outer braces. Of a list the first element counts. Null when no object is found.
+    Tried in turn: JSON, a Python literal, JSON between the outer braces. Of a list the first element counts. Null when no object is found.
     """
 
     def read(bare: Column) -> Column:
-        literal = outside_quotes(bare, _literal_as_json)
-        return F.coalesce(_only_value(bare, LOOSE), _only_value(literal, QUOTED), _only_value(_braces(bare), LOOSE))
+        return F.coalesce(_only_value(bare, LOOSE), _only_value(literal_json(bare), STRICT), _only_value(_braces(bare), LOOSE))
 
     def first(root: Column) -> Column:
         return F.when(root.startswith("["), F.get(F.from_json(root, "array<string>"), 0)).otherwise(root)

@@ -338,6 +338,23 @@ def render_prompt(spark, folder):
     )
 
 
+@query("literal_replies", "select doc_id as episode_id, text || ' (' || lang || ')' as object, doc_id % 300 + 16 + 2000 + (doc_id % 9 + 1) + cast(doc_id % 7 || '.25' as double) as box_sum, 5 as corners, cast('0.' || doc_id % 10 || '5' as double) as confidence from documents")
+def literal_replies(spark, folder):
+    """Whole texts in Python literals: escapes, adjacent strings, tuples, numbers of all forms, a trailing comma."""
+    d = F.col("doc_id")
+    s = lambda c: c.cast("string")
+    text = F.col("text")
+    for plain, written in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    box = F.concat(F.lit("("), s(d % 300), F.lit(", 0x10 , 2_000, ("), s(d % 9 + 1), F.lit("), +"), s(d % 7), F.lit(".25,)"))
+    reply = F.concat(F.lit("```json\n{'object': '"), text, F.lit("' u\" (\" '"), F.col("lang"), F.lit(")', 'bbox': "), box, F.lit(", 'confidence': ."), s(d % 10), F.lit("5, 'more': {1: None, 'x': (True)},}\n```"))
+    rows = D.table(spark, folder, "documents").select(d.alias(KEY), reply.alias("raw_text")).withColumn("body", R.parse_grounding(F.col("raw_text")))
+    read = F.from_json("body", "object string, bbox array<double>, confidence double")
+    found = rows.select(KEY, read.alias("r"))
+    total = F.aggregate("r.bbox", F.lit(0.0), lambda a, b: a + b)
+    return found.select(KEY, "r.object", total.alias("box_sum"), F.size("r.bbox").alias("corners"), "r.confidence")
+
+
 @query("score_batches", "select doc_id as episode_id, case when length(text) > 99 then length(text) || ' characters' end as raw_text, cast(case when length(text) > 99 then 0 end as int) as attempt from documents")
 def score_batches(spark, folder):
     """Ask a stand-in model for every document; short answers are refused and asked for again."""
