@@ -20,7 +20,7 @@ from gripline.sources import frames as S
 from gripline.sources import manifests as M
 from gripline.sources import sinks
 from gripline.sources.session import checkpoint_folder
-from gripline.streaming.incremental import incremental_episodes, new_recordings
+from gripline.streaming.incremental import commit_batch, compact, current, incremental_episodes, new_recordings, newest_delivery
 
 
 RECORDED = {
@@ -190,23 +190,49 @@ def test_documents_and_files(spark, tmp_path):
 
 
 def test_two_drops(spark, tmp_path):
-    """A second run works on the new recording only; a third finds nothing."""
+    """A second run works on new recordings only, a third finds nothing; a repeated batch changes nothing, and a recording that
+    comes again replaces its older rows, before and after compaction."""
     root, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
-    os.makedirs(root)
 
-    def drop(e):
-        spark.createDataFrame([(i, 1.0) for i in range(e + 1)], "frame_index bigint, gripper double").toPandas().to_parquet(f"{root}/episode_{e:06d}.parquet")
+    def drop(folder, e, n):
+        os.makedirs(f"{root}/{folder}", exist_ok=True)
+        spark.createDataFrame([(i, float(n)) for i in range(n)], "frame_index bigint, gripper double").toPandas().to_parquet(f"{root}/{folder}/episode_{e:06d}.parquet")
+
+    seen = []
+
+    def annotate(batch):
+        rows = batch.groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"), F.max("gripper").alias("g"))
+        seen.append(sorted(r.episode_id for r in rows.collect()))
+        return rows
 
     def run():
-        stream = new_recordings(spark, root, "frame_index bigint, gripper double")
-        incremental_episodes(stream, lambda b: b.groupBy("episode_id").agg(F.count(F.lit(1)).alias("n")), out, state).awaitTermination()
-        return sorted((r.episode_id, r.n) for r in spark.read.parquet(out).collect())
-
-    drop(0)
-    drop(1)
-    assert run() == [("episode_000000", 1), ("episode_000001", 2)]
-    drop(2)
-    assert run() == run() == [("episode_000000", 1), ("episode_000001", 2), ("episode_000002", 3)]
+        incremental_episodes(new_recordings(spark, root, "frame_index bigint, gripper double"), annotate, out, state).awaitTermination()
+        return result()
+
+    result = lambda: sorted((int(r.episode_id[-2:]), r.n, r.g, r.batch) for r in current(spark, out).collect())
+    drop("one", 0, 3)
+    drop("one", 1, 2)
+    assert run() == [(0, 3, 3.0, 0), (1, 2, 2.0, 0)]
+    first = spark.createDataFrame([("episode_000000", 3.0)] * 3 + [("episode_000001", 2.0)] * 2, "episode_id string, gripper double")
+    commit_batch(first, 0, annotate, out)  # the batch again, as after a lost driver
+    assert result() == [(0, 3, 3.0, 0), (1, 2, 2.0, 0)]
+    drop("two", 2, 4)
+    drop("two", 1, 7)
+    assert run() == run() == [(0, 3, 3.0, 0), (1, 7, 7.0, 1), (2, 4, 4.0, 1)]
+    assert len(seen) == 3 and seen[-1] == ["episode_000001", "episode_000002"]
+    # rows that never made it into the log do not count
+    spark.createDataFrame([("episode_000009", 1, 1.0, 5)], "episode_id string, n bigint, g double, batch bigint").write.parquet(f"{out}/rows/part=batch-000000000005")
+    gone = compact(spark, out)
+    assert result() == [(0, 3, 3.0, 0), (1, 7, 7.0, 1), (2, 4, 4.0, 1)] and len(gone) == 4
+    drop("three", 0, 1)
+    assert run() == [(0, 1, 1.0, 2), (1, 7, 7.0, 1), (2, 4, 4.0, 1)]
+    assert len(compact(spark, out)) == 4 and run() == [(0, 1, 1.0, 2), (1, 7, 7.0, 1), (2, 4, 4.0, 1)]
+
+
+def test_newest_of_one_batch(spark):
+    """Of two files of one episode in a batch, the later one counts."""
+    rows = spark.createDataFrame([("a", (1, "x"), 5), ("a", (2, "w"), 6), ("a", (2, "w"), 7), ("b", (1, "y"), 8)], "episode_id string, delivery struct<at:int,path:string>, v int")
+    assert sorted(r.v for r in newest_delivery(rows).collect()) == [6, 7, 8]
 
 
 def test_checkpoint_folder_is_kept(spark):
