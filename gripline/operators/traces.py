@@ -164,9 +164,11 @@ def project_episodes(
 ) -> DataFrame:
     """Predicted trace of every frame (`pred_trace`) after the choice made for its episode.
 
-    `frames` has future_trace, gt_trace and camera; per-episode values come back by block, not by episode.
+    `frames` has future_trace, gt_trace and camera; per-episode values come back by block, not by episode. Every frame is projected once:
+    the traces are written, one pass over them gives each episode's moments and counts, and a second one the predictions.
     """
-    projected = with_projection(frames, out="camera_trace")
+    once = with_projection(frames, out="camera_trace").drop("camera")
+    projected = note_longest(settle(once), longest_of(frames))
     stats = episode_stats(projected, video_info, fitted=mode in ("fit", "auto"))
     use_fit = choose_projection(F.col("visible_ratio"), F.col("a_1u").isNotNull(), mode, threshold)
     values = stats.withColumn("use_fit", use_fit).withColumn("projection_label", projection_label(use_fit, F.col("visible_ratio")))

@@ -152,8 +152,8 @@ TRACES = """gt_points as (
   select episode_id, event_id, frame_index, i as idx, cast((event_id * 31 + i * 17) % 320 as double) as gu, cast((event_id * 29 + i * 13) % 180 as double) as gv
   from frames, lateral (select unnest(range(event_id % 13)) as i) where event_id % 3 = 0 and event_id % 13 > 0),
 future as (
-  select a.episode_id, a.frame_index, b.frame_index - a.frame_index as idx, b.x, b.y, b.z
-  from frames a join frames b on b.episode_id = a.episode_id and b.frame_index between a.frame_index and a.frame_index + 9)"""
+  select a.episode_id, a.frame_index, cast(a.i as bigint) as idx, b.x, b.y, b.z
+  from (select episode_id, frame_index, unnest(range(10)) as i from frames) a join frames b on b.episode_id = a.episode_id and b.frame_index = a.frame_index + a.i)"""
 
 # nearest of three cameras at frames 0, 20, 45; ties go to the earlier one
 PROJECTED = """cams(cam_pos, cam_frame, tx, ty, tz) as (values (0, 0, 0.0, 0.0, 0.5), (1, 20, 0.1, -0.1, -0.2), (2, 45, 0.2, -0.2, 1.0)),

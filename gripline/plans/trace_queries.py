@@ -98,8 +98,7 @@ def apply_affine(spark, folder):
 
 
 def _predicted(spark, folder):
-    rows = _seen(spark, folder)
-    return TR.project_episodes(rows, _video_info(rows))
+    return TR.project_episodes(_seen(spark, folder), _video_info(D.raw_frames(spark, folder)))
 
 
 CHOICE = (*BASE, PAIRS, FIT, VISIBLE, CHOSEN)
