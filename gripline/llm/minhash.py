@@ -335,9 +335,10 @@ def near_duplicates(docs: DataFrame, least: float = LEAST, size: int = WORDS, ba
     copies = members.where("doc <> id").select(F.col("id").alias("a"), F.col("doc").alias("b")).distinct()
     classes = components(links.unionByName(more).unionByName(copies))
     # Names of classes only tell them apart; the least doc_id of each is found among its members.
-    found = members.join(classes, "id", "left")
-    lows = found.where("component is not null").groupBy("component").agg(F.min("own").alias("low"))
-    found = found.join(lows, "component", "left").withColumn("class", F.coalesce("component", "id"))
+    # Only linked documents meet the classes' least ids; single ones have no class to be dealt by.
+    classes = written(classes)
+    lows = members.join(classes, "id").groupBy("component").agg(F.min("own").alias("low"))
+    found = members.join(classes.join(lows, "component"), "id", "left").withColumn("class", F.coalesce("component", "id"))
     low = F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("low"))
     kept = F.coalesce(F.col("own") == low, low.isNull() & (F.col("doc") == F.col("class")))
     return found.select(F.col("own").alias("doc_id"), low.alias("class_id"), kept.alias("kept"), F.col("doc").alias("row_id"))

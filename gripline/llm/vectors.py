@@ -177,8 +177,10 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, sample: int = SAMP
     stars = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     counts = found.groupBy("id", "h1").agg(F.sum("n").alias("n"))
     # Names of components only tell them apart; the least vec_id of each is found among its members.
+    # Only linked vectors meet the components' least ids; single ones have no component to be dealt by.
+    stars = written(stars)
     lows = groups.select("id", "least").join(stars, "id").groupBy("component").agg(F.min("least").alias("low"))
-    known = groups.drop("embedding").join(counts, ["id", "h1"], "left").join(stars, "id", "left").join(lows, "component", "left")
+    known = groups.drop("embedding").join(counts, ["id", "h1"], "left").join(stars.join(lows, "component"), "id", "left")
     known = known.select(*same, "copies", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "id").alias("component"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("low")).alias("low"))
     rows = hashed.drop("embedding").join(known, same, "left")
     links = F.coalesce(F.col("n") + F.col("copies") - 1, F.lit(0)).cast("long")
