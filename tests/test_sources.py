@@ -189,6 +189,33 @@ def test_documents_and_files(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/csv", header=True).first().task_verb == "pick"
 
 
+def test_single_recordings(spark, tmp_path):
+    """Videos of recordings given as single files, with real files; paths in records below a base and absolute."""
+    for name in ("data/one.mp4", "videos/b/two.mp4", "videos/a-c/two.mp4", "videos/a/z/two.mp4", "videos/a/one.mp4", "other/three.mp4"):
+        os.makedirs(os.path.dirname(f"{tmp_path}/{name}"), exist_ok=True)
+        with open(f"{tmp_path}/{name}", "w") as out:
+            out.write("x")
+    listing = M.list_files(spark, str(tmp_path))
+    assert listing.count() == 6
+    rows = spark.createDataFrame([(f"file://{tmp_path}/data/{n}.parquet",) for n in ("one", "two", "three")], "path string")
+    got = [r.video for r in M.single_file_videos(rows, listing, f"{tmp_path}/videos/").orderBy("video").collect()]
+    assert got == [f"{tmp_path}/{n}" for n in ("data/one.mp4", "data/three.mp4", "videos/a/z/two.mp4")]
+    assert {r.video for r in M.single_file_videos(rows, listing).collect()} == {f"{tmp_path}/data/{n}.mp4" for n in ("one", "two", "three")}
+
+
+def test_rendered_paths(spark):
+    """As Python's path rules have it, without looking at links."""
+    paths = ["/a/b/c.mp4", "/a/b", "/a/bc/d.mp4", "b/c.mp4", "./b/c.mp4", "../x.mp4", "/a/./b//e/../c.mp4", "/"]
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    for base, here in (("/a/b", "/a"), ("b", "/a"), ("/a/b/", "/"), ("/", "/a"), (None, "/a")):
+        got = {r.i: (r.r, r.w) for r in frame.select("i", M.render_path(F.col("p"), base, here=here).alias("r"), M.render_path(F.col("p"), base, True, here).alias("w")).collect()}
+        for i, p in enumerate(paths):
+            whole = os.path.normpath(os.path.join(here, p))
+            top = None if base is None else os.path.normpath(os.path.join(here, base))
+            shown = p if top is None or os.path.commonpath([whole, top]) != top else os.path.relpath(whole, top)
+            assert got[i] == (shown if shown[0] in "./" else f"./{shown}", whole), (p, base, here)
+
+
 def test_two_drops(spark, tmp_path):
     """A second run works on new recordings only, a third finds nothing; a repeated batch changes nothing, and a recording that
     comes again replaces its older rows, before and after compaction."""
