@@ -141,8 +141,8 @@ from p left join o on p.body = o.body
 """
 
 OP2 = """
-with v as (select vec_id, label, list_transform(embedding, x -> x::double) as e from embeddings),
-g as (select *, sqrt(list_dot_product(e, e)) as n from v where label is not null and e is not null and len(list_filter(e, x -> x is null or not isfinite(x))) = 0 and len(e) > 0),
+with v as (select vec_id, label, [x::double for x in embedding] as e from embeddings),
+g as (select *, sqrt(list_dot_product(e, e)) as n from v where label is not null and e is not null and len([x for x in e if x is null or not isfinite(x)]) = 0 and len(e) > 0),
 l as (select a.vec_id as a, b.vec_id as b from g a join g b on a.label = b.label and a.vec_id <> b.vec_id and a.n > 0 and b.n > 0 and list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
 r as (with recursive r(vec_id, other) as (select vec_id, vec_id from embeddings union select r.vec_id, l.b from r join l on r.other = l.a) select * from r),
 m as (select vec_id, min(other) as component_id from r group by vec_id),
