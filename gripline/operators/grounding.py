@@ -22,7 +22,8 @@ TRIES = 3
 def grounding_record(replies: DataFrame, width: Column, height: Column, text: str = "raw_text") -> DataFrame:
     """Name, box, centre and confidence of the object a reply names; raw keeps the parsed JSON text.
 
-    The centre is the middle of the box when there is one, else the clamped centre of the reply.
+    The centre is the middle of the box when there is one, else the clamped centre of the reply. `confidence` is the reply's
+    where that is a number or the text of one; `confidence_text` is it whatever its type: texts as they are, others as JSON.
     """
     parsed = replies.withColumn("raw", R.parse_grounding(F.col(text))).withColumn("_v", F.try_parse_json("raw"))
     v = F.col("_v")
@@ -41,6 +42,7 @@ def grounding_record(replies: DataFrame, width: Column, height: Column, text: st
         .withColumn("center_xy", F.coalesce(R.box_center(F.col("bbox_xyxy")), center))
         .withColumn("frame_size", F.array(width, height))
         .withColumn("confidence", F.try_variant_get(v, "$.confidence", "double"))
+        .withColumn("confidence_text", F.try_variant_get(v, "$.confidence", "string"))
         .drop("_v", "_name", "_box_value", "_center_value", "_box", "_center")
     )
 
@@ -55,6 +57,7 @@ def empty_grounding(episodes: DataFrame, error: str, width: Column | None = None
         F.lit(None).cast("array<double>").alias("center_xy"),
         size.alias("frame_size"),
         F.lit(None).cast("double").alias("confidence"),
+        F.lit(None).cast("string").alias("confidence_text"),
         F.lit(error).alias("error"),
     )
 

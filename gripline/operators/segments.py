@@ -10,6 +10,7 @@ from gripline.functions.text import parse_int_like, parse_text
 from gripline.operators.blocks import BLOCK, KEY, PLAIN_ROWS, Carried, block_number, scan_blocks
 from gripline.operators.depth import nearest_first
 from gripline.operators.evaluate import frame_lookup
+from gripline.operators.signals import chosen_frames, uniform_numbers
 
 DEFAULT_TEXT = "complete this part of the task"  # fixed values
 FALLBACK_SOURCE = "single_segment_fallback"
@@ -124,6 +125,41 @@ def subgoal_pose(segments: DataFrame, frames: DataFrame, columns: list[str]) ->
     return frame_lookup(wanted, frames, columns).withColumnRenamed("frame_index", "subgoal_frame")
 
 
+def goal_pose(episodes: DataFrame, frames: DataFrame, columns: list[str]) -> DataFrame:
+    """Pose at the last frame of every episode; null where that frame does not exist."""
+    wanted = episodes.select("*", F.col("last_frame").alias("frame_index"))
+    return frame_lookup(wanted, frames, columns).withColumnRenamed("frame_index", "goal_frame")
+
+
+def with_instruction(episodes: DataFrame, column: str = "task_instruction") -> DataFrame:
+    """Episodes with their instruction read as text; a missing or empty one is an error when the rows are read."""
+    text = parse_text(F.col(column))
+    named = F.concat(F.lit("no task instruction in episode "), F.col(KEY).cast("string"))
+    return episodes.withColumn(column, F.when(F.coalesce(text, F.lit("")) == "", F.raise_error(named).cast("string")).otherwise(text))
+
+
+def subtask_records(
+    segments: DataFrame, episodes: DataFrame, frames: DataFrame, columns: list[str], samples: int = 8, max_frames: int = 0
+) -> DataFrame:
+    """One record per episode: instruction, frames shown to the model, segments with their end poses, and the goal pose.
+
+    `segments` come from `fallback_segments`, so each episode has one at least; `episodes`: episode_id, first_frame, last_frame,
+    task_instruction. A record holds the segments of an episode, at most one per frame, and no frames. All poses wanted are
+    looked up together, so the frames are read and reduced once.
+    """
+    ends = segments.select(KEY, F.struct("segment_index", "segment_id", "start_frame", "end_frame", "subtask_instruction", "instruction_source").alias("_s"), F.col("end_frame").alias("frame_index"))
+    goals = episodes.select(KEY, F.lit(None).cast(ends.schema["_s"].dataType).alias("_s"), F.col("last_frame").alias("frame_index"))
+    found = frame_lookup(ends.unionByName(goals), frames, columns)
+    pose = F.when(F.coalesce(*[F.col(c).isNotNull() for c in columns]), F.struct(*columns))
+    is_goal = F.col("_s").isNull()
+    listed = F.sort_array(F.collect_list(F.when(~is_goal, F.struct("_s.*", pose.alias("pose")))))
+    records = found.groupBy(KEY).agg(listed.alias("subtask_segments"), F.max(F.when(is_goal, pose)).alias("goal_pose"))
+    shown = chosen_frames(uniform_numbers(F.col("first_frame"), F.col("last_frame"), F.lit(samples)), max_frames)
+    heads = with_instruction(episodes).select(KEY, "task_instruction", shown.alias("shown_frames"), F.col("last_frame").alias("goal_frame"))
+    source = F.get("subtask_segments", 0)["instruction_source"]
+    return heads.join(records, KEY).withColumn("segment_source", source)
+
+
 def subtask_summary(segments: DataFrame, episodes: DataFrame) -> DataFrame:
     """One row per episode: number of segments, instruction, source."""
     counts = segments.groupBy(KEY).agg(F.count(F.lit(1)).alias("num_segments"), F.min("instruction_source").alias("segment_source"))

@@ -147,9 +147,30 @@ def uniform_numbers(first: Column, last: Column, samples: Column) -> Column:
     return F.when(one, F.array(first.cast("bigint"))).otherwise(F.array_sort(F.array_distinct(values)))
 
 
-def uniform_frames(episodes: DataFrame, samples: int, first: str = "first_frame", last: str = "last_frame") -> DataFrame:
-    """Frame numbers to show for each episode, evenly spread between its first and last frame."""
-    picks = uniform_numbers(F.col(first), F.col(last), F.lit(samples))
+def chosen_frames(numbers: Column, max_frames: int) -> Column:
+    """Of a sorted list of frame numbers at most max_frames, evenly spread by place; all of them where that is 0."""
+    if max_frames <= 0:
+        return numbers
+    places = uniform_numbers(F.lit(0).cast("bigint"), (F.size(numbers) - 1).cast("bigint"), F.lit(max_frames))
+    return F.when(F.size(numbers) > max_frames, F.transform(places, lambda i: F.get(numbers, i.cast("int")))).otherwise(numbers)
+
+
+def in_uniform_numbers(place: Column, last: Column, samples: int) -> Column:
+    """Whether a place from 0 to last is one of the `samples` evenly spaced ones, without a list of them.
+
+    Place i of the samples is floor(i * step), so only the whole numbers next to place / step can lead to it.
+    """
+    if samples <= 1:
+        return place == 0
+    step = last.cast("double") / F.lit(samples - 1)
+    near = F.floor(place / F.nullif(step, F.lit(0.0)))
+    hit = lambda i: (i >= 0) & (i < samples - 1) & (F.floor(i * step) == place)
+    return (place == last) | (place == 0) | F.coalesce(hit(near) | hit(near + 1) | hit(near + 2), F.lit(False))
+
+
+def uniform_frames(episodes: DataFrame, samples: int, first: str = "first_frame", last: str = "last_frame", max_frames: int = 0) -> DataFrame:
+    """Frame numbers to show for each episode, evenly spread between its first and last frame; optionally thinned evenly to max_frames."""
+    picks = chosen_frames(uniform_numbers(F.col(first), F.col(last), F.lit(samples)), max_frames)
     return episodes.withColumn("frame_index", F.explode(picks))
 
 
@@ -164,7 +185,7 @@ def stride_frames(indexed: DataFrame, stride: int = 1, max_frames: int = 0) -> D
     regular = F.floor(last / F.lit(stride)) + 1
     total = regular + F.when(last % stride == 0, 0).otherwise(1)
     place = F.when(F.col("step") % stride == 0, F.floor(F.col("step") / F.lit(stride))).otherwise(regular)
-    keep = F.array_contains(uniform_numbers(F.lit(0).cast("bigint"), (total - 1).cast("bigint"), F.lit(max_frames)), place.cast("bigint"))
+    keep = in_uniform_numbers(place, total - 1, max_frames)
     return chosen.where((total <= max_frames) | keep)
 
 

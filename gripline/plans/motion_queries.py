@@ -215,19 +215,24 @@ def parse_fps(spark, folder):
     return D.table(spark, folder, "orders").select("o_orderkey", X.parse_fps(text).alias("fps"))
 
 
+# the gripper is held at its highest reading for one to nine of every 40 frames
+HELD = "case when frame_index % 40 between 20 and 20 + (episode_id + frame_index // 40) % 9 then gripper_max else gripper end"
+
+
 @query(
     "stable_contact_frame",
     with_(FRAMES)
-    + """, n as (select *, (gripper - gripper_min) / (gripper_max - gripper_min + 1e-8) as g from frames),
-    near as (select *, min(g) over w as low, count(*) over w as seen from n window w as (partition by episode_id order by frame_index rows between current row and 1 following)),
-    onset as (select episode_id, min(case when seen = 2 and low >= 0.8 then frame_index end) as contact_step from near group by 1),
+    + f""", n as (select *, ({HELD} - gripper_min) / (gripper_max - gripper_min + 1e-8) as g from frames),
+    near as (select *, min(g) over w as low, count(*) over w as seen from n window w as (partition by episode_id order by frame_index rows between current row and 4 following)),
+    onset as (select episode_id, min(case when seen = 5 and low >= 0.8 then frame_index end) as contact_step from near group by 1),
     fall as (select n.episode_id, min(case when frame_index > contact_step and g < 0.8 then frame_index end) as release_step from n join onset using (episode_id) group by 1)
     select episode_id, frame_index, contact_step, case when contact_step is null or frame_index < contact_step then 'pre' when release_step is null or frame_index < release_step then 'in' else 'post' end as contact_status
     from n join onset using (episode_id) join fall using (episode_id)""",
 )
 def stable_contact_frame(spark, folder):
-    """Two frames in a row here: the readings of the test tables never stay closed for five."""
-    return S.stable_contact(D.frames(spark, folder), window=2).select(KEY, "frame_index", "contact_step", "contact_status")
+    """The default window of five frames, on readings that are held for up to nine."""
+    held = D.frames(spark, folder).withColumn("gripper", F.expr(HELD.replace("//", "div")))
+    return S.stable_contact(held).select(KEY, "frame_index", "contact_step", "contact_status")
 
 
 # --- traces by position --------------------------------------------------------------------------

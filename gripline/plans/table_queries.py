@@ -208,30 +208,57 @@ def subgoal_pose(spark, folder):
     return found.select(KEY, "segment_id", "subgoal_frame", "x", "z")
 
 
+@query("goal_pose", with_(FRAMES, SEGMENTS) + "select e.episode_id, last_frame as goal_frame, round(f.x, 6) + 0.0 as x, round(f.z, 6) + 0.0 as z from episodes_of e left join frames f on f.episode_id = e.episode_id and f.frame_index = e.last_frame")
+def goal_pose(spark, folder):
+    """Pose at the last frame of every order taken as an episode; those without frames have none."""
+    return SG.goal_pose(D.planned_episodes(spark, folder), D.frames(spark, folder), ["x", "z"]).select(KEY, "goal_frame", "x", "z")
+
+
+@query("subtask_records", with_(FRAMES, SEGMENTS) + """, whole as (select * from clean union all
+  select episode_id, 'segment_000', 0, first_frame, last_frame, task_instruction, 'single_segment_fallback' from episodes_of where episode_id not in (select episode_id from clean)),
+  posed as (select w.*, f.x, f.z from whole w left join frames f on f.episode_id = w.episode_id and f.frame_index = w.end_frame),
+  poses as (select episode_id, string_agg(segment_id || ':' || start_frame || '-' || end_frame || ':' || coalesce(cast(round(x * 200) as bigint)::varchar, 'none'), ';' order by segment_index) as segments, min(instruction_source) as segment_source from posed group by 1),
+  shown as (select episode_id, string_agg(f::varchar, ',' order by f) as shown from (select episode_id, f from episodes_of, lateral (select distinct case when i = 7 then last_frame else first_frame + cast(floor(i * ((last_frame - first_frame) / 7.0::double)) as bigint) end as f from range(8) r(i)) g) group by 1)
+  select e.episode_id, task_instruction, segment_source, shown, segments, last_frame as goal_frame, round(f.x, 6) + 0.0 as goal_x
+  from episodes_of e join poses using (episode_id) join shown using (episode_id) left join frames f on f.episode_id = e.episode_id and f.frame_index = e.last_frame""")
+def subtask_records(spark, folder):
+    """Records of all episodes: frames shown to the model, segments with the pose at their ends, pose at the goal."""
+    episodes = D.planned_episodes(spark, folder)
+    frames = D.frames(spark, folder)
+    records = SG.subtask_records(SG.fallback_segments(_segments(spark, folder), episodes), episodes, frames, ["x", "z"], samples=8)
+    pose = lambda s: F.coalesce(F.round(s["pose"]["x"] * 200).cast("bigint").cast("string"), F.lit("none"))
+    line = lambda s: F.concat(s["segment_id"], F.lit(":"), s["start_frame"].cast("string"), F.lit("-"), s["end_frame"].cast("string"), F.lit(":"), pose(s))
+    return records.select(
+        KEY, "task_instruction", "segment_source", F.array_join(F.col("shown_frames").cast("array<string>"), ",").alias("shown"),
+        F.array_join(F.transform("subtask_segments", line), ";").alias("segments"), "goal_frame", F.col("goal_pose")["x"].alias("goal_x"),
+    )
+
+
 @query(
     "planned_segments",
-    """with d as (select doc_id as episode_id, doc_id, lang from documents where doc_id % 4 <> 2)
-    select episode_id, 0 as pos, doc_id % 30 as "start", doc_id % 30 + 12 as "end", lang as text from d union all select episode_id, 1, doc_id % 50, doc_id % 20, ' ' from d""",
+    """with d as (select doc_id as episode_id, doc_id, text from documents where doc_id % 4 <> 2)
+    select episode_id, 0 as pos, doc_id % 30 as "start", doc_id % 30 + 12 as "end", text from d union all select episode_id, 1, doc_id % 50, doc_id % 20, ' ' from d""",
 )
 def planned_segments(spark, folder):
-    """Segments read from planning replies around whole texts."""
+    """Segments read from planning replies; the first instruction is a whole text."""
     return SG.planned_segments(D.plan_replies(spark, folder))
 
 
-@query("extract_json", """select doc_id as episode_id, case when doc_id % 4 = 2 then null else '{"subtask_segments":[{"start_frame":' || doc_id % 30 || ',"end_frame":' || doc_id % 30 + 12 || ',"subtask_instruction":"' || lang || '"},{"start_frame":' || doc_id % 50 || ',"end_frame":' || doc_id % 20 || ',"subtask_instruction":" "}]}' end as body from documents""")
+@query("extract_json", """select doc_id as episode_id, case when doc_id % 4 = 2 then null else '{"subtask_segments":[{"start_frame":' || doc_id % 30 || ',"end_frame":' || doc_id % 30 + 12 || ',"subtask_instruction":' || cast(to_json(text) as varchar) || '},{"start_frame":' || doc_id % 50 || ',"end_frame":' || doc_id % 20 || ',"subtask_instruction":" "}]}' end as body from documents""")
 def extract_json(spark, folder):
     return D.plan_replies(spark, folder).select(KEY, R.extract_json(F.col("raw_text")).alias("body"))
 
 
 # --- replies -----------------------------------------------------------------------------------------
+CHOICES = "array<struct<message:struct<content:string,reasoning:string>>>"
 # each shape of the test replies, read by its own rule; boxes are ordered and clamped to 320 x 180
-GROUND = r"""with d as (select doc_id, lang, source, text, doc_id % 8 as shape, cast(doc_id % 300 as double) as a, cast(doc_id % 170 as double) as b, cast(doc_id * 7 % 400 as double) as c, cast(doc_id * 11 % 200 as double) as e from documents),
+GROUND = r"""with d as (select doc_id, lang, replace(replace(replace(replace(coalesce(text, ''), '```json', ''), '```', ''), 'JSON:', ''), 'Response:', '') as text, doc_id % 8 as shape, cast(doc_id % 300 as double) as a, cast(doc_id % 170 as double) as b, cast(doc_id * 7 % 400 as double) as c, cast(doc_id * 11 % 200 as double) as e from documents),
 boxed as (select *, least(a, least(c, 320)) as x1, greatest(a, least(c, 320)) as x2, least(b, least(e, 180)) as y1, greatest(b, least(e, 180)) as y2 from d),
 ok as (select *, shape in (0, 1, 5, 6) and x2 > x1 and y2 > y1 as has_box, shape in (2, 3) as has_center from boxed),
-named as (select *, case shape when 0 then lang || ' cup' when 1 then source when 2 then lang when 3 then lang when 5 then regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '') when 6 then lang else '' end as target_object from ok),
+named as (select *, case when shape in (4, 7) then '' else regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '') end as target_object from ok),
 grounded as (select doc_id as episode_id, shape, target_object, case when has_box then x1 end as x1, case when has_box then y1 end as y1, case when has_box then x2 end as x2, case when has_box then y2 end as y2,
   case when has_box then (x1 + x2) / 2 when has_center then least(cast(doc_id % 350 as double), 320) end as cx, case when has_box then (y1 + y2) / 2 when has_center then cast(doc_id % 90 as double) end as cy,
-  case when shape = 0 then cast((doc_id % 10) / 10.0 as double) end as confidence from named)
+  case when shape = 0 then cast((doc_id % 10) / 10.0 as double) end as confidence, case shape when 0 then '0.' || doc_id % 10 when 2 then 'high' when 3 then '[0,"' || lang || '"]' end as said from named)
 """
 
 
@@ -239,7 +266,7 @@ def _grounded(spark, folder):
     return GR.grounding_record(D.replies(spark, folder), *image_size())
 
 
-@query("grounding_record", GROUND + "select episode_id, target_object, " + six("x1", "y1", "x2", "y2", "cx", "cy", "confidence") + " from grounded")
+@query("grounding_record", GROUND + "select episode_id, target_object, case when shape = 0 then null else said end as confidence_text, " + six("x1", "y1", "x2", "y2", "cx", "cy", "confidence") + " from grounded")
 def grounding_record(spark, folder):
     rows = _grounded(spark, folder)
     return rows.select(
@@ -249,16 +276,17 @@ def grounding_record(spark, folder):
         F.get("center_xy", 0).alias("cx"),
         F.get("center_xy", 1).alias("cy"),
         "confidence",
+        F.when(F.col("confidence").isNull(), F.col("confidence_text")).alias("confidence_text"),
     )
 
 
-@query("parse_grounding", "select doc_id as episode_id, doc_id % 8 in (0, 1, 2, 3, 5, 6) as is_object, case doc_id % 8 when 0 then lang || ' cup ' when 6 then lang end as target_object, case doc_id % 8 when 1 then source when 5 then text end as object_key, case when doc_id % 8 = 3 then doc_id % 350 || '; ' || doc_id % 90 end as center_text from documents")
+@query("parse_grounding", GROUND + "select doc_id as episode_id, shape in (0, 1, 2, 3, 5, 6) as is_object, case when shape in (0, 6) and text <> '' then text end as target_object, case when shape in (1, 5) then text end as object_key, case shape when 2 then text when 3 then text end as other_name, case when shape = 3 then doc_id % 350 || '; ' || doc_id % 90 end as center_text from d")
 def parse_grounding(spark, folder):
     """The object found in each reply, by a few of its keys."""
     rows = D.replies(spark, folder).withColumn("body", R.parse_grounding(F.col("raw_text")))
     key = lambda k: F.get_json_object("body", f"$.{k}")
     name = F.when(key("target_object") != "", key("target_object"))
-    return rows.select(KEY, F.col("body").isNotNull().alias("is_object"), name.alias("target_object"), key("object").alias("object_key"), key("center_xy").alias("center_text"))
+    return rows.select(KEY, F.col("body").isNotNull().alias("is_object"), name.alias("target_object"), key("object").alias("object_key"), F.coalesce(key("target"), key("label")).alias("other_name"), key("center_xy").alias("center_text"))
 
 
 @query("grounding_summary", GROUND + "select episode_id, target_object, case when x1 is null then 'null' else '[' || x1 || ',' || y1 || ',' || x2 || ',' || y2 || ']' end as bbox_xyxy, case when cx is null then 'null' else '[' || cx || ',' || cy || ']' end as center_xy, confidence, episode_id || '/target_object_grounding.json' as output_path from grounded")
@@ -314,14 +342,14 @@ def normalize_center(spark, folder):
     return rows.withColumn("c", center).select("l_orderkey", "l_partkey", "l_suppkey", F.get("c", 0).alias("cx"), F.get("c", 1).alias("cy"))
 
 
-@query("parse_model_reply", "select conv_id, turn, case turn % 3 when 0 then text when 1 then 'why: ' || role else '' end as reply from conversations")
+@query("parse_model_reply", "select conv_id, turn, case when turn % 5 = 4 then '' when turn % 3 = 1 then 'why: ' || text else text end as reply from conversations")
 def parse_model_reply(spark, folder):
-    """Chat responses around whole conversation texts."""
-    t = F.col("turn") % 3
-    message = F.struct(
-        F.when(t == 0, F.col("text")).when(t == 1, F.lit("")).alias("content"), F.when(t == 1, F.concat(F.lit("why: "), "role")).alias("reasoning")
-    )
-    response = F.to_json(F.struct(F.array(F.struct(message.alias("message"))).alias("choices")))
+    """Chat responses around whole texts: as content, as reasoning, as the first of two choices, and as an error without a choice."""
+    t, text = F.col("turn") % 3, F.coalesce(F.col("text"), F.lit(""))
+    message = lambda content, reasoning: F.struct(F.struct(content.cast("string").alias("content"), reasoning.cast("string").alias("reasoning")).alias("message"))
+    none, empty, why = F.lit(None), F.lit(""), F.concat(F.lit("why: "), text)
+    choices = F.when(t == 0, F.array(message(text, none))).when(t == 1, F.array(message(empty, why))).otherwise(F.array(message(text, why), message(F.lit("second"), none)))
+    response = F.when(F.col("turn") % 5 == 4, F.to_json(F.struct(F.array().cast(CHOICES).alias("choices"), text.alias("error")))).otherwise(F.to_json(F.struct(choices.alias("choices"))))
     return D.table(spark, folder, "conversations").select("conv_id", "turn", R.model_reply(response).alias("reply"))
 
 

@@ -213,22 +213,34 @@ def planned_episodes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def json_text(text: Column) -> Column:
+    """A text as JSON writes it, with its quotes."""
+    return F.regexp_extract(F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("t"))), r'(?s)^\{"t":(.*)\}$', 1)
+
+
+def python_text(text: Column) -> Column:
+    """A text as a Python literal in single quotes."""
+    for plain, written in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return F.concat(F.lit("'"), F.coalesce(text, F.lit("")), F.lit("'"))
+
+
 def replies(spark: SparkSession, folder: str) -> DataFrame:
-    """Model replies in eight shapes by document number; whole texts appear in three of them."""
+    """Model replies in eight shapes by document number, each around the whole text; confidences are numbers, words, lists or missing."""
     d = F.col("doc_id")
     s = lambda c: c.cast("string")
-    quoted = F.to_json(F.struct(F.col("text").alias("t")))
-    body = F.regexp_extract(quoted, r'(?s)^\{"t":(.*)\}$', 1)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    body = json_text(text)
     box = F.concat(F.lit("["), s(d % 300), F.lit(", "), s(d % 170), F.lit(", "), s(d * 7 % 400), F.lit(", "), s(d * 11 % 200), F.lit("]"))
     shapes = [
-        F.concat(F.lit('```json\n{"target_object": "'), F.col("lang"), F.lit(' cup ", "bbox": '), box, F.lit(', "confidence": 0.'), s(d % 10), F.lit("}\n```")),
-        F.concat(F.lit("{'object': '"), F.col("source"), F.lit("', 'bbox_2d': "), box, F.lit(", 'confidence': None}")),
-        F.concat(F.lit('Response: [{"target": "'), F.col("lang"), F.lit('", "box": "'), s(d % 300), F.lit(" and "), s(d % 170), F.lit('", "center": ['), s(d % 350), F.lit(", "), s(d % 90), F.lit("]}]")),
-        F.concat(F.lit('The answer is {"label": "'), F.col("lang"), F.lit('", "center_xy": "'), s(d % 350), F.lit("; "), s(d % 90), F.lit('"} as asked')),
-        F.col("text"),
+        F.concat(F.lit('```json\n{"target_object": '), body, F.lit(', "bbox": '), box, F.lit(', "confidence": 0.'), s(d % 10), F.lit("}\n```")),
+        F.concat(F.lit("{'object': "), python_text(text), F.lit(", 'bbox_2d': "), box, F.lit(", 'confidence': None}")),
+        F.concat(F.lit('Response: [{"target": '), body, F.lit(', "confidence": "high", "box": "'), s(d % 300), F.lit(" and "), s(d % 170), F.lit('", "center": ['), s(d % 350), F.lit(", "), s(d % 90), F.lit("]}]")),
+        F.concat(F.lit('The answer is {"label": '), body, F.lit(', "confidence": [0, "'), F.col("lang"), F.lit('"], "center_xy": "'), s(d % 350), F.lit("; "), s(d % 90), F.lit('"} as asked')),
+        text,
         F.concat(F.lit('{"target_object": "", "object": '), body, F.lit(', "bbox": [], "box": '), box, F.lit("}")),
-        F.concat(F.lit("<think>"), F.col("text"), F.lit('</think> JSON: {"target_object": "'), F.col("lang"), F.lit('", "bbox": '), box, F.lit("}")),
-        F.concat(F.lit('[1, 2, {"a": '), s(d), F.lit("}]")),
+        F.concat(F.lit("<think>"), text, F.lit('</think> JSON: {"target_object": '), body, F.lit(', "bbox": '), box, F.lit("}")),
+        F.concat(F.lit("["), body, F.lit(', 2, {"a": '), s(d), F.lit("}]")),
     ]
     reply = shapes[0]
     for i in range(1, len(shapes)):
@@ -237,11 +249,11 @@ def replies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def plan_replies(spark: SparkSession, folder: str) -> DataFrame:
-    """Planning replies in four shapes around whole document texts."""
+    """Planning replies in four shapes; whole document texts are the instruction, stand alone, or are thought aloud as well."""
     d = F.col("doc_id")
     s = lambda c: c.cast("string")
-    seg = lambda a, b, t: F.concat(F.lit('{"start_frame": '), s(a), F.lit(', "end_frame": '), s(b), F.lit(', "subtask_instruction": "'), t, F.lit('"}'))
-    two = F.concat(F.lit('{"subtask_segments": ['), seg(d % 30, d % 30 + 12, F.col("lang")), F.lit(", "), seg(d % 50, d % 20, F.lit(" ")), F.lit("]}"))
+    seg = lambda a, b, t: F.concat(F.lit('{"start_frame": '), s(a), F.lit(', "end_frame": '), s(b), F.lit(', "subtask_instruction": '), t, F.lit("}"))
+    two = F.concat(F.lit('{"subtask_segments": ['), seg(d % 30, d % 30 + 12, json_text(F.col("text"))), F.lit(", "), seg(d % 50, d % 20, F.lit('" "')), F.lit("]}"))
     text = (
         F.when(d % 4 == 0, two)
         .when(d % 4 == 1, F.concat(F.lit("<think>"), F.col("text"), F.lit("</think>\n"), two))
