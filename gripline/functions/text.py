@@ -78,6 +78,13 @@ def number_of(item: Column) -> Column:
     return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 
+def _as_digits(text: Column) -> Column:
+    """Numbers in the spelling of a Python literal that others do not read: True, False and underscores between digits."""
+    word = lambda t, name, digit: F.regexp_replace(t, rf"(?<=[\[(,\s]|^){name}(?=[\s,)\]]|$)", digit)
+    plain = word(word(F.regexp_replace(text, r"(?<=\d)_(?=\d)", ""), "True", "1"), "False", "0")
+    return F.when(text.rlike("[_TF]"), plain).otherwise(text)
+
+
 def _items(text: Column) -> Column:
     """Numbers of a list, of a tuple or of two or more items between commas; null for anything else. Items may be quoted."""
     bare = strip(text)
@@ -95,12 +102,12 @@ def vector_or_null(values: Column) -> Column:
 
 def parse_vector(value: Column) -> Column:
     """List of numbers written as text -> array<double>; null when blank, empty or bad."""
-    return vector_or_null(_items(value))
+    return vector_or_null(_items(_as_digits(value)))
 
 
 def parse_trace(value: Column) -> Column:
     """Points written as text -> array of [u, v]; one short point voids the whole trace."""
-    bare = strip(value)
+    bare = _as_digits(strip(value))
     point = r"[\[(][^\[\]()]*+[\])]"
     listed = bare.rlike(rf"^[\[(]\s*+(?:{point}\s*+(?:,\s*+|(?=[\])]$)))*+[\])]$")
     return trace_or_null(F.when(listed, F.transform(F.regexp_extract_all(bare, F.lit(rf"{point}(?=\s*[,\])])"), F.lit(0)), _items)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gripline.functions.geometry import project_trace
 from gripline.operators.blocks import (
     BLOCK,
     KEY,
@@ -102,8 +103,23 @@ def smoothed_trace(indexed: DataFrame, past_frames: int = 10, future_frames: int
     wide = with_halo(indexed, before=past_frames + 2, after=future_frames + 2)
     for axis in "xyz":
         wide = wide.withColumn(f"s{axis}", smoothed(axis))
-    reach = by_step().rowsBetween(-past_frames, future_frames)
-    return wide.withColumn(out, F.collect_list(point("sx", "sy", "sz")).over(reach)).where("home").drop("home")
+    return around(wide, point("sx", "sy", "sz"), past_frames, future_frames, out)
+
+
+def around(wide: DataFrame, value: Column, past_frames: int, future_frames: int, out: str) -> DataFrame:
+    """Values of the frames around every frame, nulls kept; `wide` holds the neighbours in reach."""
+    held = F.collect_list(F.struct(value.alias("v"))).over(by_step().rowsBetween(-past_frames, future_frames))
+    return wide.withColumn(out, F.transform(held, lambda s: s["v"])).where("home").drop("home")
+
+
+def smoothed_trace_2d(indexed: DataFrame, camera: Column, past_frames: int = 10, future_frames: int = 20, out: str = "trace_2d") -> DataFrame:
+    """The same window as pixels of one fixed camera; each smoothed point is projected once and null where it has no pixel."""
+    wide = with_halo(indexed, before=past_frames + 2, after=future_frames + 2)
+    for axis in "xyz":
+        wide = wide.withColumn(f"s{axis}", smoothed(axis))
+    pixels = project_trace(F.array(point("sx", "sy", "sz")), camera)
+    wide = wide.withColumn("_pixel", F.get(pixels, 0)).drop("sx", "sy", "sz")
+    return around(wide, F.col("_pixel"), past_frames, future_frames, out).drop("_pixel")
 
 
 def stable_contact(indexed: DataFrame, threshold: float = 0.8, window: int = 5, eps: float = EPS_SIGNALS) -> DataFrame:

@@ -204,8 +204,7 @@ def contact_point(spark, folder):
 def trace_2d(spark, folder):
     """Smoothed traces through one fixed camera."""
     e = D.matrix(((1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0.5)))
-    rows = S.smoothed_trace(D.frames(spark, folder)).withColumn("t2", G.project_trace(F.col("trace"), G.camera_rows(D.matrix(D.K_MATRIX), e)))
-    return _flat_uv(rows, "t2")
+    return _flat_uv(S.smoothed_trace_2d(D.frames(spark, folder), G.camera_rows(D.matrix(D.K_MATRIX), e)), "trace_2d")
 
 
 # --- depth -----------------------------------------------------------------------------------------

@@ -65,3 +65,32 @@ def test_confidence_of_any_type(spark):
     got = grounding.grounding_record(rows, F.lit(10), F.lit(10)).orderBy("episode_id").collect()
     assert [(r.confidence, r.confidence_text) for r in got] == list(values.values())
     assert grounding.empty_grounding(rows, grounding.DISABLED).columns == ["episode_id", "target_object", "bbox_xyxy", "center_xy", "frame_size", "confidence", "confidence_text", "error"]
+
+
+def test_numbers_as_python_spells_them(spark):
+    from gripline.functions.text import parse_trace, parse_vector
+
+    texts = {
+        "[True, 2]": [1.0, 2.0], "[1_0, 2]": [10.0, 2.0], "(False, -1_000.5)": [0.0, -1000.5], "['1_0', 2]": [10.0, 2.0], "True, 3": [1.0, 3.0],
+        "['True', 2]": None, "[Truex, 2]": None, "[1__0, 2]": None, "[_1, 2]": None, "[1_, 2]": None, "[true, 2]": None,
+    }
+    got = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", parse_vector(F.col("t")).alias("v")).orderBy("i").collect()
+    assert [r.v for r in got] == list(texts.values())
+    trace = spark.createDataFrame([("[[True, 1_0], (2, False)]",)], "t string").select(parse_trace(F.col("t")).alias("v")).first()
+    assert [list(p) for p in trace.v] == [[1.0, 10.0], [2.0, 0.0]]
+
+
+def test_smoothed_pixels(spark):
+    """Projecting each smoothed point once gives the traces that projecting whole windows gives; points behind the camera stay as null."""
+    from gripline.functions import geometry as G
+    from gripline.operators import blocks
+
+    matrix = lambda rows: F.array(*[F.array(*[F.lit(float(v)) for v in r]) for r in rows])
+    camera = G.camera_rows(matrix(((300, 0, 160), (0, 290, 90), (0, 0, 1))), matrix(((1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0.2))))
+    r = np.random.default_rng(5)
+    rows = [(e, i, *map(float, r.uniform(-1, 1, 3)), 0.5) for e, n in ((1, 45), (2, 3), (3, 1)) for i in range(n)]
+    indexed = blocks.index_frames(spark.createDataFrame(rows, "episode_id long, frame_index long, x double, y double, z double, gripper double"))
+    once = {(r.episode_id, r.step): r.trace_2d for r in signals.smoothed_trace_2d(indexed, camera).collect()}
+    whole = signals.smoothed_trace(indexed).withColumn("t", G.project_trace(F.col("trace"), camera)).collect()
+    assert len(once) == len(whole) == 49 and any(p is None for t in once.values() for p in t)
+    assert all(once[w.episode_id, w.step] == w.t for w in whole)
