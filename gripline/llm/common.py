@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Stands for a missing id: it comes after all others.
+#: Where rows are put in order of ids, those without one are dealt with this, the largest id; which rows lack one is kept beside it.
 LAST = 2**63 - 1
 #: Fixed value: the characters that count as space, as a character class.
 SPACE = r"\x20\x09-\x0D"
@@ -50,11 +50,6 @@ def id_of(docs: DataFrame, name: str) -> Column:
     return F.coalesce(docs[name].cast("long"), F.lit(LAST))
 
 
-def real_id(c: Column) -> Column:
-    """The id again, null for the stand-in."""
-    return F.when(c != F.lit(LAST), c)
-
-
 def id_or_content(name: Column, *content: Column) -> Column:
     """A name for a row: its integer id, or a hash of its content where that is missing.
 

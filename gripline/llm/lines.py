@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gripline.llm.common import LAST, cuts, id_of, range_of, shared_folder, text_of, two_hashes, width, written
+from gripline.llm.common import cuts, id_of, range_of, shared_folder, text_of, two_hashes, width, written
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -64,7 +64,7 @@ class Runs:
     def add(self, lines: DataFrame) -> DataFrame:
         """Take in the next batch (doc, h1, h2); returns its keys that other documents hold too, with their owners."""
         batch = lines.groupBy(*KEY).agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-        known = F.lit(None).cast("long")
+        known = F.lit(None).cast(lines.schema["doc"].dataType)
         for i, name in enumerate(self.names()):
             run = self.spark.table(name).withColumnRenamed("owner", f"owner{i}")
             batch, known = batch.join(run, KEY, "left"), F.coalesce(known, F.col(f"owner{i}"))
@@ -89,10 +89,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     a doc_id count as one document. An empty table gives an empty one. Other columns stay in `doc`.
     """
     spark = docs.sparkSession
-    doc, text = id_of(docs, "doc_id"), text_of(docs)
-    bounds = cuts(docs, doc, batches)
+    key, text = id_of(docs, "doc_id"), text_of(docs)
+    doc = F.struct(docs["doc_id"].cast("long").isNull().alias("missing"), key.alias("id"))
+    bounds = cuts(docs, key, batches)
     hashes = F.transform(F.transform(lines_of(text), key_of), lambda k: F.when(F.char_length(k) >= min_chars, F.struct(*two_hashes(k))))
-    exploded = docs.select(doc.alias("doc"), F.xxhash64(text).alias("text_hash"), range_of(doc, bounds).alias("batch"), F.posexplode(hashes).alias("line", "key"))
+    exploded = docs.select(doc.alias("doc"), F.xxhash64(text).alias("text_hash"), range_of(key, bounds).alias("batch"), F.posexplode(hashes).alias("line", "key"))
     lines = written(exploded.where("key is not null").select("doc", "text_hash", "batch", "line", "key.*"))
     runs = Runs(spark, width(spark), fanout)
     shared = reduce(DataFrame.unionByName, [runs.add(lines.where(F.col("batch") == b)) for b in range(len(bounds) + 1)])
@@ -111,4 +112,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     )
 
 
-__all__ = ["BATCHES", "FANOUT", "LAST", "MIN_CHARS", "Runs", "dedup_lines", "key_of", "lines_of"]
+__all__ = ["BATCHES", "FANOUT", "MIN_CHARS", "Runs", "dedup_lines", "key_of", "lines_of"]

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gripline.llm.common import LAST, cuts, id_of, least_hashed, range_of, real_id, shared_folder, text_of, width, within_bytes, written
+from gripline.llm.common import LAST, cuts, id_of, least_hashed, range_of, shared_folder, text_of, width, within_bytes, written
 from gripline.llm.files import committed, reader
 
 VOCABULARY = "word_bpe_49k.json"
@@ -33,7 +33,7 @@ SLICE_CHARS = 4 << 20
 #: File: magic, 32 bytes hash of the dictionary, id width; frames; index of (doc_id, n_tokens, offset, length); place of the index.
 MAGIC = b"GLTOK001"
 HEAD = "<8s32sI"
-ENTRY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("offset", "<i8"), ("length", "<i8")])
+ENTRY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("missing", "u1")])
 TAIL = "<QQ8s"
 MANIFEST = "shard int, file string, documents long, tokens long, bytes long, dictionary string"
 PUNCTUATION = ".,;:!?"
@@ -176,11 +176,11 @@ def _write(folder: str, path: str, dictionary: bytes, end: int):
         encoder = encoder_for(path)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary), write_checksum=False)
 
-        def documents() -> Iterator[tuple[int, int, np.ndarray]]:
+        def documents() -> Iterator[tuple[int, tuple[int, bool], np.ndarray]]:
             for batch in batches:
-                shards, ids, texts = (batch.column(c).to_pylist() for c in ("shard", "id", "text"))
+                shards, ids, missing, texts = (batch.column(c).to_pylist() for c in ("shard", "id", "missing", "text"))
                 for a, b in slices(texts):
-                    yield from zip(shards[a:b], ids[a:b], encoder.texts(texts[a:b]), strict=True)
+                    yield from zip(shards[a:b], zip(ids[a:b], missing[a:b], strict=True), encoder.texts(texts[a:b]), strict=True)
 
         pending = next(it := documents(), None)
         while pending is not None:
@@ -191,7 +191,8 @@ def _write(folder: str, path: str, dictionary: bytes, end: int):
                 while pending is not None and pending[0] == shard:
                     frame = packer.compress(serialized(pending[2], encoder.wide, end))
                     out.write(frame)
-                    entries.append((pending[1], len(pending[2]) + 1, at, len(frame)))
+                    name_of, missing = pending[1]
+                    entries.append((name_of, len(pending[2]) + 1, at, len(frame), missing))
                     at += len(frame)
                     pending = next(it, None)
                 index = np.array(entries, ENTRY)
@@ -220,8 +221,8 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END_ID, shards: in
         out.write(dictionary)
     key = id_of(docs, "doc_id")
     bounds = cuts(docs, key, shards or width(spark))
-    dealt = docs.select(range_of(key, bounds).alias("shard"), key.alias("id"), text_of(docs).alias("text"))
-    dealt = dealt.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", F.xxhash64("text"))
+    dealt = docs.select(range_of(key, bounds).alias("shard"), key.alias("id"), docs["doc_id"].cast("long").isNull().alias("missing"), text_of(docs).alias("text"))
+    dealt = dealt.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", "missing", F.xxhash64("text"))
     dealt.mapInArrow(_write(folder, path, dictionary, end), MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest"), dictionary
 
@@ -250,7 +251,7 @@ class Reader:
     def fetch(self, doc_id: int) -> np.ndarray:
         """Ids of a document by its doc_id."""
         k = int(np.searchsorted(self.index["doc_id"], doc_id))
-        if k == len(self.index) or self.index["doc_id"][k] != doc_id:
+        if k == len(self.index) or self.index["doc_id"][k] != doc_id or self.index["missing"][k]:
             raise KeyError(doc_id)
         return self.ids(k)
 
@@ -269,7 +270,7 @@ def _read(folder: str, dictionary: bytes):
                     n = file.index["n_tokens"].astype(np.int64)
                     starts = start + np.cumsum(n) - n
                     crcs = np.fromiter((zlib.crc32(file.ids(k).tobytes()) for k in range(len(n))), np.int64, len(n))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (file.index["doc_id"].astype(np.int64), starts, n, crcs)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (file.index["doc_id"].astype(np.int64), starts, n, crcs, file.index["missing"].astype(bool))], ["doc_id", "start", "n_tokens", "ids_crc32", "missing"])
 
     return run
 
@@ -278,8 +279,8 @@ def read(manifest: DataFrame, folder: str, dictionary: bytes) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids_crc32) from the files: start counts the ids of all documents before."""
     before = F.sum("tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
     placed = manifest.select("file", F.coalesce(before, F.lit(0)).alias("start"))
-    rows = placed.repartition(width(manifest.sparkSession), "file").mapInArrow(_read(folder, dictionary), "doc_id long, start long, n_tokens long, ids_crc32 long")
-    return rows.withColumn("doc_id", real_id(F.col("doc_id")))
+    rows = placed.repartition(width(manifest.sparkSession), "file").mapInArrow(_read(folder, dictionary), "doc_id long, start long, n_tokens long, ids_crc32 long, missing boolean")
+    return rows.select(F.when(~F.col("missing"), F.col("doc_id")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, path: str | None = None, **options) -> DataFrame:

@@ -63,16 +63,16 @@ def record(page: int | None, url: str | None, payload: bytes, owner: int | None,
 
 def _write(folder: str, roll: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (shard, page); each shard makes files of its own."""
+        """Rows come sorted by (shard, key, missing); each shard makes files of its own."""
 
         def rows() -> Iterator[tuple]:
             mark, owner = None, None
             for batch in batches:
-                for shard, key, digest, page, url, payload, to in zip(*(batch.column(c).to_pylist() for c in ("shard", "key", "digest", "page", "url", "payload", "owner")), strict=True):
+                for shard, key, missing, digest, page, url, payload, to in zip(*(batch.column(c).to_pylist() for c in ("shard", "key", "missing", "digest", "page", "url", "payload", "owner")), strict=True):
                     if payload is None:  # says that the pages of this key and digest revisit another
-                        mark, owner = (key, digest), to
+                        mark, owner = (key, missing, digest), to
                     else:
-                        revisit = (key, digest) == mark
+                        revisit = (key, missing, digest) == mark
                         yield shard, page, url, payload, owner if revisit else None, revisit
 
         done, pending, number, last = [], next(it := rows(), None), 0, None
@@ -117,14 +117,15 @@ def write(pages: DataFrame, folder: str, shards: int | None = None, roll: int =
     base = pages.select(pages["page_id"].cast("long").alias("page"), pages["url"].cast("string").alias("url"), payload.alias("payload"))
     base = base.withColumn("digest", F.sha1("payload"))
     key = id_of(base, "page")
+    missing = base["page"].isNull().alias("missing")
     bounds = cuts(pages, id_of(pages, "page_id"), shards or width(spark))
     # Who revisits whom is found on ids and digests alone. It meets the payloads in their range, as a row that comes just before them.
-    narrow = base.where(F.octet_length("payload") >= least).select("page", key.alias("key"), "digest").join(owners(base, least), "digest")
-    marks = narrow.where(~F.col("page").eqNullSafe(F.col("owner")) & F.col("owner").isNotNull()).select("key", "digest", "owner").distinct()
-    whole = base.select(key.alias("key"), "digest", "page", "url", "payload", F.lit(None).cast("long").alias("owner"))
+    narrow = base.where(F.octet_length("payload") >= least).select("page", key.alias("key"), missing, "digest").join(owners(base, least), "digest")
+    marks = narrow.where(~F.col("page").eqNullSafe(F.col("owner")) & F.col("owner").isNotNull()).select("key", "missing", "digest", "owner").distinct()
+    whole = base.select(key.alias("key"), missing, "digest", "page", "url", "payload", F.lit(None).cast("long").alias("owner"))
     both = whole.unionByName(marks, allowMissingColumns=True)
     dealt = both.withColumn("shard", range_of(F.col("key"), bounds)).repartitionById(len(bounds) + 1, "shard")
-    dealt = dealt.sortWithinPartitions("shard", "key", "digest", F.col("payload").isNotNull(), "url")
+    dealt = dealt.sortWithinPartitions("shard", "key", "missing", "digest", F.col("payload").isNotNull(), "url")
     manifest = dealt.mapInArrow(_write(folder, roll), MANIFEST)
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")

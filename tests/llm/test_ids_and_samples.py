@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gripline.llm import common, decontaminate, labels, minhash, tokens, vectors
+from gripline.llm import common, decontaminate, labels, lines, minhash, tokens, vectors, warc
 
 IDS = [2**62 - 1, 2**62, 2**62 + 7, 2**63 - 2, 0, -5, -(2**63), None]
 
@@ -83,3 +83,47 @@ def test_sample_under_repeated_ids(spark):
 
     path = public_tokenizers.path(tokens.VOCABULARY)
     assert tokens.train(docs, path) == tokens.train(docs.repartition(3), path)
+
+
+ENDS = [2**63 - 1, None, 2**63 - 2, 2**62, 0, -1, -(2**63)]
+
+
+def test_token_file_ids(spark, tmp_path):
+    """The largest id comes back as itself, before rows without one."""
+    import public_tokenizers
+
+    rows = [(i, text(k, 5 + k)) for k, i in enumerate(ENDS)] + [(None, "x y")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = tokens.round_trip(frame).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [*sorted(i for i in ENDS if i is not None), None, None]
+    manifest, dictionary = tokens.write(frame, str(tmp_path), public_tokenizers.path("word_bpe_49k.json"), shards=1)
+    with tokens.Reader(str(tmp_path), manifest.first().file, dictionary) as file:
+        assert len(file.fetch(2**63 - 1)) == next(r.n_tokens for r in got if r.doc_id == 2**63 - 1)
+    bare, dictionary = tokens.write(frame.where("doc_id is null"), str(tmp_path / "bare"), public_tokenizers.path("word_bpe_49k.json"), shards=1)
+    with tokens.Reader(str(tmp_path / "bare"), bare.first().file, dictionary) as file, pytest.raises(KeyError):
+        file.fetch(2**63 - 1)
+
+
+def test_line_ids(spark):
+    """A row with the largest id and one without are two documents; the one with an id owns a line of both."""
+    shared = "a line that several documents hold"
+    for order in (ENDS, ENDS[::-1]):
+        frame = spark.createDataFrame([(i, shared + "\nown line of " + str(i)) for i in order], "doc_id long, text string")
+        got = {r.doc.doc_id: r.n_dropped for r in lines.dedup_lines(frame).collect()}
+        assert got == {i: int(i != -(2**63)) for i in ENDS}
+    two = spark.createDataFrame([(2**63 - 1, shared), (None, shared), (None, shared)], "doc_id long, text string")
+    assert sorted((r.doc.doc_id is None, r.n_dropped) for r in lines.dedup_lines(two).collect()) == [(False, 0), (True, 1), (True, 1)]
+
+
+def test_page_ids(spark):
+    big = "y" * 2000
+    got = warc.round_trip(spark.createDataFrame([(i, "u", big) for i in ENDS], "page_id long, url string, html string")).collect()
+    assert {(r.page_id, r.record_type, r.refers_to) for r in got} == {(i, "response" if i == 2**63 - 1 else "revisit", None if i == 2**63 - 1 else 2**63 - 1) for i in ENDS}
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_hot_line(spark, parts):
+    """A line that most rows hold, beside rare ones."""
+    rows = [(i, f"a very frequent line\nseldom line {i // 2}\nown line of document {i}\nA VERY frequent line ") for i in range(400)]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    assert {r.doc.doc_id: r.n_dropped for r in got} == {i: 2 * (i > 0) + i % 2 for i in range(400)}
