@@ -13,6 +13,8 @@ from gripline.llm.common import cuts, id_of, range_of, shared_folder, text_of, t
 MIN_CHARS = 10
 BATCHES = 4
 FANOUT = 2
+#: A key is hot when its lines are more than this part (one in so many) of a mean task.
+HOT_PARTS = 4
 #: Space characters and the letters that are lower-cased.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -62,22 +64,35 @@ class Runs:
             self.spark.sql(f"drop table {name}")
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """Take in the next batch (doc, h1, h2); returns its keys that other documents hold too, with their owners."""
-        batch = lines.groupBy(*KEY).agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+        """Take in the next batch (doc, h1, h2); returns its keys that other documents hold too, with their owners and numbers of lines."""
+        batch = lines.groupBy(*KEY).agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("rows"))
         known = F.lit(None).cast(lines.schema["doc"].dataType)
         for i, name in enumerate(self.names()):
             run = self.spark.table(name).withColumnRenamed("owner", f"owner{i}")
             batch, known = batch.join(run, KEY, "left"), F.coalesce(known, F.col(f"owner{i}"))
-        joined = written(batch.select(*KEY, "low", "high", known.alias("known")))
+        joined = written(batch.select(*KEY, "low", "high", "rows", known.alias("known")))
         self._store(joined.where("known is null").withColumnRenamed("low", "owner"), 0)
         self._compact()
-        return joined.where("known is not null or low < high").select(*KEY, F.coalesce("known", "low").alias("owner"))
+        return joined.where("known is not null or low < high").select(*KEY, F.coalesce("known", "low").alias("owner"), "rows")
 
     def close(self) -> None:
         self._forget(self.names())
         self.levels = []
 
 
+def lost_lines(lines: DataFrame, owners: DataFrame) -> DataFrame:
+    """Lines (doc, text_hash, line) whose key another document owns.
+
+    Lines of hot keys never meet in one task: keys that hold more than 1 / (HOT_PARTS * tasks) of all lines are fewer than
+    HOT_PARTS * tasks, whatever the corpus, so their owners are sent to all tasks. All other keys are joined on themselves.
+    """
+    parts = HOT_PARTS * width(lines.sparkSession)
+    owners = written(owners.withColumn("hot", F.col("rows") * parts > lines.count()).drop("rows"))
+    hot = F.broadcast(owners.where("hot").select(*KEY, "owner"))  # fewer than `parts` rows, as their lines are more than 1 / parts of all
+    found = lines.join(hot, KEY).unionByName(lines.join(hot, KEY, "left_anti").join(owners.where("not hot").select(*KEY, "owner"), KEY))
+    return found.where("doc <> owner").select("doc", "text_hash", "line")
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """Rows (doc, n_lines, n_dropped, kept): each row of docs in the struct `doc` and its text without repeated lines.
 
@@ -98,8 +113,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     runs = Runs(spark, width(spark), fanout)
     shared = reduce(DataFrame.unionByName, [runs.add(lines.where(F.col("batch") == b)) for b in range(len(bounds) + 1)])
     runs.close()
-    owners = shared.groupBy(*KEY).agg(F.min("owner").alias("owner"))
-    lost = lines.join(owners, KEY).where("doc <> owner").groupBy("doc", "text_hash").agg(F.collect_list("line").alias("lost"))
+    lost = lost_lines(lines, shared.groupBy(*KEY).agg(F.min("owner").alias("owner"), F.sum("rows").alias("rows")))
+    lost = lost.groupBy("doc", "text_hash").agg(F.collect_list("line").alias("lost"))
     base = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), doc.alias("doc"), text.alias("body"), F.xxhash64(text).alias("text_hash"))
     split = base.join(lost, ["doc", "text_hash"], "left").withColumn("lines", lines_of(F.col("body")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("lost"))
@@ -112,4 +127,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATC
     )
 
 
-__all__ = ["BATCHES", "FANOUT", "MIN_CHARS", "Runs", "dedup_lines", "key_of", "lines_of"]
+__all__ = ["BATCHES", "FANOUT", "HOT_PARTS", "MIN_CHARS", "Runs", "dedup_lines", "key_of", "lines_of"]
