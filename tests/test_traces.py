@@ -166,3 +166,10 @@ def test_large_limits_use_salted_parts(spark, monkeypatch):
     want = depth.nearest_first(["g"], [F.col("v")], 700, rows, "r").groupBy("g").agg(F.count("v"), F.sum("v")).collect()
     monkeypatch.setattr(depth, "GROUP_LIMIT", 10)
     assert sorted(depth.nearest_first(["g"], [F.col("v")], 700, rows, "r").groupBy("g").agg(F.count("v"), F.sum("v")).collect()) == sorted(want)
+
+
+def test_label_rounds_as_python(spark):
+    """Halves go to even and others by the exact double: 0.125 is 0.12, 0.045 is 0.04 and 0.025 is 0.03."""
+    ratios = sorted({i / n for n in (1, 3, 7, 8, 16, 40, 200, 500, 1000, 4096) for i in range(n + 1)} | {0.0, 1e-9, 2.0**-40})
+    rows = spark.createDataFrame([(r,) for r in ratios], "r double").select("r", TR.projection_label(F.lit(True), F.col("r")).alias("label")).collect()
+    assert {r["r"]: r["label"] for r in rows} == {r: f"fit_from_gt(da3_visible={r:.2f})" for r in ratios}
