@@ -131,3 +131,14 @@ def test_mask_records(spark):
     boxes = spark.createDataFrame([("a", f, o, *((1, 2, 3, 4) if f != 2 else (None,) * 4)) for f in range(3) for o in range(2)], "episode_id string, frame_index bigint, obj_id bigint, x1 bigint, y1 bigint, x2 bigint, y2 bigint")
     lists = {r.frame_index: r.target_object_bbox_list for r in masks.frame_boxes(boxes, first).collect()}
     assert lists == {0: [[0, 0, 9, 9], [1, 2, 3, 4]], 1: [[1, 2, 3, 4]] * 2, 2: [None, None]}
+
+
+def test_wanted_tiles_are_not_broadcast(spark, tmp_path, capsys):
+    """A search of all frames multiplies its rows by tiles: however small its table looks, it is shuffled."""
+    spark.range(300).selectExpr("id % 3 as episode_id", "id as frame_index", "id as pu", "id % 50 as pv").write.parquet(f"{tmp_path}/asked")
+    spark.range(300).selectExpr("id % 3 as episode_id", "id as frame_index", "id as x", "id % 50 + 40 as y").write.parquet(f"{tmp_path}/pixels")
+    asked, pixels = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("asked", "pixels"))
+    found = detections.mask_contact_crop(pixels, asked)
+    found.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    assert found.count() == 300
