@@ -1,7 +1,8 @@
 """Dense object masks as run-length rows, boxes with a row for every mask, and result records of tracked objects.
 
-A mask table has episode_id and `masks`, nested as [frame][object][y][x] with any number or boolean as pixel. Runs have
-episode_id, frame_index, obj_id, y, x1 and x2, both ends included.
+A mask table has episode_id and `masks`, nested as [frame][object][y][x] with any number or boolean as pixel. A long video comes in
+pieces, one row each, with the number of a piece's first frame as `first_frame`. Runs have episode_id, frame_index, obj_id, y, x1
+and x2, both ends included.
 """
 
 from __future__ import annotations
@@ -17,29 +18,54 @@ BOX = ("x1", "y1", "x2", "y2")
 
 def object_masks(videos: DataFrame) -> DataFrame:
     """One row per mask: its frame, the object's place in the frame, and its rows of pixels."""
-    frames = videos.select(KEY, F.posexplode("masks").alias("frame_index", "objects"))
-    rows = frames.select(KEY, "frame_index", F.posexplode("objects").alias("obj_id", "mask"))
+    first = F.col("first_frame") if "first_frame" in videos.columns else F.lit(0)
+    frames = videos.select(KEY, first.alias("_first"), F.posexplode("masks").alias("_frame", "objects"))
+    rows = frames.select(KEY, (F.col("_first") + F.col("_frame")).alias("frame_index"), F.posexplode("objects").alias("obj_id", "mask"))
     return rows.select(KEY, *[F.col(c).cast("bigint").alias(c) for c in MASK[1:]], "mask")
 
 
-def is_set(pixels: Column) -> Column:
-    """A row of pixels as booleans: zero, false and null are not set, NaN is."""
-    return F.transform(pixels, lambda p: F.coalesce(p.cast("boolean"), F.lit(False)))
+def is_set(pixel: Column) -> Column:
+    """Zero, false and null are not set, NaN is."""
+    return F.coalesce(pixel.cast("boolean"), F.lit(False))
 
 
-def runs_of(on: str) -> Column:
-    """Runs of true in a column of booleans as [{x1, x2}]."""
-    places = F.sequence(F.lit(0), F.size(on) - 1)
-    ends = lambda step: F.filter(places, lambda i: F.get(on, i) & ~F.coalesce(F.get(on, i + F.lit(step)), F.lit(False)))
-    pairs = F.zip_with(ends(-1), ends(1), lambda a, b: F.struct(a.alias("x1"), b.alias("x2")))
-    return F.when(F.size(on) > 0, pairs)
+def bits(pixels: Column) -> Column:
+    """A row of pixels as text: 1 where a pixel is set, else 0."""
+    return F.array_join(pixels.cast("array<boolean>").cast("array<int>").cast("array<string>"), "", "0")
 
 
 def mask_runs(masks: DataFrame) -> DataFrame:
-    """Run-length rows of `object_masks`; a mask without set pixels has none."""
-    lines = masks.select(*MASK, F.posexplode("mask").alias("y", "pixels")).withColumn("on", is_set(F.col("pixels")))
-    runs = lines.select(*MASK, F.col("y").cast("bigint").alias("y"), F.explode(runs_of("on")).alias("run"))
-    return runs.select(*MASK, "y", F.col("run")["x1"].cast("bigint").alias("x1"), F.col("run")["x2"].cast("bigint").alias("x2"))
+    """Run-length rows of `object_masks`; a mask without set pixels has none.
+
+    Every pixel is looked at once beside the one before it; a run's end is sought from its start.
+    """
+    lines = masks.select(*MASK, F.posexplode("mask").alias("y", "pixels")).withColumn("on", bits(F.col("pixels")))
+    spots = lines.select(*MASK, F.col("y").cast("bigint").alias("y"), "pixels", "on", F.posexplode("pixels").alias("x1", "pixel"))
+    starts = spots.where(is_set(F.col("pixel")) & ~is_set(F.get("pixels", F.col("x1") - 1)))
+    after = F.expr("locate('0', on, x1 + 1)")
+    x2 = F.when(after > 0, after - 2).otherwise(F.length("on") - 1)
+    return starts.select(*MASK, "y", F.col("x1").cast("bigint").alias("x1"), x2.cast("bigint").alias("x2"))
+
+
+def mask_boxes(masks: DataFrame) -> DataFrame:
+    """Tight box and number of pixels of every mask of `object_masks`, corners included; null corners where it is empty.
+
+    A mask is one row, so nothing is shuffled.
+    """
+    pixels = F.col("mask").cast("array<array<boolean>>").cast("array<array<int>>").cast("array<array<string>>")
+    lines = masks.select(*MASK, F.transform(pixels, lambda line: F.array_join(line, "", "0")).alias("_on"))
+    ends = lines.select("*", F.transform("_on", lambda on: F.length(F.rtrim(on, F.lit("0")))).alias("_ends"))
+    firsts = F.transform("_on", lambda on: F.nullif(F.locate("1", on), F.lit(0)))
+    marked = ends.select(*MASK, "_on", "_ends", firsts.alias("_firsts"), F.transform("_ends", lambda end: end > 0).alias("_some"))
+    place = lambda some: F.nullif(F.array_position(some, True), F.lit(0))
+    corners = {
+        "x1": F.array_min("_firsts") - 1,
+        "y1": place(F.col("_some")) - 1,
+        "x2": F.nullif(F.array_max("_ends"), F.lit(0)) - 1,
+        "y2": F.size("_some") - place(F.reverse("_some")),
+        "pixels": F.coalesce(F.length(F.replace(F.array_join("_on", ""), F.lit("0"), F.lit(""))), F.lit(0)),
+    }
+    return marked.select(*MASK, *[c.cast("bigint").alias(name) for name, c in corners.items()])
 
 
 def run_pixels(runs: DataFrame) -> DataFrame:
@@ -71,12 +97,13 @@ def frame_boxes(boxes: DataFrame, first: DataFrame) -> DataFrame:
     """
     listed = lambda order: F.transform(F.sort_array(F.collect_list(F.struct(order, box_array().alias("box")))), lambda r: r["box"])
     whole = {c: F.col(c).try_cast("bigint") for c in BOX}
-    tracked = boxes.where("frame_index <> 0").groupBy(KEY, "frame_index").agg(listed("obj_id").alias("target_object_bbox_list"))
-    zero = boxes.where("frame_index = 0").select(KEY, "frame_index").distinct()
-    detected = first.withColumns(whole).groupBy(KEY).agg(listed("det_idx").alias("target_object_bbox_list"))
-    none = F.array().cast(detected.schema["target_object_bbox_list"].dataType)
-    start = zero.join(detected, KEY, "left").withColumn("target_object_bbox_list", F.coalesce("target_object_bbox_list", none))
-    return tracked.unionByName(start)
+    detected = first.withColumns(whole).groupBy(KEY).agg(listed("det_idx").alias("_detected"))
+    tracked = boxes.groupBy(KEY, "frame_index").agg(listed("obj_id").alias("_tracked"))
+    none = F.array().cast(detected.schema["_detected"].dataType)
+    # the masks are read once; a detector's list meets its episode's frames, which lie together already where masks came by episode
+    joined = tracked.join(detected, KEY, "left")
+    shown = F.when(F.col("frame_index") == 0, F.coalesce("_detected", none)).otherwise(F.col("_tracked"))
+    return joined.select(KEY, "frame_index", shown.alias("target_object_bbox_list"))
 
 
 def mask_records(samples: DataFrame, first: DataFrame) -> DataFrame:

@@ -115,6 +115,8 @@ def test_masks(spark):
     assert pixels == want
     boxes = {(b.episode_id, b.frame_index, b.obj_id): (b.x1, b.y1, b.x2, b.y2, b.pixels) for b in masks.run_boxes(runs, dense).collect()}
     assert len(boxes) == 6 + 1 + 2 + 3
+    direct = {(b.episode_id, b.frame_index, b.obj_id): (b.x1, b.y1, b.x2, b.y2, b.pixels) for b in masks.mask_boxes(dense).collect()}
+    assert direct == boxes
     for key, box in boxes.items():
         mine = [(x, y) for *k, x, y in want if tuple(k) == key]
         assert box == ((min(x for x, _ in mine), min(y for _, y in mine), max(x for x, _ in mine), max(y for _, y in mine), len(mine)) if mine else (None, None, None, None, 0))
@@ -142,3 +144,19 @@ def test_wanted_tiles_are_not_broadcast(spark, tmp_path, capsys):
     found.explain()
     assert "Broadcast" not in capsys.readouterr().out
     assert found.count() == 300
+
+
+def test_masks_are_read_once(spark, capsys):
+    """Boxes need no roster beside them, and a video in pieces is the same video."""
+    r = np.random.default_rng(8)
+    arrays = {e: (r.random((n, 2, 3, 70)) < 0.3).astype(int).tolist() for e, n in (("a", 5), ("b", 2))}
+    kind = "masks array<array<array<array<int>>>>"
+    whole = masks.object_masks(spark.createDataFrame(list(arrays.items()), f"episode_id string, {kind}"))
+    pieces = [(e, i, v[i : i + 2]) for e, v in arrays.items() for i in range(0, len(v), 2)]
+    cut = masks.object_masks(spark.createDataFrame(pieces, f"episode_id string, first_frame bigint, {kind}"))
+    for step in (masks.mask_runs, masks.mask_boxes):
+        one, other = (sorted(map(tuple, step(m).collect())) for m in (whole, cut))
+        assert one == other and one
+    masks.mask_boxes(cut).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Join" not in plan
