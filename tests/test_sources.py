@@ -283,3 +283,16 @@ def test_detector_boxes_are_cut_to_whole_pixels(spark):
     boxes = spark.createDataFrame([("a", 0, "d", 1.9, -0.5, 7.0, float("nan")), ("b", 0, "d", 1.0, 1.0, 2.0, 2.0)], kind)
     got = sorted((r.frame_index, r.source, r.x1, r.y1, r.x2, r.y2) for r in frame_zero_override(masks, boxes).collect())
     assert got == [(0, "detector", 1.0, 0.0, 7.0, None), (1, "mask", 3.0, 3.0, 4.0, 4.0)]
+
+
+def test_drops_of_many_batches(spark, monkeypatch):
+    """A drop of more files than a batch takes is still one drop."""
+    from functools import partial
+
+    from gripline.plans import source_queries
+    from gripline.streaming import incremental
+
+    monkeypatch.setattr(source_queries, "new_recordings", partial(incremental.new_recordings, files_per_batch=9))
+    got = {r.episode_id: r.batch for r in source_queries.incremental(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) > 9 and set(got.values()) == {0, 1}
+    assert all(b == int(int(e) % 3 == 0 or int(e) % 5 == 1) for e, b in got.items())
