@@ -173,3 +173,17 @@ def test_label_rounds_as_python(spark):
     ratios = sorted({i / n for n in (1, 3, 7, 8, 16, 40, 200, 500, 1000, 4096) for i in range(n + 1)} | {0.0, 1e-9, 2.0**-40})
     rows = spark.createDataFrame([(r,) for r in ratios], "r double").select("r", TR.projection_label(F.lit(True), F.col("r")).alias("label")).collect()
     assert {r["r"]: r["label"] for r in rows} == {r: f"fit_from_gt(da3_visible={r:.2f})" for r in ratios}
+
+
+def test_tasks_follow_the_frames(spark, monkeypatch, request):
+    """Many frames are dealt to as many tasks as their number asks for, with the same rows; few are left to Spark."""
+    lengths = {f"e{i:02d}": 5 + i for i in range(40)}
+    plain = frames(spark, lengths)
+    assert blocks.count_of(plain) == sum(lengths.values())
+    monkeypatch.setattr(blocks, "TASK_ROWS", 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the frames are no small table
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    dealt = frames(spark, lengths)
+    assert dealt.rdd.getNumPartitions() == -(-sum(lengths.values()) // 50)
+    assert blocks.with_halo(dealt, before=4).withColumn("past", S.past(S.point(), 5)).rdd.getNumPartitions() == -(-sum(lengths.values()) // 50)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
