@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from gripline.functions.replies import extract_json, segment_list
 from gripline.functions.text import parse_int_like, parse_text
-from gripline.operators.blocks import BLOCK, KEY, PLAIN_ROWS, Carried, block_number, scan_blocks
+from gripline.operators.blocks import BLOCK, KEY, PLAIN_ROWS, Carried, block_number, scan_blocks, spread
 from gripline.operators.depth import nearest_first
 from gripline.operators.evaluate import frame_lookup
 from gripline.operators.signals import chosen_frames, uniform_numbers
 
+TASK_SEGMENTS = 1 << 18  # segments of a task, on average, once there are many
 DEFAULT_TEXT = "complete this part of the task"  # fixed values
 FALLBACK_SOURCE = "single_segment_fallback"
 MODEL_SOURCE = "vlm"
@@ -44,9 +45,13 @@ def normalize_segments(segments: DataFrame, episodes: DataFrame, size: int | Non
     longest = episodes.agg(F.max(F.col("last_frame") - F.col("first_frame"))).first()[0] or 0
     lo, hi = F.col("first_frame"), F.col("last_frame")
     clamp = lambda c: F.greatest(lo, F.least(hi, F.col(c).cast("bigint")))
+    few = longest < size
+    # where no episode is long, one shuffle by episode serves all steps, dealt by the number of segments
+    count = segments.count() if few else None
+    dealt = lambda table: spread(table, count, KEY, each=TASK_SEGMENTS)
     rows = (
-        segments.where(F.col("start").isNotNull() & F.col("end").isNotNull())
-        .join(episodes, KEY)
+        dealt(segments.where(F.col("start").isNotNull() & F.col("end").isNotNull()))
+        .join(dealt(episodes), KEY)
         .withColumn("_a", clamp("start"))
         .withColumn("_b", clamp("end"))
         .withColumn("start", F.least("_a", "_b"))
@@ -54,7 +59,6 @@ def normalize_segments(segments: DataFrame, episodes: DataFrame, size: int | Non
         .withColumn("text", F.when(parse_text(F.col("text")) == "", DEFAULT_TEXT).otherwise(parse_text(F.col("text"))))
         .drop("_a", "_b")
     )
-    few = longest < size
     if longest < PLAIN_ROWS:
         rows = nearest_first([KEY], [F.col(c) for c in ("start", "end", "pos")], longest + 1, rows, "_k").drop("_k")
     rows = rows.withColumn("blk", F.lit(0) if few else block_number(F.col("start"), size))

@@ -187,3 +187,17 @@ def test_tasks_follow_the_frames(spark, monkeypatch, request):
     assert dealt.rdd.getNumPartitions() == -(-sum(lengths.values()) // 50)
     assert blocks.with_halo(dealt, before=4).withColumn("past", S.past(S.point(), 5)).rdd.getNumPartitions() == -(-sum(lengths.values()) // 50)
     assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_tasks_follow_the_segments(spark, monkeypatch, request):
+    from gripline.operators import segments
+
+    rows = spark.range(900).selectExpr("concat('e', id % 90) as episode_id", "id as pos", "id % 40 as start", "id % 40 + 3 as `end`", "'a' as text")
+    episodes = spark.range(90).selectExpr("concat('e', id) as episode_id", "0L as first_frame", "60L as last_frame")
+    plain = segments.normalize_segments(rows, episodes).collect()
+    monkeypatch.setattr(segments, "TASK_SEGMENTS", 45)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    dealt = segments.normalize_segments(rows, episodes)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain))
