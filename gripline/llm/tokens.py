@@ -152,17 +152,28 @@ def serialized(ids: np.ndarray, wide: bool, end: int | None = None) -> bytes:
 def train(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> bytes:
     """A zstandard dictionary for id arrays, from at most `rows` documents and SAMPLE_BYTES of text; of rows that share an id, the text
     with the smallest hash counts. A corpus too small or uniform to train on gets an empty one."""
-    encoder = Encoder(path)
     key = id_of(docs, "doc_id")
     picked = F.broadcast(least_hashed(docs, key, rows, key.alias("id")).distinct())  # `rows` rows at most
     found = docs.select(key.alias("id"), text_of(docs).alias("text")).join(picked, "id")
     one = written(found.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
-    texts = [r[1] for r in sorted(within_bytes(one, SAMPLE_BYTES).select("id", "text").collect())]
-    samples = [serialized(x, encoder.wide, END_ID) for a, b in slices(texts) for x in encoder.texts(texts[a:b])]
-    try:
-        return zstandard.train_dictionary(min(size, max(256, sum(map(len, samples)) // 10)), samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    sampled = within_bytes(one, SAMPLE_BYTES).select("id", "text").repartition(1).sortWithinPartitions("id")
+    return next((r[0] for r in sampled.mapInArrow(_train(path, size), "dictionary binary").collect()), b"")
+
+
+def _train(path: str, size: int):
+    """The sample is encoded and learned from in a task: tasks keep the tokenizer anyway, and the driver never loads it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_for(path)
+        texts = (batch.column("text").to_pylist() for batch in batches)
+        samples = [serialized(x, encoder.wide, END_ID) for part in texts for a, b in slices(part) for x in encoder.texts(part[a:b])]
+        try:
+            dictionary = zstandard.train_dictionary(min(size, max(256, sum(map(len, samples)) // 10)), samples).as_bytes()
+        except zstandard.ZstdError:
+            dictionary = b""
+        yield pa.RecordBatch.from_arrays([pa.array([dictionary], pa.binary())], ["dictionary"])
+
+    return run
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:

@@ -127,3 +127,16 @@ def test_hot_line(spark, parts):
     rows = [(i, f"a very frequent line\nseldom line {i // 2}\nown line of document {i}\nA VERY frequent line ") for i in range(400)]
     got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
     assert {r.doc.doc_id: r.n_dropped for r in got} == {i: 2 * (i > 0) + i % 2 for i in range(400)}
+
+
+def test_dictionary_is_learned_in_a_task(spark, monkeypatch):
+    """The driver loads no tokenizer, with rows and without."""
+    import public_tokenizers
+
+    def refuse(*_):
+        raise AssertionError("the driver loads the tokenizer")
+
+    monkeypatch.setattr(tokens, "Encoder", refuse)
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    docs = spark.createDataFrame([(i, text(i, 200)) for i in range(300)], "doc_id long, text string")
+    assert len(tokens.train(docs, path)) > 256 and tokens.train(docs.limit(0), path) == b""
