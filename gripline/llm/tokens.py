@@ -29,7 +29,7 @@ LEVEL = 3
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 600_000
 #: Characters encoded at a time.
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 1 << 20
 #: File: magic, 32 bytes hash of the dictionary, id width; frames; index of (doc_id, n_tokens, offset, length); place of the index.
 MAGIC = b"GLTOK001"
 HEAD = "<8s32sI"
