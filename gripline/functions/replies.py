@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gripline.functions.literals import literal_json
-from gripline.functions.text import number_of, strip
+from gripline.functions.text import let, number_of, strip
 
 # --- fixed values -----------------------------------------------------------------
 MARKERS = ("```json", "```", "JSON:", "Response:")
@@ -21,11 +19,6 @@ STRICT = {"allowSingleQuotes": "false"}
 LOOSE = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "true"}
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is computed once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _only_value(text: Column, options: dict) -> Column:
     """The text as one JSON value and nothing after it: wrapped in brackets it must hold one element."""
     items = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", options)
