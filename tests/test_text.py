@@ -171,3 +171,19 @@ def test_plain_vectors_take_the_short_way(spark):
     assert [r.v for r in got][:5] == [[1.0, 2.5, -300.0], [1.0, 2.0], [1.0], None, [1.0]]
     plan = rows.select(X.parse_vector(t).alias("v"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") < 40, plan.count("regexp_replace")
+
+
+def test_names_read_only_their_part(spark):
+    """Long texts with long runs between words; names as of the whole text."""
+    import re
+    import time
+
+    def whole(t):
+        plain = re.sub("[^A-Za-z0-9._-]+", "_", t.strip().lower())
+        return plain.strip("_")[:80] or "subtask"
+
+    texts = ["  Pick_up  the cup! ", "a" * 79 + "__", "a" * 79 + "  b", "a" * 79 + "_ _ _", "é" * 500, "", "_ _", "x" + " é_ -" * 200, "\u212aelvin \u0130stanbul", ("\u0130 " * 100), "a\n" * 300, "a" + " " * 300000 + "b"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    began = time.time()
+    got = rows.select("i", X.safe_name(F.col("t")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [whole(t) for t in texts] and time.time() - began < 30
