@@ -113,7 +113,7 @@ def numbers_of(value: Column, count: int) -> Column:
 
 def numbers_in_text(text: Column, count: int) -> Column:
     found = F.slice(F.regexp_extract_all(text, F.lit(NUMBER_IN_TEXT), 1), 1, count).cast("array<double>")
-    return F.when(F.size(found) == count, found)
+    return let(found, lambda x: F.when(F.size(x) == count, x))
 
 
 def _clamp(value: Column, top: Column) -> Column:
@@ -134,8 +134,8 @@ def normalize_center(center: Column, width: Column, height: Column) -> Column:
 
 
 def box_center(box: Column) -> Column:
-    mid = lambda i, j: (F.get(box, i) + F.get(box, j)) / 2.0
-    return F.when(box.isNotNull(), F.array(mid(0, 2), mid(1, 3)))
+    mid = lambda b, i, j: (F.get(b, i) + F.get(b, j)) / 2.0
+    return let(box, lambda b: F.when(b.isNotNull(), F.array(mid(b, 0, 2), mid(b, 1, 3))))
 
 
 def model_reply(response: Column) -> Column:

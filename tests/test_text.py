@@ -187,3 +187,10 @@ def test_names_read_only_their_part(spark):
     began = time.time()
     got = rows.select("i", X.safe_name(F.col("t")).alias("n")).orderBy("i").collect()
     assert [r.n for r in got] == [whole(t) for t in texts] and time.time() - began < 30
+
+
+def test_box_is_computed_once(spark):
+    box = R.box_center(R.normalize_bbox(F.col("b"), F.lit(320), F.lit(180)))
+    rows = spark.createDataFrame([(0, [10.0, 20.0, 30.0, 40.0]), (1, [5.0, 5.0, 5.0, 9.0]), (2, None)], "i long, b array<double>").select("i", box.alias("c"))
+    assert [r.c for r in rows.orderBy("i").collect()] == [[20.0, 30.0], None, None]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("greatest") < 20
