@@ -160,3 +160,21 @@ def test_masks_are_read_once(spark, capsys):
     masks.mask_boxes(cut).explain()
     plan = capsys.readouterr().out
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_masked_patch_leaves_depth_where_it_lies(spark, request):
+    """Depth dealt by pixel meets the mask there: one shuffle of pixels by tile, and none by frame."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    pixel = ["episode_id", "frame_index", "x", "y"]
+    rows = spark.range(600).selectExpr("concat('e', id % 3) as episode_id", "id % 5 as frame_index", "id % 37 as x", "id % 23 as y")
+    pixels = rows.groupBy(*pixel).agg(F.lit(1.0).alias("depth_m"))
+    eye = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(4)]) for i in range(4)])
+    contacts = spark.range(2).selectExpr("concat('e', id) as episode_id", "id as frame_index", "9L as pu", "9L as pv").withColumns({"K": eye, "T": eye})
+    patch = depth.contact_patch(contacts, pixels, rows.where("x < 30"), points=4)
+    near = lambda e: sorted({((i % 37 - 9) ** 2 + (i % 23 - 9) ** 2, i % 23, i % 37) for i in range(600) if i % 3 == e and i % 5 == e and i % 37 < 30})[:4]
+    got = {(r.episode_id, r["rank"]): (r.x, r.y) for r in patch.collect()}
+    assert got == {(f"e{e}", k + 1): (x, y) for e in (0, 1) for k, (_, y, x) in enumerate(near(e))}
+    plan = patch._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    dealt = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert len(dealt) < 14, len(dealt)
