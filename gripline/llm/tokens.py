@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 import sys
 import zlib
@@ -36,7 +37,10 @@ HEAD = "<8s32sI"
 ENTRY = np.dtype([("doc_id", "<i8"), ("n_tokens", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("missing", "u1")])
 TAIL = "<QQ8s"
 MANIFEST = "shard int, file string, documents long, tokens long, bytes long, dictionary string"
-PUNCTUATION = ".,;:!?"
+#: Signs taken off the ends of words; no apostrophe, which may begin a unit of its own.
+PUNCTUATION = '.,;:!?*&#$%)"'
+#: Words that normal form and pre-tokenizer leave as they are, each one unit: small letters, composed.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 class Encoder:
@@ -45,16 +49,19 @@ class Encoder:
     The vocabulary's pre-tokenizer never joins characters across a blank, and its normal form changes none, so a text's
     ids are its words' ids in order. A word is encoded once and kept; a tail of plain punctuation after a letter or number is a
     unit of its own for the pre-tokenizer, and ASCII words are lower-cased as its normal form does, so both are taken off before
-    the look-up. After another sign the tail is part of that sign's unit, and the word is encoded whole.
+    the look-up. After another sign the tail is part of that sign's unit, and the word is encoded whole. Words of small letters
+    go to the model as they are.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = Tokenizer(self.tokenizer.model)  # the same model, with letters as bytes and nothing before it
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -65,16 +72,17 @@ class Encoder:
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of each word as bytes. Words not met while as many others as the half of what is kept came in are forgotten."""
         recent, older = self.recent, self.older
-        missing = []
-        for w in set(words):
-            if w not in recent:
-                if (ids := older.get(w)) is None:
-                    missing.append(w)
-                else:
-                    recent[w] = ids
-        if missing:
-            recent.update(zip(missing, (np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)), strict=True))
-        found = [recent[w] for w in words]
+        found = list(map(recent.get, words))
+        plain, other = [], []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if (ids := older.get(words[i])) is not None:
+                recent[words[i]] = found[i] = ids
+            else:
+                (plain if PLAIN.fullmatch(words[i]) else other).append(i)
+        for tokenizer, fresh in ((self.model, plain), (self.tokenizer, other)):
+            encoded = tokenizer.encode_batch_fast([words[i] for i in fresh], add_special_tokens=False) if fresh else []
+            for i, e in zip(fresh, encoded, strict=True):
+                recent[words[i]] = found[i] = np.array(e.ids, np.uint32).tobytes()
         if len(recent) > KEPT_WORDS // 2:
             self.recent, self.older = {}, recent
         return found
@@ -103,9 +111,10 @@ class Encoder:
             parted = pa.array([self._parts(c) for c in before.dictionary.to_pylist()], pa.bool_()).take(before.indices)
             bare = pc.if_else(parted, bare, words.dictionary)
             heads = pc.if_else(pc.string_is_ascii(bare), pc.ascii_lower(bare), bare).dictionary_encode()
-            tails = pc.replace_substring_regex(words.dictionary, f"^(?:.*[^{PUNCTUATION}])?([{PUNCTUATION}]*)$", r"\1")
-            tails = pc.if_else(parted, tails, "").dictionary_encode()
-            ids = self._look_up(heads.dictionary.to_pylist() + tails.dictionary.to_pylist())
+            cut = pc.not_equal(bare, words.dictionary)
+            tails = pc.replace_substring_regex(words.dictionary.filter(cut), f"^(?:.*[^{PUNCTUATION}])?([{PUNCTUATION}]*)$", r"\1")
+            tails = pc.replace_with_mask(pa.repeat(pa.scalar("", tails.type), len(cut)), cut, tails).dictionary_encode()
+            ids = self._look_up([w for part in (heads, tails) for w in part.dictionary.to_numpy(zero_copy_only=False).tolist()])
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             starts = np.cumsum(sizes) - sizes
             flat = np.frombuffer(b"".join(ids), np.uint32)

@@ -396,6 +396,35 @@ def test_tokens_of_mixed_signs():
     assert [x.tolist() for x in tokens.Encoder(path).texts(mixed)] == [whole.encode(t, add_special_tokens=False).ids for t in mixed]
 
 
+def test_plain_words_skip_the_normal_form():
+    """Words of small letters go to the model as they are, once for all tails of signs; everything else goes the whole way."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.seen = inner, []
+
+        def encode_batch_fast(self, words, **options):
+            self.seen += words
+            return self.inner.encode_batch_fast(words, **options)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    whole = Tokenizer.from_file(path)
+    encoder = tokens.Encoder(path)
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    heads = ["cup", "Cup", "größe", "Größe", "naïve", "e\u0301t", "σας", "x÷y", "ªb", "don't", "b52", "日本"]
+    for tails in ([""], ["", ".", "***", "%%%", "#&$)", '",'], ["."]):
+        texts = [f"{h}{t}" for h in heads for t in tails] + [" ".join(f"{h}{t}" for h in heads for t in tails)]
+        assert [x.tolist() for x in encoder.texts(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    words = [w for w in encoder.tokenizer.seen if w[:1].isalnum()]
+    assert len(words) == len(set(words)) and not {"cup", "größe", "naïve"} & set(words)
+    assert {w for w in words if w[-1] in tokens.PUNCTUATION} <= {f"e\u0301t{t}" for t in ("", ".", "***", "%%%", "#&$)", '",')}
+
+
 # --- 9 lines
 def brute_lines(rows):
     key = lambda x: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x.strip(" \t\n\x0b\x0c\r"))
