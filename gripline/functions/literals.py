@@ -1,8 +1,8 @@
 """Python literals in replies, rewritten token by token as JSON.
 
 A text is cut into tokens; numbers, words and strings are rewritten each for itself, and brackets from the inside out. Whatever a literal
-may not hold becomes a mark that no JSON reader takes. Inside strings, brackets, commas and colons are written as escapes, so
-patterns over the whole text see structure only.
+may not hold becomes a mark that no JSON reader takes. Strings are set aside: until the structure is done a string is its number
+among the tokens, so patterns see structure only, however long the strings are.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gripline.functions.text import let
+
 _DIGITS = r"\d(?:_?\d)*+"
 _EXPONENT = rf"(?:[eE][+-]?{_DIGITS})?"
 _NUMBER = (
@@ -26,20 +28,24 @@ _ESCAPE = r"(?s)\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|[0-7]{1,3}|.)|[^\\]++"
 #: Between tokens, and for commas and brackets of groups that are done: comma, list, object, tuple.
 _GAP, _COMMA, _LIST, _OBJECT, _TUPLE = "\x01", "\x02", "\x03\x04", "\x05\x06", "\x07\x08"
 _DONE = _COMMA + _LIST + _OBJECT + _TUPLE
+#: Around the number of a string that is set aside.
+_OPEN, _CLOSE = "\x0e", "\x0f"
+_PIECE = rf"{_OPEN}\d++{_CLOSE}|[^{_OPEN}]++"
 _BAD = "?"
 _STRUCTURE = "()[]{},:"
 
 
-def _code(char: str) -> str:
-    return f"\\u{ord(char):04x}"
+#: Signs that JSON has as escapes in a string; Python's source holds no zero byte.
+_SIGNS = "".join(map(chr, range(1, 32)))
 
 
 def _plain(text: Column) -> Column:
     """Characters of a string in JSON."""
     text = F.replace(text, F.lit('"'), F.lit('\\"'))
-    for char in (*_STRUCTURE, *_GAP, *_DONE, "\n", "\r", "\t"):
-        text = F.replace(text, F.lit(char), F.lit(_code(char)))
-    return text
+    escaped = text
+    for char in _SIGNS:
+        escaped = F.replace(escaped, F.lit(char), F.lit(f"\\u{ord(char):04x}"))
+    return F.when(text.rlike(f"[{_SIGNS[0]}-{_SIGNS[-1]}]"), escaped).otherwise(text)
 
 
 def _escaped(part: Column) -> Column:
@@ -60,13 +66,21 @@ def _escaped(part: Column) -> Column:
     )
 
 
+def _is_string(token: Column) -> Column:
+    """No other token has a quote at its end, but for a quote alone."""
+    return (F.octet_length(token) > 1) & (token.endswith("'") | token.endswith('"'))
+
+
 def _string(token: Column) -> Column:
-    body = F.regexp_replace(token, "^[uUrR]", "")
-    quote = F.when(body.startswith("'''") | body.startswith('"""'), 3).otherwise(1)
-    inner = F.substr(body, quote + 1, F.length(body) - 2 * quote)
+    """Characters of a string token in JSON, without quotes around them."""
+    first = F.lower(F.substr(token, F.lit(1), F.lit(1)))
+    before = F.when(first.isin("u", "r"), 1).otherwise(0)
+    opening = F.substr(token, before + 1, F.lit(3))
+    skipped = before + F.when(opening.isin("'''", '"""'), 3).otherwise(1)
+    inner = F.substr(token, skipped + 1, F.length(token) - 2 * skipped + before)
     raw = _plain(F.replace(inner, F.lit("\\"), F.lit("\\\\")))
     cooked = F.array_join(F.transform(F.regexp_extract_all(inner, F.lit(_ESCAPE), F.lit(0)), _escaped), "")
-    return F.concat(F.lit('"'), F.when(token.rlike("^[rR]"), raw).otherwise(cooked), F.lit('"'))
+    return F.when(first == "r", raw).when(F.contains(inner, F.lit("\\")), cooked).otherwise(_plain(inner))
 
 
 def _number(token: Column) -> Column:
@@ -85,11 +99,11 @@ def _number(token: Column) -> Column:
     return F.concat(sign, value)
 
 
-def _rewritten(token: Column) -> Column:
+def _rewritten(token: Column, number: Column) -> Column:
     words = F.when(token == "None", "null").when(token == "True", "true").when(token == "False", "false")
     return (
-        F.when(token.rlike(r"^\s"), "")
-        .when(token.rlike(r"""(?s)^[uUrR]?['"].*['"]$"""), _string(token))
+        F.when(_is_string(token), F.concat(F.lit(f'"{_OPEN}'), number.cast("string"), F.lit(f'{_CLOSE}"')))
+        .when(token.rlike(r"^\s"), "")
         .when(token.rlike(r"^[+-]?[ \t]*\.?\d"), _number(token))
         .when(token.isin(*_STRUCTURE), token)
         .otherwise(F.coalesce(words, F.lit(_BAD)))
@@ -122,8 +136,9 @@ def literal_json(text: Column) -> Column:
     None, True and False, lists, tuples, values in parentheses, trailing commas, keys that are numbers. Not read: bytes, sets,
     complex numbers, and the escapes for named and eight-digit characters.
     """
-    tokens = F.filter(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), _rewritten), lambda t: t != "")
-    joined = F.replace(F.array_join(tokens, _GAP), F.lit(f'"{_GAP}"'), F.lit(""))
+    def joined(tokens: Column) -> Column:
+        flat = F.array_join(F.filter(F.transform(tokens, _rewritten), lambda t: t != ""), _GAP)
+        return F.replace(flat, F.lit(f'"{_GAP}"'), F.lit(""))
 
     def closed(flat: Column) -> Column:
         opens = F.regexp_extract_all(flat, F.lit(r"[\[\](){}]"), F.lit(0))
@@ -138,5 +153,10 @@ def literal_json(text: Column) -> Column:
         back = F.translate(done, _GAP + _DONE, " ,[]{}[]")
         return F.when(~F.ltrim(done, F.lit(_GAP)).startswith(_TUPLE[0]), back)
 
-    once = lambda value, body: F.get(F.transform(F.array(value), body), 0)
-    return once(once(joined, closed), opened)
+    def filled(structure: Column, tokens: Column) -> Column:
+        number = lambda piece: F.substr(piece, F.lit(2), F.length(piece) - 2).cast("int")
+        whole = lambda piece: F.when(piece.startswith(_OPEN), let(F.get(tokens, number(piece)), _string)).otherwise(piece)
+        return F.array_join(F.transform(F.regexp_extract_all(structure, F.lit(_PIECE), F.lit(0)), whole), "")
+
+    structured = lambda tokens: let(let(joined(tokens), closed), opened)
+    return let(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), lambda tokens: filled(structured(tokens), tokens))

@@ -80,6 +80,16 @@ def test_long_strings(spark):
         assert json.loads(got) == ast.literal_eval(text)
 
 
+def test_strings_are_set_aside(spark):
+    """Strings of any signs come back whole and in their places, joined where they are adjacent; none is taken for structure."""
+    signs = "".join(map(chr, range(1, 32))).replace("\n", "").replace("\r", "")
+    texts = [f"{{'a': 'x{signs}y', 'b\x0e0\x0f': [u'1' r'\\2' \"\"\"3\n\"\"\", '']}}", "{'\\x0e1\\x0f': '\x0e1\x0f', 'b': ('\x0e0\x0f',)}", "['''''', R'\x0c', U\"'\", '\\\\' '\\'']"]
+    for text, got in zip(texts, read(spark, texts), strict=True):
+        assert got is not None and json.loads(got) == plain(ast.literal_eval(text)), (text, got)
+    broken = ["{'a': '\\x4', 'b': 1}", "['\\u12', 'x']", "['\\u12' 'x']", "['x' '\\xg']", "{'a': \x0e0\x0f}", "['a', \"\x0e0\x0f]", "['a\x00']"]
+    assert read(spark, broken) == [None] * len(broken)
+
+
 def test_replies(spark):
     rows = [("({'target_object': 'cup'},)", None), ("[{'target_object': u'cup', 'c': .5}]", {"target_object": "cup", "c": 0.5}), ("Response: {'a': 0x10,}", {"a": 16}), ("('cup')", None)]
     frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "i int, t string")
