@@ -26,9 +26,8 @@ def _cut(path: str, end: int, length: int):
         encoder = encoder_for(path)
         for batch in batches:
             uids, docs = (batch.column(c) for c in ("uid", "doc_id"))
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(texts):
-                found = encoder.texts(texts[a:b])
+            for a, texts in slices(batch.column("text")):
+                found = encoder.texts(texts)
                 sizes = np.fromiter((len(x) + 1 for x in found), np.int64, len(found))
                 ends = np.cumsum(sizes)
                 flat = np.empty(int(ends[-1]), "<u4")

@@ -29,8 +29,10 @@ DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 600_000
-#: Characters encoded at a time.
-SLICE_CHARS = 1 << 20
+#: Tasks that write the sample: it is small, and a file for each shuffle partition is a file for a few rows.
+SAMPLE_TASKS = 8
+#: Bytes of text encoded at a time.
+SLICE_BYTES = 1 << 20
 #: File: magic, 32 bytes hash of the dictionary, id width; frames; index of (doc_id, n_tokens, offset, length); place of the index.
 MAGIC = b"GLTOK001"
 HEAD = "<8s32sI"
@@ -142,16 +144,15 @@ def encoder_for(path: str) -> Encoder:
     return kept[path]
 
 
-def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about so many characters together."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts with about so many bytes together, and the place of the first: one run at a time becomes Python strings."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = min(int(np.searchsorted(ends, before + most)) + 1, len(texts))
+        yield start, texts.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 def serialized(ids: np.ndarray, wide: bool, end: int | None = None) -> bytes:
@@ -164,7 +165,7 @@ def train(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, size: int = DICTI
     key = id_of(docs, "doc_id")
     picked = F.broadcast(least_hashed(docs, key, rows, key.alias("id")).distinct())  # `rows` rows at most
     found = docs.select(key.alias("id"), text_of(docs).alias("text")).join(picked, "id")
-    one = written(found.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    one = written(found.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text")).coalesce(SAMPLE_TASKS))
     sampled = within_bytes(one, SAMPLE_BYTES).select("id", "text").repartition(1).sortWithinPartitions("id")
     return next((r[0] for r in sampled.mapInArrow(_train(path, size), "dictionary binary").collect()), b"")
 
@@ -174,8 +175,7 @@ def _train(path: str, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(path)
-        texts = (batch.column("text").to_pylist() for batch in batches)
-        samples = [serialized(x, encoder.wide, END_ID) for part in texts for a, b in slices(part) for x in encoder.texts(part[a:b])]
+        samples = [serialized(x, encoder.wide, END_ID) for batch in batches for _, texts in slices(batch.column("text")) for x in encoder.texts(texts)]
         try:
             dictionary = zstandard.train_dictionary(min(size, max(256, sum(map(len, samples)) // 10)), samples).as_bytes()
         except zstandard.ZstdError:
@@ -198,9 +198,10 @@ def _write(folder: str, path: str, dictionary: bytes, end: int):
 
         def documents() -> Iterator[tuple[int, tuple[int, bool], np.ndarray]]:
             for batch in batches:
-                shards, ids, missing, texts = (batch.column(c).to_pylist() for c in ("shard", "id", "missing", "text"))
-                for a, b in slices(texts):
-                    yield from zip(shards[a:b], zip(ids[a:b], missing[a:b], strict=True), encoder.texts(texts[a:b]), strict=True)
+                shards, ids, missing = (batch.column(c).to_pylist() for c in ("shard", "id", "missing"))
+                for a, texts in slices(batch.column("text")):
+                    b = a + len(texts)
+                    yield from zip(shards[a:b], zip(ids[a:b], missing[a:b], strict=True), encoder.texts(texts), strict=True)
 
         pending = next(it := documents(), None)
         while pending is not None:
@@ -230,7 +231,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END_ID, shards: in
 
     Each file holds a range of doc_ids: one zstandard frame per document under the shared dictionary, the hash of that
     dictionary, and an index of offsets, so that one short document is read without its neighbours. Files are named once whole;
-    the manifest comes last.
+    the manifest, a row for each of them, comes last and is one file.
 
     A null text is the empty one: it has the end id alone. Rows without doc_id come last. Rows that repeat a doc_id are documents of their own, in order of
     their texts' hashes. An empty table gives an empty manifest. Other columns are not written.
@@ -243,7 +244,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END_ID, shards: in
     bounds = cuts(docs, key, shards or width(spark))
     dealt = docs.select(range_of(key, bounds).alias("shard"), key.alias("id"), docs["doc_id"].cast("long").isNull().alias("missing"), text_of(docs).alias("text"))
     dealt = dealt.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", "missing", F.xxhash64("text"))
-    dealt.mapInArrow(_write(folder, path, dictionary, end), MANIFEST).write.parquet(f"{folder}/manifest")
+    dealt.mapInArrow(_write(folder, path, dictionary, end), MANIFEST).repartition(1).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest"), dictionary
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gripline.llm import decontaminate, hilbert, lines, minhash, mixing, quality, queries, tokens, toxicity, vectors, warc
+from gripline.llm import common, decontaminate, hilbert, lines, minhash, mixing, quality, queries, tokens, toxicity, vectors, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, copies int, row_id string, doc string"
 LONG = " ".join(f"word{i}" for i in range(30_000))
@@ -383,6 +383,41 @@ def test_tokens_equal_the_tokenizer(spark, odd, none, tmp_path):
     assert tokens.round_trip(none).count() == 0
 
 
+def test_few_small_files(spark, tmp_path, monkeypatch):
+    """The manifest is one file and the sample few, whatever the number of shuffle partitions; every document is in a token file."""
+    import public_tokenizers
+
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path / "sample"))
+    docs = spark.createDataFrame([(i, f"text {i} of a few words") for i in range(600)], "doc_id long, text string").repartition(3)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        manifest, _ = tokens.write(docs, str(tmp_path / "tokens"), public_tokenizers.path(tokens.VOCABULARY))
+        rows = manifest.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 40 and sum(r.documents for r in rows) == 600
+    assert len(list((tmp_path / "tokens" / "manifest").glob("part-*"))) == 1
+    assert 1 <= len(list((tmp_path / "sample").glob("part-*"))) <= tokens.SAMPLE_TASKS
+
+
+def test_slices_are_runs_of_bytes():
+    """Every text once and in order; a run ends with the text that fills it, and no later run is made before it is asked for."""
+    import pyarrow as pa
+
+    texts = ["", "abc", "é" * 3, "x" * 50, "", "y", "日本"]
+    for most in (1, 4, 9, 1000):
+        runs = list(tokens.slices(pa.array(["before", *texts]).slice(1), most))
+        assert [t for _, run in runs for t in run] == texts
+        assert [a for a, _ in runs] == np.cumsum([0, *(len(run) for _, run in runs[:-1])]).tolist()
+        assert all(sum(len(t.encode()) for t in run[:-1]) < most for _, run in runs)
+        assert all(sum(len(t.encode()) for t in run) >= most for _, run in runs[:-1])
+    assert list(tokens.slices(pa.array([], pa.string()))) == []
+
+
 def test_tokens_of_mixed_signs():
     """Words whose punctuation follows another sign, which the pre-tokenizer takes together."""
     import public_tokenizers
