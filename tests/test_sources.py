@@ -296,3 +296,59 @@ def test_drops_of_many_batches(spark, monkeypatch):
     got = {r.episode_id: r.batch for r in source_queries.incremental(spark, "/root/testdata/sf0.001").collect()}
     assert len(got) > 9 and set(got.values()) == {0, 1}
     assert all(b == int(int(e) % 3 == 0 or int(e) % 5 == 1) for e, b in got.items())
+
+
+def test_driver_holds_one_folder_at_a_time(spark, tmp_path, monkeypatch):
+    """Many recordings: no stage has a task for each of them, and no stream remembers more than those of its folder."""
+    from gripline.plans import source_queries
+
+    monkeypatch.setattr(source_queries, "USERS_PER_FOLDER", 40, raising=False)
+    rows = [(i, i % 200 * 7) for i in range(600)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    home, tracker = checkpoint_folder(spark), spark.sparkContext.statusTracker()
+    known, before = set(os.listdir(home.removeprefix("file:"))), spark._jsc.sc().dagScheduler().nextStageId()
+    got = {r.episode_id: (r.num_frames, r.events, r.batch) for r in source_queries.incremental(spark, str(tmp_path)).collect()}
+    assert got == {str(u): (3, sum(e for e, v in rows if v == u), int(u % 3 == 0 or u % 5 == 1)) for u in range(0, 1400, 7)}
+    stages = [tracker.getStageInfo(i) for i in range(before, spark._jsc.sc().dagScheduler().nextStageId())]
+    assert max(s.numTasks for s in stages if s) <= 64
+    (base,) = (f"{home.removeprefix('file:')}/{f}" for f in os.listdir(home.removeprefix("file:")) if f.startswith("stream-") and f not in known)
+    remembered = {}
+    for folder, _, names in os.walk(f"{base}/state"):
+        if "/sources/" in folder:
+            logs = [open(f"{folder}/{n}").read() for n in names if not n.startswith(".")]
+            remembered[folder] = sum(log.count('"path"') for log in logs)
+    assert sum(remembered.values()) >= 200 and max(remembered.values()) < 80
+
+
+def test_folders_of_a_run(spark, tmp_path):
+    """Of two deliveries in folders of one run the newer counts, whichever folder is worked on first; a later run has the say over both."""
+    from gripline.streaming.incremental import next_run, recording_folders
+
+    root, out, state = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state"
+    annotate = lambda batch: batch.groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"))
+
+    def put(folder, e, n, at):
+        os.makedirs(f"{root}/{folder}", exist_ok=True)
+        path = f"{root}/{folder}/episode_{e}.parquet"
+        spark.createDataFrame([(i,) for i in range(n)], "frame_index bigint").toPandas().to_parquet(path)
+        os.utime(path, (1700000000 + at, 1700000000 + at))
+
+    def run():
+        number = next_run(spark, out)
+        for folder in recording_folders(spark, root, 2):
+            incremental_episodes(new_recordings(spark, f"{root}/{folder}", "frame_index bigint"), annotate, out, state, folder, number).awaitTermination()
+        return result()
+
+    result = lambda: sorted((r.episode_id[-1], r.n, r.batch) for r in current(spark, out).collect())
+    put("a/one", 0, 3, 50)
+    put("a/two", 0, 5, 20)
+    put("b/one", 1, 2, 10)
+    put("b/one", 2, 4, 10)
+    assert recording_folders(spark, root, 2) == ["a/one", "a/two", "b/one"]
+    assert run() == run() == [("0", 3, 0), ("1", 2, 0), ("2", 4, 0)]
+    assert len(compact(spark, out)) == 6 and result() == [("0", 3, 0), ("1", 2, 0), ("2", 4, 0)]
+    put("a/three", 1, 7, 0)  # copied late, written early
+    assert run() == run() == [("0", 3, 0), ("1", 7, 1), ("2", 4, 0)]
+    put("a", 9, 1, 0)
+    with pytest.raises(ValueError, match="above the folders"):
+        recording_folders(spark, root, 2)
